@@ -134,7 +134,7 @@ def _combine(v: Value, name: str) -> Column:
         return F.least(local, carry)
     if v.kind == "max":
         return F.greatest(local, carry)
-    edge = "_first" if v.kind == "previous" else "_last"
+    edge = "_at_chunk_start" if v.kind == "previous" else "_at_chunk_end"
     return F.when(F.col(edge), carry).otherwise(local)
 
 
@@ -162,8 +162,8 @@ def with_ordered(
     # Types that vary with the input are normalised so that both parts agree.
     tagged = _tag(df, hot, keys, ts, "left")
     local = tagged.select("*", *[_local(v, w).alias(n) for n, v in values.items()],
-                          F.lag(F.lit(True)).over(w).isNull().alias("_first"),
-                          F.lead(F.lit(True)).over(w).isNull().alias("_last"))
+                          F.lag(F.lit(True)).over(w).isNull().alias("_at_chunk_start"),
+                          F.lead(F.lit(True)).over(w).isNull().alias("_at_chunk_end"))
 
     order = F.struct(*[F.col(c) for c in order_cols])
     over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)

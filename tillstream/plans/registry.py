@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tillstream.plans import aggregate_queries, row_queries
+from tillstream.plans import aggregate_queries, join_queries, pattern_queries, row_queries, stats_queries
 
-_PARTS = [row_queries, aggregate_queries]
+_PARTS = [stats_queries, row_queries, aggregate_queries, join_queries, pattern_queries]
 
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
