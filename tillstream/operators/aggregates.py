@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstream.operators.ordered import DEFAULT_POLICY, SplitPolicy, hot_keys, running, with_ordered
+
 
 def rolled(df: DataFrame, keys: Sequence[str | Column], first: Sequence[str], order: Sequence[str],
            **aggs: Column) -> DataFrame:
@@ -57,6 +59,22 @@ def oldest(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(row).select("_r.*")
 
 
+def running_distinct(df: DataFrame, value: str, ts: str, tie: str, out: str,
+                     policy: SplitPolicy | None = None) -> DataFrame:
+    """Number of different values seen up to and including each row, over the whole input.
+
+    The first row of each value (an aggregate, combined before its shuffle) adds a marker row;
+    the count is a running sum over rows and markers, cut into time chunks when large.
+    """
+    first = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(F.struct(ts, tie)).alias("_f"))
+    marks = first.select(F.col(f"_f.{ts}").alias(ts), F.col(f"_f.{tie}").alias(tie), F.lit(0).alias("_row"))
+    rows = df.withColumn("_row", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    hot = hot_keys(df, [], ts, policy or DEFAULT_POLICY)
+    new = (1 - F.col("_row")).cast("long")
+    counted = with_ordered(rows, [], ts, [tie, "_row"], hot=hot, **{out: running("sum", new)})
+    return counted.where(F.col("_row") == 1).drop("_row")
+
+
 def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], *aggs: Column) -> DataFrame:
     """Aggregates for several key sets in one pass; absent keys are null."""
     every = list(dict.fromkeys(c for s in sets for c in s))

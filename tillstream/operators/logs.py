@@ -57,11 +57,12 @@ def displays(log: DataFrame) -> DataFrame:
     return pages(log).select(*rest, F.explode("displays").alias("display"))
 
 
-def fix_new_visitors(log: DataFrame, ties: Sequence[str], policy: SplitPolicy | None = None) -> DataFrame:
+def fix_new_visitors(log: DataFrame, ties: Sequence[str], policy: SplitPolicy | None = None,
+                     hot: DataFrame | None = None) -> DataFrame:
     """Correct ``common.is_new``: only a device's first row marked new keeps the mark."""
     flat = log.withColumns({"_mid": F.col("common.mid"), "_new": F.col("common.is_new"),
                             "_at": F.timestamp_millis("ts")})
-    fixed = correct_new_flag(flat, "_mid", "_new", "_at", ties, policy)
+    fixed = correct_new_flag(flat, "_mid", "_new", "_at", ties, policy, hot)
     return fixed.withColumn("common", F.col("common").withField("is_new", F.col("_new"))).drop("_mid", "_new", "_at")
 
 

@@ -9,6 +9,9 @@ Bounds: at most ``share`` keys can hold more than ``1/share`` of the rows, and t
 into at most ``2 * share`` chunks. Both tables that get broadcast therefore have a size fixed
 by the policy, whatever the size of the data. Rows are never dropped; a key below the limit
 keeps its single group.
+
+Any chunk table gives right results, as chunks only have to follow time. It may thus be taken
+from another, cheaper table with the same keys (``hot=``), such as the raw input.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.functions.times import epoch_micros
+
 CHUNK = "_chunk"
-_LO, _WIDTH = "_chunk_lo", "_chunk_width"
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,7 @@ class Value:
 
     kind: str
     expr: Column | None = None
+    where: Column | None = None
 
 
 def position() -> Value:
@@ -54,54 +59,86 @@ def running(kind: str, expr: Column) -> Value:
     return Value(kind, expr)
 
 
-def previous(expr: Column) -> Value:
-    return Value("previous", expr)
-
+def previous(expr: Column, where: Column | None = None) -> Value:
+    """The value of the row before; with ``where``, of the nearest such row before."""
+    return Value("previous", expr, where)
 
-def following(expr: Column) -> Value:
-    return Value("next", expr)
 
+def following(expr: Column, where: Column | None = None) -> Value:
+    """The value of the row after; with ``where``, of the nearest such row after."""
+    return Value("next", expr, where)
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
 
+def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Keys above the limit with the start and width of their chunks.
 
-def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy) -> DataFrame:
-    """Keys above the limit with the start and width of their chunks."""
+    Reads the key and time columns only; counts are combined before their shuffle.
+    """
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min(_micros(F.col(ts))).alias(_LO),
-        F.max(_micros(F.col(ts))).alias("_hi"),
-    )
-    fair = counts.agg(F.sum("_n").alias("_total")).select(
-        F.greatest(F.lit(policy.min_rows), F.ceil(F.col("_total") / policy.share)).alias("_limit")
+        F.min(epoch_micros(F.col(ts))).alias("_lo"),
+        F.max(epoch_micros(F.col(ts))).alias("_hi"),
     )
-    limited = counts.withColumn("_limit", fair.scalar())
+    fair = df.agg(F.greatest(F.lit(policy.min_rows), F.ceil(F.count(F.lit(1)) / policy.share)))
+    limited = counts.withColumn("_limit", fair.scalar()).where(F.col("_n") > F.col("_limit"))
     chunks = F.ceil(F.col("_n") / F.col("_limit"))
-    return limited.where(F.col("_n") > F.col("_limit")).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys],
-        _LO,
-        F.ceil((F.col("_hi") - F.col(_LO) + 1) / chunks).alias(_WIDTH),
-    )
+    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / chunks)
+    return limited.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_lo", width.alias("_width"))
+
 
+def _chunk(ts: Column, lo: Column, width: Column) -> Column:
+    # A row outside the known span joins the outermost chunks' order all the same; a row
+    # without a time sorts first, so it goes before every chunk.
+    at = F.coalesce(epoch_micros(ts), F.lit(-(2**62)).cast("long"))
+    return F.coalesce(F.floor((at - lo) / width), F.lit(0).cast("long"))
 
-def _tag(df: DataFrame, hot: DataFrame, keys: Sequence[str], ts: str, how: str) -> DataFrame:
+
+def _tag(df: DataFrame, hot: DataFrame, keys: Sequence[str], ts: str, only_hot: bool) -> DataFrame:
+    """Add the chunk of every row (0 for all rows of a key that is not hot)."""
+    if not keys:
+        span = hot.select(F.struct("_lo", "_width")).scalar()
+        tagged = df.withColumn("_span", span)
+        tagged = tagged.where(F.col("_span").isNotNull()) if only_hot else tagged
+        return tagged.withColumn(CHUNK, _chunk(F.col(ts), F.col("_span._lo"), F.col("_span._width"))).drop("_span")
     same = F.lit(True)
     for k in keys:
         same = same & df[k].eqNullSafe(hot[f"_hot_{k}"])
-    # A row without a time sorts first, so it belongs to the first chunk.
-    offset = F.coalesce(_micros(df[ts]), hot[_LO]) - hot[_LO]
-    chunk = F.coalesce(F.floor(offset / hot[_WIDTH]), F.lit(0).cast("long"))
-    return df.join(F.broadcast(hot), same, how).select(*[df[c] for c in df.columns], chunk.alias(CHUNK))
+    joined = df.join(F.broadcast(hot), same, "inner" if only_hot else "left")
+    return joined.select(*[df[c] for c in df.columns], _chunk(df[ts], hot["_lo"], hot["_width"]).alias(CHUNK))
 
 
-def _local(v: Value, w) -> Column:
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+class _Orders:
+    """Window specifications of one call."""
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str]):
+        parts = [*keys, CHUNK]
+        self.up = Window.partitionBy(*parts).orderBy(*order)
+        self.down = Window.partitionBy(*parts).orderBy(*[F.col(c).desc() for c in order])
+        # Chunk tables have one row per chunk, so a key's rows there are few by the policy.
+        self.chunks_up = Window.partitionBy(*keys).orderBy(CHUNK)
+        self.chunks_down = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
+
+
+def _before(w):
+    return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _hit(v: Value) -> Column:
+    """The value in a struct, so that a null value differs from no row."""
+    held = F.struct(v.expr.alias("v"))
+    return held if v.where is None else F.when(v.where, held)
+
+
+def _local(v: Value, o: _Orders) -> Column:
     if v.kind == "position":
-        return F.row_number().over(w).cast("long")
+        return F.row_number().over(o.up).cast("long")
     if v.kind in ("sum", "min", "max"):
-        return getattr(F, v.kind)(v.expr).over(upto)
-    return (F.lag if v.kind == "previous" else F.lead)(v.expr).over(w)
+        return getattr(F, v.kind)(v.expr).over(o.up.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if v.where is None:
+        return (F.lag if v.kind == "previous" else F.lead)(_hit(v)).over(o.up)
+    # Looking ahead is a running value in the opposite order, which stays linear.
+    w = o.up if v.kind == "previous" else o.down
+    return F.last(_hit(v), ignorenulls=True).over(_before(w))
 
 
 def _summary(v: Value, order: Column) -> Column:
@@ -109,19 +146,17 @@ def _summary(v: Value, order: Column) -> Column:
         return F.count(F.lit(1))
     if v.kind in ("sum", "min", "max"):
         return getattr(F, v.kind)(v.expr)
-    # Wrapped in a struct: a null value of the border row must stay a value.
     pick = F.max_by if v.kind == "previous" else F.min_by
-    return pick(F.struct(v.expr.alias("v")), order)
+    return pick(_hit(v), order if v.where is None else F.when(v.where, order))
 
 
-def _carry(v: Value, name: str, w) -> Column:
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
+def _carry(v: Value, name: str, o: _Orders) -> Column:
     if v.kind == "position":
-        return F.sum(name).over(before)
+        return F.sum(name).over(_before(o.chunks_up))
     if v.kind in ("sum", "min", "max"):
-        return getattr(F, v.kind)(F.col(name)).over(before)
-    shift = F.lag if v.kind == "previous" else F.lead
-    return shift(F.col(name)).over(w)["v"]
+        return getattr(F, v.kind)(F.col(name)).over(_before(o.chunks_up))
+    w = o.chunks_up if v.kind == "previous" else o.chunks_down
+    return F.last(name, ignorenulls=True).over(_before(w))
 
 
 def _combine(v: Value, name: str) -> Column:
@@ -130,12 +165,9 @@ def _combine(v: Value, name: str) -> Column:
         return local + F.coalesce(carry, F.lit(0).cast("long"))
     if v.kind == "sum":
         return F.coalesce(local + carry, local, carry)
-    if v.kind == "min":
-        return F.least(local, carry)
-    if v.kind == "max":
-        return F.greatest(local, carry)
-    edge = "_at_chunk_start" if v.kind == "previous" else "_at_chunk_end"
-    return F.when(F.col(edge), carry).otherwise(local)
+    if v.kind in ("min", "max"):
+        return (F.least if v.kind == "min" else F.greatest)(local, carry)
+    return F.coalesce(local, carry)["v"]
 
 
 def with_ordered(
@@ -144,38 +176,31 @@ def with_ordered(
     ts: str,
     ties: Sequence[str],
     policy: SplitPolicy | None = None,
+    hot: DataFrame | None = None,
     **values: Value,
 ) -> DataFrame:
     """Add ordered ``values`` per key; rows are ordered by ``ts`` and then by ``ties``.
 
     ``keys`` may be empty: the whole input is then one ordered sequence. One shuffle of the
-    rows on (keys, chunk), plus a key-only count to find the hot keys.
+    rows on (keys, chunk), plus a key-only count to find the hot keys unless ``hot`` is given.
     """
-    policy = policy or DEFAULT_POLICY
-    columns = df.columns
-    if not keys:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    hot = hot_keys(df, keys, ts, policy)
-    order_cols = [ts, *ties]
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order_cols)
-
-    # Types that vary with the input are normalised so that both parts agree.
-    tagged = _tag(df, hot, keys, ts, "left")
-    local = tagged.select("*", *[_local(v, w).alias(n) for n, v in values.items()],
-                          F.lag(F.lit(True)).over(w).isNull().alias("_at_chunk_start"),
-                          F.lead(F.lit(True)).over(w).isNull().alias("_at_chunk_end"))
-
-    order = F.struct(*[F.col(c) for c in order_cols])
-    over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)
+    if hot is None:
+        hot = hot_keys(df, keys, ts, policy or DEFAULT_POLICY)
+    order = [ts, *ties]
+    o = _Orders(keys, order)
+    local = _tag(df, hot, keys, ts, only_hot=False).select(
+        "*", *[_local(v, o).alias(n) for n, v in values.items()])
+
+    rank = F.struct(*[F.col(c) for c in order])
     carry = (
-        _tag(df, hot, keys, ts, "inner")
+        _tag(df, hot, keys, ts, only_hot=True)
         .groupBy(*keys, CHUNK)
-        .agg(*[_summary(v, order).alias(n) for n, v in values.items()])
-        .select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col(CHUNK).alias("_c_chunk"),
-                *[_carry(v, n, over_chunks).alias(f"_carry_{n}") for n, v in values.items()])
+        .agg(*[_summary(v, rank).alias(n) for n, v in values.items()])
+        .select(*[F.col(k).alias(f"_carry_key_{k}") for k in keys], F.col(CHUNK).alias("_carry_chunk"),
+                *[_carry(v, n, o).alias(f"_carry_{n}") for n, v in values.items()])
     )
-    same = local[CHUNK] == carry["_c_chunk"]
+    same = local[CHUNK] == carry["_carry_chunk"]
     for k in keys:
-        same = same & local[k].eqNullSafe(carry[f"_c_{k}"])
+        same = same & local[k].eqNullSafe(carry[f"_carry_key_{k}"])
     joined = local.join(F.broadcast(carry), same, "left")
-    return joined.select(*columns, *[_combine(v, n).alias(n) for n, v in values.items()])
+    return joined.select(*df.columns, *[_combine(v, n).alias(n) for n, v in values.items()])

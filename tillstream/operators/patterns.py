@@ -23,10 +23,10 @@ def _gap(later: str, earlier: str) -> Column:
 
 
 def correct_new_flag(df: DataFrame, key: str, flag: str, ts: str, ties: Sequence[str],
-                     policy: SplitPolicy | None = None) -> DataFrame:
+                     policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Keep flag ``1`` on the first flagged row of a device only; later ones become ``0``."""
     flagged = F.when(F.col(flag) == "1", 1).otherwise(0).cast("long")
-    out = with_ordered(df, [key], ts, ties, policy, _flagged=running("sum", flagged))
+    out = with_ordered(df, [key], ts, ties, policy, hot, _flagged=running("sum", flagged))
     first = (F.col(flag) == "1") & (F.col("_flagged") > 1)
     return out.withColumn(flag, F.when(first, "0").otherwise(F.col(flag))).drop("_flagged")
 
@@ -38,16 +38,16 @@ def first_of_day(df: DataFrame, key: str, ts: str, ties: Sequence[str], zone: st
 
 
 def bounces(df: DataFrame, key: str, entry: Column, ts: str, ties: Sequence[str], within: timedelta,
-            policy: SplitPolicy | None = None) -> DataFrame:
+            policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Entry pages followed by another entry page, or by nothing within the time."""
-    out = with_ordered(df.withColumn("_entry", entry), [key], ts, ties, policy,
+    out = with_ordered(df.withColumn("_entry", entry), [key], ts, ties, policy, hot,
                        _next_ts=following(F.col(ts)), _next_entry=following(F.col("_entry")))
     alone = F.col("_next_ts").isNull() | (_gap("_next_ts", ts) >= micros(within))
     return out.where(F.col("_entry") & (alone | F.col("_next_entry"))).drop("_entry", "_next_ts", "_next_entry")
 
 
 def login_alerts(df: DataFrame, key: str, kind: str, ts: str, ties: Sequence[str], within: timedelta,
-                 once_per_run: bool = True, policy: SplitPolicy | None = None) -> DataFrame:
+                 once_per_run: bool = True, policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Two failures in a row at most ``within`` apart, no success between them.
 
     A run of failures is reported once, at its first such pair, unless ``once_per_run`` is off.
@@ -55,7 +55,7 @@ def login_alerts(df: DataFrame, key: str, kind: str, ts: str, ties: Sequence[str
     """
     rows = df.where(F.col(kind).isin("fail", "success"))
     success = F.when(F.col(kind) == "success", 1).otherwise(0).cast("long")
-    out = with_ordered(rows, [key], ts, ties, policy, run=running("sum", success),
+    out = with_ordered(rows, [key], ts, ties, policy, hot, run=running("sum", success),
                        first_ts=previous(F.col(ts)), _prev=previous(F.col(kind)))
     hits = out.where((F.col(kind) == "fail") & (F.col("_prev") == "fail")
                      & (_gap(ts, "first_ts") < micros(within)))
@@ -66,7 +66,7 @@ def login_alerts(df: DataFrame, key: str, kind: str, ts: str, ties: Sequence[str
 
 
 def failure_sequences(df: DataFrame, key: str, kind: str, ts: str, tie: str, within: timedelta,
-                      policy: SplitPolicy | None = None) -> DataFrame:
+                      policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Every sequence of two or more failures in a row that starts and ends within the time.
 
     ``events`` lists the ``tie`` values of the sequence. Starts meet possible ends through time
@@ -74,7 +74,7 @@ def failure_sequences(df: DataFrame, key: str, kind: str, ts: str, tie: str, wit
     """
     rows = df.where(F.col(kind).isin("fail", "success"))
     success = F.when(F.col(kind) == "success", 1).otherwise(0).cast("long")
-    fails = with_ordered(rows, [key], ts, [tie], policy,
+    fails = with_ordered(rows, [key], ts, [tie], policy, hot,
                          run=running("sum", success), pos=position()).where(F.col(kind) == "fail")
     head = fails.select(F.col(key), "run", F.col("pos").alias("head_pos"), F.col(ts).alias("start_ts"),
                         F.col(tie).alias("head_id"))
@@ -95,12 +95,12 @@ def failure_sequences(df: DataFrame, key: str, kind: str, ts: str, tie: str, wit
 
 
 def next_is(df: DataFrame, key: str, kind: str, first: str, second: str, ts: str, ties: Sequence[str],
-            within: timedelta, policy: SplitPolicy | None = None) -> tuple[DataFrame, DataFrame]:
+            within: timedelta, policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``first`` directly followed by ``second`` within the time: (matched, timed out).
 
     A ``first`` event with another next event within the time belongs to neither.
     """
-    out = with_ordered(df, [key], ts, ties, policy, next_ts=following(F.col(ts)),
+    out = with_ordered(df, [key], ts, ties, policy, hot, next_ts=following(F.col(ts)),
                        _next=following(F.col(kind))).where(F.col(kind) == first)
     expired = F.col("next_ts").isNull() | (_gap("next_ts", ts) >= micros(within))
     matched = out.where(~expired & (F.col("_next") == second)).drop("_next")
@@ -128,15 +128,15 @@ def watch_payments(df: DataFrame, key: str, kind: str, ts: str, rule: timedelta,
 
 
 def click_rank(df: DataFrame, user: str, ad: str, ts: str, ties: Sequence[str], zone: str = "UTC",
-               policy: SplitPolicy | None = None) -> DataFrame:
+               policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Position of each click among the clicks of its user, advert and local day."""
     dated = df.withColumn("click_date", local_day(F.col(ts), zone))
-    return with_ordered(dated, [user, ad, "click_date"], ts, ties, policy, nth=position())
+    return with_ordered(dated, [user, ad, "click_date"], ts, ties, policy, hot, nth=position())
 
 
 def blacklist(df: DataFrame, user: str, ad: str, ts: str, ties: Sequence[str], limit: int,
-              zone: str = "UTC", policy: SplitPolicy | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+              zone: str = "UTC", policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clicks below the daily limit, one alert per user, advert and day at the limit, the rest."""
-    ranked = click_rank(df, user, ad, ts, ties, zone, policy)
+    ranked = click_rank(df, user, ad, ts, ties, zone, policy, hot)
     nth = F.col("nth")
     return ranked.where(nth < limit), ranked.where(nth == limit), ranked.where(nth > limit)

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.times import epoch_micros, text
-from tillstream.operators.aggregates import Aggregator, aggregate, arg_max, arg_min, grouping_sets, rolled
+from tillstream.operators.aggregates import (
+    Aggregator,
+    aggregate,
+    arg_max,
+    arg_min,
+    grouping_sets,
+    rolled,
+    running_distinct,
+)
 from tillstream.operators.late import mark_late
 from tillstream.operators.ordered import running, with_ordered
 from tillstream.operators.windows import sliding_sums, stamp, top_n, tumbling
@@ -57,17 +65,9 @@ def running_reduce(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def running_uv(spark: SparkSession, sf: str) -> DataFrame:
-    """Number of different users so far, after every page view.
-
-    A user's first view is marked by an aggregate that is combined before its shuffle; the
-    count so far is a running sum over the whole sequence, cut into time chunks when large.
-    """
+    """Number of different users so far, after every page view."""
     pv = b.behaviors(spark, sf).where(F.col("behavior") == "pv").select("user_id", "ts", "event_id")
-    first = pv.groupBy("user_id").agg(F.min(F.struct("ts", "event_id")).alias("f")).select(
-        F.col("f.event_id").alias("_first"))
-    marked = pv.join(first, pv["event_id"] == first["_first"], "left").withColumn(
-        "_new", F.when(F.col("_first").isNotNull(), 1).otherwise(0).cast("long"))
-    return with_ordered(marked, [], "ts", ["event_id"], uv=running("sum", F.col("_new"))).select("event_id", "uv")
+    return running_distinct(pv, "user_id", "ts", "event_id", "uv").select("event_id", "uv")
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:

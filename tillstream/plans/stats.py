@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.text import code_flag, explode_words
 from tillstream.functions.times import epoch_micros, interval_text, local_day, micros
-from tillstream.operators.logs import is_entry, product_actions
-from tillstream.operators.ordered import SplitPolicy, following, previous, with_ordered
+from tillstream.operators.logs import is_entry, is_start, product_actions
+from tillstream.operators.ordered import SplitPolicy, following, previous, running, with_ordered
 from tillstream.operators.windows import stamp, tumbling
 from tillstream.plans.wide import Dims, add_sku_chain
 from tillstream.schemas import APPRAISE, MONEY, PRODUCT_STATS_COLUMNS, VISITOR_STATS_COLUMNS
@@ -37,22 +37,31 @@ def visitor_rows(pages: DataFrame, uniques: DataFrame, jumps: DataFrame) -> Data
     return pv.unionByName(part(uniques, uv_ct=1)).unionByName(part(jumps, uj_ct=1))
 
 
-def visitor_rows_one_pass(pages: DataFrame, ties: Sequence[str], within: timedelta, zone: str = "UTC",
-                          policy: SplitPolicy | None = None) -> DataFrame:
-    """The same measures from page rows alone: unique visits and bounces are read off each
-    page's neighbours in one ordered pass, so the log is parsed and shuffled once."""
-    flat = pages.withColumns({"_mid": F.col("common.mid"), "_entry": is_entry()})
-    seen = with_ordered(flat, ["_mid"], "at", ties, policy, _before=previous(F.col("at")),
-                        _after=following(F.col("at")), _after_entry=following(F.col("_entry")))
+def visitor_rows_one_pass(log: DataFrame, ties: Sequence[str], within: timedelta, zone: str = "UTC",
+                          policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """The same measures straight from valid log rows, start rows included, in one ordered pass.
+
+    The corrected new-visitor flag is a running count over all rows of a device; unique visits
+    and bounces are read off the page rows next to each page. The log is parsed and shuffled
+    once, instead of once for the correction and once for each of the three inputs.
+    """
+    page = ~is_start()
+    flat = log.withColumns({"_mid": F.col("common.mid"), "_entry": is_entry(), "_page": page,
+                            "_new": F.when(F.col("common.is_new") == "1", 1).otherwise(0).cast("long")})
+    seen = with_ordered(flat, ["_mid"], "at", ties, policy, hot,
+                        _flagged=running("sum", F.col("_new")),
+                        _before=previous(F.col("at"), F.col("_page")),
+                        _after=following(F.struct("at", "_entry"), F.col("_page"))).where("_page")
     new_day = F.col("_before").isNull() | (local_day(F.col("_before"), zone) < local_day(F.col("at"), zone))
-    gap = epoch_micros(F.col("_after")) - epoch_micros(F.col("at"))
-    alone = F.col("_after").isNull() | (gap >= micros(within)) | F.col("_after_entry")
+    gap = epoch_micros(F.col("_after.at")) - epoch_micros(F.col("at"))
+    alone = F.col("_after").isNull() | (gap >= micros(within)) | F.col("_after._entry")
+    is_new = F.when((F.col("_new") == 1) & (F.col("_flagged") > 1), "0").otherwise(F.col("common.is_new"))
     return seen.select(
-        *[F.col(f"common.{d}").alias(d) for d in VISITOR_DIMS], "at",
-        F.when(new_day, 1).otherwise(0).cast("long").alias("uv_ct"),
+        *[F.col(f"common.{d}").alias(d) for d in VISITOR_DIMS if d != "is_new"], is_new.alias("is_new"), "at",
+        _long(F.when(new_day, 1).otherwise(0)).alias("uv_ct"),
         _long(1).alias("pv_ct"),
-        F.when(F.col("_entry"), 1).otherwise(0).cast("long").alias("sv_ct"),
-        F.when(F.col("_entry") & alone, 1).otherwise(0).cast("long").alias("uj_ct"),
+        _long(F.when(F.col("_entry"), 1).otherwise(0)).alias("sv_ct"),
+        _long(F.when(F.col("_entry") & alone, 1).otherwise(0)).alias("uj_ct"),
         F.coalesce("page.during_time", F.lit(0)).alias("dur_sum"),
     )
 
@@ -74,7 +83,8 @@ def product_rows(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders:
     """Seven sources as one stream of product measures with sku_id and time ``at``.
 
     Inputs: pages (log rows), favors (sku_id, at), carts (sku_id, sku_num, at), orders and
-    payments (wide rows with ts), refunds (sku_id, order_id, refund_amount, at), comments
+    payments (rows per order detail with order_id, amount and ts; wide rows will do, but the
+    dimension columns are not needed), refunds (sku_id, order_id, refund_amount, at), comments
     (sku_id, appraise, at). ``order_amount`` names the amount an order row adds: the whole
     order's total, or its own share ``split_total_amount``.
     """

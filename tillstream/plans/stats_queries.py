@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tillstream.operators import logs
 from tillstream.operators.joins import lookup
+from tillstream.operators.ordered import hot_keys
 from tillstream.plans import bindings as b
 from tillstream.plans import join_queries as j
 from tillstream.plans import stats
-from tillstream.plans.wide import add_province
+from tillstream.plans.wide import add_province, join_details, join_payments
 
 HOUR, DAY, HALF_DAY = timedelta(hours=1), timedelta(days=1), timedelta(hours=12)
 
@@ -26,7 +27,8 @@ def province_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = stats.visitor_rows_one_pass(b.fixed_pages(spark, sf), ["event_id"], HALF_DAY)
+    users = b.events(spark, sf).select(F.col("user_id").cast("string").alias("_mid"), "ts")
+    rows = stats.visitor_rows_one_pass(b.log_rows(spark, sf), ["event_id"], HALF_DAY, hot=hot_keys(users, ["_mid"], "ts"))
     return stats.visitor_stats(rows, HOUR)
 
 
@@ -37,13 +39,15 @@ def product_page_actions(spark: SparkSession, sf: str) -> DataFrame:
 def product_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Favours are clicks, carts are purchases, comments are errors, refunds are returned details."""
     e = b.events(spark, sf).select("event_type", b.k().alias("sku_id"), F.col("ts").cast("timestamp").alias("at"))
+    details = join_details(b.order_info(spark, sf), b.order_detail(spark, sf), b.ORDER_WITHIN)
     returned = b.table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     return {
         "pages": logs.pages(b.log_rows(spark, sf)),
         "favors": e.where(F.col("event_type") == "click"),
         "carts": e.where(F.col("event_type") == "purchase").withColumn("sku_num", F.col("sku_id") % 3 + 1),
-        "orders": j.order_wide_rows(spark, sf),
-        "payments": j.payment_wide_rows(spark, sf),
+        "orders": details.withColumnRenamed("order_ts", "ts"),
+        "payments": join_payments(b.payment_info(spark, sf), details.withColumnRenamed("order_ts", "ts")).withColumnRenamed(
+            "payment_ts", "ts"),
         "refunds": returned.select(F.col("l_partkey").alias("sku_id"), F.col("l_orderkey").alias("order_id"),
                                    b.money("l_extendedprice").alias("refund_amount"), F.col("l_shipdate").alias("at")),
         "comments": e.where(F.col("event_type") == "error").withColumn(

@@ -63,7 +63,7 @@ def join_details(orders: DataFrame, details: DataFrame, within: timedelta = time
     d = details.select(F.col("id").alias("detail_id"), F.col("order_id").alias("_order_id"), "sku_id",
                        "order_price", "sku_num", "sku_name", "split_activity_amount", "split_coupon_amount",
                        "split_total_amount", F.col("ts").alias("detail_ts"))
-    return interval_join(o, d, {"order_id": "_order_id"}, "order_ts", "detail_ts", -within, within)
+    return interval_join(o, d, {"order_id": "_order_id"}, "order_ts", "detail_ts", -within, within).drop("_order_id")
 
 
 def order_wide(orders: DataFrame, details: DataFrame, dims: Dims, as_of: Column,
@@ -78,8 +78,8 @@ def order_wide(orders: DataFrame, details: DataFrame, dims: Dims, as_of: Column,
     return wide.select(*ORDER_WIDE_COLUMNS, F.col("order_ts").alias("ts"))
 
 
-def payment_wide(payments: DataFrame, wide: DataFrame, after: timedelta = timedelta(minutes=15)) -> DataFrame:
-    """Payments with the order rows created up to ``after`` before; keeps the payment ``ts``.
+def join_payments(payments: DataFrame, wide: DataFrame, after: timedelta = timedelta(minutes=15)) -> DataFrame:
+    """Payments with the order rows created up to ``after`` before (both sides carry ``ts``).
 
     Where both have a column (order, user, total amount) the payment's value stands.
     """
@@ -88,7 +88,9 @@ def payment_wide(payments: DataFrame, wide: DataFrame, after: timedelta = timede
                         F.col("ts").alias("payment_ts"))
     w = wide.drop("user_id", "total_amount").withColumnsRenamed(
         {"order_id": "_order_id", "create_time": "order_create_time", "ts": "order_ts"})
-    out = interval_join(p, w, {"order_id": "_order_id"}, "payment_ts", "order_ts", -after, timedelta(0))
-    return out.select(*PAYMENT_WIDE_COLUMNS, F.col("payment_ts").alias("ts"))
+    return interval_join(p, w, {"order_id": "_order_id"}, "payment_ts", "order_ts", -after, timedelta(0)).drop("_order_id")
 
 
+def payment_wide(payments: DataFrame, wide: DataFrame, after: timedelta = timedelta(minutes=15)) -> DataFrame:
+    """Wide payment rows; keeps the payment ``ts``."""
+    return join_payments(payments, wide, after).select(*PAYMENT_WIDE_COLUMNS, F.col("payment_ts").alias("ts"))
