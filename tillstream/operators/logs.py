@@ -17,24 +17,25 @@ BROKEN = "_broken"
 
 
 def parse_log(df: DataFrame, line: str, schema: T.StructType = APP_LOG) -> DataFrame:
-    """Parse a JSON line into ``log``; ``dirty`` tells the lines that are no JSON object.
+    """Parse a JSON line into the columns of ``schema``; ``dirty`` tells lines that are no JSON object.
 
-    Classify once and filter per class: both classes come out of the same parse.
+    The record comes out of a generator (``inline``): Spark neither repeats the parse for each
+    column used nor pushes a copy of it into filters, so every line is parsed exactly once.
     """
     full = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     parsed = F.from_json(line, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
-    out = df.withColumn("log", parsed)
-    empty = is_empty(F.trim(F.col(line)))
-    return out.withColumn("dirty", empty | F.col(f"log.{BROKEN}").isNotNull())
+    out = df.select("*", F.inline(F.array(parsed)))
+    blank = F.coalesce(F.length(F.trim(line)) == 0, F.lit(True))
+    return out.withColumn("dirty", blank | F.col(BROKEN).isNotNull()).drop(BROKEN)
 
 
 def valid(parsed: DataFrame) -> DataFrame:
-    """The fields of the lines that parsed, next to the other input columns."""
-    rest = [c for c in parsed.columns if c not in ("log", "dirty")]
-    return parsed.where(~F.col("dirty")).select(*rest, "log.*").drop(BROKEN)
+    """The lines that parsed."""
+    return parsed.where(~F.col("dirty")).drop("dirty")
 
 
 def dirty(parsed: DataFrame, line: str) -> DataFrame:
+    """The text of the lines that did not parse."""
     return parsed.where("dirty").select(line)
 
 

@@ -145,9 +145,8 @@ def log_dirty_split(spark: SparkSession, sf: str) -> DataFrame:
 def log_split_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per class from one parse; displays are counted off their pages."""
     parsed = logs.parse_log(b.log_lines(spark, sf), "line")
-    start = F.col("log.start").isNotNull() & (F.size("log.start") > 0)
-    kind = F.when(F.col("dirty"), "dirty").when(start, "start").otherwise("page")
-    shown = F.when(kind == "page", F.greatest(F.coalesce(F.size("log.displays"), F.lit(0)), F.lit(0))).otherwise(0)
+    kind = F.when(F.col("dirty"), "dirty").when(logs.is_start(), "start").otherwise("page")
+    shown = F.when(kind == "page", F.greatest(F.coalesce(F.size("displays"), F.lit(0)), F.lit(0))).otherwise(0)
     counted = parsed.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum(shown).alias("_d"))
     each = F.when(F.col("kind") == "page", F.array(F.struct(F.lit("page").alias("kind"), F.col("n")),
                                                   F.struct(F.lit("display").alias("kind"), F.col("_d").alias("n"))))
