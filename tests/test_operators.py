@@ -30,9 +30,8 @@ def same(x, y):
 @pytest.mark.parametrize("keys", [["event_type"], ["user_id", "event_type"]])
 def test_sliding_sums_equal_direct_windows(spark, sf, size, slide, keys):
     e = b.events(spark, sf).withColumn("cents", F.round(F.col("value") * 100).cast("long")).withColumn("ts", F.col("ts").cast("timestamp"))
-    sums = {"n": F.count(F.lit(1)), "cents": F.sum("cents")}
-    got = windows.sliding_sums(e, "ts", size, slide, keys, sums)
-    want = windows.sliding_direct(e, "ts", size, slide, keys, *[c.alias(n) for n, c in sums.items()])
+    got = windows.sliding_sums(e, "ts", size, slide, keys, {"n": F.lit(1), "cents": F.col("cents")})
+    want = windows.sliding_direct(e, "ts", size, slide, keys, F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
     assert same(got, want.select(got.columns))
 
 

@@ -33,12 +33,6 @@ def mark_late(df: DataFrame, ts: str, batch: str, size: timedelta, delay: timede
     return out.withColumn("late", F.coalesce(closed <= F.col("_mark"), F.lit(False))).drop("_batch", "_mark")
 
 
-def split_late(df: DataFrame, ts: str, mark_us: int | None, size: timedelta,
-               lateness: timedelta = timedelta(0)) -> tuple[DataFrame, DataFrame]:
-    """(on time, late) rows of one micro-batch against the watermark before it."""
-    if mark_us is None:
-        return df, df.limit(0)
-    late = window_end(F.col(ts), size) + micros(lateness) <= mark_us
-    return df.where(~late), df.where(late)
-
-
+def closed_before(ts: Column, mark_us: int, size: timedelta, lateness: timedelta = timedelta(0)) -> Column:
+    """Whether a row's window plus lateness had ended at a watermark (epoch microseconds)."""
+    return window_end(ts, size) + micros(lateness) <= mark_us

@@ -73,11 +73,17 @@ def is_entry() -> Column:
 
 
 def product_actions(log: DataFrame) -> DataFrame:
-    """Clicks on product pages and displays of products, one row per action (over page rows)."""
-    clicks = log.where((F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id"))
-    clicks = clicks.select(F.col("page.item").cast("long").alias("sku_id"), F.lit(1).cast("long").alias("click_ct"),
-                           F.lit(0).cast("long").alias("display_ct"), "ts")
-    shown = log.select("ts", F.explode("displays").alias("d")).where(F.col("d.item_type") == "sku_id")
-    shown = shown.select(F.col("d.item").cast("long").alias("sku_id"), F.lit(0).cast("long").alias("click_ct"),
-                         F.lit(1).cast("long").alias("display_ct"), "ts")
-    return clicks.unionByName(shown)
+    """Clicks on product pages and displays of products, one row per action (over page rows).
+
+    A page's actions come out of one list, so the log is read once for both kinds.
+    """
+    def action(item: Column, click: int) -> Column:
+        return F.struct(item.cast("long").alias("sku_id"), F.lit(click).cast("long").alias("click_ct"),
+                        F.lit(1 - click).cast("long").alias("display_ct"))
+
+    opened = (F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id")
+    clicks = F.when(opened, F.array(action(F.col("page.item"), 1)))
+    shown = F.transform(F.filter("displays", lambda d: d["item_type"] == "sku_id"), lambda d: action(d["item"], 0))
+    none = F.array().cast("array<struct<sku_id:bigint,click_ct:bigint,display_ct:bigint>>")
+    actions = F.concat(F.coalesce(clicks, none), F.coalesce(shown, none))
+    return log.select("ts", F.explode(actions).alias("a")).select("a.*", "ts")

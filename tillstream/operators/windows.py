@@ -43,24 +43,25 @@ def sliding_direct(df: DataFrame, ts: str, size: timedelta, slide: timedelta,
 
 def sliding_sums(df: DataFrame, ts: str, size: timedelta, slide: timedelta,
                  keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    """Sliding-window sums from changes at window borders; rows are never copied.
+    """Sliding-window sums of row values from changes at window borders.
 
-    Rows are first summed per key and slide-wide pane. A pane enters the windows at one start
-    and leaves them at a later one, so two signed changes per pane describe it completely; the
-    running sum of the changes is the window value from one change to the next. Cost follows
-    panes and results, not ``rows * size / slide``. Sums must be integers or decimals, for
-    which adding and subtracting is exact.
+    A row enters the windows at one start and leaves them at a later one, so two signed
+    changes describe it completely. Changes are summed per key and slide-wide step before their
+    shuffle; the running sum of the changes is the window value from one change to the next.
+    Cost follows ``2 * rows`` and results, not ``rows * size / slide``. Sums must be integers
+    or decimals, for which adding and subtracting is exact.
 
-    The ordered step works on panes, whose number per key is bounded by the time span.
+    The ordered step works on steps of time, whose number per key is bounded by the time span
+    and not by the rows of the key.
     """
     s, d = micros(slide), micros(size)
     if d % s:
         raise ValueError("window size must be a multiple of the slide")
-    us = epoch_micros(F.col(ts))
-    panes = df.groupBy(*keys, (us - F.pmod(us, F.lit(s))).alias("_p")).agg(
-        F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in sums.items()])
-
     names = ["_rows", *sums]
+    us = epoch_micros(F.col(ts))
+    values = {"_rows": F.lit(1).cast("long")} | {n: F.coalesce(c, F.lit(0)) for n, c in sums.items()}
+    panes = df.where(F.col(ts).isNotNull()).select(
+        *keys, (us - F.pmod(us, F.lit(s))).alias("_p"), *[c.alias(n) for n, c in values.items()])
 
     def change(at: Column, sign: int) -> Column:
         return F.struct(at.alias("_at"), *[(F.col(n) * sign).alias(n) for n in names])

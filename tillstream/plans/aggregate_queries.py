@@ -31,6 +31,10 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
+def _one() -> Column:
+    return F.lit(1).cast("long")
+
+
 def sensor_sum(spark: SparkSession, sf: str) -> DataFrame:
     """Sum per sensor next to the time of its first reading."""
     return rolled(b.sensors(spark, sf), ["id"], ["ts"], ["seq"], vc=F.sum("vc"))
@@ -113,7 +117,7 @@ def hourly_uv(spark: SparkSession, sf: str) -> DataFrame:
 
 def _item_counts(spark: SparkSession, sf: str) -> DataFrame:
     pv = b.behaviors(spark, sf).where(F.col("behavior") == "pv")
-    return sliding_sums(pv, "ts", HOUR, timedelta(minutes=5), ["item_id"], {"cnt": _count()})
+    return sliding_sums(pv, "ts", HOUR, timedelta(minutes=5), ["item_id"], {"cnt": _one()})
 
 
 def sliding_item_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,13 +131,13 @@ def hot_items_topn(spark: SparkSession, sf: str) -> DataFrame:
 
 def hot_pages_topn(spark: SparkSession, sf: str) -> DataFrame:
     log = access_log(b.access_lines(spark, sf))
-    counts = sliding_sums(log, "ts", HOUR, timedelta(minutes=10), ["url"], {"cnt": _count()})
+    counts = sliding_sums(log, "ts", HOUR, timedelta(minutes=10), ["url"], {"cnt": _one()})
     return stamp(top_n(counts, ["window_end"], "cnt", ["url"], 3)).select("edt", "url", "cnt", "rk")
 
 
 def ads_sliding_topn(spark: SparkSession, sf: str) -> DataFrame:
     counts = sliding_sums(b.ad_clicks(spark, sf), "ts", timedelta(hours=6), HOUR, ["province", "ad_id"],
-                          {"cnt": _count()})
+                          {"cnt": _one()})
     return stamp(top_n(counts, ["window_end"], "cnt", ["province", "ad_id"], 3)).select(
         "edt", "province", "ad_id", "cnt", "rk")
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.functions.times import epoch_micros, interval_text, micros
 from tillstream.operators.changes import route, with_data
-from tillstream.operators.late import split_late
+from tillstream.operators.late import closed_before
 from tillstream.operators.windows import top_n
 from tillstream.sinks.tables import DimTable
 
@@ -70,15 +70,19 @@ def reranked_to_folder(path: str, keys: Sequence[str], by: Sequence[str], score:
                        n: int, counts_path: str) -> BatchSink:
     """Rankings under late updates (update mode): every window a batch touches is ranked anew.
 
-    Counts go to a log; the newest count per key of the touched windows is ranked whole. The
-    windows touched are found by a semi-join, so other windows are not read into the ranking.
+    Counts go to a log; the newest count per key of the touched windows is ranked whole. ``by``
+    starts with the window's time. Other windows drop out in a semi-join.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         df.write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
         log = spark.read.option("basePath", counts_path).parquet(counts_path)
-        touched = log.where(F.col("batch") == batch_id).select(*by).distinct()
-        newest = log.where(F.col("batch") <= batch_id).join(touched, list(by), "left_semi").groupBy(*by, *keys).agg(
+        now = log.where(F.col("batch") == batch_id)
+        touched = now.select(*by).distinct()
+        # Nothing older than the oldest window touched is read; Parquet statistics skip it.
+        oldest = now.agg(F.min(by[0])).first()[0]
+        open_rows = log.where((F.col("batch") <= batch_id) & (F.col(by[0]) >= F.lit(oldest)))
+        newest = open_rows.join(touched, list(by), "left_semi").groupBy(*by, *keys).agg(
             F.max_by(score, "batch").alias(score))
         top_n(newest, by, score, ties, n).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
@@ -87,25 +91,27 @@ def reranked_to_folder(path: str, keys: Sequence[str], by: Sequence[str], score:
 
 def late_to_folder(path: str, ts: str, size: timedelta, delay: timedelta,
                    lateness: timedelta = timedelta(0)) -> BatchSink:
-    """Split rows whose window was closed before their micro-batch from those in time.
+    """Tell rows whose window was closed before their micro-batch from those in time.
 
-    Writes ``on_time``, ``late`` and ``marks`` (one row per batch with its largest event time,
-    from which the next batches take their watermark, also after a restart).
+    Writes ``rows`` in one pass, split into folders by ``late``, and ``marks``: one row per batch
+    with its largest event time, from which the next batches take their watermark, also after
+    a restart.
     """
     marks_schema = T.StructType([T.StructField("top", T.LongType()), T.StructField("batch", T.LongType())])
 
     def write(df: DataFrame, batch_id: int) -> None:
-        s = df.sparkSession
+        spark = df.sparkSession
         # Batch 0 creates the folder; before that there is no mark and nothing can be late.
         mark = None
         if batch_id > 0:
-            marks = s.read.schema(marks_schema).option("basePath", f"{path}/marks").parquet(f"{path}/marks")
+            marks = spark.read.schema(marks_schema).option("basePath", f"{path}/marks").parquet(f"{path}/marks")
             top = marks.where(F.col("batch") < batch_id).agg(F.max("top").alias("top")).first()["top"]
             mark = None if top is None else top - micros(delay)
-        on_time, late = split_late(df, ts, mark, size, lateness)
-        on_time.write.mode("overwrite").parquet(f"{path}/on_time/batch={batch_id}")
-        late.write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
-        df.agg(F.max(epoch_micros(F.col(ts))).alias("top")).write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+        here = f"{path}/rows/batch={batch_id}"
+        late = F.lit(False) if mark is None else closed_before(F.col(ts), mark, size, lateness)
+        df.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(here)
+        top = spark.read.schema(df.schema).parquet(here).agg(F.max(epoch_micros(F.col(ts))).alias("top"))
+        top.write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
 
     return write
 
