@@ -75,7 +75,7 @@ def running_uv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
-    d = b.table(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("word"))
+    d = b.documents(spark, sf).select(F.explode(F.split("text", " ")).alias("word"))
     return d.where(F.col("word") != "").groupBy("word").agg(_count().alias("n"))
 
 

@@ -18,6 +18,7 @@ from tillstream.operators.joins import lookup
 from tillstream.plans.wide import Dims
 from tillstream.schemas import MONEY
 from tillstream.session import configure
+from tillstream.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,10 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def sensors(spark: SparkSession, sf: str) -> DataFrame:
     """Sensor readings: id, ts (epoch ms), vc, and the event number as sequence."""
     return events(spark, sf).select(F.col("user_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
@@ -90,13 +95,13 @@ def access_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Web server lines; the type of event and k make the address."""
     at = F.date_format("ts", "dd/MM/yyyy:HH:mm:ss")
     url = F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), k().cast("string"))
-    return events(spark, sf).select(F.concat_ws(" ", F.col("event_id").cast("string"), F.lit("-"), F.lit("-"), at,
+    return spread(events(spark, sf), "event_id").select(F.concat_ws(" ", F.col("event_id").cast("string"), F.lit("-"), F.lit("-"), at,
                                                 F.lit("+0000"), F.lit("GET"), url).alias("value"))
 
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Application log lines; every 97th is cut off and cannot be parsed."""
-    e = events(spark, sf).withColumn("k", k())
+    e = spread(events(spark, sf), "event_id").withColumn("k", k())
     kind = F.col("event_type")
 
     def by_type(**texts: Column) -> Column:

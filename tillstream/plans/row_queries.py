@@ -245,8 +245,7 @@ def good_comment_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 def keyword_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Words of every document with their counts."""
-    d = b.table(spark, sf, "documents").select("doc_id", "text")
-    return t.explode_words(d, "text").groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return t.explode_words(b.documents(spark, sf), "text").groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (

@@ -67,11 +67,13 @@ def add_sku_chain(df: DataFrame, dims: Dims, how: str = "left", price: bool = Fa
 
 def join_details(orders: DataFrame, details: DataFrame, within: timedelta = timedelta(seconds=5)) -> DataFrame:
     """Orders with their details created at most ``within`` apart (both sides carry ``ts``)."""
-    o = derive_order(orders).withColumnRenamed("ts", "order_ts").withColumnRenamed("id", "order_id")
+    o = orders.withColumnsRenamed({"ts": "order_ts", "id": "order_id"})
     d = details.select(F.col("id").alias("detail_id"), F.col("order_id").alias("_order_id"), "sku_id",
                        "order_price", "sku_num", "sku_name", "split_activity_amount", "split_coupon_amount",
                        "split_total_amount", F.col("ts").alias("detail_ts"))
-    return interval_join(o, d, {"order_id": "_order_id"}, "order_ts", "detail_ts", -within, within).drop("_order_id")
+    out = interval_join(o, d, {"order_id": "_order_id"}, "order_ts", "detail_ts", -within, within)
+    # Derived columns come after the join, so they are neither shuffled nor made for unmatched orders.
+    return derive_order(out.drop("_order_id"), "order_ts")
 
 
 def order_wide(orders: DataFrame, details: DataFrame, dims: Dims, as_of: Column,

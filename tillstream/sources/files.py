@@ -14,6 +14,16 @@ def text_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return (spark.readStream if stream else spark.read).text(path)
 
 
+def spread(scan: DataFrame, *by: str) -> DataFrame:
+    """Spread a scan of fewer pieces than there are cores (few or unsplittable files) over all cores.
+
+    For work that is heavy per row, such as parsing. A scan of many pieces stays as it is, so
+    large tables pay no shuffle. ``by`` keeps a repeated task's rows in the same place.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *by)
+
+
 def delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
               stream: bool = False) -> DataFrame:
     """Header-less delimited records, columns by position with the types of ``schema``."""
