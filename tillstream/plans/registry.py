@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from tillstream.plans import aggregate_queries, join_queries, pattern_queries, row_queries, stats_queries
+from tillstream.plans import (
+    aggregate_queries,
+    join_queries,
+    pattern_queries,
+    row_queries,
+    stats_queries,
+    stream_queries,
+)
 
-_PARTS = [stats_queries, row_queries, aggregate_queries, join_queries, pattern_queries]
+_PARTS = [stats_queries, row_queries, aggregate_queries, join_queries, pattern_queries, stream_queries]
 
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
