@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.text import is_empty
-from tillstream.operators.ordered import SplitPolicy
+from tillstream.operators.ordered import HotKeys, SplitPolicy
 from tillstream.operators.patterns import correct_new_flag
 from tillstream.schemas import APP_LOG
 
@@ -59,7 +59,7 @@ def displays(log: DataFrame) -> DataFrame:
 
 
 def fix_new_visitors(log: DataFrame, ties: Sequence[str], policy: SplitPolicy | None = None,
-                     hot: DataFrame | None = None) -> DataFrame:
+                     hot: HotKeys | None = None) -> DataFrame:
     """Correct ``common.is_new``: only a device's first row marked new keeps the mark."""
     flat = log.withColumns({"_mid": F.col("common.mid"), "_new": F.col("common.is_new"),
                             "_at": F.timestamp_millis("ts")})

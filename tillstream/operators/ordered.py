@@ -1,14 +1,18 @@
 """Ordered per-key values (positions, running values, neighbours) that survive hot keys.
 
 A plain window over ``partitionBy(key)`` puts every row of a key into one task. Here a key
-that holds more than ``1/share`` of all rows is cut into consecutive time chunks. Values are
-computed inside each (key, chunk), and the part that crosses a chunk border (rows before,
-sum before, last or first row) comes from a table with one row per hot chunk.
+that holds more than ``1/share`` of all rows is cut into consecutive time chunks of about that
+size. Values are computed inside each (key, chunk), and the part that crosses a chunk border
+(rows before, sum before, last or first row) comes from a table with one row per hot chunk.
 
-Bounds: at most ``share`` keys can hold more than ``1/share`` of the rows, and they are cut
-into at most ``2 * share`` chunks. Both tables that get broadcast therefore have a size fixed
-by the policy, whatever the size of the data. Rows are never dropped; a key below the limit
-keeps its single group.
+Chunks follow the rows and not the clock: the time of a hot key is divided into many equal
+cells, the rows of each cell are counted, and neighbouring cells are put together until a chunk
+is full. A burst is thus cut finer than a quiet time.
+
+Bounds: at most ``share`` keys can hold more than ``1/share`` of the rows, and they have at
+most ``2 * share`` chunks and ``2 * share * cells`` cells. All tables that get broadcast
+therefore have a size fixed by the policy, whatever the size of the data. Rows are never
+dropped; a key below the limit keeps its single group.
 
 Any chunk table gives right results, as chunks only have to follow time. It may thus be taken
 from another, cheaper table with the same keys (``hot=``), such as the raw input.
@@ -31,8 +35,9 @@ CHUNK = "_chunk"
 class SplitPolicy:
     """Keys above ``max(min_rows, rows / share)`` rows are cut into time chunks."""
 
-    share: int = 20_000
+    share: int = 10_000
     min_rows: int = 1_000_000
+    cells: int = 32
 
 
 DEFAULT_POLICY = SplitPolicy()
@@ -69,10 +74,19 @@ def following(expr: Column, where: Column | None = None) -> Value:
     return Value("next", expr, where)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Keys above the limit with the start and width of their chunks.
+@dataclass(frozen=True)
+class HotKeys:
+    """The time span of every hot key and the chunk of each of its cells."""
+
+    spans: DataFrame
+    cells: DataFrame
+
 
-    Reads the key and time columns only; counts are combined before their shuffle.
+def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy = DEFAULT_POLICY) -> HotKeys:
+    """Find the keys above the limit and cut them into chunks.
+
+    Reads the key and time columns only; counts are combined before their shuffle. Without a
+    hot key the second count is skipped at run time.
     """
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -81,30 +95,53 @@ def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy =
     )
     fair = df.agg(F.greatest(F.lit(policy.min_rows), F.ceil(F.count(F.lit(1)) / policy.share)))
     limited = counts.withColumn("_limit", fair.scalar()).where(F.col("_n") > F.col("_limit"))
-    chunks = F.ceil(F.col("_n") / F.col("_limit"))
-    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / chunks)
-    return limited.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_lo", width.alias("_width"))
-
-
-def _chunk(ts: Column, lo: Column, width: Column) -> Column:
-    # A row outside the known span joins the outermost chunks' order all the same; a row
-    # without a time sorts first, so it goes before every chunk.
-    at = F.coalesce(epoch_micros(ts), F.lit(-(2**62)).cast("long"))
-    return F.coalesce(F.floor((at - lo) / width), F.lit(0).cast("long"))
+    names = [f"_hot_{k}" for k in keys]
+    many = F.ceil(F.col("_n") / F.col("_limit")) * policy.cells
+    spans = limited.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_lo", "_limit", many.alias("_many"),
+                           F.ceil((F.col("_hi") - F.col("_lo") + 1) / many).alias("_width"))
+
+    filled = _with_cell(df, spans, keys, ts, only_hot=True).groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    filled = filled.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col("_cell").alias("_f_cell"), "_n")
+    # Every cell gets a chunk, also an empty one: another table may have rows there.
+    every = spans.select(*names, "_limit", F.explode(F.sequence(F.lit(0), F.col("_many") - 1)).alias("_cell"))
+    same = every["_cell"] == filled["_f_cell"]
+    for k, n in zip(keys, names):
+        same = same & every[n].eqNullSafe(filled[f"_f_{k}"])
+    before = F.sum("_n").over(Window.partitionBy(*names).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
+    chunk = F.floor(F.coalesce(before, F.lit(0)) / F.col("_limit"))
+    cells = every.join(filled, same, "left").select(
+        *[F.col(n).alias(f"_cut_{k}") for k, n in zip(keys, names)], F.col("_cell").alias("_cut_cell"), chunk.alias(CHUNK))
+    return HotKeys(spans, cells)
+
+
+def _with_cell(df: DataFrame, spans: DataFrame, keys: Sequence[str], ts: str, only_hot: bool) -> DataFrame:
+    """Add the time cell of each row; null where the key is not hot."""
+
+    def cell(span) -> Column:
+        at = F.floor((epoch_micros(F.col(ts)) - span("_lo")) / span("_width"))
+        # Rows outside the span belong to its outer cells; a row without a time sorts first.
+        inside = F.greatest(F.lit(0), F.least(F.coalesce(at, F.lit(0)), span("_many") - 1))
+        return F.when(span("_many").isNotNull(), inside)
 
-
-def _tag(df: DataFrame, hot: DataFrame, keys: Sequence[str], ts: str, only_hot: bool) -> DataFrame:
-    """Add the chunk of every row (0 for all rows of a key that is not hot)."""
     if not keys:
-        span = hot.select(F.struct("_lo", "_width")).scalar()
-        tagged = df.withColumn("_span", span)
+        tagged = df.withColumn("_span", spans.select(F.struct("_lo", "_width", "_many")).scalar())
         tagged = tagged.where(F.col("_span").isNotNull()) if only_hot else tagged
-        return tagged.withColumn(CHUNK, _chunk(F.col(ts), F.col("_span._lo"), F.col("_span._width"))).drop("_span")
+        return tagged.withColumn("_cell", cell(lambda n: F.col(f"_span.{n}"))).drop("_span")
     same = F.lit(True)
     for k in keys:
-        same = same & df[k].eqNullSafe(hot[f"_hot_{k}"])
-    joined = df.join(F.broadcast(hot), same, "inner" if only_hot else "left")
-    return joined.select(*[df[c] for c in df.columns], _chunk(df[ts], hot["_lo"], hot["_width"]).alias(CHUNK))
+        same = same & df[k].eqNullSafe(spans[f"_hot_{k}"])
+    joined = df.join(F.broadcast(spans), same, "inner" if only_hot else "left")
+    return joined.select(*[df[c] for c in df.columns], cell(lambda n: spans[n]).alias("_cell"))
+
+
+def _tag(df: DataFrame, hot: HotKeys, keys: Sequence[str], ts: str, only_hot: bool) -> DataFrame:
+    """Add the chunk of every row (0 for all rows of a key that is not hot)."""
+    placed = _with_cell(df, hot.spans, keys, ts, only_hot)
+    same = placed["_cell"] == hot.cells["_cut_cell"]
+    for k in keys:
+        same = same & placed[k].eqNullSafe(hot.cells[f"_cut_{k}"])
+    joined = placed.join(F.broadcast(hot.cells), same, "left")
+    return joined.select(*[placed[c] for c in df.columns], F.coalesce(hot.cells[CHUNK], F.lit(0).cast("long")).alias(CHUNK))
 
 
 class _Orders:
@@ -176,7 +213,7 @@ def with_ordered(
     ts: str,
     ties: Sequence[str],
     policy: SplitPolicy | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
     **values: Value,
 ) -> DataFrame:
     """Add ordered ``values`` per key; rows are ordered by ``ts`` and then by ``ties``.

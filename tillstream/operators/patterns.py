@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.times import epoch_micros, local_day, micros
 from tillstream.operators.aggregates import oldest
 from tillstream.operators.joins import interval_join
-from tillstream.operators.ordered import SplitPolicy, following, position, previous, running, with_ordered
+from tillstream.operators.ordered import HotKeys, SplitPolicy, following, position, previous, running, with_ordered
 
 
 def _gap(later: str, earlier: str) -> Column:
@@ -23,7 +23,7 @@ def _gap(later: str, earlier: str) -> Column:
 
 
 def correct_new_flag(df: DataFrame, key: str, flag: str, ts: str, ties: Sequence[str],
-                     policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+                     policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Keep flag ``1`` on the first flagged row of a device only; later ones become ``0``."""
     flagged = F.when(F.col(flag) == "1", 1).otherwise(0).cast("long")
     out = with_ordered(df, [key], ts, ties, policy, hot, _flagged=running("sum", flagged))
@@ -38,7 +38,7 @@ def first_of_day(df: DataFrame, key: str, ts: str, ties: Sequence[str], zone: st
 
 
 def bounces(df: DataFrame, key: str, entry: Column, ts: str, ties: Sequence[str], within: timedelta,
-            policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+            policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Entry pages followed by another entry page, or by nothing within the time."""
     out = with_ordered(df.withColumn("_entry", entry), [key], ts, ties, policy, hot,
                        _next_ts=following(F.col(ts)), _next_entry=following(F.col("_entry")))
@@ -47,7 +47,7 @@ def bounces(df: DataFrame, key: str, entry: Column, ts: str, ties: Sequence[str]
 
 
 def login_alerts(df: DataFrame, key: str, kind: str, ts: str, ties: Sequence[str], within: timedelta,
-                 once_per_run: bool = True, policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+                 once_per_run: bool = True, policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Two failures in a row at most ``within`` apart, no success between them.
 
     A run of failures is reported once, at its first such pair, unless ``once_per_run`` is off.
@@ -66,7 +66,7 @@ def login_alerts(df: DataFrame, key: str, kind: str, ts: str, ties: Sequence[str
 
 
 def failure_sequences(df: DataFrame, key: str, kind: str, ts: str, tie: str, within: timedelta,
-                      policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+                      policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Every sequence of two or more failures in a row that starts and ends within the time.
 
     ``events`` lists the ``tie`` values of the sequence. Starts meet possible ends through time
@@ -95,7 +95,7 @@ def failure_sequences(df: DataFrame, key: str, kind: str, ts: str, tie: str, wit
 
 
 def next_is(df: DataFrame, key: str, kind: str, first: str, second: str, ts: str, ties: Sequence[str],
-            within: timedelta, policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+            within: timedelta, policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> tuple[DataFrame, DataFrame]:
     """``first`` directly followed by ``second`` within the time: (matched, timed out).
 
     A ``first`` event with another next event within the time belongs to neither.
@@ -128,14 +128,14 @@ def watch_payments(df: DataFrame, key: str, kind: str, ts: str, rule: timedelta,
 
 
 def click_rank(df: DataFrame, user: str, ad: str, ts: str, ties: Sequence[str], zone: str = "UTC",
-               policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+               policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Position of each click among the clicks of its user, advert and local day."""
     dated = df.withColumn("click_date", local_day(F.col(ts), zone))
     return with_ordered(dated, [user, ad, "click_date"], ts, ties, policy, hot, nth=position())
 
 
 def blacklist(df: DataFrame, user: str, ad: str, ts: str, ties: Sequence[str], limit: int,
-              zone: str = "UTC", policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+              zone: str = "UTC", policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clicks below the daily limit, one alert per user, advert and day at the limit, the rest."""
     ranked = click_rank(df, user, ad, ts, ties, zone, policy, hot)
     nth = F.col("nth")

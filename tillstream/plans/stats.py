@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.text import code_flag, explode_words
 from tillstream.functions.times import epoch_micros, interval_text, local_day, micros
 from tillstream.operators.logs import is_entry, is_start, product_actions
-from tillstream.operators.ordered import SplitPolicy, following, previous, running, with_ordered
+from tillstream.operators.ordered import HotKeys, SplitPolicy, following, previous, running, with_ordered
 from tillstream.operators.windows import stamp, tumbling
 from tillstream.plans.wide import Dims, add_sku_chain
 from tillstream.schemas import APPRAISE, MONEY, PRODUCT_STATS_COLUMNS, VISITOR_STATS_COLUMNS
@@ -38,7 +38,7 @@ def visitor_rows(pages: DataFrame, uniques: DataFrame, jumps: DataFrame) -> Data
 
 
 def visitor_rows_one_pass(log: DataFrame, ties: Sequence[str], within: timedelta, zone: str = "UTC",
-                          policy: SplitPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+                          policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """The same measures straight from valid log rows, start rows included, in one ordered pass.
 
     The corrected new-visitor flag is a running count over all rows of a device; unique visits
