@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators.joins import interval_join
 from tillstream.operators.windows import sliding_direct, stamp, tumbling
+from tillstream.plans import stats
 from tillstream.sinks import connectors as out
 from tillstream.sinks.tables import DimTable, create_table, dim_schema
 from tillstream.sources import connectors as src
@@ -79,6 +80,35 @@ def test_interval_join_stream(spark, tmp_path):
     assert read(spark, tmp_path / "out", "id", "dts") == [(1, at(-5)), (1, at(5)), (3, at(999))]
 
 
+MONEY = "decimal(18,2)"
+
+
+def test_statistics_on_streams(spark, tmp_path):
+    """Province and product statistics of streams equal the batch forms for closed windows."""
+    dims = "province_id long, province_name string, province_area_code string, province_iso_code string, province_3166_2_code string"
+    schema = f"order_id long, {dims}, total_amount double, rowtime timestamp"
+    p1, p2 = (1, "p", "a", "i", "c"), (2, "q", "a", "i", "c")
+    rows = [(7, *p1, 1.5, at(1)), (7, *p1, 1.5, at(2)), (8, *p1, 2.0, at(3)), (7, *p2, 9.0, at(4)), (9, *p2, 1.0, at(15))]
+    s = write_parts(spark, str(tmp_path / "o"), schema, rows[:3], rows[3:], [(0, *p1, 0.0, at(1000))])
+    typed = flows.watermarked(s.withColumn("total_amount", F.col("total_amount").cast(MONEY)), "rowtime", 30 * S)
+    finish(stats.province_sums(typed, 10 * S), flows.to_folder(str(tmp_path / "p")), tmp_path, name="cp1")
+    batch = spark.createDataFrame(rows, schema).withColumn("total_amount", F.col("total_amount").cast(MONEY))
+    want = stats.province_stats(spark, batch, 10 * S)
+    assert read(spark, tmp_path / "p", *want.columns) == sorted(map(tuple, want.collect()))
+
+    schema = ("sku_id long, at timestamp, click_ct long, display_ct long, favor_ct long, cart_ct long, order_sku_num long, "
+              "comment_ct long, good_comment_ct long, order_amount double, payment_amount double, refund_amount double, "
+              "order_id long, paid_order_id long, refund_order_id long")
+    none = (None,) * 7
+    rows = [(1, at(1), 1, *none[1:], None, None, None, None, None, None), (1, at(2), *none, 5.0, None, None, 7, None, None),
+            (1, at(3), *none, 6.0, None, None, 7, None, None), (2, at(3), *none, None, 8.0, None, None, 7, None)]
+    s = write_parts(spark, str(tmp_path / "r"), schema, rows[:2], rows[2:], [(3, at(1000), *none, None, None, None, None, None, None)])
+    finish(stats.product_sums(flows.watermarked(s, "at", 30 * S), 10 * S), flows.to_folder(str(tmp_path / "s")), tmp_path, name="cp2")
+    want = stats.product_sums(spark.createDataFrame(rows, schema), 10 * S)
+    assert read(spark, tmp_path / "s", *want.columns) == sorted(map(tuple, want.collect()))
+    assert [r["order_ct"] for r in want.orderBy("sku_id").collect()] == [1, 0]
+
+
 def test_late_split(spark, tmp_path):
     s = write_parts(spark, str(tmp_path / "in"), CLICKS, [(1, "a", at(0)), (2, "a", at(100))], [(3, "a", at(30)), (4, "a", at(95))],
                     [(5, "a", at(61))])

@@ -154,6 +154,18 @@ def province_stats(spark: SparkSession, orders: DataFrame, size: timedelta = TEN
     return spark.sql(sql, orders=orders)
 
 
+def province_sums(orders: DataFrame, size: timedelta = TEN_SECONDS) -> DataFrame:
+    """``province_stats`` for streams, which allow no exact distinct count: rows are summed per
+    order first, and an order then counts once."""
+    dims = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
+    fine = orders.groupBy(F.window("rowtime", interval_text(size)).alias("_w"), *dims, "order_id").agg(
+        F.sum("total_amount").alias("order_amount"))
+    out = fine.groupBy("_w", *dims).agg(F.sum("order_amount").cast("decimal(28,2)").alias("order_amount"),
+                                        F.count("order_id").alias("order_count"))
+    return stamp(out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *dims,
+                            "order_amount", "order_count"))
+
+
 def search_texts(pages: DataFrame) -> DataFrame:
     """Texts searched for: keyword items of pages reached from the search page."""
     hit = (F.col("page.item_type") == "keyword") & (F.col("page.last_page_id") == "search")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+DAY = 86_400_000_000  # microseconds
+
 IN = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()),
                    T.StructField("kind", T.StringType())])
 
@@ -102,6 +104,11 @@ class NewVisitor(InOrder):
         yield key[0], seq, flag
 
 
+def _day_end(day: int | None, offset: int) -> int | None:
+    """A day's memory is of no more use once the watermark has passed the day."""
+    return None if day is None else (day + 1) * DAY - offset
+
+
 class DailyVisit(InOrder):
     """The first row of each device and day (days in UTC, shifted by ``offset``)."""
 
@@ -110,8 +117,15 @@ class DailyVisit(InOrder):
     def __init__(self, offset: timedelta = timedelta(0)):
         self.offset = offset // timedelta(microseconds=1)
 
+    def deadline(self, mem):
+        return _day_end(mem["day"], self.offset)
+
+    def expire(self, key, mem):
+        mem["day"] = None
+        return iter(())
+
     def step(self, key, mem, us, seq, kind):
-        day = (us + self.offset) // 86_400_000_000
+        day = (us + self.offset) // DAY
         if mem["day"] is None or day > mem["day"]:
             mem["day"] = day
             yield key[0], seq, kind
@@ -146,6 +160,14 @@ class LoginGuard(InOrder):
     def __init__(self, within: timedelta):
         self.within = within // timedelta(microseconds=1)
 
+    def deadline(self, mem):
+        # A failure is forgotten after the time; a run that was reported is kept until its end.
+        return None if mem["last"] is None or mem["alerted"] else mem["last"] + self.within
+
+    def expire(self, key, mem):
+        mem["last"] = None
+        return iter(())
+
     def step(self, key, mem, us, seq, kind):
         if kind == "success":
             mem["last"] = mem["alerted"] = None
@@ -209,8 +231,15 @@ class ClickLimit(InOrder):
     def __init__(self, limit: int, offset: timedelta = timedelta(0)):
         self.limit, self.offset = limit, offset // timedelta(microseconds=1)
 
+    def deadline(self, mem):
+        return _day_end(mem["day"], self.offset)
+
+    def expire(self, key, mem):
+        mem["day"] = mem["n"] = None
+        return iter(())
+
     def step(self, key, mem, us, seq, kind):
-        day = (us + self.offset) // 86_400_000_000
+        day = (us + self.offset) // DAY
         mem["n"] = mem["n"] + 1 if mem["day"] == day else 1
         mem["day"] = day
         if mem["n"] <= self.limit:
