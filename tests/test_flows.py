@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from tillstream import schemas
 from tillstream.operators.joins import interval_join
 from tillstream.operators.windows import sliding_direct, stamp, tumbling
-from tillstream.plans import stats
+from tillstream.plans import stats, wide
 from tillstream.sinks import connectors as out
 from tillstream.sinks.tables import DimTable, create_table, dim_schema
 from tillstream.sources import connectors as src
@@ -80,6 +81,38 @@ def test_interval_join_stream(spark, tmp_path):
     assert read(spark, tmp_path / "out", "id", "dts") == [(1, at(-5)), (1, at(5)), (3, at(999))]
 
 
+def test_wide_rows_on_streams(spark, tmp_path):
+    """Two order streams joined, then dimension lookups and a payment stream; printed as well."""
+    make = {"o": (schemas.ORDER_INFO, {"id": 1, "user_id": 5, "province_id": 2, "create_time": "2024-01-01 00:00:00"}),
+            "d": (schemas.ORDER_DETAIL, {"id": 10, "order_id": 1, "sku_id": 7, "sku_num": 3}),
+            "p": (schemas.PAYMENT_INFO, {"id": 100, "order_id": 1, "user_id": 6})}
+    seconds = {"o": 0, "d": 4, "p": 60}
+    streams = {}
+    for name, (schema, row) in make.items():
+        full = StructType([*schema.fields, StructField("ts", TimestampType())])
+        df = spark.createDataFrame([{**row, "ts": at(seconds[name])}], full)
+        df.write.parquet(str(tmp_path / name))
+        streams[name] = flows.watermarked(flows.parquet_stream(spark, str(tmp_path / name), full), "ts", timedelta(hours=1))
+    one = spark.createDataFrame
+    dims = wide.Dims(
+        user=one([(5, date(2000, 1, 1), "F")], "id long, birthday date, gender string"),
+        province=one([(2, "n", "a", "i", "c")], "id long, name string, area_code string, iso_code string, iso_3166_2 string"),
+        sku=one([(7, "s", 1, 11, 12, 13)], "id long, sku_name string, price long, spu_id long, tm_id long, category3_id long"),
+        spu=one([(11, "spu")], "id long, spu_name string"), trademark=one([(12, "tm")], "id long, tm_name string"),
+        category3=one([(13, "cat")], "id long, name string"))
+    orders = wide.order_wide(streams["o"], streams["d"], dims, F.lit(date(2024, 1, 1)))
+    paid = wide.payment_wide(streams["p"], orders)
+
+    def sink(df, batch_id):
+        flows.to_folder(str(tmp_path / "out"))(df, batch_id)
+        flows.to_console()(df.select("payment_id", "spu_name"), batch_id)
+
+    finish(paid, sink, tmp_path)
+    got = read(spark, tmp_path / "out", "payment_id", "order_id", "user_id", "user_age", "province_name", "spu_name",
+               "tm_name", "category3_name", "order_create_time")
+    assert got == [(100, 1, 6, 24, "n", "spu", "tm", "cat", "2024-01-01 00:00:00")]
+
+
 MONEY = "decimal(18,2)"
 
 

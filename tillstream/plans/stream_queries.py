@@ -73,7 +73,7 @@ def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
-    out = _worked_off(follow(_stream(spark, sf, "events"), "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY)))
+    out = _worked_off(follow(_stream(spark, sf, "events"), "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1)))
     return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,7 @@ from tillstream.functions.times import epoch_micros, interval_text, micros
 from tillstream.operators.changes import route, with_data
 from tillstream.operators.late import closed_before
 from tillstream.operators.windows import top_n
+from tillstream.sinks.connectors import as_messages, jdbc_append, without_transient
 from tillstream.sinks.tables import DimTable
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -60,6 +61,29 @@ def to_folder(path: str, partition_by: Sequence[str] = ()) -> BatchSink:
     return write
 
 
+def to_console(rows: int = 20) -> BatchSink:
+    """The first rows of each micro-batch on the console."""
+    return lambda df, batch_id: df.show(rows, truncate=False)
+
+
+def to_jdbc(options: dict[str, str], target: Sequence[str], transient: Sequence[str] = ()) -> BatchSink:
+    """Append each micro-batch to a table by position, helper columns left out.
+
+    A batch that runs again appends again; a table that must not see a row twice needs a key.
+    """
+    return lambda df, batch_id: jdbc_append(without_transient(df, transient, target), options)
+
+
+def to_kafka(df: DataFrame, options: dict[str, str], checkpoint: str, key: str | None = None,
+             topic: str | Column | None = None, columns: Sequence[str] | None = None) -> StreamingQuery:
+    """Start a stream of JSON messages, each row to its own topic if ``topic`` is a column.
+
+    Kafka gets each row at least once.
+    """
+    messages = as_messages(df, key, topic, columns)
+    return messages.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint).start()
+
+
 def ranked_to_folder(path: str, by: Sequence[str], score: str, ties: Sequence[str], n: int) -> BatchSink:
     """The top rows of each group of a micro-batch, for windows that come whole (append mode)."""
     inner = to_folder(path)

@@ -1,9 +1,12 @@
 """Stateful per-key patterns on streams.
 
-Rows of a key come unordered within a micro-batch. They wait in list state until the
-watermark has passed their time and are then taken in (time, sequence) order, so a stream gives
-the results of the batch forms. The wait, and so the buffer, is bounded by the watermark
-delay.
+Rows of a key come unordered within a micro-batch. They wait in state until the watermark has
+passed their time and are then taken in (time, sequence) order, so a stream gives the results
+of the batch forms.
+
+Waiting rows are kept by time slot, and slots are worked off one after the other: a task holds
+the rows of one slot of one key at a time, not those of a whole key, and gives its results
+row by row. The rest stays in the state store, on disk where it is large.
 """
 
 from __future__ import annotations
@@ -18,8 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DAY = 86_400_000_000  # microseconds
 
-IN = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()),
-                   T.StructField("kind", T.StringType())])
+WAITING = "rows array<struct<us:bigint,seq:bigint,kind:string>>"
 
 
 class InOrder(StatefulProcessor):
@@ -31,10 +33,13 @@ class InOrder(StatefulProcessor):
     """
 
     memory = "last long"
+    slot = timedelta(hours=1) // timedelta(microseconds=1)  # rows of a key in one slot must fit in memory
+    hold = 100_000  # incoming rows of a key held before they go to state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", IN)
+        self.names = [f.split()[0] for f in self.memory.split(",")]
+        self.waiting = handle.getMapState("waiting", "slot bigint", WAITING)
         self.kept = handle.getValueState("kept", self.memory)
 
     def close(self) -> None:
@@ -52,43 +57,64 @@ class InOrder(StatefulProcessor):
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(-(-us // 1000))
 
+    def _store(self, fresh: dict[int, list[tuple]]) -> None:
+        for slot, rows in fresh.items():
+            old = self.waiting.getValue((slot,)) if self.waiting.containsKey((slot,)) else None
+            self.waiting.updateValue((slot,), ([*map(tuple, old[0]), *rows] if old else rows,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = [(r["us"], r["seq"], r["kind"]) for r in rows]
-        if fresh:
-            self.waiting.appendList(fresh)
-            self._wake(min(f[0] for f in fresh))
+        fresh: dict[int, list[tuple]] = {}
+        held, first = 0, None
+        for r in rows:
+            us = r["us"]
+            fresh.setdefault(us // self.slot, []).append((us, r["seq"], r["kind"]))
+            first = us if first is None else min(first, us)
+            held += 1
+            if held % self.hold == 0:
+                self._store(fresh)
+                fresh = {}
+        self._store(fresh)
+        if first is not None:
+            self._wake(first)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(tuple(r) for r in self.waiting.get())
-        due = [r for r in rows if r[0] <= mark]
-        left = rows[len(due):]
-        kept = self.kept.get() if self.kept.exists() else None
-        names = [f.split()[0] for f in self.memory.split(",")]
-        mem = dict(zip(names, kept)) if kept else dict.fromkeys(names)
-        out: list[tuple] = []
-        for us, seq, kind in due:
+    def _due(self, mark: int) -> Iterator[tuple]:
+        """Waiting rows up to the watermark in order; they leave the state."""
+        slots = sorted(k[0] for k in self.waiting.keys())
+        for slot in slots:
+            if slot * self.slot > mark:
+                self._wake(slot * self.slot)
+                return
+            rows = sorted(map(tuple, self.waiting.getValue((slot,))[0]))
+            left = [r for r in rows if r[0] > mark]
+            yield from rows[: len(rows) - len(left)]
+            if left:
+                self.waiting.updateValue((slot,), (left,))
+                self._wake(left[0][0])
+                return
+            self.waiting.removeKey((slot,))
+
+    def _outcomes(self, key, mem: dict, mark: int) -> Iterator[tuple]:
+        for us, seq, kind in self._due(mark):
             # A deadline before this row has passed first.
             if (limit := self.deadline(mem)) is not None and limit <= us:
-                out.extend(self.expire(key, mem))
-            out.extend(self.step(key, mem, us, seq, kind))
+                yield from self.expire(key, mem)
+            yield from self.step(key, mem, us, seq, kind)
         if (limit := self.deadline(mem)) is not None:
             if limit <= mark:
-                out.extend(self.expire(key, mem))
+                yield from self.expire(key, mem)
             else:
                 self._wake(limit)
-        if due:
-            if left:
-                self.waiting.put(left)
-                self._wake(left[0][0])
-            else:
-                self.waiting.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        kept = self.kept.get() if self.kept.exists() else None
+        mem = dict(zip(self.names, kept)) if kept else dict.fromkeys(self.names)
+        for k, seq, outcome in self._outcomes(key, mem, timerValues.getCurrentWatermarkInMs() * 1000):
+            yield Row(key=str(k), seq=seq, outcome=outcome)
         if any(v is not None for v in mem.values()):
-            self.kept.update(tuple(mem[n] for n in names))
+            self.kept.update(tuple(mem[n] for n in self.names))
         else:
             self.kept.clear()
-        return iter([Row(key=str(k), seq=seq, outcome=outcome) for k, seq, outcome in out])
 
 
 class NewVisitor(InOrder):
@@ -247,10 +273,15 @@ class ClickLimit(InOrder):
 
 
 def follow(df: DataFrame, key: str | Column, ts: str, seq: str, kind: str | Column, delay: timedelta,
-           processor: InOrder) -> DataFrame:
-    """Run a processor over a stream; gives ``key`` (as text), ``seq`` and ``outcome``."""
+           processor: InOrder, slot: timedelta | None = None) -> DataFrame:
+    """Run a processor over a stream; gives ``key`` (as text), ``seq`` and ``outcome``.
+
+    ``slot`` is the time slot waiting rows are kept by: short for busy keys, long for quiet ones.
+    """
     from tillstream.functions.times import epoch_micros, interval_text
 
+    if slot is not None:
+        processor.slot = slot // timedelta(microseconds=1)
     rows = df.select(
         (F.col(key) if isinstance(key, str) else key).cast("string").alias("key"),
         F.col(ts).cast("timestamp").alias("at"), epoch_micros(F.col(ts)).alias("us"),
