@@ -36,20 +36,13 @@ DIRECT = 20_000
 def _shingles(words: Words, n: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The words of each text joined by single spaces; begin and end of each shingle there; each text's shingles."""
     lengths = words.ends - words.starts
-    inside = np.zeros(len(words.data) + 1, np.int8)
-    inside[words.starts] += 1
-    inside[words.ends] -= 1
-    keep = np.cumsum(inside[:-1]).astype(bool)
-    gap = np.zeros(len(words.data), bool)
-    gap[words.ends] = True
-    joined = np.where(gap, np.uint8(32), words.data)[keep | gap]
     begins = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
     ends = begins + lengths
     counts = np.diff(words.first)
     each = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     starts = np.repeat(words.first[:-1] - np.concatenate([[0], np.cumsum(each)])[:-1], each) + np.arange(each.sum())
     last = starts + np.repeat(np.minimum(counts, n) - 1, each)
-    return joined.tobytes(), begins[starts], ends[last], each
+    return words.joined().tobytes(), begins[starts], ends[last], each
 
 
 def fingerprints_of(texts: pa.Array, n: int = 3) -> np.ndarray:

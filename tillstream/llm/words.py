@@ -86,6 +86,16 @@ class Words:
         self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.first = np.searchsorted(self.starts, self.begins)
 
+    def joined(self, gap: int = 32) -> np.ndarray:
+        """The bytes of all words, each with a byte `gap` after it."""
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.starts] = 1
+        inside[self.ends] = -1
+        keep = np.cumsum(inside[:-1]).astype(bool)
+        after = np.zeros(len(self.data), bool)
+        after[self.ends] = True
+        return np.where(after, np.uint8(gap), self.data)[keep | after]
+
     def hashes(self, *prefixes: int) -> np.ndarray | list[np.ndarray]:
         """A 64-bit hash of each word; with prefixes, a list: of the words, then of their first so many bytes."""
         n = len(self.data)
