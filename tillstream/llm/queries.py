@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import context_tree, exact_dedup, packing, simhash, toxicity
+from tillstream.llm import context_tree, decontamination, exact_dedup, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.held_out("doc_id", 10, 0)
     found = context_tree.score(docs, docs.where(~out))
     return found.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+@_query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
