@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import context_tree, decontamination, exact_dedup, packing, simhash, toxicity
+from tillstream.llm import context_tree, decontamination, exact_dedup, packing, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,23 @@ def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
+ORACLE["op4_warc"] = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT body, min(page_id) AS first_id FROM t GROUP BY body)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN octet_length(encode(body)) >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(encode(body)) >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM t JOIN g USING (body)
+"""
