@@ -36,6 +36,8 @@ from tillstream.session import stored
 DEPTH = 5
 ENTRIES = 1 << 19
 WORDS = 1 << 20
+#: Different keys that a counting task holds before it hands them on.
+HELD = 1 << 21
 END = 10
 U = np.uint64
 
@@ -72,10 +74,19 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def _forget() -> None:
+    """Drop the model of an earlier run from a worker process that goes on."""
+    _scorers.clear()
+
+
 def counted(docs: DataFrame, text: str, depth: int = DEPTH) -> DataFrame:
     """(`kind`, `key`, `n`): kind 0 counts contexts with their byte, kind 1 the hashes of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         held: list[list] = [[], []]
         sums: list[list] = [[], []]
 
@@ -83,7 +94,7 @@ def counted(docs: DataFrame, text: str, depth: int = DEPTH) -> DataFrame:
             key, n = np.unique(np.concatenate(held[kind]), return_counts=True)
             held[kind].clear()
             sums[kind].append((key, n))
-            if sum(len(k) for k, _ in sums[kind]) > 1 << 22:
+            if sum(len(k) for k, _ in sums[kind]) > HELD:
                 sums[kind][:] = [_merged([k for k, _ in sums[kind]], [c for _, c in sums[kind]])]
 
         def out(kind: int) -> Iterator[pa.RecordBatch]:
@@ -95,15 +106,15 @@ def counted(docs: DataFrame, text: str, depth: int = DEPTH) -> DataFrame:
 
         for batch in batches:
             texts = batch.column(0)
-            for begin, end in blocks(texts):
+            for begin, end in blocks(texts, 1 << 20):
                 words = Words(texts[begin:end], SPACES)
                 held[0].append(contexts(words, depth)[0])
                 held[1].append(words.hashes())
                 for kind in (0, 1):
-                    if sum(map(len, held[kind])) > 1 << 22:
+                    if sum(map(len, held[kind])) > HELD // 2:
                         fold(kind)
             for kind in (0, 1):  # a task that meets too many different keys hands on what it has
-                if sum(len(k) for k, _ in sums[kind]) > 1 << 23:
+                if sum(len(k) for k, _ in sums[kind]) > HELD:
                     yield from out(kind)
         for kind in (0, 1):
             if held[kind]:
@@ -173,17 +184,18 @@ def build(tables: list[tuple[np.ndarray, np.ndarray]]) -> Model:
         ups.append([])
         for bits in range(8):
             child = tree[d + 1][bits].keys
-            ups[d].append(np.searchsorted(tree[d][bits].keys, child & U((1 << (8 * d + bits)) - 1)))
-    weighted, own_share = [None] * (depth + 1), [None] * (depth + 1)
+            ups[d].append(np.searchsorted(tree[d][bits].keys, child & U((1 << (8 * d + bits)) - 1)).astype(np.int32))
+    own_share: list[list[np.ndarray]] = [[] for _ in range(depth + 1)]
+    longer: list[np.ndarray] = []  # log probabilities of the data below each node of the next depth
     for d in range(depth, -1, -1):
-        weighted[d], own_share[d] = [], []
+        weighted = []
         for bits in range(8):
             node = tree[d][bits]
             kt = _log_kt(node.zeros, node.ones)
             share = np.ones(len(kt))
             if d < depth:
                 up, below, n = ups[d][bits], tree[d + 1][bits], len(kt)
-                split = np.bincount(up, weighted[d + 1][bits], n)
+                split = np.bincount(up, longer[bits], n)
                 has = np.bincount(up, minlength=n) > 0
                 rest0 = np.maximum(node.zeros - np.bincount(up, below.zeros, n), 0)
                 rest1 = np.maximum(node.ones - np.bincount(up, below.ones, n), 0)
@@ -191,8 +203,9 @@ def build(tables: list[tuple[np.ndarray, np.ndarray]]) -> Model:
                 both = np.logaddexp(kt, split) - math.log(2)
                 share = np.where(has, np.exp(kt - math.log(2) - both), 1.0)
                 kt = np.where(has, both, kt)
-            weighted[d].append(kt)
-            own_share[d].append(share)
+            weighted.append(kt)
+            own_share[d].append(share.astype(np.float32))
+        longer = weighted
     values = []
     before = [(np.zeros(len(n.keys)), np.ones(len(n.keys))) for n in tree[0]]
     for d in range(depth + 1):
@@ -311,9 +324,6 @@ def train(counts: DataFrame, depth: int = DEPTH, entries: int = ENTRIES) -> Mode
     return build(tables) if len(tables[0][0]) else Model(depth, [np.zeros(0, np.uint64)] * (depth + 1), [np.zeros(0)] * (depth + 1), [])
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
     """One for each worker process and model."""
     if model.name not in _scorers:
@@ -350,7 +360,7 @@ def score(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: st
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("_text")
-            for begin, end in blocks(texts):
+            for begin, end in blocks(texts, 1 << 20):
                 words = Words(texts[begin:end], SPACES)
                 grams, sizes = contexts(words, depth)
                 bits = np.add.reduceat(scorer.log2(grams), np.cumsum(sizes) - sizes)

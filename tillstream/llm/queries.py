@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import context_tree, decontamination, exact_dedup, packing, sharding, simhash, toxicity, warc
+from tillstream.llm import context_tree, decontamination, exact_dedup, html_text, packing, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +89,9 @@ SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS pay
        CASE WHEN octet_length(encode(body)) >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM t JOIN g USING (body)
 """
+
+
+@_query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
