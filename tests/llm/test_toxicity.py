@@ -89,7 +89,7 @@ def test_no_labels(spark):
 
 
 def test_one_step_by_hand():
-    ftrl = toxicity.Ftrl(alpha=0.5, beta=1.0, l1=0.1, l2=0.0)
+    ftrl = toxicity.Ftrl(alpha=0.5, beta=1.0, l1=0.1, l2=0.0, bias=0.0)
     ftrl.learn(np.array([3, 8]), 1)  # p = 0.5, gradient -0.5
     assert np.allclose(ftrl.z[[3, 8]], -0.5)
     assert np.allclose(ftrl.n[[3, 8]], 0.25)

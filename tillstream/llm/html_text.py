@@ -152,8 +152,8 @@ def feature(t: Token, seen: int) -> str:
     return f"tag {place} {t.name if t.name in BLOCKS or t.name in ('a', 'b', 'i', 'br', 'span', 'em', 'strong', 'img') else 'other'}"
 
 
-#: Words (or tags) that each feature is taken to have met before any page: inside and outside of content.
-BEFORE = {"words": (4.0, 1.0), "tag": (1.0, 2.0)}
+#: Words, words of links, and tags that each feature is taken to have met before any page: inside and outside of content.
+BEFORE = {"words": (4.0, 1.0), "link": (1.0, 3.0), "tag": (1.0, 2.0)}
 
 
 def learnt(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
@@ -162,12 +162,15 @@ def learnt(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     Words are worth their log odds, between -4 and 1; a tag costs between 0.05 and 4, the more the less it is at home
     in content.
     """
-    out = {}
-    for name, (inside, outside) in counts.items():
-        a, b = BEFORE[name.split(" ")[0]]
-        odds = math.log((inside + a) / (outside + b))
-        out[name] = max(-4.0, min(1.0, odds)) if name.startswith("words") else -max(0.05, min(4.0, 0.5 - odds))
-    return out
+    return {name: weigh(name, *n) for name, n in counts.items()}
+
+
+def weigh(name: str, inside: int = 0, outside: int = 0) -> float:
+    """The weight of one feature; without counts, that of one which no page has."""
+    words = name.startswith("words")
+    a, b = BEFORE["link" if words and name.endswith(" link") else "words" if words else "tag"]
+    odds = math.log((inside + a) / (outside + b))
+    return max(-4.0, min(1.0, odds)) if words else -max(0.05, min(4.0, 0.5 - odds))
 
 
 def region(found: list[Token], weights: dict[str, float]) -> tuple[int, int]:
@@ -180,8 +183,7 @@ def region(found: list[Token], weights: dict[str, float]) -> tuple[int, int]:
         name = feature(t, seen)
         weight = weights.get(name)
         if weight is None:
-            a, b = BEFORE[name.split(" ")[0]]
-            weight = math.log(a / b) if t.name is None else -0.5
+            weight = weigh(name)
         if total <= 0:
             total, start = 0.0, k
         total += weight * max(1, t.words)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import context_tree, decontamination, exact_dedup, html_text, packing, sharding, simhash, toxicity, warc
+from tillstream.llm import chat, context_tree, decontamination, exact_dedup, html_text, packing, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +95,29 @@ FROM t JOIN g USING (body)
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.train(pages))
+
+
+@_query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.of_conversations(_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op6_chat_format"] = """
+WITH c AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+i AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM c),
+d AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS depth FROM i),
+a AS (SELECT DISTINCT conv_id, turn - 1 AS turn, 1 AS has FROM conversations WHERE role = 'assistant')
+SELECT t.conv_id, t.turn, 'call' AS role, 'c' || t.conv_id || '-' || t.turn AS call_id,
+       CASE WHEN a.has = 1 THEN 'linked' ELSE 'unanswered' END AS status, 2 * d.depth AS step,
+       CASE WHEN t.text IS NULL THEN 'missing prompt' ELSE '' END AS errors,
+       json_object('arguments', json_object('prompt', t.text, 'turn', t.turn), 'id', 'c' || t.conv_id || '-' || t.turn,
+                   'name', 'respond', 'role', 'call')::VARCHAR AS message
+FROM conversations t JOIN d USING (conv_id, turn) LEFT JOIN a USING (conv_id, turn) WHERE t.role = 'user'
+UNION ALL
+SELECT t.conv_id, t.turn, 'result', 'c' || t.conv_id || '-' || (t.turn - 1), CASE WHEN d.depth IS NULL THEN 'orphan' ELSE 'linked' END,
+       2 * d.depth + 1, '', json_object('content', t.text, 'id', 'c' || t.conv_id || '-' || (t.turn - 1), 'role', 'result')::VARCHAR
+FROM conversations t LEFT JOIN d ON d.conv_id = t.conv_id AND d.turn = t.turn - 1 WHERE t.role = 'assistant'
+UNION ALL
+SELECT conv_id, turn, role, NULL, 'plain', -1, '', json_object('content', text, 'role', role)::VARCHAR
+FROM conversations WHERE role NOT IN ('user', 'assistant')
+"""

@@ -49,31 +49,24 @@ def features(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 class Ftrl:
-    """The sums of one online run."""
+    """The sums of one online run. bias: log odds of the label, which a text without known features keeps."""
 
-    def __init__(self, alpha: float, beta: float, l1: float, l2: float):
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+    def __init__(self, alpha: float, beta: float, l1: float, l2: float, bias: float):
+        self.alpha, self.beta, self.l1, self.l2, self.bias = alpha, beta, l1, l2, bias
         self.z, self.n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-        self.bias_z = self.bias_n = 0.0
 
     def weight(self, z: np.ndarray, root: np.ndarray) -> np.ndarray:
         excess = np.maximum(np.abs(z) - self.l1, 0.0)
         return -np.sign(z) * excess / ((self.beta + root) / self.alpha + self.l2)
 
-    def bias(self) -> float:
-        return -self.bias_z / ((self.beta + self.bias_n**0.5) / self.alpha)
-
     def learn(self, places: np.ndarray, label: int) -> None:
         z, n = self.z[places], self.n[places]
-        root, bias = np.sqrt(n), self.bias()
+        root = np.sqrt(n)
         w = self.weight(z, root)
-        slope = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - label
+        slope = 1 / (1 + np.exp(-np.clip(w.sum() + self.bias, -35, 35))) - label
         grown = n + slope * slope
         self.z[places] = z + slope - (np.sqrt(grown) - root) / self.alpha * w
         self.n[places] = grown
-        grown = self.bias_n + slope * slope
-        self.bias_z += slope - (grown**0.5 - self.bias_n**0.5) / self.alpha * bias
-        self.bias_n = grown
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", most: int = 40_000,
@@ -82,15 +75,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
 
     The bound makes it an online run of one task, whatever the size of the corpus, and the sampled ids a small table.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(
+    known = labels.where(F.col(label).isNotNull()).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"), F.xxhash64(F.col(doc_id)).alias("_order"))
-    share = min(1.0, most / max(1, known.count()))
+    known = known.join(docs.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
+    count, ones = known.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("_label") > 0).cast("int")), F.lit(0))).first()
+    share, bias = min(1.0, most / max(1, count)), float(np.log((ones + 0.5) / (count - ones + 0.5)))
     sample = known.where(F.shiftrightunsigned("_order", 32) < int(share * 2**32))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")
     ordered = rows.select("_order", "_label", "_text").repartition(1).sortWithinPartitions("_order", "_label", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ftrl = Ftrl(alpha, beta, l1, l2)
+        ftrl = Ftrl(alpha, beta, l1, l2, bias)
         for batch in batches:
             texts, marks = batch.column("_text"), batch.column("_label").to_numpy(zero_copy_only=False)
             for begin, end in blocks(texts):
@@ -102,10 +97,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
                     ftrl.learn(places[cuts[i] : cuts[i + 1]], int(marks[begin + i] > 0))
         weights = ftrl.weight(ftrl.z, np.sqrt(ftrl.n))
         kept = np.flatnonzero(weights)
-        yield pa.record_batch({"place": pa.array([-1, *kept], pa.int32()), "weight": pa.array([ftrl.bias(), *weights[kept]], pa.float64())})
+        yield pa.record_batch({"place": pa.array(kept, pa.int32()), "weight": pa.array(weights[kept], pa.float64())})
 
     model = ordered.mapInArrow(run, "place int, weight double").toPandas().sort_values("place")
-    return Model(float(model["weight"].iloc[0]), model["place"].to_numpy(np.int32)[1:], model["weight"].to_numpy()[1:]) if len(model) else Model()
+    return Model(bias, model["place"].to_numpy(np.int32), model["weight"].to_numpy(np.float64))
 
 
 def scores(texts: pa.Array, dense: np.ndarray, bias: float) -> np.ndarray:
