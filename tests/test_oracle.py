@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [name for name in QUERIES if name in SQL])
 def test_same_as_sql(spark, sf, name):
     assert difference(QUERIES[name](spark, sf), SQL[name], sf) is None
 
