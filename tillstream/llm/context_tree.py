@@ -145,9 +145,14 @@ class Nodes:
     """The decisions after the same number of bits, at all contexts of one depth, by context and bits so far."""
 
     keys: np.ndarray
-    zeros: np.ndarray
-    ones: np.ndarray
-    one: np.ndarray = field(default=None)  # probability of a one, if no longer context is known
+    zeros: np.ndarray | None
+    ones: np.ndarray | None
+    one: np.ndarray | None = None  # probability of a one: the node's estimate, then the mixture if no longer context is known
+
+    def settle(self) -> None:
+        """Keep the estimate in place of the counts."""
+        self.one = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+        self.zeros = self.ones = None
 
 
 @dataclass
@@ -205,7 +210,11 @@ def build(tables: list[tuple[np.ndarray, np.ndarray]]) -> Model:
                 kt = np.where(has, both, kt)
             weighted.append(kt)
             own_share[d].append(share.astype(np.float32))
+            if d < depth:
+                below.settle()
         longer = weighted
+    for node in tree[0]:
+        node.settle()
     values = []
     before = [(np.zeros(len(n.keys)), np.ones(len(n.keys))) for n in tree[0]]
     for d in range(depth + 1):
@@ -213,7 +222,7 @@ def build(tables: list[tuple[np.ndarray, np.ndarray]]) -> Model:
         after = []
         for bits in range(8):
             node, (mixed, left) = tree[d][bits], before[bits]
-            estimate = (node.ones + 0.5) / (node.zeros + node.ones + 1)
+            estimate = node.one
             node.one = mixed + left * estimate
             at = np.searchsorted(node.keys, tables[d][0] >> U(8 - bits))
             bit = (tables[d][0] >> U(7 - bits) & U(1)).astype(bool)
