@@ -10,7 +10,7 @@ from tillstream.operators.aggregates import running_distinct
 from tillstream.operators.ordered import SplitPolicy, _tag, following, hot_keys, position, previous, running, with_ordered
 from tillstream.plans import bindings as b
 
-SMALL = SplitPolicy(share=1000, min_rows=5)
+SMALL = SplitPolicy(share=1000)
 
 
 @pytest.fixture
@@ -63,13 +63,13 @@ def test_chunks_from_another_table(events):
 
 def test_hot_keys_are_few_and_chunks_are_even(events):
     """Never more hot keys than ``share``; a burst is cut as finely as its rows ask for."""
-    hot = hot_keys(events, ["user_id"], "ts", SplitPolicy(share=5, min_rows=1))
+    hot = hot_keys(events, ["user_id"], "ts", SplitPolicy(share=5))
     assert 1 <= hot.spans.count() <= 5
     assert hot_keys(events, ["user_id"], "ts").spans.count() == 0
     burst = events.where(F.col("ts").isNotNull()).withColumn(
         "ts", F.when(F.col("event_id") % 50 != 0, F.lit("2024-01-03").cast("timestamp") + F.make_dt_interval(secs=F.col("event_id") % 3000))
         .otherwise(F.col("ts").cast("timestamp")))
-    policy = SplitPolicy(share=10, min_rows=1, cells=5000)
+    policy = SplitPolicy(share=10, cells=5000)
     got = with_ordered(burst, [], "ts", ["event_id"], policy, n=position())
     assert got.agg(F.max("n")).first()[0] == burst.count() == got.select("n").distinct().count()
     sizes = _tag(burst, hot_keys(burst, [], "ts", policy), [], "ts", False).groupBy("_chunk").count()

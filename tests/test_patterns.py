@@ -12,7 +12,7 @@ from tillstream.operators.ordered import SplitPolicy
 from tillstream.plans import bindings as b
 
 S, M = timedelta(seconds=1), timedelta(minutes=1)
-POLICIES = [None, SplitPolicy(share=1000, min_rows=2)]
+POLICIES = [None, SplitPolicy(share=1000)]
 
 
 def events(spark, rows, columns="key long, kind string, sec long"):
@@ -118,7 +118,7 @@ def test_first_of_day(spark):
 
 def test_split_keys_on_tables(spark, sf):
     """Whole tables give the same with hot keys split."""
-    e, small = b.events(spark, sf), SplitPolicy(share=1000, min_rows=5)
+    e, small = b.events(spark, sf), SplitPolicy(share=1000)
     for run in (lambda s: p.bounces(e, "user_id", F.col("event_type") == "signup", "ts", ["event_id"], 720 * M, s),
                 lambda s: p.failure_sequences(b.logins(spark, sf), "user_id", "kind", "ts", "event_id", 720 * M, s),
                 lambda s: p.blacklist(e, "user_id", "event_type", "ts", ["event_id"], 2, policy=s)[0]):

@@ -10,7 +10,6 @@ import pytest
 from tillstream.plans import bindings as b
 from tillstream.plans import stream_queries
 from tillstream.plans.registry import QUERIES
-from tillstream.sources.files import spread
 
 BATCH = [n for n in QUERIES if n not in stream_queries.QUERIES]
 
@@ -65,10 +64,3 @@ def test_sliding_windows_do_not_copy_rows(spark, sf):
     text = plan(QUERIES["hot_pages_topn"](spark, sf))
     assert "Expand" not in text
     assert text.count("ENSURE_REQUIREMENTS") <= 3
-
-
-def test_spread_leaves_many_pieces_alone(spark, sf):
-    scan = b.events(spark, sf)
-    assert spread(scan, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = scan.repartition(16)
-    assert spread(many) is many

@@ -18,12 +18,9 @@ FAR = datetime(2031, 1, 1)
 
 @pytest.fixture(scope="module")
 def event_folder(spark, tmp_path_factory):
-    """Events in three files by time, each shuffled, then a far-future row that closes everything.
-
-    A quarter of the events, so that the stateful runs stay short.
-    """
+    """Events in three files by time, each shuffled, then a far-future row that closes everything."""
     folder = str(tmp_path_factory.mktemp("events"))
-    e = b.events(spark, "/root/testdata/sf0.001").where(F.col("user_id") % 4 == 0)
+    e = b.events(spark, "/root/testdata/sf0.001")
     for i, (lo, hi) in enumerate(((1, 11), (11, 21), (21, 32))):
         day = F.dayofmonth("ts")
         part = e.where((day >= lo) & (day < hi)).orderBy(F.rand(i))

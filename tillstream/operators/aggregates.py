@@ -99,6 +99,9 @@ def aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator, out: str,
               fan_in: int = 64, max_held_keys: int = 50_000) -> DataFrame:
     """Run an ``Aggregator`` per key without gathering a key's rows.
 
+    In Python the key is a JSON text, from which the columns come back at the end, so no key
+    passes through pandas: nullable longs stay exact, and arrays and structs may be keys.
+
     Each task folds its rows into one accumulator per key and only these are shuffled. They are
     merged in two steps, first in ``fan_in`` parts per key, so the last step sees at most
     ``fan_in`` accumulators of a key. A task that holds ``max_held_keys`` keys hands them on
@@ -107,26 +110,26 @@ def aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator, out: str,
     import pickle
 
     keys = list(keys)
-    key_fields = [df.schema[k] for k in keys]
-    partial = T.StructType([*key_fields, T.StructField("_acc", T.BinaryType()), T.StructField("_part", T.IntegerType())])
-    final = T.StructType([*key_fields, T.StructField(out, agg.result_type)])
+    kept = T.StructType([df.schema[k] for k in keys])
+    partial = T.StructType([T.StructField("_key", T.StringType()), T.StructField("_acc", T.BinaryType()), T.StructField("_part", T.IntegerType())])
+    final = T.StructType([T.StructField("_key", T.StringType()), T.StructField(out, agg.result_type)])
+    exact = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, Any] = {}
+        held: dict[str, Any] = {}
         for pdf in batches:
-            for key, rows in pdf.groupby(keys, dropna=False, sort=False):
-                key = tuple(None if pd.isna(k) else k for k in key)
-                held[key] = agg.add(held[key] if key in held else agg.create(), rows)
+            for key, rows in pdf.groupby("_key", sort=False):
+                held[key] = agg.add(held[key] if key in held else agg.create(), rows.drop(columns="_key"))
             if len(held) >= max_held_keys:
                 yield _frame(held)
                 held = {}
         yield _frame(held)
 
-    def _frame(held: dict[tuple, Any]) -> pd.DataFrame:
+    def _frame(held: dict[str, Any]) -> pd.DataFrame:
         # The part follows the task, so a task that runs again sends its rows to the same place.
         part = TaskContext.get().partitionId() % fan_in
-        rows = [(*k, pickle.dumps(acc), part) for k, acc in held.items()]
-        return pd.DataFrame(rows, columns=[*keys, "_acc", "_part"]).astype({"_acc": object, "_part": "int32"})
+        rows = [(k, pickle.dumps(acc), part) for k, acc in held.items()]
+        return pd.DataFrame(rows, columns=["_key", "_acc", "_part"]).astype({"_acc": object, "_part": "int32"})
 
     def merged(accs: Iterator[bytes]) -> Any:
         total = agg.create()
@@ -135,10 +138,12 @@ def aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator, out: str,
         return total
 
     def merge_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[[*keys, "_part"]].head(1).assign(_acc=[pickle.dumps(merged(pdf["_acc"]))])[[*keys, "_acc", "_part"]]
+        return pdf[["_key", "_part"]].head(1).assign(_acc=[pickle.dumps(merged(pdf["_acc"]))])[["_key", "_acc", "_part"]]
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[keys].head(1).assign(**{out: [agg.result(merged(pdf["_acc"]))]})
+        return pdf[["_key"]].head(1).assign(**{out: [agg.result(merged(pdf["_acc"]))]})
 
-    once = df.mapInPandas(fold, partial).groupBy(*keys, "_part").applyInPandas(lambda pdf: merge_part(pdf), partial)
-    return once.groupBy(*keys).applyInPandas(lambda pdf: finish(pdf), final)
+    keyed = df.withColumn("_key", F.to_json(F.struct(*keys), exact))
+    once = keyed.mapInPandas(fold, partial).groupBy("_key", "_part").applyInPandas(lambda pdf: merge_part(pdf), partial)
+    done = once.groupBy("_key").applyInPandas(lambda pdf: finish(pdf), final)
+    return done.select(F.from_json("_key", kept, exact).alias("_k"), out).select("_k.*", out)

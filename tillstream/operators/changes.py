@@ -15,15 +15,17 @@ def normalize_changes(df: DataFrame, topic: str, value: str) -> DataFrame:
     """Database log records (topic ``server.database.table``, JSON before/after/op) as envelopes.
 
     Columns: database, table, data, before-data, type; operation ``create`` becomes ``insert``.
+    Parts that a topic lacks are null. Every record is parsed once (out of a generator).
     """
     rest = [c for c in df.columns if c not in (topic, value)]
-    parsed = df.withColumn("_r", F.from_json(value, CHANGE_RECORD)).withColumn("_t", F.split(topic, r"\."))
+    record = F.coalesce(F.from_json(value, CHANGE_RECORD), F.from_json(F.lit("{}"), CHANGE_RECORD))
+    parsed = df.select("*", F.explode(F.array(record)).alias("_r")).withColumn("_t", F.split(topic, r"\."))
     op = F.lower("_r.op")
     empty = F.create_map().cast("map<string,string>")
     return parsed.select(
         *rest,
-        F.col("_t")[1].alias("database"),
-        F.col("_t")[2].alias("table"),
+        F.get("_t", 1).alias("database"),
+        F.get("_t", 2).alias("table"),
         F.coalesce("_r.after", empty).alias("data"),
         F.coalesce("_r.before", empty).alias("before-data"),
         F.when(op == "create", "insert").otherwise(op).alias("type"),

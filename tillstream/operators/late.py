@@ -22,14 +22,16 @@ def mark_late(df: DataFrame, ts: str, batch: str, size: timedelta, delay: timede
 
     The watermark is the largest event time of all earlier batches minus the delay. Only one
     maximum per batch enters the ordered step; batches are triggers, so their number follows
-    the run time of the stream. They join back by batch, with Spark choosing the join.
+    the run time of the stream. They join back by batch, with Spark choosing the join. A row
+    without a time or a batch has no mark before it and is not late.
     """
     tops = df.groupBy(batch).agg(F.max(epoch_micros(F.col(ts))).alias("_top"))
     before = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     marks = tops.select(F.col(batch).alias("_batch"), (F.max("_top").over(before) - micros(delay)).alias("_mark"))
     closed = window_end(F.col(ts), size) + micros(lateness)
-    out = df.join(marks, df[batch] == marks["_batch"])
-    return out.withColumn("late", F.coalesce(closed <= F.col("_mark"), F.lit(False))).drop("_batch", "_mark")
+    out = df.join(marks, df[batch].eqNullSafe(marks["_batch"]), "left")
+    known = F.col(batch).isNotNull()
+    return out.withColumn("late", F.coalesce(known & (closed <= F.col("_mark")), F.lit(False))).drop("_batch", "_mark")
 
 
 def closed_before(ts: Column, mark_us: int, size: timedelta, lateness: timedelta = timedelta(0)) -> Column:

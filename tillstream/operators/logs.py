@@ -75,10 +75,11 @@ def is_entry() -> Column:
 def product_actions(log: DataFrame) -> DataFrame:
     """Clicks on product pages and displays of products, one row per action (over page rows).
 
-    A page's actions come out of one list, so the log is read once for both kinds.
+    A page's actions come out of one list, so the log is read once for both kinds. An item that
+    is no number gives an action without a product.
     """
     def action(item: Column, click: int) -> Column:
-        return F.struct(item.cast("long").alias("sku_id"), F.lit(click).cast("long").alias("click_ct"),
+        return F.struct(item.try_cast("long").alias("sku_id"), F.lit(click).cast("long").alias("click_ct"),
                         F.lit(1 - click).cast("long").alias("display_ct"))
 
     opened = (F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id")

@@ -2,7 +2,8 @@
 
 A plain window over ``partitionBy(key)`` puts every row of a key into one task. Here a key
 that holds more than ``1/share`` of all rows is cut into consecutive time chunks of about that
-size. Values are computed inside each (key, chunk), and the part that crosses a chunk border
+size; by default ``share`` is the session's number of shuffle partitions, so a chunk is about
+what a task has anyway. Values are computed inside each (key, chunk), and the part that crosses a chunk border
 (rows before, sum before, last or first row) comes from a table with one row per hot chunk.
 
 Chunks follow the rows and not the clock: the time of a hot key is divided into many equal
@@ -33,10 +34,9 @@ CHUNK = "_chunk"
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """Keys above ``max(min_rows, rows / share)`` rows are cut into time chunks."""
+    """Keys above ``rows / share`` rows are cut into time chunks."""
 
-    share: int = 10_000
-    min_rows: int = 1_000_000
+    share: int | None = None
     cells: int = 32
 
 
@@ -93,7 +93,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy =
         F.min(epoch_micros(F.col(ts))).alias("_lo"),
         F.max(epoch_micros(F.col(ts))).alias("_hi"),
     )
-    fair = df.agg(F.greatest(F.lit(policy.min_rows), F.ceil(F.count(F.lit(1)) / policy.share)))
+    share = policy.share or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fair = counts.agg(F.greatest(F.lit(1), F.ceil(F.sum("_n") / share)))
     limited = counts.withColumn("_limit", fair.scalar()).where(F.col("_n") > F.col("_limit"))
     names = [f"_hot_{k}" for k in keys]
     many = F.ceil(F.col("_n") / F.col("_limit")) * policy.cells

@@ -19,7 +19,7 @@ from tillstream.operators.aggregates import (
     running_distinct,
 )
 from tillstream.operators.late import mark_late
-from tillstream.operators.ordered import running, with_ordered
+from tillstream.operators.ordered import SplitPolicy, position, running, with_ordered
 from tillstream.operators.windows import sliding_sums, stamp, top_n, tumbling
 from tillstream.plans import bindings as b
 from tillstream.sources.files import access_log
@@ -55,9 +55,34 @@ def parity_min_max(spark: SparkSession, sf: str) -> DataFrame:
         F.max(k).alias("highest"), F.min(k).alias("lowest"), F.sum(k).alias("total"))
 
 
-def running_sum(spark: SparkSession, sf: str) -> DataFrame:
+#: Cuts almost every key, so that the borders of chunks are part of the result.
+FINE = SplitPolicy(share=200)
+
+
+def _running_sum(spark: SparkSession, sf: str, policy: SplitPolicy | None) -> DataFrame:
     s = b.sensors(spark, sf)
-    return with_ordered(s, ["id"], "at", ["seq"], total=running("sum", F.col("vc"))).select("seq", "id", "total")
+    return with_ordered(s, ["id"], "at", ["seq"], policy, total=running("sum", F.col("vc"))).select("seq", "id", "total")
+
+
+def running_sum(spark: SparkSession, sf: str) -> DataFrame:
+    return _running_sum(spark, sf, None)
+
+
+def running_sum_cut(spark: SparkSession, sf: str) -> DataFrame:
+    return _running_sum(spark, sf, FINE)
+
+
+def running_min_max(spark: SparkSession, sf: str) -> DataFrame:
+    """Lowest and highest value of each sensor so far, after every reading."""
+    v = F.col("vc")
+    out = with_ordered(b.sensors(spark, sf), ["id"], "at", ["seq"], low=running("min", v), high=running("max", v))
+    return out.select("seq", "id", "low", "high")
+
+
+def running_pv(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of page views so far, after every page view."""
+    pv = b.behaviors(spark, sf).where(F.col("behavior") == "pv").select("event_id", "ts")
+    return with_ordered(pv, [], "ts", ["event_id"], pv=position()).select("event_id", "pv")
 
 
 def running_reduce(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,6 +130,12 @@ def udaf_count(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate(b.events(spark, sf).select("event_type"), ["event_type"], COUNTER, "n")
 
 
+def udaf_by_user(spark: SparkSession, sf: str) -> DataFrame:
+    """A user-defined count by a number that doubles cannot hold, null for every tenth user."""
+    number = F.when(F.col("user_id") % 10 != 0, F.col("user_id") + 2**53)
+    return aggregate(b.events(spark, sf).select(number.alias("number"), "event_type"), ["number", "event_type"], COUNTER, "n")
+
+
 def hourly_pv(spark: SparkSession, sf: str) -> DataFrame:
     pv = b.behaviors(spark, sf).where(F.col("behavior") == "pv")
     return stamp(tumbling(pv, "ts", HOUR, ["behavior"], _count().alias("pv")))
@@ -152,8 +183,8 @@ def late_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
-    sensor_sum, sensor_max_by, sensor_min_by, parity_min_max, running_sum, running_reduce, running_uv, word_count,
-    pv_total, uv_total, ads_by_province, channel_behavior_sets, udaf_count, hourly_pv, hourly_uv,
+    sensor_sum, sensor_max_by, sensor_min_by, parity_min_max, running_sum, running_sum_cut, running_min_max, running_pv, running_reduce, running_uv, word_count,
+    pv_total, uv_total, ads_by_province, channel_behavior_sets, udaf_count, udaf_by_user, hourly_pv, hourly_uv,
     sliding_item_counts, hot_items_topn, hot_pages_topn, ads_sliding_topn, late_rows)}
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -190,6 +221,14 @@ ORACLE: dict[str, str] = {
                CAST(sum({_K}) AS BIGINT) AS total FROM events GROUP BY 1""",
     "running_sum": f"""
         WITH {_SENSOR} SELECT seq, id, CAST(sum(vc) OVER (PARTITION BY id ORDER BY seq) AS BIGINT) AS total FROM s""",
+    "running_sum_cut": f"""
+        WITH {_SENSOR} SELECT seq, id, CAST(sum(vc) OVER (PARTITION BY id ORDER BY seq) AS BIGINT) AS total FROM s""",
+    "running_min_max": f"""
+        WITH {_SENSOR} SELECT seq, id, min(vc) OVER w AS low, max(vc) OVER w AS high FROM s WINDOW w AS (PARTITION BY id ORDER BY seq)""",
+    "running_pv": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS pv FROM events WHERE event_type = 'view'",
+    "udaf_by_user": """
+        SELECT CASE WHEN user_id % 10 <> 0 THEN user_id + 9007199254740992 END AS number, event_type, count(*) AS n
+        FROM events GROUP BY ALL""",
     "running_reduce": f"""
         WITH {_SENSOR} SELECT seq, id, first_value(ts) OVER w AS ts, CAST(sum(vc) OVER w AS BIGINT) AS vc FROM s
         WINDOW w AS (PARTITION BY id ORDER BY seq)""",

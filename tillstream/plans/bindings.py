@@ -17,8 +17,6 @@ from tillstream.operators import logs
 from tillstream.operators.joins import lookup
 from tillstream.plans.wide import Dims
 from tillstream.schemas import MONEY
-from tillstream.session import configure
-from tillstream.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,13 +26,12 @@ PAY_AFTER = timedelta(minutes=15)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    configure(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def k() -> Column:
     """The number in an event's properties."""
-    return F.get_json_object("props", "$.k").cast("long")
+    return F.get_json_object("props", "$.k").try_cast("long")
 
 
 def money(col: str | Column) -> Column:
@@ -46,7 +43,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def sensors(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,9 +79,9 @@ def create_pay_events(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select("user_id", kind.alias("kind"), "ts", "event_id").where(F.col("kind").isNotNull())
 
 
-def order_states(spark: SparkSession, sf: str) -> DataFrame:
-    """Creations of nine orders in ten, and one payment per ordered number: its first shipping."""
-    created = table(spark, sf, "orders").where(F.col("o_orderkey") % 10 != 0).select(
+def order_states(spark: SparkSession, sf: str, created_if: str = "o_orderkey % 10 <> 0") -> DataFrame:
+    """Creations of nine orders in ten, or as told, and one payment per ordered number: its first shipping."""
+    created = table(spark, sf, "orders").where(created_if).select(
         F.col("o_orderkey").alias("order_id"), F.lit("create").alias("kind"), F.col("o_orderdate").alias("ts"))
     paid = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
         F.min("l_shipdate").alias("ts")).select("order_id", F.lit("pay").alias("kind"), "ts")
@@ -95,13 +92,13 @@ def access_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Web server lines; the type of event and k make the address."""
     at = F.date_format("ts", "dd/MM/yyyy:HH:mm:ss")
     url = F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), k().cast("string"))
-    return spread(events(spark, sf), "event_id").select(F.concat_ws(" ", F.col("event_id").cast("string"), F.lit("-"), F.lit("-"), at,
+    return events(spark, sf).select(F.concat_ws(" ", F.col("event_id").cast("string"), F.lit("-"), F.lit("-"), at,
                                                 F.lit("+0000"), F.lit("GET"), url).alias("value"))
 
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Application log lines; every 97th is cut off and cannot be parsed."""
-    e = spread(events(spark, sf), "event_id").withColumn("k", k())
+    e = events(spark, sf).withColumn("k", k())
     kind = F.col("event_type")
 
     def by_type(**texts: Column) -> Column:
@@ -130,8 +127,8 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
     start = F.when(kind == "error", F.struct(F.lit("icon").alias("entry")))
     line = F.to_json(F.struct(common.alias("common"), start.alias("start"), page.alias("page"), displays.alias("displays"),
                               F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")))
-    kept = F.when(F.col("event_id") % 97 == 0, 40).otherwise(2**20)
-    return e.select("event_id", F.explode(F.array(F.substring(line, F.lit(1), kept))).alias("line"))
+    text_line = F.when(F.col("event_id") % 97 == 0, F.substring(line, 1, 40)).otherwise(line)
+    return e.select("event_id", F.explode(F.array(text_line)).alias("line"))
 
 
 def log_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,7 +183,7 @@ def payment_info(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _spu_id() -> Column:
-    return (F.length("p_type") * 1000 + F.ascii("p_type")).cast("long")
+    return F.conv(F.substring(F.md5("p_type"), 1, 15), 16, 10).cast("long")
 
 
 def dims(spark: SparkSession, sf: str) -> Dims:

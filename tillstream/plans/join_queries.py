@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.joins import pair_by_occurrence
+from tillstream.operators.ordered import SplitPolicy
 from tillstream.plans import bindings as b
 from tillstream.plans import wide
 
@@ -45,23 +46,32 @@ def dim_sku_chain(spark: SparkSession, sf: str) -> DataFrame:
     return wide.add_sku_chain(d, b.dims(spark, sf), price=True, name=True)
 
 
-def tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders and receipts, paired by number and occurrence."""
+def _tx_reconcile(spark: SparkSession, sf: str, policy: SplitPolicy | None) -> DataFrame:
     o = b.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", b.money("o_totalprice").alias("total"))
     r = b.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", "l_partkey",
                                               "l_suppkey", "l_linenumber")
     out = pair_by_occurrence(o, r, "o_orderkey", ["o_orderdate", "total"],
-                             ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"])
+                             ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"], policy)
     return out.select("o_orderkey", "nth", "total", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and receipts, paired by number and occurrence."""
+    return _tx_reconcile(spark, sf, None)
+
+
+def tx_reconcile_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """With keys of a few rows cut into chunks already."""
+    return _tx_reconcile(spark, sf, SplitPolicy(share=20_000))
+
+
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
-    order_wide, payment_wide, dim_user, dim_province, dim_sku_chain, tx_reconcile)}
+    order_wide, payment_wide, dim_user, dim_province, dim_sku_chain, tx_reconcile, tx_reconcile_cut)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 _AGE = "CAST(date_diff('day', DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), DATE '2024-01-01') // 365 AS INTEGER)"
 _GENDER = "CASE WHEN c_custkey % 2 = 0 THEN 'F' WHEN c_custkey IS NOT NULL THEN 'M' END"
-SPU_ID = "CAST(length(p_type) * 1000 + ascii(p_type) AS BIGINT)"
+SPU_ID = "CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT)"
 TM_ID = "CAST(substring(p_brand, 7) AS BIGINT)"
 
 ORDER_WIDE_SQL = f"""
@@ -118,3 +128,4 @@ ORACLE: dict[str, str] = {
                           ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem)
         SELECT o_orderkey, nth, total, l_linenumber, l_partkey, l_suppkey FROM o JOIN r ON l_orderkey = o_orderkey AND n = nth""",
 }
+ORACLE["tx_reconcile_cut"] = ORACLE["tx_reconcile"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.times import text
 from tillstream.operators import patterns as p
+from tillstream.operators.ordered import SplitPolicy
 from tillstream.plans import bindings as b
 
 HALF_DAY, SIX_HOURS = timedelta(hours=12), timedelta(hours=6)
@@ -25,9 +26,19 @@ def daily_unique_visit(spark: SparkSession, sf: str) -> DataFrame:
     return first.select("user_id", F.col("visit_date").cast("string").alias("visit_date"), "event_id")
 
 
-def user_jump(spark: SparkSession, sf: str) -> DataFrame:
+def _user_jump(spark: SparkSession, sf: str, policy: SplitPolicy | None) -> DataFrame:
     e = b.events(spark, sf).select("event_id", "user_id", "ts", "event_type")
-    return p.bounces(e, "user_id", F.col("event_type") == "signup", "ts", ["event_id"], HALF_DAY).select("event_id", "user_id")
+    found = p.bounces(e, "user_id", F.col("event_type") == "signup", "ts", ["event_id"], HALF_DAY, policy)
+    return found.select("event_id", "user_id")
+
+
+def user_jump(spark: SparkSession, sf: str) -> DataFrame:
+    return _user_jump(spark, sf, None)
+
+
+def user_jump_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """With almost every key cut into chunks."""
+    return _user_jump(spark, sf, SplitPolicy(share=200))
 
 
 def login_alert(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,6 +69,11 @@ def order_pay_watch(spark: SparkSession, sf: str) -> DataFrame:
     return p.watch_payments(b.order_states(spark, sf), "order_id", "kind", "ts", timedelta(days=15), timedelta(days=20))
 
 
+def order_pay_watch_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Over all orders."""
+    return p.watch_payments(b.order_states(spark, sf, "true"), "order_id", "kind", "ts", timedelta(days=15), timedelta(days=20))
+
+
 def _clicks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     e = b.events(spark, sf).select("event_id", "user_id", "event_type", "ts")
     return p.blacklist(e, "user_id", "event_type", "ts", ["event_id"], CLICK_LIMIT)
@@ -71,13 +87,18 @@ def blacklist_alert(spark: SparkSession, sf: str) -> DataFrame:
     return _clicks(spark, sf)[1].select("event_id", "user_id", "event_type", F.col("click_date").cast("string").alias("click_date"))
 
 
+def blacklist_dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """The clicks beyond the limit."""
+    return _clicks(spark, sf)[2].select("event_id", "user_id", "event_type", "nth")
+
+
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
-    new_user_fix, daily_unique_visit, user_jump, login_alert, login_cep, order_cep_matched, order_cep_timeout,
-    order_pay_watch, blacklist_normal, blacklist_alert)}
+    new_user_fix, daily_unique_visit, user_jump, user_jump_cut, login_alert, login_cep, order_cep_matched, order_cep_timeout,
+    order_pay_watch, order_pay_watch_all, blacklist_normal, blacklist_alert, blacklist_dropped)}
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
-_LOGINS = """f AS (SELECT *, row_number() OVER w AS pos, lag(ts) OVER w AS prev_ts, lag(event_type) OVER w AS prev_type,
+LOGINS = """f AS (SELECT *, row_number() OVER w AS pos, lag(ts) OVER w AS prev_ts, lag(event_type) OVER w AS prev_type,
                    count(*) FILTER (WHERE event_type = 'signup') OVER w AS run
             FROM events WHERE event_type IN ('error', 'signup') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
 _CEP = """n AS (SELECT *, lead(ts) OVER w AS next_ts, lead(event_type) OVER w AS next_type
@@ -99,11 +120,11 @@ ORACLE: dict[str, str] = {
             WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
         WHERE event_type = 'signup' AND (next_ts IS NULL OR next_ts - ts >= INTERVAL 12 HOUR OR next_type = 'signup')""",
     "login_alert": f"""
-        WITH {_LOGINS} SELECT user_id, run, strftime(prev_ts, {_TEXT}) AS first_fail, strftime(ts, {_TEXT}) AS second_fail FROM f
+        WITH {LOGINS} SELECT user_id, run, strftime(prev_ts, {_TEXT}) AS first_fail, strftime(ts, {_TEXT}) AS second_fail FROM f
         WHERE event_type = 'error' AND prev_type = 'error' AND ts - prev_ts < INTERVAL 6 HOUR
         QUALIFY row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) = 1""",
     "login_cep": f"""
-        WITH {_LOGINS}, e AS (SELECT * FROM f WHERE event_type = 'error')
+        WITH {LOGINS}, e AS (SELECT * FROM f WHERE event_type = 'error')
         SELECT h.user_id, strftime(h.ts, {_TEXT}) AS started, strftime(t.ts, {_TEXT}) AS ended, count(*) AS fails,
                string_agg(CAST(m.event_id AS VARCHAR), ',' ORDER BY m.pos) AS events
         FROM e h JOIN e t ON t.user_id = h.user_id AND t.run = h.run AND t.pos > h.pos AND t.ts - h.ts < INTERVAL 6 HOUR
@@ -127,3 +148,6 @@ ORACLE: dict[str, str] = {
     "blacklist_alert": f"""
         WITH {_CLICKS} SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS click_date FROM c WHERE nth = 3""",
 }
+ORACLE["user_jump_cut"] = ORACLE["user_jump"]
+ORACLE["blacklist_dropped"] = f"WITH {_CLICKS} SELECT event_id, user_id, event_type, nth FROM c WHERE nth > 3"
+ORACLE["order_pay_watch_all"] = ORACLE["order_pay_watch"].replace(" WHERE o_orderkey % 10 <> 0", "")

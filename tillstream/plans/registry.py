@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from tillstream.plans import (
     aggregate_queries,
     join_queries,
@@ -10,8 +12,20 @@ from tillstream.plans import (
     stats_queries,
     stream_queries,
 )
+from tillstream.session import configure
 
 _PARTS = [stats_queries, row_queries, aggregate_queries, join_queries, pattern_queries, stream_queries]
 
-QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+
+
+def _configured(query):
+    """The query with the session settings applied where it begins, and nowhere else."""
+    @functools.wraps(query)
+    def begin(spark, sf):
+        return query(configure(spark), sf)
+
+    return begin
+
+
+QUERIES = {name: _configured(query) for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

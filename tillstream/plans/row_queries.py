@@ -134,7 +134,7 @@ def keyed_project(spark: SparkSession, sf: str) -> DataFrame:
 def shuffle_identity(spark: SparkSession, sf: str) -> DataFrame:
     """Rows spread evenly and anew; the row set stays the same."""
     o = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return o.repartition(spark.sparkContext.defaultParallelism)
+    return o.repartition(F.col("o_orderkey"))
 
 
 def log_dirty_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,6 +172,15 @@ def coalesce_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merge_rows(holes, other, "o_orderkey", ["o_custkey", "o_orderstatus"])
 
 
+def coalesce_merge_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole tables: customers' balances where they are positive, else zero; all users of events besides."""
+    left = b.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_acctbal") > 0, b.money("c_acctbal")).alias("balance"), F.col("c_mktsegment").alias("segment"))
+    right = b.events(spark, sf).select(F.col("user_id").alias("id")).distinct().select(
+        "id", F.lit(0).cast("decimal(18,2)").alias("balance"), F.lit("none").alias("segment"))
+    return merge_rows(left, right, "id", ["balance", "segment"])
+
+
 def union_all(spark: SparkSession, sf: str) -> DataFrame:
     ids = [b.table(spark, sf, n).select(F.col(c).alias("id"))
            for n, c in (("supplier", "s_suppkey"), ("part", "p_partkey"), ("customer", "c_custkey"))]
@@ -216,7 +225,7 @@ def scalar_date(spark: SparkSession, sf: str) -> DataFrame:
 def scalar_math(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("k")
     return _numbers(spark, sf).select("event_id", (k * k).alias("product"), (k % 7).alias("modulo"),
-                                      F.floor(k / 7).alias("quotient"))
+                                      F.expr("k DIV 7").alias("quotient"))
 
 
 def age_365(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,7 +260,7 @@ def keyword_explode(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     access_log_parse, cdc_normalize, dynamic_route, snake_to_camel, rows_to_json, keyed_doc_upsert, dim_upsert,
     map_square, partition_map, flatmap_powers, filter_even, key_by_parity, keyed_project, shuffle_identity,
-    log_dirty_split, log_split_counts, log_display_explode, order_derive, coalesce_merge, union_all, connect_tagged,
+    log_dirty_split, log_split_counts, log_display_explode, order_derive, coalesce_merge, coalesce_merge_all, union_all, connect_tagged,
     event_time_fallback, scalar_string, scalar_date, scalar_math, age_365, json_access, json_rebuild,
     good_comment_flag, keyword_explode)}
 
@@ -323,6 +332,11 @@ ORACLE: dict[str, str] = {
         SELECT coalesce(l.o_orderkey, r.o_orderkey) AS o_orderkey, coalesce(l.o_custkey, r.o_custkey) AS o_custkey,
                coalesce(l.o_orderstatus, r.o_orderstatus) AS o_orderstatus
         FROM l FULL JOIN r ON l.o_orderkey = r.o_orderkey""",
+    "coalesce_merge_all": """
+        WITH l AS (SELECT c_custkey AS id, CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS balance, c_mktsegment AS segment FROM customer),
+             r AS (SELECT DISTINCT user_id AS id, CAST(0 AS DECIMAL(18,2)) AS balance, 'none' AS segment FROM events)
+        SELECT coalesce(l.id, r.id) AS id, coalesce(l.balance, r.balance) AS balance, coalesce(l.segment, r.segment) AS segment
+        FROM l FULL JOIN r ON l.id = r.id""",
     "union_all": """
         SELECT s_suppkey AS id FROM supplier UNION ALL SELECT p_partkey FROM part UNION ALL SELECT c_custkey FROM customer""",
     "connect_tagged": """

@@ -1,108 +1,199 @@
-"""Stream forms as queries: a test table is read as a stream, worked off, and the result table read.
+"""Stream forms as queries: a test table is fed as a stream, worked off, and the result table read.
 
-What has not been closed by the watermark at the end of the input stays open, as on any
-stream; the SQL has the same condition.
+A table arrives in slices of its time span. Each is written to the shared folder and worked off by a run that goes
+on from the checkpoint of the one before. The end of the input is a closing row far ahead of all others, so that
+every window and every wait is closed; it is no part of any result. The runs have a session of their own, so no
+setting of the caller's session changes.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.times import text
 from tillstream.operators.windows import sliding_direct, stamp, tumbling
 from tillstream.plans import bindings as b
-from tillstream.plans import wide
-from tillstream.session import checkpoint_dir, configure_streaming
+from tillstream.plans import pattern_queries, wide
+from tillstream.session import configure_streaming, scratch
 from tillstream.streaming import flows
-from tillstream.streaming.processors import Bounce, follow
+from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, InOrder, LoginGuard, NewVisitor, OrderWatch, PayNext, follow
 
 HOUR, HALF_DAY = timedelta(hours=1), timedelta(hours=12)
 DELAY = timedelta(seconds=5)
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    configure_streaming(spark)
-    # A pattern, as a stream source takes a single file by pattern only; it fits a folder as well.
-    return flows.parquet_stream(spark, f"{sf}/{name}.parquet*", b.table(spark, sf, name).schema)
+AHEAD = timedelta(days=60)
+SLICES = 3
+STATE_PARTS = 8
 
 
-def _worked_off(df: DataFrame, sink=flows.to_folder) -> DataFrame:
-    """Run a stream over the input there is and give its result table.
+def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object]) -> None:
+    """Write one slice of a table's time span, the last one with the closing row."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    cut = F.least(F.lit(SLICES - 1), F.floor((at - low) * SLICES / F.lit(max(1, high - low))))
+    table.where(F.coalesce(cut, F.lit(0)) == n).write.mode("append").parquet(folder)
+    if n == SLICES - 1:
+        end = F.timestamp_micros(F.lit(high) + int(AHEAD.total_seconds() * 1_000_000))
+        values = {ts: end} | {name: F.lit(value) for name, value in closing.items()}
+        row = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
+        table.sparkSession.range(1).select(*row).write.mode("append").parquet(folder)
 
-    State is kept in as many parts as there are cores; a running query keeps that number.
+
+def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dict[str, object]]], build: Callable[..., DataFrame],
+                sink=flows.to_folder, parts: int = STATE_PARTS) -> DataFrame:
+    """Feed tables (each with its time column and the values of its closing row) to `build` and give the result table.
+
+    State is kept in `parts` parts; a running query keeps that number.
     """
-    spark = df.sparkSession
-    folder = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    try:
-        flows.run(df, sink(f"{folder}/out"), f"{folder}/progress", once=True).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    own = configure_streaming(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", parts)
+    folder = scratch(spark, "stream")
+    spans = {}
+    for name, (table, ts, _) in tables.items():
+        at = F.unix_micros(F.col(ts).cast("timestamp"))
+        spans[name] = [value or 0 for value in table.agg(F.min(at), F.max(at)).first()]
+    for n in range(SLICES):
+        for name, (table, ts, closing) in tables.items():
+            _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing)
+        streams = [flows.parquet_stream(own, f"{folder}/in/{name}", table.schema) for name, (table, _, _) in tables.items()]
+        flows.run(build(*streams), sink(f"{folder}/out"), f"{folder}/progress", once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
+def _events(spark: SparkSession, sf: str, event_type: str = "view") -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
+    return {"events": (b.events(spark, sf), "ts", {"event_id": -1, "user_id": -1, "event_type": event_type})}
+
+
 def stream_hourly_pv(spark: SparkSession, sf: str) -> DataFrame:
-    pv = flows.watermarked(_stream(spark, sf, "events").where("event_type = 'view'"), "ts", DELAY)
-    return _worked_off(stamp(tumbling(pv, "ts", HOUR, [], F.count(F.lit(1)).alias("pv"))))
+    def build(events: DataFrame) -> DataFrame:
+        pv = flows.watermarked(events.where("event_type = 'view'"), "ts", DELAY)
+        return stamp(tumbling(pv, "ts", HOUR, [], F.count(F.lit(1)).alias("pv")))
+
+    return _worked_off(spark, _events(spark, sf), build)
 
 
 def stream_hot_types(spark: SparkSession, sf: str) -> DataFrame:
-    """The two most frequent event types per closed sliding window."""
-    e = flows.watermarked(_stream(spark, sf, "events"), "ts", DELAY)
-    counts = sliding_direct(e, "ts", 6 * HOUR, HOUR, ["event_type"], F.count(F.lit(1)).alias("cnt"))
-    out = _worked_off(counts, lambda path: flows.ranked_to_folder(path, ["window_end"], "cnt", ["event_type"], 2))
+    """The two most frequent event types per sliding window."""
+    def build(events: DataFrame) -> DataFrame:
+        return sliding_direct(flows.watermarked(events, "ts", DELAY), "ts", 6 * HOUR, HOUR, ["event_type"], F.count(F.lit(1)).alias("cnt"))
+
+    out = _worked_off(spark, _events(spark, sf), build, lambda path: flows.ranked_to_folder(path, ["window_end"], "cnt", ["event_type"], 2))
     return out.select(text(F.col("window_end")).alias("edt"), "event_type", "cnt", "rk")
 
 
 def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and details as two streams, joined when at most five days apart."""
-    o = _stream(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderdate").alias("ts"))
-    d = _stream(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("long").alias("sku_num"), F.col("l_shipdate").alias("ts"),
-        *[F.lit(None).alias(c) for c in ("order_price", "sku_name", "split_activity_amount", "split_coupon_amount",
-                                         "split_total_amount")])
-    joined = wide.join_details(flows.watermarked(o, "ts", DELAY), flows.watermarked(d, "ts", DELAY), b.ORDER_WITHIN)
-    return _worked_off(joined.select("order_id", "detail_id", "sku_id", "sku_num", "create_date"))
+    def build(orders: DataFrame, details: DataFrame) -> DataFrame:
+        o = orders.select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderdate").alias("ts"))
+        d = details.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("long").alias("sku_num"), F.col("l_shipdate").alias("ts"),
+            *[F.lit(None).alias(c) for c in ("order_price", "sku_name", "split_activity_amount", "split_coupon_amount",
+                                             "split_total_amount")])
+        joined = wide.join_details(flows.watermarked(o, "ts", DELAY), flows.watermarked(d, "ts", DELAY), b.ORDER_WITHIN)
+        return joined.select("order_id", "detail_id", "sku_id", "sku_num", "create_date")
+
+    tables = {"orders": (b.table(spark, sf, "orders"), "o_orderdate", {"o_orderkey": -1}),
+              "lineitem": (b.table(spark, sf, "lineitem"), "l_shipdate", {"l_orderkey": -2, "l_linenumber": 0})}
+    return _worked_off(spark, tables, build)
 
 
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
-    kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
-    out = _worked_off(follow(_stream(spark, sf, "events"), "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1)))
+    def build(events: DataFrame) -> DataFrame:
+        kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
+        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1))
+
+    out = _worked_off(spark, _events(spark, sf), build)
     return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
 
 
+def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str | Column, key: str | Column = "user_id",
+              where: str = "true", seq: str = "event_id") -> DataFrame:
+    """What a pattern gives for a table's rows: `key`, `seq` and `outcome`."""
+    def build(rows: DataFrame) -> DataFrame:
+        return follow(rows.where(where), key, "ts", seq, kind, DELAY, processor, timedelta(days=1))
+
+    return _worked_off(spark, tables, build).where(~F.col("key").startswith("-1"))
+
+
+def stream_new_user_fix(spark: SparkSession, sf: str) -> DataFrame:
+    flag = F.when(b.k() % 2 == 0, "1").otherwise("0")
+    out = _followed(spark, _events(spark, sf), NewVisitor(), flag)
+    return out.select(F.col("seq").alias("event_id"), F.col("outcome").alias("is_new"))
+
+
+def stream_daily_visit(spark: SparkSession, sf: str) -> DataFrame:
+    return _followed(spark, _events(spark, sf), DailyVisit(), "event_type").select(F.col("seq").alias("event_id"))
+
+
+def stream_login_alert(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "error", "fail").otherwise("success")
+    out = _followed(spark, _events(spark, sf, "signup"), LoginGuard(6 * HOUR), kind, where="event_type IN ('error', 'signup')")
+    return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
+
+
+def stream_order_next(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "view", "create").otherwise("pay")
+    out = _followed(spark, _events(spark, sf), PayNext(HALF_DAY), kind, where="event_type IN ('view', 'purchase')")
+    return out.select(F.col("seq").alias("event_id"), "outcome")
+
+
+def stream_click_limit(spark: SparkSession, sf: str) -> DataFrame:
+    out = _followed(spark, _events(spark, sf), ClickLimit(3), "event_type", F.concat_ws("/", "user_id", "event_type"))
+    return out.select(F.col("seq").alias("event_id"), "outcome")
+
+
+def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
+    states = {"states": (b.order_states(spark, sf, "true"), "ts", {"order_id": -1, "kind": "create"})}
+    out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id")
+    return out.select(F.col("key").cast("long").alias("order_id"), "outcome")
+
+
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
-    stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump)}
+    stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
+    stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
-_MARK = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM events{where})"
 
 ORACLE: dict[str, str] = {
     "stream_hourly_pv": f"""
         SELECT strftime(w, {_TEXT}) AS stt, strftime(w + INTERVAL 1 HOUR, {_TEXT}) AS edt, count(*) AS pv
-        FROM (SELECT date_trunc('hour', ts) AS w FROM events WHERE event_type = 'view')
-        WHERE w + INTERVAL 1 HOUR <= {_MARK.format(where=" WHERE event_type = 'view'")} GROUP BY w""",
+        FROM (SELECT date_trunc('hour', ts) AS w FROM events WHERE event_type = 'view') GROUP BY w""",
     "stream_hot_types": f"""
         WITH c AS (SELECT ws + INTERVAL 6 HOUR AS we, event_type, count(*) AS cnt
                    FROM (SELECT event_type, date_trunc('hour', ts) - o * INTERVAL 1 HOUR AS ws FROM events, range(6) r(o)) GROUP BY ALL)
         SELECT strftime(we, {_TEXT}) AS edt, event_type, cnt, rk
         FROM (SELECT *, row_number() OVER (PARTITION BY we ORDER BY cnt DESC, event_type) AS rk FROM c)
-        WHERE rk <= 2 AND we <= {_MARK.format(where="")}""",
+        WHERE rk <= 2""",
     "stream_order_details": """
         SELECT o_orderkey AS order_id, l_orderkey * 10 + l_linenumber AS detail_id, l_partkey AS sku_id,
                CAST(l_quantity AS BIGINT) AS sku_num, strftime(o_orderdate, '%Y-%m-%d') AS create_date
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey
         AND l_shipdate BETWEEN o_orderdate - INTERVAL 5 DAY AND o_orderdate + INTERVAL 5 DAY""",
-    "stream_user_jump": f"""
-        WITH m AS (SELECT {_MARK.format(where="")} AS mark),
-             n AS (SELECT *, lead(ts) OVER w AS next_ts, lead(event_type) OVER w AS next_type FROM events, m WHERE ts <= mark
+    "stream_user_jump": """
+        WITH n AS (SELECT *, lead(ts) OVER w AS next_ts, lead(event_type) OVER w AS next_type FROM events
                    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
         SELECT event_id, CAST(user_id AS VARCHAR) AS user_id FROM n WHERE event_type = 'signup'
-        AND (next_type = 'signup' OR next_ts - ts >= INTERVAL 12 HOUR OR (next_ts IS NULL AND ts + INTERVAL 12 HOUR <= mark))""",
+        AND (next_type = 'signup' OR next_ts - ts >= INTERVAL 12 HOUR OR next_ts IS NULL)""",
+}
+_PATTERNS = pattern_queries.ORACLE
+ORACLE |= {
+    "stream_new_user_fix": f"SELECT event_id, is_new FROM ({_PATTERNS['new_user_fix']})",
+    "stream_daily_visit": f"SELECT event_id FROM ({_PATTERNS['daily_unique_visit']})",
+    "stream_login_alert": f"""
+        SELECT event_id, CAST(user_id AS VARCHAR) AS user_id FROM (
+            WITH {pattern_queries.LOGINS} SELECT event_id, user_id FROM f
+            WHERE event_type = 'error' AND prev_type = 'error' AND ts - prev_ts < INTERVAL 6 HOUR
+            QUALIFY row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) = 1)""",
+    "stream_order_next": f"""
+        SELECT event_id, 'matched' AS outcome FROM ({_PATTERNS['order_cep_matched']})
+        UNION ALL SELECT event_id, 'timeout' FROM ({_PATTERNS['order_cep_timeout']})""",
+    "stream_click_limit": f"""
+        SELECT event_id, 'normal' AS outcome FROM ({_PATTERNS['blacklist_normal']})
+        UNION ALL SELECT event_id, 'alert' FROM ({_PATTERNS['blacklist_alert']})""",
+    "stream_order_watch": _PATTERNS["order_pay_watch_all"],
 }

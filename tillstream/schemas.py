@@ -13,12 +13,9 @@ def _schema(**fields) -> T.StructType:
 
 _L, _I, _S = T.LongType(), T.IntegerType(), T.StringType()
 
-USER_BEHAVIOR = _schema(user_id=_L, item_id=_L, category_id=_I, behavior=_S, ts=_L)
 ADS_CLICK = _schema(user_id=_L, ad_id=_L, province=_S, city=_S, ts=_L)
 LOGIN = _schema(user_id=_L, ip=_S, event_type=_S, ts=_L)
 ORDER_EVENT = _schema(order_id=_L, event_type=_S, tx_id=_S, ts=_L)
-TX_EVENT = _schema(tx_id=_S, pay_channel=_S, ts=_L)
-MARKETING = _schema(user_id=_L, behavior=_S, channel=_S, ts=_L)
 ACCESS_LOG = _schema(id=_S, ts=T.TimestampType(), method=_S, url=_S)
 SENSOR = _schema(id=_S, ts=_L, vc=_I)
 
@@ -97,21 +94,5 @@ PRODUCT_STATS_COLUMNS = [
     "refund_amount", "comment_ct", "good_comment_ct",
 ]
 
-# Code lists: fixed values.
-ORDER_STATUS = {"unpaid": "1001", "paid": "1002", "cancel": "1003",
-                "finish": "1004", "refund": "1005", "refund_done": "1006"}
-PAYMENT_TYPE = {"alipay": "1101", "wechat": "1102", "union": "1103"}
+# Codes of appraisals: fixed values.
 APPRAISE = {"good": "1201", "soso": "1202", "bad": "1203", "auto": "1204"}
-REFUND_REASON = {"bad_goods": "1301", "wrong_desc": "1302", "sale_out": "1303",
-                 "size_issue": "1304", "mistake": "1305", "no_reason": "1306",
-                 "other": "1307"}
-COUPON_STATUS = {"unused": "1401", "using": "1402", "used": "1403"}
-REFUND_TYPE = {"only_money": "1501", "with_goods": "1502"}
-SOURCE_TYPE = {"query": "2401", "promotion": "2402", "auto_recommend": "2403",
-               "activity": "2404"}
-ACTIVITY_RULE = {"mj": "3101", "dz": "3102", "zk": "3103"}
-COUPON_TYPE = {"mj": "3201", "dz": "3202", "dj": "3203"}
-COUPON_RANGE = {"category3": "3301", "trademark": "3302", "spu": "3303"}
-KEYWORD_SOURCE = {"search": "SEARCH", "click": "CLICK", "cart": "CART",
-                  "order": "ORDER"}
-SINK_TYPES = ("hbase", "kafka", "clickhouse")

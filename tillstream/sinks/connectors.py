@@ -35,6 +35,6 @@ def jdbc_append(df: DataFrame, options: dict[str, str], batch_rows: int = 10_000
     df.write.format("jdbc").options(**options).option("batchsize", str(batch_rows)).mode("append").save()
 
 
-def write_by_table(df: DataFrame, path: str, column: str = "sink_table") -> None:
-    """Routed rows as one folder per sink table."""
-    df.write.mode("append").partitionBy(column).parquet(path)
+def write_by_table(df: DataFrame, path: str, batch: int | str = 0, column: str = "sink_table") -> None:
+    """Routed rows as one folder per sink table within the batch's folder; a batch written again replaces itself."""
+    df.write.mode("overwrite").partitionBy(column).parquet(f"{path}/batch={batch}")

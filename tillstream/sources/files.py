@@ -14,16 +14,6 @@ def text_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return (spark.readStream if stream else spark.read).text(path)
 
 
-def spread(scan: DataFrame, *by: str) -> DataFrame:
-    """Spread a scan of fewer pieces than there are cores (few or unsplittable files) over all cores.
-
-    For work that is heavy per row, such as parsing. A scan of many pieces stays as it is, so
-    large tables pay no shuffle. ``by`` keeps a repeated task's rows in the same place.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *by)
-
-
 def delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
               stream: bool = False) -> DataFrame:
     """Header-less delimited records, columns by position with the types of ``schema``."""
@@ -37,11 +27,19 @@ def rows(spark: SparkSession, data: Sequence[tuple], schema: T.StructType) -> Da
 
 
 def access_log(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Web-access-log lines as id, ts, method and url (space-separated fields 0, 3, 5, 6)."""
+    """Web-access-log lines as id, ts, method and url (space-separated fields 0, 3, 5, 6).
+
+    Fields that a short line lacks are null; ``broken_lines`` gives such lines.
+    """
     part = F.split(col, " ")
     # Fixed value: the time format of the log.
-    at = F.try_to_timestamp(part[3], F.lit("dd/MM/yyyy:HH:mm:ss"))
-    return lines.select(part[0].alias("id"), at.alias("ts"), part[5].alias("method"), part[6].alias("url"))
+    at = F.try_to_timestamp(F.get(part, 3), F.lit("dd/MM/yyyy:HH:mm:ss"))
+    return lines.select(F.get(part, 0).alias("id"), at.alias("ts"), F.get(part, 5).alias("method"), F.get(part, 6).alias("url"))
+
+
+def broken_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Web-access-log lines with fewer than seven fields."""
+    return lines.where(F.coalesce(F.size(F.split(col, " ")) < 7, F.lit(True)))
 
 
 def seconds_to_ts(df: DataFrame, col: str = "ts") -> DataFrame:

@@ -61,9 +61,14 @@ def to_folder(path: str, partition_by: Sequence[str] = ()) -> BatchSink:
     return write
 
 
-def to_console(rows: int = 20) -> BatchSink:
-    """The first rows of each micro-batch on the console."""
-    return lambda df, batch_id: df.show(rows, truncate=False)
+def to_console(rows: int | None = None) -> BatchSink:
+    """The rows of each micro-batch on the console, or so many of them."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        count = df.count()
+        df.show(count if rows is None else rows, truncate=False)
+        print(f"batch {batch_id}: {count} rows")
+
+    return write
 
 
 def to_jdbc(options: dict[str, str], target: Sequence[str], transient: Sequence[str] = ()) -> BatchSink:
