@@ -31,7 +31,7 @@ CAPACITY = 1024
 END = 2
 PIECE = "piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
 #: A space before more white space: there the pretokenizer may join what a cut at spaces would part.
 _ODD = re.compile(r" \s")

@@ -95,9 +95,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
                 places = (keys & ((1 << BITS) - 1)).astype(np.int32)
                 for i in range(end - begin):
                     ftrl.learn(places[cuts[i] : cuts[i + 1]], int(marks[begin + i] > 0))
-        weights = ftrl.weight(ftrl.z, np.sqrt(ftrl.n))
-        kept = np.flatnonzero(weights)
-        yield pa.record_batch({"place": pa.array(kept, pa.int32()), "weight": pa.array(weights[kept], pa.float64())})
+        kept = np.flatnonzero(np.abs(ftrl.z) > l1)
+        yield pa.record_batch({"place": pa.array(kept, pa.int32()), "weight": pa.array(ftrl.weight(ftrl.z[kept], np.sqrt(ftrl.n[kept])), pa.float64())})
 
     model = ordered.mapInArrow(run, "place int, weight double").toPandas().sort_values("place")
     return Model(bias, model["place"].to_numpy(np.int32), model["weight"].to_numpy(np.float64))
@@ -122,7 +121,7 @@ def _scored(docs: DataFrame, model: Model, text: str, schema: str, rows) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        dense = np.zeros(1 << BITS)
+        dense = np.zeros(1 << BITS, np.float32)
         dense[own.places] = own.weights
         for batch in batches:
             yield rows(batch, scores(batch.column(text), dense, own.bias))
