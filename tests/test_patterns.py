@@ -48,8 +48,18 @@ def test_failures(spark, policy):
     every = p.login_alerts(logins, "key", "kind", "ts", ["id"], 3 * S, once_per_run=False, policy=policy)
     assert values(every, F.unix_seconds("second_ts")) == [(1,), (1,), (9,)]
     seqs = p.failure_sequences(logins, "key", "kind", "ts", "id", 2 * S, policy)
-    got = values(seqs, F.unix_seconds("start_ts"), F.unix_seconds("end_ts"), "fails", "events")
-    assert got == [(0, 1, 2, [0, 1]), (0, 1, 3, [0, 1, 1]), (1, 1, 2, [1, 1])]
+    got = values(seqs, F.unix_seconds("start_ts"), F.unix_seconds("end_ts"), "fails", "first_pos", "last_pos")
+    assert got == [(0, 1, 2, 1, 2), (0, 1, 3, 1, 3), (1, 1, 2, 2, 3)]
+    members = p.sequence_members(seqs, logins, "key", "kind", "ts", "id", policy)
+    assert values(members, "first_pos", "last_pos", "id") == [(1, 2, 0), (1, 2, 1), (1, 3, 0), (1, 3, 1), (1, 3, 1), (2, 3, 1), (2, 3, 1)]
+
+
+def test_long_run_of_failures(spark):
+    """Two thousand failures of one attacker: all sequences within ten seconds, none of them with a list."""
+    logins = events(spark, [(1, "fail", k) for k in range(2000)])
+    seqs = p.failure_sequences(logins, "key", "kind", "ts", "id", 10 * S)
+    assert seqs.count() == sum(min(9, 1999 - k) for k in range(2000))
+    assert not any(t.startswith("array") for _, t in seqs.dtypes)
 
 
 ORDERS = [(34756, "create", 1558430913), (34767, "create", 1558430949), (34768, "pay", 1558430950),

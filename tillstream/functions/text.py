@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,6 @@ class SplitWords:
     """Table function ``split_words(text) -> (word)`` for SQL lateral joins."""
 
     def eval(self, text: str):
-        import regex
-
         for word in regex.findall(WORD_PATTERN, (text or "").lower()):
             yield (word,)
 

@@ -65,33 +65,39 @@ def login_alerts(df: DataFrame, key: str, kind: str, ts: str, ties: Sequence[str
     return hits.drop(*ties)
 
 
+def _failures(df: DataFrame, key: str, kind: str, ts: str, tie: str, policy: SplitPolicy | None, hot: HotKeys | None) -> DataFrame:
+    """Failures with their run (a number per key that grows with each success) and position in the key."""
+    rows = df.where(F.col(kind).isin("fail", "success"))
+    success = F.when(F.col(kind) == "success", 1).otherwise(0).cast("long")
+    return with_ordered(rows, [key], ts, [tie], policy, hot,
+                        run=running("sum", success), pos=position()).where(F.col(kind) == "fail")
+
+
 def failure_sequences(df: DataFrame, key: str, kind: str, ts: str, tie: str, within: timedelta,
                       policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Every sequence of two or more failures in a row that starts and ends within the time.
 
-    ``events`` lists the ``tie`` values of the sequence. Starts meet possible ends through time
-    slots inside the run, so only rows close in time are compared.
+    One row each, with the positions of its first and last failure; all positions between are
+    its members, which ``sequence_members`` gives. Starts meet possible ends through time slots
+    inside the run, so only rows close in time are compared.
     """
-    rows = df.where(F.col(kind).isin("fail", "success"))
-    success = F.when(F.col(kind) == "success", 1).otherwise(0).cast("long")
-    fails = with_ordered(rows, [key], ts, [tie], policy, hot,
-                         run=running("sum", success), pos=position()).where(F.col(kind) == "fail")
-    head = fails.select(F.col(key), "run", F.col("pos").alias("head_pos"), F.col(ts).alias("start_ts"),
-                        F.col(tie).alias("head_id"))
-    tail = fails.select(F.col(key).alias("_key"), F.col("run").alias("_run"), F.col("pos").alias("_pos"),
-                        F.col(ts).alias("_ts"), F.col(tie).alias("_id"))
+    fails = _failures(df, key, kind, ts, tie, policy, hot)
+    head = fails.select(F.col(key), "run", F.col("pos").alias("first_pos"), F.col(ts).alias("start_ts"))
+    tail = fails.select(F.col(key).alias("_key"), F.col("run").alias("_run"), F.col("pos").alias("last_pos"),
+                        F.col(ts).alias("end_ts"))
     within_us = timedelta(microseconds=micros(within) - 1)
-    pairs = interval_join(head, tail, {key: "_key", "run": "_run"}, "start_ts", "_ts",
-                          timedelta(0), within_us, hot=True).where(F.col("_pos") > F.col("head_pos"))
-    # Followers of one start; all of them are part of the result, so the list is no larger
-    # than what the start reports.
-    followers = pairs.groupBy(key, "run", "head_pos", "start_ts", "head_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col("_ts"), F.col("_id")))).alias("_f"))
-    ends = followers.select("*", F.posexplode("_f").alias("_i", "_end"))
-    members = F.transform(F.slice(F.col("_f"), F.lit(1), F.col("_i") + 1), lambda x: x["_id"])
-    return ends.select(key, "start_ts", F.col("_end._ts").alias("end_ts"),
-                       (F.col("_i") + 2).cast("long").alias("fails"),
-                       F.concat(F.array("head_id"), members).alias("events"))
+    pairs = interval_join(head, tail, {key: "_key", "run": "_run"}, "start_ts", "end_ts",
+                          timedelta(0), within_us, hot=True).where(F.col("last_pos") > F.col("first_pos"))
+    # Nothing but failures stands between two failures of a run.
+    return pairs.select(key, "first_pos", "last_pos", "start_ts", "end_ts", (F.col("last_pos") - F.col("first_pos") + 1).alias("fails"))
+
+
+def sequence_members(sequences: DataFrame, df: DataFrame, key: str, kind: str, ts: str, tie: str,
+                     policy: SplitPolicy | None = None, hot: HotKeys | None = None) -> DataFrame:
+    """One row per member of each sequence: its positions and the member's ``tie`` value."""
+    at = sequences.select(key, "first_pos", "last_pos", F.explode(F.sequence("first_pos", "last_pos")).alias("_at"))
+    fails = _failures(df, key, kind, ts, tie, policy, hot).select(F.col(key).alias("_key"), F.col("pos").alias("_pos"), tie)
+    return at.join(fails, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_pos"))).drop("_key", "_at", "_pos")
 
 
 def next_is(df: DataFrame, key: str, kind: str, first: str, second: str, ts: str, ties: Sequence[str],

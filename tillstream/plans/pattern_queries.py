@@ -48,9 +48,14 @@ def login_alert(spark: SparkSession, sf: str) -> DataFrame:
 
 def login_cep(spark: SparkSession, sf: str) -> DataFrame:
     seqs = p.failure_sequences(b.logins(spark, sf), "user_id", "kind", "ts", "event_id", SIX_HOURS)
-    ids = F.array_join(F.transform("events", lambda x: x.cast("string")), ",")
-    return seqs.select("user_id", text(F.col("start_ts")).alias("started"), text(F.col("end_ts")).alias("ended"), "fails",
-                       ids.alias("events"))
+    return seqs.select("user_id", "first_pos", text(F.col("start_ts")).alias("started"), text(F.col("end_ts")).alias("ended"), "fails")
+
+
+def login_cep_members(spark: SparkSession, sf: str) -> DataFrame:
+    """The failures of each sequence."""
+    logins = b.logins(spark, sf)
+    seqs = p.failure_sequences(logins, "user_id", "kind", "ts", "event_id", SIX_HOURS)
+    return p.sequence_members(seqs, logins, "user_id", "kind", "ts", "event_id")
 
 
 def _cep(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -93,7 +98,7 @@ def blacklist_dropped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
-    new_user_fix, daily_unique_visit, user_jump, user_jump_cut, login_alert, login_cep, order_cep_matched, order_cep_timeout,
+    new_user_fix, daily_unique_visit, user_jump, user_jump_cut, login_alert, login_cep, login_cep_members, order_cep_matched, order_cep_timeout,
     order_pay_watch, order_pay_watch_all, blacklist_normal, blacklist_alert, blacklist_dropped)}
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -125,11 +130,15 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) = 1""",
     "login_cep": f"""
         WITH {LOGINS}, e AS (SELECT * FROM f WHERE event_type = 'error')
-        SELECT h.user_id, strftime(h.ts, {_TEXT}) AS started, strftime(t.ts, {_TEXT}) AS ended, count(*) AS fails,
-               string_agg(CAST(m.event_id AS VARCHAR), ',' ORDER BY m.pos) AS events
+        SELECT h.user_id, h.pos AS first_pos, strftime(h.ts, {_TEXT}) AS started, strftime(t.ts, {_TEXT}) AS ended, count(*) AS fails
         FROM e h JOIN e t ON t.user_id = h.user_id AND t.run = h.run AND t.pos > h.pos AND t.ts - h.ts < INTERVAL 6 HOUR
         JOIN e m ON m.user_id = h.user_id AND m.pos BETWEEN h.pos AND t.pos
         GROUP BY h.user_id, h.pos, t.pos, h.ts, t.ts""",
+    "login_cep_members": f"""
+        WITH {LOGINS}, e AS (SELECT * FROM f WHERE event_type = 'error')
+        SELECT h.user_id, h.pos AS first_pos, t.pos AS last_pos, m.event_id
+        FROM e h JOIN e t ON t.user_id = h.user_id AND t.run = h.run AND t.pos > h.pos AND t.ts - h.ts < INTERVAL 6 HOUR
+        JOIN e m ON m.user_id = h.user_id AND m.pos BETWEEN h.pos AND t.pos""",
     "order_cep_matched": f"""
         WITH {_CEP} SELECT event_id, user_id, strftime(ts, {_TEXT}) AS created, strftime(next_ts, {_TEXT}) AS paid FROM n
         WHERE event_type = 'view' AND next_type = 'purchase' AND next_ts - ts < INTERVAL 12 HOUR""",

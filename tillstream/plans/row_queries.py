@@ -12,9 +12,10 @@ from tillstream.operators import changes, logs
 from tillstream.operators.joins import coalesce_merge as merge_rows
 from tillstream.operators.joins import tag_union
 from tillstream.plans import bindings as b
-from tillstream.schemas import APPRAISE, ROUTE
+from tillstream.schemas import ADS_CLICK, APPRAISE, ROUTE
+from tillstream.session import scratch
 from tillstream.sinks.connectors import as_messages
-from tillstream.sources.files import access_log, rows
+from tillstream.sources.files import access_log, broken_lines, delimited, rows, text_lines
 
 
 def access_log_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,6 +253,41 @@ def good_comment_flag(spark: SparkSession, sf: str) -> DataFrame:
                                       t.code_flag(appraise, APPRAISE["good"]).alias("good"))
 
 
+def _written(df: DataFrame, kind: str, **options: str) -> str:
+    """Rows written as files to the shared folder."""
+    path = scratch(df.sparkSession, kind)
+    df.write.format(kind).options(**options).save(path)
+    return path
+
+
+def file_text_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Word counts over text files of the part names, one line each."""
+    path = _written(b.table(spark, sf, "part").select(F.col("p_name").alias("value")), "text")
+    words = text_lines(spark, path).select(F.explode(F.split("value", " ")).alias("word"))
+    return words.where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def file_csv_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """Advert clicks read from delimited files."""
+    clicks = b.events(spark, sf).select("user_id", (b.k() % 10).alias("ad_id"), F.lit("p").alias("province"), F.lit("c").alias("city"),
+                                        F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts"))
+    path = _written(clicks, "csv")
+    return delimited(spark, path, ADS_CLICK).groupBy("ad_id").agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("latest"))
+
+
+def access_log_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of the access log that lack fields, among whole ones: every eleventh is cut off."""
+    cut = F.when(F.col("event_id") % 11 == 0, F.substring_index("value", " ", 4)).otherwise(F.col("value"))
+    lines = b.access_lines(spark, sf).withColumn("event_id", F.split("value", " ")[0].cast("long"))
+    return broken_lines(lines.select("event_id", cut.alias("value"))).select("event_id", F.size(F.split("value", " ")).alias("fields"))
+
+
+def keyword_explode_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of the users' turns of conversations with their counts."""
+    turns = b.table(spark, sf, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    return t.explode_words(turns, "text").groupBy("conv_id", "turn", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def keyword_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Words of every document with their counts."""
     return t.explode_words(b.documents(spark, sf), "text").groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -262,7 +298,7 @@ QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     map_square, partition_map, flatmap_powers, filter_even, key_by_parity, keyed_project, shuffle_identity,
     log_dirty_split, log_split_counts, log_display_explode, order_derive, coalesce_merge, coalesce_merge_all, union_all, connect_tagged,
     event_time_fallback, scalar_string, scalar_date, scalar_math, age_365, json_access, json_rebuild,
-    good_comment_flag, keyword_explode)}
+    good_comment_flag, keyword_explode, keyword_explode_turns, file_text_words, file_csv_clicks, access_log_broken)}
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
@@ -369,6 +405,15 @@ ORACLE: dict[str, str] = {
         SELECT event_id, '{"k":0,"user":' || user_id || '}' AS props FROM events""",
     "good_comment_flag": f"""
         SELECT event_id, '120' || ({_K} % 4 + 1) AS appraise, CAST({_K} % 4 = 0 AS BIGINT) AS good FROM events""",
+    "keyword_explode_turns": r"""
+        SELECT conv_id, turn, word, count(*) AS n
+        FROM (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '\p{L}+|\p{N}+')) AS word FROM conversations WHERE role = 'user')
+        GROUP BY ALL""",
+    "file_text_words": """
+        SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) WHERE word <> '' GROUP BY word""",
+    "file_csv_clicks": f"""
+        SELECT {_K} % 10 AS ad_id, count(*) AS clicks, max(CAST(floor(epoch(ts)) AS BIGINT)) AS latest FROM events GROUP BY ALL""",
+    "access_log_broken": "SELECT event_id, 4 AS fields FROM events WHERE event_id % 11 = 0",
     "keyword_explode": r"""
         SELECT doc_id, word, count(*) AS n
         FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+|\p{N}+')) AS word FROM documents)
