@@ -231,3 +231,50 @@ def test_times(spark):
 
 def test_names():
     assert text.camel_case("order_detail_id") == "orderDetailId"
+
+
+def test_aggregate_keys_beyond_doubles(spark):
+    """Nullable long keys stay apart above 2^53; arrays and times may be keys."""
+    from datetime import datetime
+
+    from tillstream.operators.aggregates import aggregate
+    from tillstream.plans.aggregate_queries import COUNTER
+
+    rows = [(2**53, "a"), (2**53 + 1, "a"), (None, "a"), (None, "b"), (2**53 + 1, "a")]
+    found = aggregate(spark.createDataFrame(rows, "k long, s string"), ["k", "s"], COUNTER, "n")
+    assert {(r.k, r.s): r.n for r in found.collect()} == {(2**53, "a"): 1, (2**53 + 1, "a"): 2, (None, "a"): 1, (None, "b"): 1}
+    at = datetime(2024, 1, 1, 0, 0, 0, 123456)
+    other = spark.createDataFrame([([1, 2], at), ([1, 2], at), ([1], None)], "k array<int>, t timestamp")
+    assert sorted((r.k, r.t, r.n) for r in aggregate(other, ["k", "t"], COUNTER, "n").collect()) == [([1], None, 1), ([1, 2], at, 2)]
+
+
+def test_late_keeps_rows_without_batch(spark):
+    from datetime import datetime, timedelta
+
+    from tillstream.operators.late import mark_late
+
+    rows = [(1, 0, datetime(2024, 1, 1)), (2, None, datetime(2024, 1, 1)), (3, 1, None), (4, 1, datetime(2023, 1, 1))]
+    df = spark.createDataFrame(rows, "id int, batch int, ts timestamp")
+    found = mark_late(df, "ts", "batch", timedelta(hours=1), timedelta(0))
+    assert sorted((r.id, r.late) for r in found.collect()) == [(1, False), (2, False), (3, False), (4, True)]
+
+
+def test_short_records_are_kept(spark):
+    from tillstream.operators.changes import normalize_changes
+    from tillstream.operators.logs import product_actions
+    from tillstream.sources.files import access_log, broken_lines
+
+    lines = spark.createDataFrame([("1 - - 17/05/2015:10:05:03 +0000 GET /a",), ("2 - -",), ("",), (None,)], "value string")
+    assert [(r.id, r.url) for r in access_log(lines).collect()] == [("1", "/a"), ("2", None), ("", None), (None, None)]
+    assert broken_lines(lines).count() == 3
+    topics = spark.createDataFrame([("s.db.t", '{"op":"create","after":{"a":"1"}}'), ("short", "{}"), ("s.db", "broken"), (None, None)], "topic string, value string")
+    found = normalize_changes(topics, "topic", "value").collect()
+    assert [(r.database, r.table, r.type) for r in found] == [("db", "t", "insert"), (None, None, None), ("db", None, None), (None, None, None)]
+    page = "named_struct('page_id', 'good_detail', 'item', 'x1', 'item_type', 'sku_id')"
+    log = spark.range(1).selectExpr(f"{page} AS page", "array(named_struct('item', '7', 'item_type', 'sku_id')) AS displays", "1L AS ts")
+    assert [(r.sku_id, r.click_ct) for r in product_actions(log).collect()] == [(None, 1), (7, 0)]
+
+
+def test_integer_quotient(spark):
+    rows = spark.createDataFrame([(-8,), (2**53 + 1,), (13,)], "k long").selectExpr("k DIV 7 AS q")
+    assert [r.q for r in rows.collect()] == [-1, (2**53 + 1) // 7, 1]

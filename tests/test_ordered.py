@@ -65,7 +65,8 @@ def test_hot_keys_are_few_and_chunks_are_even(events):
     """Never more hot keys than ``share``; a burst is cut as finely as its rows ask for."""
     hot = hot_keys(events, ["user_id"], "ts", SplitPolicy(share=5))
     assert 1 <= hot.spans.count() <= 5
-    assert hot_keys(events, ["user_id"], "ts").spans.count() == 0
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assert 1 <= hot_keys(events, ["user_id"], "ts").spans.count() <= parts  # the hot user, also on a small table
     burst = events.where(F.col("ts").isNotNull()).withColumn(
         "ts", F.when(F.col("event_id") % 50 != 0, F.lit("2024-01-03").cast("timestamp") + F.make_dt_interval(secs=F.col("event_id") % 3000))
         .otherwise(F.col("ts").cast("timestamp")))
