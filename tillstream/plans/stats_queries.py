@@ -18,12 +18,17 @@ from tillstream.plans.wide import add_province, join_details, join_payments
 HOUR, DAY, HALF_DAY = timedelta(hours=1), timedelta(days=1), timedelta(hours=12)
 
 
-def province_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders by the province of their customer, per day."""
+def province_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with the province of their customer."""
     o = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), "o_custkey",
                                             b.money("o_totalprice").alias("total_amount"), F.col("o_orderdate").alias("rowtime"))
     o = lookup(o, b.table(spark, sf, "customer"), "o_custkey", "c_custkey", {"province_id": F.col("c_nationkey").cast("long")}, "inner")
-    return stats.province_stats(spark, add_province(o, b.dims(spark, sf).province, "inner"), DAY)
+    return add_province(o, b.dims(spark, sf).province, "inner")
+
+
+def province_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by the province of their customer, per day."""
+    return stats.province_stats(spark, province_orders(spark, sf), DAY)
 
 
 def visitor_stats(spark: SparkSession, sf: str) -> DataFrame:

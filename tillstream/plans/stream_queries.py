@@ -13,12 +13,16 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillstream.functions.times import text
+from tillstream.functions.text import register_split_words
+from tillstream.functions.times import interval_text, text
+from tillstream.operators import logs
 from tillstream.operators.windows import sliding_direct, stamp, tumbling
 from tillstream.plans import bindings as b
-from tillstream.plans import pattern_queries, wide
+from tillstream.plans import pattern_queries, stats, stats_queries, wide
 from tillstream.session import configure_streaming, scratch
+from tillstream.sources.connectors import json_table
 from tillstream.streaming import flows
 from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, InOrder, LoginGuard, NewVisitor, OrderWatch, PayNext, follow
 
@@ -38,7 +42,7 @@ def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, c
     table.where(F.coalesce(cut, F.lit(0)) == n).write.mode("append").parquet(folder)
     if n == SLICES - 1:
         end = F.timestamp_micros(F.lit(high) + int(AHEAD.total_seconds() * 1_000_000))
-        values = {ts: end} | {name: F.lit(value) for name, value in closing.items()}
+        values = {ts: end} | {name: value(end) if callable(value) else F.lit(value) for name, value in closing.items()}
         row = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
         table.sparkSession.range(1).select(*row).write.mode("append").parquet(folder)
 
@@ -120,6 +124,42 @@ def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str |
     return _worked_off(spark, tables, build).where(~F.col("key").startswith("-1"))
 
 
+def _lines(df: DataFrame, ts: str, **closing: object) -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
+    """Rows as JSON lines with their time in milliseconds, `ms`."""
+    fields = [F.col(c) for c in df.columns if c != ts]
+    lines = df.select(F.col(ts).alias("at"), F.to_json(F.struct(*fields, F.unix_millis(F.col(ts).cast("timestamp")).alias("ms"))).alias("value"))
+    last = lambda end: F.to_json(F.struct(*[F.lit(v).alias(n) for n, v in closing.items()], F.unix_millis(end).alias("ms")))
+    return {"lines": (lines, "at", {"value": last})}
+
+
+def stream_province_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Order amounts per province and day, from JSON lines by way of a declared table."""
+    orders = stats_queries.province_orders(spark, sf)
+    kept = orders.select("order_id", "total_amount", "rowtime", "province_id", "province_name", "province_area_code",
+                         "province_iso_code", "province_3166_2_code")
+    schema = T.StructType([f for f in kept.schema if f.name != "rowtime"]).add("ms", T.LongType())
+
+    def build(lines: DataFrame) -> DataFrame:
+        return stats.province_sums(json_table(lines.select("value"), schema, "ms", interval_text(DELAY)), timedelta(days=1))
+
+    return _worked_off(spark, _lines(kept, "rowtime", order_id=-1), build)
+
+
+def stream_keyword_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Words searched for per hour; the words come out of the table function in SQL."""
+    texts = stats.search_texts(logs.pages(b.log_rows(spark, sf))).select("full_word", "at")
+
+    def build(rows: DataFrame) -> DataFrame:
+        own = rows.sparkSession
+        register_split_words(own)
+        words = own.sql("SELECT at, w.word AS keyword FROM {texts}, LATERAL split_words(full_word) AS w",
+                        texts=flows.watermarked(rows, "at", DELAY))
+        counted = stamp(tumbling(words, "at", HOUR, ["keyword"], F.count(F.lit(1)).alias("ct")))
+        return counted.select("keyword", "ct", F.lit("search").alias("source"), "stt", "edt")
+
+    return _worked_off(spark, {"texts": (texts, "at", {"full_word": "end"})}, build)
+
+
 def stream_new_user_fix(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.when(b.k() % 2 == 0, "1").otherwise("0")
     out = _followed(spark, _events(spark, sf), NewVisitor(), flag)
@@ -155,7 +195,8 @@ def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
-    stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch)}
+    stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch, stream_province_stats,
+    stream_keyword_stats)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -195,5 +236,7 @@ ORACLE |= {
     "stream_click_limit": f"""
         SELECT event_id, 'normal' AS outcome FROM ({_PATTERNS['blacklist_normal']})
         UNION ALL SELECT event_id, 'alert' FROM ({_PATTERNS['blacklist_alert']})""",
+    "stream_province_stats": stats_queries.ORACLE["province_stats"],
+    "stream_keyword_stats": stats_queries.ORACLE["keyword_stats"],
     "stream_order_watch": _PATTERNS["order_pay_watch_all"],
 }
