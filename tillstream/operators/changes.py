@@ -59,11 +59,11 @@ def keep_columns(data: Column, columns: Column) -> Column:
 def route(changes: DataFrame, routes: DataFrame) -> DataFrame:
     """Attach sink type and table to each change and prune its columns; unknown ones drop out.
 
-    Routes are broadcast: there is one row per source table and operation of a database, a
-    number set by its table list and not by the amount of data.
+    There is one route per source table and operation of a database; Spark broadcasts them while
+    they are below its threshold, and joins by shuffle beyond it.
     """
-    r = F.broadcast(routes.select(F.col("source_table").alias("_table"), F.col("operate_type").alias("_op"),
-                                  "sink_type", "sink_table", "sink_columns", "sink_pk"))
+    r = routes.select(F.col("source_table").alias("_table"), F.col("operate_type").alias("_op"),
+                      "sink_type", "sink_table", "sink_columns", "sink_pk")
     hit = (changes["table"] == r["_table"]) & (changes["type"] == r["_op"])
     out = changes.join(r, hit).withColumn("data", keep_columns(F.col("data"), F.col("sink_columns")))
     return out.drop("_table", "_op", "sink_columns")

@@ -47,7 +47,7 @@ def flat_sku(dims: Dims, how: str = "left") -> DataFrame:
     """The SKU dimension with the names of its SPU, trademark and category."""
     out = lookup(dims.sku, dims.spu, "spu_id", "id", {"spu_name": "spu_name"}, how)
     out = lookup(out, dims.trademark, "tm_id", "id", {"tm_name": "tm_name"}, how)
-    return lookup(out, dims.category3, "category3_id", "id", {"category3_name": "name"}, how, fixed_size=True)
+    return lookup(out, dims.category3, "category3_id", "id", {"category3_name": "name"}, how)
 
 
 def add_sku_chain(df: DataFrame, dims: Dims, how: str = "left", price: bool = False,
