@@ -37,7 +37,7 @@ DEPTH = 5
 ENTRIES = 1 << 19
 WORDS = 1 << 20
 #: Different keys that a counting task holds before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 20
 END = 10
 U = np.uint64
 
@@ -244,7 +244,7 @@ class Scorer:
         self.bits = max(8, int(len(keys) * 4).bit_length())
         place = self._place(keys)
         self.slot = np.full(1 << self.bits, U(2**64 - 1))
-        self.value = np.zeros(1 << self.bits)
+        self.value = np.zeros(1 << self.bits, np.float32)
         self.slot[place] = keys
         self.value[place] = model.values[-1]
 
@@ -255,7 +255,7 @@ class Scorer:
     def log2(self, grams: np.ndarray) -> np.ndarray:
         """log2 of the probability of each byte after its context."""
         place = self._place(grams)
-        out = self.value[place]
+        out = self.value[place].astype(np.float64)
         missed = np.flatnonzero(self.slot[place] != grams)
         if len(missed):
             unique, inverse = np.unique(grams[missed], return_inverse=True)
