@@ -30,7 +30,7 @@ from tillstream.session import stored
 CAPACITY = 1024
 END = 2
 PIECE = "piece int, start long, length long, ids_crc32 long"
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers, twice: those met lately, and those met before them.
 REMEMBERED = 1 << 18
 
 #: A space before more white space: there the pretokenizer may join what a cut at spaces would part.
@@ -50,6 +50,7 @@ class WordTokenizer:
         sizes = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,7 +72,7 @@ class WordTokenizer:
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.before = {}, self.known
         split: list[list[str] | None] = []
         for text in texts:
             if text and _ODD.search(text):
@@ -79,7 +80,10 @@ class WordTokenizer:
             else:
                 words = (text or "").split(" ")
                 split.append([words[0], *(" " + w for w in words[1:])])
-        self._learn([*{w for words in split if words for w in words}.difference(self.known)])
+        new = {w for words in split if words for w in words}.difference(self.known)
+        again = new.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        self._learn([*(new - again)])
         get = self.known.__getitem__
         return [self._plain([text])[0] if words is None else b"".join(map(get, words)) for text, words in zip(texts, split, strict=True)]
 
