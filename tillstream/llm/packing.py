@@ -31,7 +31,7 @@ CAPACITY = 1024
 END = 2
 PIECE = "piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a worker remembers, twice: those met lately, and those met before them.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 
 #: A space before more white space: there the pretokenizer may join what a cut at spaces would part.
 _ODD = re.compile(r" \s")
@@ -69,6 +69,10 @@ class WordTokenizer:
         alone = [w for w in words if not (len(w) > 1 and w[0] == " " and not w[1].isspace())]
         self.known.update(zip(alone, self._plain(alone), strict=True))
 
+    def forget(self) -> None:
+        """Drop all remembered words."""
+        self.known, self.before = {}, {}
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self.known) > REMEMBERED:
@@ -111,6 +115,7 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 columns = {"doc_id": part.column("doc_id").take(pa.array(row, pa.int64())), "piece": pa.array(out[0], pa.int32())}
                 columns |= {name: pa.array(values, pa.int64()) for name, values in zip(("start", "length", "ids_crc32"), out[1:4], strict=True)}
                 yield pa.record_batch(columns | ({"ids": pa.array(out[4], pa.binary())} if with_ids else {}))
+        tokenizer.forget()  # the worker process may go on with other work
 
     kind = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(run, f"doc_id {kind}, {PIECE}" + ", ids binary" * with_ids)
