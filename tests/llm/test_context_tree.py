@@ -125,6 +125,19 @@ def test_probabilities_add_up(spark, corpus, entries):
         assert np.exp2(scorer.log2(grams)).sum() == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize(("depth", "entries", "chunk"), [(5, 60, 1), (4, 1, 50), (5, 1 << 19, 1 << 16), (2, 20, 9), (0, 3, 1)])
+def test_no_context_is_cut(spark, corpus, monkeypatch, depth, entries, chunk):
+    """Whatever number of pairs goes to all tasks, scores are those of the whole tree."""
+    monkeypatch.setattr(context_tree, "CHUNK", chunk)
+    train = corpus[5:40]
+    rows = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string")
+    learnt = spark.createDataFrame([(t,) for t in train], "text string")
+    found = {r.doc_id: r.score for r in context_tree.score(rows, learnt, depth=depth, entries=entries).collect()}
+    tree = PlainTree(train, depth)
+    for i, text in enumerate(corpus):
+        assert found[i] == pytest.approx(tree.log2(text) * math.log10(2), rel=1e-5)
+
+
 def test_nothing_to_learn_or_score(spark):
     docs = spark.createDataFrame([(None, "a b"), (1, None)], "doc_id long, text string")
     found = {r.doc_id: r for r in context_tree.score(docs, docs.where("false")).collect()}
