@@ -2,9 +2,10 @@
 
 Candidates come from min-hashes: a text has `BANDS` keys, each of `ROWS` minima of its shingles' hashes, so a pair of
 similarity 0.8 shares no key with probability (1 - 0.8^4)^32, about 5 in 10^8. Candidates are compared exactly, on the
-full sets. Texts with equal sets are one entry. Of the texts under one key, each is first compared with two of them;
-only pairs that this leaves in different components are then compared one by one, so a large group of near copies costs
-comparisons linear in its size.
+full sets. Texts with equal sets are one entry. Of the texts under one key, each is first compared with two of them, so
+a large group of near copies costs comparisons linear in its size. Keys that this leaves with several components go on
+to an exact prefix filter (`rare_pairs`): two similar sets share one of their rarest shingles, so what many texts have in
+common never makes a pair.
 
 Cases: texts of fewer words than a shingle are one shingle; null and empty texts, and texts of white space, are copies
 of each other; repeated rows are reported one by one; a null id never names a component unless all are null.
@@ -13,6 +14,7 @@ of each other; repeated rows are reported one by one; a null id never names a co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.components import components
+from tillstream.llm.names import unused
 from tillstream.llm.words import SPACES, Words, blocks, grams, mix
 from tillstream.session import stored
 
@@ -43,7 +46,7 @@ def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return gram[new], np.searchsorted(text[new], np.arange(len(texts) + 1))
 
 
-def _classes(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
+def classes_of(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A hash of each text's set."""
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(gram ^ _SEEDS[0]))])
@@ -72,18 +75,54 @@ def _scanned(docs: DataFrame, doc_id: str, text: str, n: int, sets: bool) -> Dat
                 gram, first = shingles(batch.column("_text")[begin:end], n)
                 values = gram if sets else _keys(gram, first).ravel()
                 ends = first if sets else np.concatenate([[0], np.cumsum(BANDS * (np.diff(first) > 0))])
-                yield pa.record_batch({"doc_id": batch.column("doc_id")[begin:end], "class": pa.array(_classes(gram, first).view(np.int64)),
+                yield pa.record_batch({"doc_id": batch.column("doc_id")[begin:end], "class": pa.array(classes_of(gram, first).view(np.int64)),
                                        "hashes": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))})
 
     return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, class long, hashes array<long>")
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (`a`, `b`) of classes that are similar enough."""
+def alike(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """The pairs (`a`, `b`) of classes whose sets (`class`, `hashes`) are similar enough, counted on the whole sets."""
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("hashes").alias("_a")), "a").join(
         sets.select(F.col("class").alias("b"), F.col("hashes").alias("_b")), "b")
-    same = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).alias("same"), (F.size("_a") + F.size("_b")).alias("total"))
-    return same.where(F.col("same") / (F.col("total") - F.col("same")) >= least).select("a", "b")
+    same = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).cast("long").alias("same"), (F.size("_a") + F.size("_b")).alias("total"))
+    p, q = least.numerator, least.denominator
+    return same.where((p + q) * F.col("same") >= p * F.col("total")).select("a", "b")
+
+
+def rare_pairs(members: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """Pairs (`a`, `b`) of classes of different roots that can be similar enough; none that is similar is left out.
+
+    members: `class` and `root`; sets: `class` and `hashes`. Shingles are ordered by how many members have them. Of n
+    shingles a similar pair shares so many that, in this order, the first one shared is among the first
+    n - ceil(least * n) + 1 of the larger set and the first n - ceil(2 * least / (1 + least) * n) + 1 of the smaller
+    one. Only those are join keys, and only where lengths and the places of the shared shingle leave enough room.
+    Shingles of one member come first and match nothing, so they are counted but never joined.
+    """
+    p, q = least.numerator, least.denominator
+    own = stored(members.join(sets, "class").select("class", "root", "hashes", F.size("hashes").cast("long").alias("n")), "members")
+    single = own.select("class", F.explode("hashes").alias("gram"))
+    seen = single.groupBy("gram").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
+    ranked = single.join(seen, "gram").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("seen", "gram"))).alias("met"))
+    full = own.drop("hashes").join(ranked, "class").withColumn("alone", F.col("n") - F.size("met"))
+    longest = F.expr(f"n - ({p} * n + {q - 1}) div {q} + 1 - alone")
+    rows = full.select("class", "root", "n", "alone", F.posexplode(F.slice("met", F.lit(1), F.greatest(F.lit(0), longest).cast("int"))).alias("at", "met"))
+    entries = stored(rows.select("class", "root", "n", (F.col("alone") + F.col("at")).alias("at"), F.col("met.gram").alias("gram")), "rare")
+    roots = entries.groupBy("gram").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("gram")
+    open_ = entries.join(roots, "gram")
+    x = open_.select(*[F.col(c).alias(f"x_{c}") for c in entries.columns])
+    y = open_.where(F.expr(f"at < n - ({2 * p} * n + {p + q - 1}) div {p + q} + 1")).select(*[F.col(c).alias(f"y_{c}") for c in entries.columns])
+    room = F.expr(f"{p + q} * least(x_n - x_at, y_n - y_at) >= {p} * (x_n + y_n) and {q} * y_n >= {p} * x_n")
+    smaller = F.expr("y_n < x_n or y_n = x_n and y_class < x_class")
+    met = x.join(y, (F.col("x_gram") == F.col("y_gram")) & (F.col("x_root") != F.col("y_root")) & smaller & room)
+    return met.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
+
+
+def open_members(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """`class` and `root` of the entries (`key`, `class`) whose key has several roots; a class without root is its own."""
+    placed = entries.join(roots, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"))
+    apart = placed.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("key")
+    return placed.join(apart, "key").select("class", "root").distinct()
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, least: float = 0.8) -> DataFrame:
@@ -97,14 +136,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
         "class", "hashes").dropDuplicates(["class"]), "sets")
     first = shared.select("class", F.explode(F.array("low", "high")).alias("hub")).where("class <> hub").select(
         F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
-    links = stored(_alike(first, sets, least), "links")
-    roots = components(links, "a", "b")
-    placed = shared.select("key", "class").join(roots, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"))
-    apart = placed.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("key")
-    left = stored(placed.join(apart, "key"), "open")
-    x, y = left.select("key", F.col("class").alias("a"), F.col("root").alias("_x")), left.select("key", F.col("class").alias("b"), F.col("root").alias("_y"))
-    rest = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["_x"] != y["_y"])).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    roots = components(links.union(_alike(rest, sets, least)), "a", "b")
+    part = Fraction(least).limit_denominator(10_000)
+    links = stored(alike(first, sets, part), "links")
+    rest = stored(rare_pairs(open_members(shared, components(links, "a", "b")), sets, part), "rest")
+    roots = components(links.union(alike(rest, sets, part)), "a", "b")
     rooted = classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "_least", F.coalesce("root", "class").alias("_root"))
     named = rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("class", "component_id")
     return own.join(named, "class").select("doc_id", "component_id")
@@ -112,5 +147,6 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, least: float = 0.8) -> DataFrame:
     """The documents whose id names their component, all columns as they were."""
-    stay = near_copies(docs, doc_id, text, n, least).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(stay, F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
+    name = unused(docs, "_keep")
+    stay = near_copies(docs, doc_id, text, n, least).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stay, F.col(doc_id).eqNullSafe(F.col(name)), "left_semi")
