@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, context_tree, decontamination, exact_dedup, html_text, packing, sharding, simhash, toxicity, warc
+from tillstream.llm import chat, context_tree, decontamination, exact_dedup, html_text, minhash, packing, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -121,3 +121,8 @@ UNION ALL
 SELECT conv_id, turn, role, NULL, 'plain', -1, '', json_object('content', text, 'role', role)::VARCHAR
 FROM conversations WHERE role NOT IN ('user', 'assistant')
 """
+
+
+@_query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
