@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, context_tree, decontamination, exact_dedup, html_text, minhash, packing, sharding, simhash, toxicity, warc
+from tillstream.llm import chat, context_tree, decontamination, exact_dedup, html_text, minhash, packing, sharding, simhash, toxicity, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,35 @@ FROM conversations WHERE role NOT IN ('user', 'assistant')
 @_query
 def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.clusters(_table(spark, sf_dir, "embeddings")).drop("looked_at")
+
+
+def _lloyd_sql(k: int, dims: int, rounds: int, scale: int, seed: str) -> str:
+    """The same clustering with every distance worked out."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS MATERIALIZED (SELECT row, k, sum((x - c) * (x - c)) AS distance FROM v JOIN c{r} USING (i) GROUP BY row, k),
+a{r} AS MATERIALIZED (SELECT row, k, distance FROM d{r} QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, k) = 1)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS MATERIALIZED (SELECT k, i, sum(x)::BIGINT AS s, count(*) AS n FROM v JOIN a{r} USING (row) GROUP BY k, i),
+c{r + 1} AS MATERIALIZED (SELECT k, i, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c FROM c{r} LEFT JOIN m{r} USING (k, i))""")
+    return f"""
+WITH g AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT row, i, e[i] AS x FROM g, range(1, {dims + 1}) AS r(i)),
+s AS (SELECT e, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), e) - 1 AS k FROM g WHERE vec_id IS NOT NULL QUALIFY k < {k}),
+c0 AS MATERIALIZED (SELECT k, i, e[i] AS c FROM s, range(1, {dims + 1}) AS r(i)),
+{','.join(steps)},
+h AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k),
+w AS (SELECT vec_id, k::INTEGER AS cluster, distance::BIGINT AS distance, centroid_sha256 FROM a{rounds} JOIN h USING (k) JOIN g USING (row))
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       centroid_sha256 FROM w
+"""
+
+
+ORACLE["op12_vafile"] = _lloyd_sql(40, 64, 5, 256, "2")
