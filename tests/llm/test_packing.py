@@ -6,10 +6,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import sentencepiece
 from tokenizers import Tokenizer
 
-from tillstream.llm import packing
+from tillstream.llm import packing, wordids
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", "  ", "a", " a", "a  b", "a \n b", "a\n b", "a\n \nb", "x  y", "x  y", "tab\t\ttab \t t", "don't we'll",
@@ -27,13 +29,48 @@ def tokenizer():
     return t
 
 
-def test_ids_of_odd_texts(tokenizer):
-    own = packing.WordTokenizer(PATH)
-    rng = random.Random(0)
-    texts = ODD + ["".join(rng.choices(["a", "Bc", " ", " ", "\n", "\t", "é", "1", ".", " ", "'s"], k=30)) for _ in range(3000)]
-    for _ in range(2):  # the second time from memory
-        assert own.ids(texts) == [np.array(plain(tokenizer, t)[:-1], "<u4").tobytes() for t in texts]
-    assert own.ids([None]) == [b""]
+def ids_of(words, texts):
+    ids, at = words.of(*wordids.flat(pa.array([None if t is None else t.encode() for t in texts], pa.binary())))
+    return [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]
+
+
+PARTS = ["a", "Bc", " ", " ", "\n", "\t", "é", "1", ".", "\u00a0", "'s", "\u3000", "  ", "日本", "\u0085", "\x1c", "don't", " x", "<|endoftext|>", "</s>"]
+
+
+def odd_texts(seed):
+    rng = random.Random(seed)
+    return ODD + ["".join(rng.choices(PARTS, k=rng.randint(1, 30))) for _ in range(3000)]
+
+
+@pytest.mark.parametrize("remembered", [1 << 20, 50])
+def test_ids_of_odd_texts(tokenizer, monkeypatch, remembered):
+    """The ids of whole texts, from words that are new, remembered or forgotten again."""
+    monkeypatch.setattr(wordids, "REMEMBERED", remembered)
+    own = wordids.byte_level(PATH)
+    texts = odd_texts(0)
+    for _ in range(2):
+        for k in range(0, len(texts), 700):
+            assert ids_of(own, texts[k : k + 700]) == [plain(tokenizer, t)[:-1] for t in texts[k : k + 700]]
+    assert ids_of(own, [None, "a", None]) == [[], plain(tokenizer, "a")[:-1], []]
+    assert ids_of(own, []) == []
+    own.forget()
+    assert ids_of(own, texts[:100]) == [plain(tokenizer, t)[:-1] for t in texts[:100]]
+
+
+def test_words_of_equal_hashes(tokenizer, monkeypatch):
+    """A hash only says where to look: with one for all words, ids are still right."""
+    monkeypatch.setattr(wordids, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    own = wordids.byte_level(PATH)
+    for _ in range(2):
+        assert ids_of(own, ODD) == [plain(tokenizer, t)[:-1] for t in ODD]
+
+
+def test_pieces_of_words():
+    """The piece tokenizer's ids, which puts a space before each text."""
+    whole = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    own = wordids.pieces()
+    texts = [t for t in odd_texts(1) if t]
+    assert ids_of(own, [" " + t for t in texts]) == [whole.encode(t) for t in texts]
 
 
 def check_bins(counts, bins, capacity):

@@ -13,7 +13,6 @@ empty table needs no sequence.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,112 +22,62 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from tillstream.llm.wordids import WordIds, byte_level, flat
+from tillstream.llm.words import blocks
 from tillstream.session import stored
 
 CAPACITY = 1024
 END = 2
+#: Bytes of text that are cut into words at once.
+BLOCK = 1 << 20
 PIECE = "piece int, start long, length long, ids_crc32 long"
-#: Words whose ids a worker remembers, twice: those met lately, and those met before them.
-REMEMBERED = 1 << 19
-
-#: A space before more white space: there the pretokenizer may join what a cut at spaces would part.
-_ODD = re.compile(r" \s")
-
-
-class WordTokenizer:
-    """The tokenizer's ids of whole texts, each distinct word with its leading space tokenized once.
-
-    The byte-level pretokenizer always cuts before a single space that a word follows, so the ids of a text are those
-    of its words in order. Texts with a space before other white space are tokenized as they are.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        sizes = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}
-        self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        joinable = [w for w in words if len(w) > 1 and w[0] == " " and not w[1].isspace()]
-        for at in range(0, len(joinable), 500):
-            own = joinable[at : at + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(w.encode()) for w in own])
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-            begin = 0
-            for word, end in zip(own, cuts.tolist(), strict=True):
-                self.known[word] = ids[begin:end].tobytes()
-                begin = end
-        alone = [w for w in words if not (len(w) > 1 and w[0] == " " and not w[1].isspace())]
-        self.known.update(zip(alone, self._plain(alone), strict=True))
-
-    def forget(self) -> None:
-        """Drop all remembered words."""
-        self.known, self.before = {}, {}
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
-        split: list[list[str] | None] = []
-        for text in texts:
-            if text and _ODD.search(text):
-                split.append(None)
-            else:
-                words = (text or "").split(" ")
-                split.append([words[0], *(" " + w for w in words[1:])])
-        new = {w for words in split if words for w in words}.difference(self.known)
-        again = new.intersection(self.before)
-        self.known.update((w, self.before[w]) for w in again)
-        self._learn([*(new - again)])
-        get = self.known.__getitem__
-        return [self._plain([text])[0] if words is None else b"".join(map(get, words)) for text, words in zip(texts, split, strict=True)]
 
 
 def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece: `doc_id`, `piece`, `start`, `length`, `ids_crc32` and, on request, the `ids` themselves."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        words = _words(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                row, out = [], ([], [], [], [], [])
-                for k, ids in enumerate(tokenizer.ids(part.column("_text").to_pylist())):
-                    ids += end
-                    total = len(ids) // 4
-                    first = total % capacity or capacity
-                    cuts = [0, *range(first, total + 1, capacity)]
-                    for n, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        row.append(k)
-                        for column, value in zip(out, (n, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), ids[4 * a : 4 * b]), strict=True):
-                            column.append(value)
-                columns = {"doc_id": part.column("doc_id").take(pa.array(row, pa.int64())), "piece": pa.array(out[0], pa.int32())}
-                columns |= {name: pa.array(values, pa.int64()) for name, values in zip(("start", "length", "ids_crc32"), out[1:4], strict=True)}
-                yield pa.record_batch(columns | ({"ids": pa.array(out[4], pa.binary())} if with_ids else {}))
-        tokenizer.forget()  # the worker process may go on with other work
+            for begin, end in blocks(batch.column("_text"), BLOCK):
+                ids, at = words.of(*flat(batch.column("_text")[begin:end]))
+                ids, at = np.insert(ids, at[1:], END), at + np.arange(len(at))
+                row, piece, start, length = _cut(np.diff(at), capacity)
+                first = at[row] + start
+                raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+                sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
+                columns = {"doc_id": batch.column("doc_id")[begin:end].take(pa.array(row)), "piece": pa.array(piece, pa.int32()), "start": pa.array(start),
+                           "length": pa.array(length), "ids_crc32": pa.array(sums, pa.int64())}
+                if with_ids:
+                    columns["ids"] = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(4 * np.append(first, len(ids))), pa.py_buffer(raw)]).cast(pa.binary())
+                yield pa.record_batch(columns)
+        words.forget()  # the worker process may go on with other work
+        pa.default_memory_pool().release_unused()
 
     kind = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(run, f"doc_id {kind}, {PIECE}" + ", ids binary" * with_ids)
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+def _cut(totals: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For texts of so many ids: the text of each piece, the piece's number, its start and its length."""
+    first = (totals - 1) % capacity + 1
+    count = (totals - first) // capacity + 1
+    row = np.repeat(np.arange(len(totals)), count)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    start = np.where(piece > 0, first[row] + (piece - 1) * capacity, 0)
+    return row, piece, start, np.where(piece > 0, capacity, first[row])
 
 
-def _tokenizer(path: str) -> WordTokenizer:
+_known: dict[str, WordIds] = {}
+
+
+def _words(path: str) -> WordIds:
     """One for each worker process."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    if path not in _known:
+        _known[path] = byte_level(path)
+    return _known[path]
 
 
 @dataclass

@@ -49,6 +49,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of some bytes, which depends on its bytes and length alone."""
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+
+
 def blocks(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of about `size` bytes, one row at least, so that a worker's memory follows the longest text."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
