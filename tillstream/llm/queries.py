@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import chat, context_tree, decontamination, exact_dedup, html_text, minhash, packing, sharding, simhash, toxicity, vafile, warc
+from tillstream.llm import alignment, chat, context_tree, decontamination, exact_dedup, html_text, minhash, packing, sharding, simhash, toxicity, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,8 @@ SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::B
 
 
 ORACLE["op12_vafile"] = _lloyd_sql(40, 64, 5, 256, "2")
+
+
+@_query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
