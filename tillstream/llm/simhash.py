@@ -164,21 +164,25 @@ def _probed(prints: np.ndarray, positions: list[int], choice: int, distance: int
     place = np.zeros(len(prints), np.int64)
     for k, p in enumerate(positions):
         place |= ((prints >> np.uint64(8 * p)) & np.uint64(255)).astype(np.int64) << 8 * k
-    index = np.full(1 << 24, -1, np.int32)
-    index[place] = np.arange(len(prints))
+    order = np.argsort(place)
+    known = place[order]
+    masks = np.array([sum(1 << q for q in bits) for k in range(1, distance + 1) for bits in combinations(range(24), k)])
+    step = max(1, (1 << 20) // max(1, len(prints)))  # masks that are looked up at once
     a, b, kept = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-    for k in range(1, distance + 1):
-        for bits in combinations(range(24), k):
-            found = index[place ^ sum(1 << q for q in bits)]
-            hit = np.flatnonzero(found > np.arange(len(prints)))
-            hit = hit[_linked(prints[hit] ^ prints[found[hit]], choice, distance)]
-            a.append(hit)
-            b.append(found[hit].astype(np.int64))
-            kept += len(hit)
-            if kept > 1 << 20:
-                x, y = np.concatenate(a), np.concatenate(b)
-                slim = forest(x, y, len(prints))
-                a, b, kept = [x[slim]], [y[slim]], 0
+    for some in (masks[k : k + step, None] for k in range(0, len(masks), step)):
+        near = place ^ some
+        at = np.minimum(np.searchsorted(known, near), len(known) - 1)
+        found, own = order[at], np.broadcast_to(np.arange(len(prints)), near.shape)
+        hit = (known[at] == near) & (found > own)
+        x, y = own[hit], found[hit]
+        good = _linked(prints[x] ^ prints[y], choice, distance)
+        a.append(x[good])
+        b.append(y[good])
+        kept += int(good.sum())
+        if kept > 1 << 20:
+            x, y = np.concatenate(a), np.concatenate(b)
+            slim = forest(x, y, len(prints))
+            a, b, kept = [x[slim]], [y[slim]], 0
     return np.concatenate(a), np.concatenate(b)
 
 
@@ -242,9 +246,3 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     named = rooted.join(least, "_root").select("fingerprint", "component_id")
     return own.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id names their component, all columns as they were."""
-    stay = near_duplicates(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(stay, F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
