@@ -16,6 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.llm.names import unused
 from tillstream.session import stored
 
 KEYS = ["_length", "_head"]
@@ -51,8 +52,17 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", he
 
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, all columns as they were; of rows with the same id and text one stays."""
-    stay = exact_groups(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_digest")).distinct()
-    marked = docs.withColumn("_digest_own", F.sha2(normalised(F.col(text)), 256))
-    kept = marked.join(stay, F.col(doc_id).eqNullSafe(F.col("_keep")) & (F.col("_digest_own") == F.col("_digest")), "left_semi")
-    return kept.dropDuplicates([doc_id, "_digest_own"]).drop("_digest_own")
+    """The documents that stay, all columns as they were; of rows with the same id and text one stays.
+
+    Texts move at most once, and not at all where the ids to drop are few enough for Spark to broadcast them. Only rows
+    whose id repeats are looked at by id and digest.
+    """
+    found = stored(exact_groups(docs, doc_id, text).select("doc_id", "kept", "text_sha256"), "kept")
+    gone, digest, own = (unused(docs, name) for name in ("_gone", "_digest", "_digest_own"))
+    repeated = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("doc_id").alias(gone)), "repeated")
+    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias(gone)).union(repeated).distinct()
+    alone = docs.join(dropped, F.col(doc_id).eqNullSafe(F.col(gone)), "left_anti")
+    again = docs.join(repeated, F.col(doc_id).eqNullSafe(F.col(gone)), "left_semi").withColumn(own, F.sha2(normalised(F.col(text)), 256))
+    stay = found.where("kept").select(F.col("doc_id").alias(gone), F.col("text_sha256").alias(digest)).distinct()
+    kept = again.join(stay, F.col(doc_id).eqNullSafe(F.col(gone)) & (F.col(own) == F.col(digest)), "left_semi")
+    return alone.unionByName(kept.dropDuplicates([doc_id, own]).drop(own))
