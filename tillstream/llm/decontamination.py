@@ -9,8 +9,10 @@ tells the one scan of the corpus which places to hand on; the exact joins that f
 An alignment gains 2 for an equal word and loses 1 for a changed, missing or added one; its score is the share of the
 most that the item can reach. Copies, also edited ones, score 0.6 or more unless over a quarter of the words changed.
 
-Cases: null and empty texts contain nothing; items with fewer than n words prove nothing and are left out; of items
-with equal words the smallest id stands for all; rows that repeat an id are searched one by one and reported once for
+Items of equal words are searched once, under a number of their own; all their ids come back at the end, null ids too.
+
+Cases: null and empty texts contain nothing; items with fewer than n words prove nothing and are left out; items of one
+id but different words are searched on their own and reported once, with the best score; rows that repeat an id are searched one by one and reported once for
 each item, with the best score; empty tables give an empty result.
 """
 
@@ -24,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.llm.names import unused
 from tillstream.llm.words import MARKS, Words, blocks, grams
 from tillstream.session import stored
 
@@ -31,8 +34,8 @@ from tillstream.session import stored
 FILTER = 24
 
 
-def _items(bench: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
-    """`item_id` and `words` (hashes) of each different item of n words or more."""
+def _items(bench: DataFrame, item_id: str, text: str, n: int) -> tuple[DataFrame, DataFrame]:
+    """`item` (a number) and `words` (hashes) of each different item of n words or more; and `item` and `item_id` of all of them."""
     own = bench.select(F.col(item_id).alias("item_id"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,8 +45,9 @@ def _items(bench: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
             yield pa.record_batch({"item_id": batch.column("item_id"), "words": lists})
 
     kind = own.schema["item_id"].dataType.simpleString()
-    found = own.mapInArrow(run, f"item_id {kind}, words array<long>").where(F.size("words") >= n)
-    return found.groupBy("words").agg(F.min("item_id").alias("item_id"))
+    found = stored(own.mapInArrow(run, f"item_id {kind}, words array<long>").where(F.size("words") >= n), "bench")
+    items = stored(found.select("words").distinct().withColumn("item", F.monotonically_increasing_id()), "items")
+    return items, stored(found.join(items, "words").select("item", "item_id").distinct(), "ids")
 
 
 def _item_grams(items: DataFrame, n: int) -> DataFrame:
@@ -56,11 +60,10 @@ def _item_grams(items: DataFrame, n: int) -> DataFrame:
                 place.append(np.arange(len(own)))
                 gram.append(own.view(np.int64))
             at = pa.array(np.concatenate(item)) if item else pa.array([], pa.int64())
-            yield pa.record_batch({"item_id": batch.column("item_id").take(at), "place": pa.array(np.concatenate(place) if place else [], pa.int32()),
+            yield pa.record_batch({"item": batch.column("item").take(at), "place": pa.array(np.concatenate(place) if place else [], pa.int32()),
                                    "gram": pa.array(np.concatenate(gram) if gram else [], pa.int64())})
 
-    kind = items.schema["item_id"].dataType.simpleString()
-    return items.mapInArrow(run, f"item_id {kind}, place int, gram long")
+    return items.select("item", "words").mapInArrow(run, "item long, place int, gram long")
 
 
 def _filter(item_grams: DataFrame) -> np.ndarray:
@@ -144,27 +147,27 @@ def leaks(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str =
 
     The last two are the aligned words' places in the document.
     """
-    items = stored(_items(bench, item_id, item_text, n), "items")
+    items, ids = _items(bench, item_id, item_text, n)
     known = stored(_item_grams(items, n), "grams")
     margin = items.agg(F.coalesce(F.max(F.size("words")), F.lit(0))).first()[0] * 5 // 4
     places = stored(_places(docs, doc_id, text, n, margin, _filter(known)), "stretches")
     hits = places.select("stretch", F.explode("hits").alias("hit")).select("stretch", "hit.at", "hit.gram")
     frequency = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     ranked = known.join(frequency, "gram").withColumn("rank", F.struct("n", "gram", "place"))
-    by_place = Window.partitionBy("item_id").orderBy("place")
+    by_place = Window.partitionBy("item").orderBy("place")
     won = F.collect_list("least.place").over(by_place.rangeBetween(1 - window, 0))
     seeds = ranked.withColumn("least", F.min("rank").over(by_place.rangeBetween(0, window - 1))).select(
-        "item_id", "gram", F.array_contains(won, F.col("place")).alias("rare"))
-    pairs = hits.join(seeds, "gram").groupBy("stretch", "item_id").agg(
+        "item", "gram", F.array_contains(won, F.col("place")).alias("rare"))
+    pairs = hits.join(seeds, "gram").groupBy("stretch", "item").agg(
         F.sort_array(F.collect_set("at")).alias("at"), F.max("rare").alias("rare")).where("rare OR size(at) > 1").drop("rare")
     both = pairs.join(places.select("stretch", "doc_id", "begin", "words"), "stretch").join(
-        items.select("item_id", F.col("words").alias("item")), "item_id")
+        items.select("item", F.col("words").alias("item_words")), "item")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for k in range(batch.num_rows):
-                item, words = (batch.column(c)[k].values.to_numpy() for c in ("item", "words"))
+                item, words = (batch.column(c)[k].values.to_numpy() for c in ("item_words", "words"))
                 reach = len(item) * 5 // 4
                 at, begin = batch.column("at")[k].values.to_numpy(), batch.column("begin")[k].as_py()
                 cuts = np.flatnonzero(np.diff(at) > n + 2 * reach) + 1
@@ -174,17 +177,19 @@ def leaks(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str =
                     out.append((k, score / (2 * len(item)), begin + low + a, begin + low + b))
             rows, *columns = zip(*out, strict=True) if out else [()] * 4
             at = pa.array(rows, pa.int64())
-            yield pa.record_batch({"doc_id": batch.column("doc_id").take(at), "item_id": batch.column("item_id").take(at), "score": pa.array(columns[0], pa.float64()),
+            yield pa.record_batch({"doc_id": batch.column("doc_id").take(at), "item": batch.column("item").take(at), "score": pa.array(columns[0], pa.float64()),
                                    "first_word": pa.array(columns[1], pa.int64()), "end_word": pa.array(columns[2], pa.int64())})
 
-    kinds = [f"{c} {both.schema[c].dataType.simpleString()}" for c in ("doc_id", "item_id")]
-    found = both.select("doc_id", "item_id", "begin", "words", "at", "item").mapInArrow(run, ", ".join(kinds) + ", score double, first_word long, end_word long")
-    best = found.where(F.col("score") >= least).groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("score", -F.col("first_word"), "end_word")).alias("best"))
-    return best.select("doc_id", "item_id", "best.score", (-F.col("best.col2")).alias("first_word"), "best.end_word")
+    kind = both.schema["doc_id"].dataType.simpleString()
+    found = both.select("doc_id", "item", "begin", "words", "at", "item_words").mapInArrow(run, f"doc_id {kind}, item long, score double, first_word long, end_word long")
+    top = F.max(F.struct("score", (-F.col("first_word")).alias("first"), "end_word")).alias("best")
+    by_item = found.where(F.col("score") >= least).groupBy("doc_id", "item").agg(top)
+    best = by_item.join(ids, "item").groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
+    return best.select("doc_id", "item_id", "best.score", (-F.col("best.first")).alias("first_word"), "best.end_word")
 
 
 def without_leaks(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that contain no item, all columns as they were."""
-    found = leaks(docs, bench, doc_id, text, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("_leak")), "left_anti")
+    name = unused(docs, "_leak")
+    found = leaks(docs, bench, doc_id, text, **options).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, F.col(doc_id).eqNullSafe(F.col(name)), "left_anti")
