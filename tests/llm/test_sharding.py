@@ -25,8 +25,11 @@ def check(rows, found, count, whole=None):
     for (_, size, crc), n in want.items():
         weight[crc, size] += n * size
     for key, own in groups.items():
-        if weight[key] * count * sharding.WHOLE <= total:
+        if weight[key] * count <= sharding.TOLERANCE * total:
             assert len(own) == 1
+    largest = max((w for w in weight.values() if w * count <= sharding.TOLERANCE * total), default=0)
+    row = max((size for _, size, _ in want), default=0)
+    assert all(abs(s - total / count) <= max(largest, row) + 1 for s in sizes.values())
     return sizes
 
 
@@ -41,6 +44,48 @@ def test_even_bytes_with_a_hot_text(spark):
     assert max(abs(s - mean) for s in sizes.values()) < 0.01 * mean
 
 
+@pytest.mark.parametrize(("copies", "whole"), [(18, True), (30, False)])
+def test_groups_on_both_sides_of_the_tolerance(spark, copies, whole):
+    """A group just below the tolerance stays in one shard, one above it is dealt out."""
+    rows = [(i, "g" * 99) for i in range(copies)] + [(1000 + i, f"{i:099d}") for i in range(2000 - copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sharding.shards(docs, count=5).collect()
+    check(rows, found, 5)
+    assert copies * 100 * 5 / 200_000 < sharding.TOLERANCE or not whole
+    own = sharding.shards(docs, count=5, tolerance=copies * 100 * 5 / 200_000 if whole else (copies - 1) * 100 * 5 / 200_000)
+    group = zlib.crc32(b"g" * 99)
+    assert (len({r.shard for r in own.collect() if r.text_crc32 == group}) == 1) or not whole
+
+
+def test_against_a_plain_order(spark):
+    """Shard and slot of every row, worked out over one list in the order of the text's and the id's hash."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choices("ab", k=rng.randint(0, 9)))) for i in range(1500)] + [(i, "hot" * 9) for i in range(1500, 2200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    hashes = {r.doc_id: (r.key, r.own) for r in docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), F.xxhash64("doc_id").alias("own")).collect()}
+    size = {i: len(t.encode()) + 1 for i, t in rows}
+    total, weight = sum(size.values()), Counter()
+    for i, _ in rows:
+        weight[hashes[i][0]] += size[i]
+    tie = {i: hashes[i][1] if weight[hashes[i][0]] * 4 > sharding.TOLERANCE * total else 0 for i, _ in rows}
+    order = sorted(size, key=lambda i: (hashes[i][0], tie[i], size[i], zlib.crc32(dict(rows)[i].encode()), i))
+    groups, want, slots, at = defaultdict(int), {}, Counter(), 0
+    for i in order:
+        groups[hashes[i][0], tie[i]] += size[i]
+    ends = {}
+    for key in sorted(groups):
+        at += groups[key]
+        ends[key] = at
+    for i in order:
+        key = (hashes[i][0], tie[i])
+        shard = 4 * (2 * ends[key] - groups[key]) // (2 * total)
+        want[i] = (shard, slots[shard])
+        slots[shard] += 1
+    assert {r.doc_id: (r.shard, r.slot) for r in sharding.shards(docs, count=4).collect()} == want
+
+
 def test_overfull_ranges_are_divided(spark, monkeypatch):
     """Samples too small to find the boundaries: the rows of most ranges come from later rounds."""
     monkeypatch.setattr(sharding, "DRAWS", 1)
@@ -60,12 +105,12 @@ def test_odd_rows(spark):
 
 def test_written_shards(spark, tmp_path):
     rows = [(i, f"text {i} " * (i % 7)) for i in range(300)]
-    docs = spark.createDataFrame([(i, t, i) for i, t in rows], "doc_id long, text string, n int")
+    docs = spark.createDataFrame([(i, t, i, "own", "_") for i, t in rows], "doc_id long, text string, slot int, shard string, _id string")
     sharding.write_shards(docs, f"{tmp_path}/out", count=3)
     back = spark.read.parquet(f"{tmp_path}/out")
-    assert Counter((r.doc_id, r.text, r.n) for r in back.collect()) == Counter((i, t, i) for i, t in rows)
-    assert {r.shard for r in back.collect()} == {0, 1, 2}
-    assert sorted(p.name for p in (tmp_path / "out").glob("shard=*")) == ["shard=0", "shard=1", "shard=2"]
+    assert Counter((r.doc_id, r.text, r.slot, r["shard"], r["_id"]) for r in back.collect()) == Counter((i, t, i, "own", "_") for i, t in rows)
+    assert {r.shard_ for r in back.collect()} == {0, 1, 2}
+    assert sorted(p.name for p in (tmp_path / "out").glob("shard_=*")) == ["shard_=0", "shard_=1", "shard_=2"]
 
 
 @pytest.mark.parametrize("count", [1, 5])

@@ -5,8 +5,9 @@ these keys gives quantile boundaries, rows go to the ranges between them, and ra
 sampled again and subdivided. Sums per range, and running sums within, give every row's place in the whole order, and
 so its shard and slot. Texts are read once and not shuffled; only narrow rows are.
 
-Equal texts stay in one shard. Only a group that exceeds a `WHOLE`-th of a shard is dealt out row by row, as shards
-could not be of equal size otherwise; there are at most `WHOLE` times as many such groups as shards.
+Equal texts stay in one shard, the one their middle falls into, so a boundary moves by half a group at most and a
+shard's size by one group. Only a group of more than `tolerance` of a shard's bytes is dealt out row by row: shards
+could not be as equal as that otherwise. There are at most `shards / tolerance` such groups.
 
 Cases: a null text has no bytes and counts as equal to an empty one; every row has size one at least; repeated rows
 get a slot each; an empty table gives an empty result; fewer rows than shards leave shards empty.
@@ -21,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.llm.names import unused
 from tillstream.session import stored
 
-WHOLE = 256
-#: Ranges at most, before overfull ones are divided, and sampled keys for each.
-RANGES, DRAWS = 1024, 32
+#: By how much of an even shard's bytes a shard may differ for the sake of equal texts.
+TOLERANCE = 0.05
+#: Rows that a range holds on average at most once there are `RANGES` of them, before overfull ones are divided; sampled keys for each.
+RANGES, RANGE_ROWS, DRAWS = 1024, 1_000_000, 32
 
 
 def _codes(key: np.ndarray, tie: np.ndarray) -> np.ndarray:
@@ -62,7 +65,7 @@ def _quantiles(sample: np.ndarray, parts: int) -> np.ndarray:
 
 def _splitters(rows: DataFrame, count: int, total: int) -> tuple[np.ndarray, list]:
     """Boundaries of the ranges, and (rows, bytes) of each range."""
-    ranges = min(RANGES, max(16, count // 200))
+    ranges = max(min(RANGES, max(16, count // 200)), count // RANGE_ROWS)
     splitters = np.unique(_quantiles(_drawn(rows, total, ranges * DRAWS), ranges))
     while True:
         ranged = _ranged(rows, splitters)
@@ -87,15 +90,18 @@ def _splitters(rows: DataFrame, count: int, total: int) -> tuple[np.ndarray, lis
         splitters = grown
 
 
-def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: int = 8) -> DataFrame:
-    """One row per document: `doc_id`, `size`, `text_crc32`, `law` (bytes), `shard`, `slot` and `grown_shard` (null)."""
+def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: int = 8, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per document: `doc_id`, `size`, `text_crc32`, `law` (bytes), `shard`, `slot` and `grown_shard` (null).
+
+    tolerance: by which share of an even shard's bytes a shard may differ from it for the sake of equal texts.
+    """
     spark, full = docs.sparkSession, F.coalesce(F.col(text), F.lit(""))
     narrow = stored(docs.select(
         F.col(doc_id).alias("doc_id"), (F.octet_length(full) + 1).cast("long").alias("size"), F.crc32(full.cast("binary")).alias("text_crc32"),
         F.xxhash64(full).alias("key"), F.xxhash64(F.col(doc_id)).alias("own")), "sizes")
     rows, total = narrow.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    large = narrow.groupBy("key").agg(F.sum("size").alias("_bytes")).where(F.col("_bytes") * (count * WHOLE) > total).select("key", F.lit(True).alias("_large"))
-    tied = stored(narrow.join(F.broadcast(large), "key", "left").select(  # at most count * WHOLE keys
+    large = narrow.groupBy("key").agg(F.sum("size").alias("_bytes")).where(F.col("_bytes") * count > tolerance * total).select("key", F.lit(True).alias("_large"))
+    tied = stored(narrow.join(F.broadcast(large), "key", "left").select(  # at most count / tolerance keys
         "doc_id", "size", "text_crc32", "key", F.when(F.col("_large"), F.col("own")).otherwise(F.lit(0)).cast("long").alias("tie")), "keys")
     splitters, stats = _splitters(tied, rows, total)
     before, n, size = [], 0, 0
@@ -105,10 +111,11 @@ def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: i
     offsets = spark.createDataFrame(before, "range int, _rows long, _bytes long")
     within = Window.partitionBy("range").orderBy("key", "tie")
     order = Window.partitionBy("range").orderBy("key", "tie", "size", "text_crc32", "doc_id")
-    placed = _ranged(tied, splitters).withColumns({"_end": F.sum("size").over(within), "_at": F.row_number().over(order) - 1})
-    # rows of the same key have the same _end, and so the same shard
+    same = F.sum("size").over(within.rangeBetween(Window.currentRow, Window.currentRow))
+    placed = _ranged(tied, splitters).withColumns({"_end": F.sum("size").over(within), "_same": same, "_at": F.row_number().over(order) - 1})
+    # rows of the same key have the same _end and _same, and so the same shard
     found = stored(placed.join(F.broadcast(offsets), "range").select(
-        "doc_id", "size", "text_crc32", F.expr(f"CAST(({count} * (_bytes + _end - 1)) DIV {max(1, total)} AS INT)").alias("shard"),
+        "doc_id", "size", "text_crc32", F.expr(f"CAST(({count} * (2 * (_bytes + _end) - _same)) DIV {2 * max(1, total)} AS INT)").alias("shard"),
         (F.col("_rows") + F.col("_at")).alias("_place")), "places")
     first = found.groupBy("shard").agg(F.min("_place").alias("_first"))
     return found.join(F.broadcast(first), "shard").select(  # one row per shard
@@ -117,8 +124,12 @@ def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: i
 
 
 def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", count: int = 8, files: int = 1) -> None:
-    """Write the documents as Parquet, a folder per shard and about `files` files in each. Ids must be unique."""
-    found = shards(docs, doc_id, text, count).select(F.col("doc_id").alias("_id"), "shard", "slot")
-    part = F.pmod(F.xxhash64("slot"), F.lit(files))
-    full = docs.join(found, F.col(doc_id).eqNullSafe(F.col("_id"))).drop("_id")
-    full.repartition(count * files, "shard", part).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write the documents as Parquet, a folder per shard and about `files` files in each. Ids must be unique.
+
+    The columns `shard` and `slot` come in addition, with underscores after them where the documents have such columns.
+    """
+    name, shard, slot = unused(docs, "_id"), unused(docs, "shard"), unused(docs, "slot")
+    found = shards(docs, doc_id, text, count).select(F.col("doc_id").alias(name), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    part = F.pmod(F.xxhash64(slot), F.lit(files))
+    full = docs.join(found, F.col(doc_id).eqNullSafe(F.col(name))).drop(name)
+    full.repartition(count * files, shard, part).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
