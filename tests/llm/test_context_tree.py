@@ -113,18 +113,6 @@ def test_scores_against_a_plain_tree(spark, corpus):
         assert r.bits_per_byte == pytest.approx(-tree.log2(text) / len(stream(text, 3)), rel=1e-5)
 
 
-@pytest.mark.parametrize("entries", [1 << 19, 60])
-def test_probabilities_add_up(spark, corpus, entries):
-    """Over all bytes after a context, also where the tree is cut."""
-    learnt = spark.createDataFrame([(t,) for t in corpus], "text string")
-    model = context_tree.train(context_tree.counted(learnt, "text", 3), 3, entries)
-    assert all(len(k) <= entries for k in model.keys)
-    scorer = context_tree.Scorer(model)
-    for context in (b"\n\n\n", b"the", b"ing", b"zzz", b"q\x00\xff", b" an"):
-        grams = np.array([int.from_bytes(context + bytes([b])) for b in range(256)], np.uint64)
-        assert np.exp2(scorer.log2(grams)).sum() == pytest.approx(1, abs=1e-4)
-
-
 @pytest.mark.parametrize(("depth", "entries", "chunk"), [(5, 60, 1), (4, 1, 50), (5, 1 << 19, 1 << 16), (2, 20, 9), (0, 3, 1)])
 def test_no_context_is_cut(spark, corpus, monkeypatch, depth, entries, chunk):
     """Whatever number of pairs goes to all tasks, scores are those of the whole tree."""

@@ -252,18 +252,6 @@ def _model(tree: list[list[Nodes]], tables: list[tuple[np.ndarray, np.ndarray]],
     return Model(len(tables) - 1, [k for k, _ in tables], values, [[(n.keys, n.one.astype(np.float32)) for n in level] for level in tree])
 
 
-def build(tables: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-    """The model of counts by depth: sorted contexts with their byte, and how often each was seen.
-
-    A context in a table has all its bytes there, and its shorter contexts are in theirs.
-    """
-    tree = [_levels(k, n.astype(np.float64)) for k, n in tables]
-    ups = _ups(tree)
-    shares, _ = _shares(tree, ups)
-    values, _ = _mixed(tree, ups, shares, tables, [(np.zeros(len(n.keys)), np.ones(len(n.keys))) for n in tree[0]])
-    return _model(tree, tables, values)
-
-
 class Table:
     """Grams and their values in a hash table with one place for each; those that lose their place count as missed."""
 
@@ -351,26 +339,6 @@ def _threshold(sizes: DataFrame, most: int) -> int:
     return 1
 
 
-def train(counts: DataFrame, depth: int = DEPTH, entries: int = ENTRIES) -> Model:
-    """One model in memory of a table of counts, as `counted` gives it, cut to `entries` pairs per depth; `score` has no such cut."""
-    full = counts.where("kind = 0").select("key", "n")
-    tables, least = [], 1
-    for d in range(depth + 1):
-        key = F.col("key").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1).cast("long"))
-        own = full.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
-        byte = F.struct(F.col("key").bitwiseAND(F.lit(255).cast("long")).alias("byte"), "n")
-        context = own.groupBy(F.shiftright("key", 8).alias("context")).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("entries"), F.collect_list(byte).alias("bytes"))  # 256 at most
-        context = stored(context, "contexts")
-        least = max(least, _threshold(context, entries))
-        kept = context.where(F.col("total") >= least).select("context", F.explode("bytes").alias("b")).select(
-            (F.shiftleft("context", 8) + F.col("b.byte")).alias("key"), F.col("b.n").alias("n")).toArrow()
-        keys, n = kept["key"].to_numpy().astype(np.uint64), kept["n"].to_numpy()
-        order = np.argsort(keys)
-        tables.append((keys[order], n[order]))
-    return build(tables) if len(tables[0][0]) else Model(depth, [np.zeros(0, np.uint64)] * (depth + 1), [np.zeros(0)] * (depth + 1), [])
-
-
 def _mask(n: int) -> int:
     return (1 << 8 * n) - 1
 
