@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +78,29 @@ def pair_by_occurrence(left: DataFrame, right: DataFrame, key: str, left_order:
     return l.join(r, (l[key] == r[rk]) & (l["nth"] == r["_nth"])).drop(rk, "_nth")
 
 
+def co_process(left: DataFrame, right: DataFrame, keys: Sequence[str], each: Callable[[pa.Table, pa.Table], pa.Table],
+               schema: str) -> DataFrame:
+    """A function of two inputs: called once per key with the rows of both sides, as Arrow tables; a side may be empty.
+
+    A key's rows of both sides must fit in a task; ``chunked_pairs`` cuts keys that may not.
+    """
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(each, schema)
+
+
+def chunked_pairs(left: DataFrame, right: DataFrame, key: str, left_order: Sequence[str], right_order: Sequence[str],
+                  each: Callable[[pa.Table, pa.Table], pa.Table], schema: str, chunk: int = 10_000, policy: SplitPolicy | None = None) -> DataFrame:
+    """``co_process`` for functions that put the n-th left row of a key next to its n-th right row.
+
+    Rows get their position ``nth`` in the key first, and a call sees the positions of one chunk only, so a hot key is
+    spread over as many calls as it has chunks.
+    """
+    def placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+        own = with_ordered(df, [key], order[0], order[1:], policy, nth=position())
+        return own.withColumn("_chunk", F.floor((F.col("nth") - 1) / chunk))
+
+    return co_process(placed(left, left_order), placed(right, right_order), [key, "_chunk"], each, schema)
+
+
 def coalesce_merge(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Full merge of two tables of one shape: the left value where there is one, else the right."""
     l, r = left.alias("l"), right.alias("r")

@@ -30,6 +30,20 @@ def stamp(df: DataFrame) -> DataFrame:
                      text(F.col("window_end")).alias("edt"), *rest)
 
 
+def distinct_in_windows(df: DataFrame, ts: str, size: timedelta, values: Sequence[str], out: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Different values per tumbling window and key, counted exactly; a null is no value.
+
+    One row per window, key and value is left before the count, so a window with many rows is never one group of
+    them all. On a watermarked stream both steps drop their state once their window is closed.
+    """
+    first = df.withColumn("_w", F.window(ts, interval_text(size))).select("_w", *keys, *values).dropDuplicates()
+    known = F.lit(True)
+    for value in values:
+        known = known & F.col(value).isNotNull()
+    grouped = first.groupBy("_w", *keys).agg(F.count(F.when(known, 1)).alias(out))
+    return grouped.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, out)
+
+
 def sliding_direct(df: DataFrame, ts: str, size: timedelta, slide: timedelta,
                    keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Sliding windows by Spark's own window expression: every row is copied ``size/slide``

@@ -79,8 +79,8 @@ def create_pay_events(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select("user_id", kind.alias("kind"), "ts", "event_id").where(F.col("kind").isNotNull())
 
 
-def order_states(spark: SparkSession, sf: str, created_if: str = "o_orderkey % 10 <> 0") -> DataFrame:
-    """Creations of nine orders in ten, or as told, and one payment per ordered number: its first shipping."""
+def order_states(spark: SparkSession, sf: str, created_if: str = "o_orderstatus <> 'P'") -> DataFrame:
+    """Creations of orders that are not pending, or as told, and one payment per ordered number: its first shipping."""
     created = table(spark, sf, "orders").where(created_if).select(
         F.col("o_orderkey").alias("order_id"), F.lit("create").alias("kind"), F.col("o_orderdate").alias("ts"))
     paid = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import pair_by_occurrence
+from tillstream.operators.joins import chunked_pairs, pair_by_occurrence
 from tillstream.operators.ordered import SplitPolicy
 from tillstream.plans import bindings as b
 from tillstream.plans import wide
@@ -46,10 +47,15 @@ def dim_sku_chain(spark: SparkSession, sf: str) -> DataFrame:
     return wide.add_sku_chain(d, b.dims(spark, sf), price=True, name=True)
 
 
-def _tx_reconcile(spark: SparkSession, sf: str, policy: SplitPolicy | None) -> DataFrame:
+def _orders_and_receipts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     o = b.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", b.money("o_totalprice").alias("total"))
     r = b.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", "l_partkey",
                                               "l_suppkey", "l_linenumber")
+    return o, r
+
+
+def _tx_reconcile(spark: SparkSession, sf: str, policy: SplitPolicy | None) -> DataFrame:
+    o, r = _orders_and_receipts(spark, sf)
     out = pair_by_occurrence(o, r, "o_orderkey", ["o_orderdate", "total"],
                              ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"], policy)
     return out.select("o_orderkey", "nth", "total", "l_linenumber", "l_partkey", "l_suppkey")
@@ -65,8 +71,21 @@ def tx_reconcile_cut(spark: SparkSession, sf: str) -> DataFrame:
     return _tx_reconcile(spark, sf, SplitPolicy(share=20_000))
 
 
+def _receipts(orders: pa.Table, receipts: pa.Table) -> pa.Table:
+    """The n-th order next to the n-th receipt."""
+    both = orders.drop_columns(["o_orderdate", "_chunk"]).join(receipts.drop_columns(["o_orderkey", "l_shipdate", "_chunk"]), "nth", join_type="inner", use_threads=False)
+    return both.select(["o_orderkey", "nth", "total", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+def cogroup_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as a function of both inputs, in chunks of a few rows."""
+    o, r = _orders_and_receipts(spark, sf)
+    schema = "o_orderkey long, nth long, total decimal(18,2), l_linenumber int, l_partkey long, l_suppkey long"
+    return chunked_pairs(o, r, "o_orderkey", ["o_orderdate", "total"], ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"], _receipts, schema, chunk=3)
+
+
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
-    order_wide, payment_wide, dim_user, dim_province, dim_sku_chain, tx_reconcile, tx_reconcile_cut)}
+    cogroup_reconcile, order_wide, payment_wide, dim_user, dim_province, dim_sku_chain, tx_reconcile, tx_reconcile_cut)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 _AGE = "CAST(date_diff('day', DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), DATE '2024-01-01') // 365 AS INTEGER)"
@@ -128,4 +147,4 @@ ORACLE: dict[str, str] = {
                           ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem)
         SELECT o_orderkey, nth, total, l_linenumber, l_partkey, l_suppkey FROM o JOIN r ON l_orderkey = o_orderkey AND n = nth""",
 }
-ORACLE["tx_reconcile_cut"] = ORACLE["tx_reconcile"]
+ORACLE["cogroup_reconcile"] = ORACLE["tx_reconcile_cut"] = ORACLE["tx_reconcile"]

@@ -146,7 +146,7 @@ ORACLE: dict[str, str] = {
         WITH {_CEP} SELECT event_id, user_id, strftime(ts, {_TEXT}) AS created FROM n
         WHERE event_type = 'view' AND (next_ts IS NULL OR next_ts - ts >= INTERVAL 12 HOUR)""",
     "order_pay_watch": """
-        WITH c AS (SELECT o_orderkey AS order_id, o_orderdate AS ct FROM orders WHERE o_orderkey % 10 <> 0),
+        WITH c AS (SELECT o_orderkey AS order_id, o_orderdate AS ct FROM orders WHERE o_orderstatus <> 'P'),
              p AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS pt FROM lineitem GROUP BY 1),
              j AS (SELECT coalesce(c.order_id, p.order_id) AS order_id, ct, pt, date_diff('day', ct, pt) AS gap
                    FROM c FULL JOIN p ON c.order_id = p.order_id)
@@ -159,4 +159,4 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["user_jump_cut"] = ORACLE["user_jump"]
 ORACLE["blacklist_dropped"] = f"WITH {_CLICKS} SELECT event_id, user_id, event_type, nth FROM c WHERE nth > 3"
-ORACLE["order_pay_watch_all"] = ORACLE["order_pay_watch"].replace(" WHERE o_orderkey % 10 <> 0", "")
+ORACLE["order_pay_watch_all"] = ORACLE["order_pay_watch"].replace(" WHERE o_orderstatus <> 'P'", "")

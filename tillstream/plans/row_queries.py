@@ -166,10 +166,11 @@ def order_derive(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def coalesce_merge(spark: SparkSession, sf: str) -> DataFrame:
-    o = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    holes = o.where(F.col("o_orderkey") % 4 != 0).withColumn(
-        "o_orderstatus", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")))
-    other = o.where(F.col("o_orderkey") % 5 != 0).withColumn("o_orderstatus", F.lit("X"))
+    """All orders, those that are pending without a status, and all numbers that were shipped."""
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    holes = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", status.alias("o_orderstatus"))
+    other = b.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_suppkey").alias("o_custkey")).withColumn("o_orderstatus", F.lit("X"))
     return merge_rows(holes, other, "o_orderkey", ["o_custkey", "o_orderstatus"])
 
 
@@ -362,9 +363,8 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour,
                epoch_ms(o_orderdate) AS create_ts FROM orders""",
     "coalesce_merge": """
-        WITH l AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus
-                   FROM orders WHERE o_orderkey % 4 <> 0),
-             r AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus FROM orders WHERE o_orderkey % 5 <> 0)
+        WITH l AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus FROM orders),
+             r AS (SELECT l_orderkey AS o_orderkey, min(l_suppkey) AS o_custkey, 'X' AS o_orderstatus FROM lineitem GROUP BY 1)
         SELECT coalesce(l.o_orderkey, r.o_orderkey) AS o_orderkey, coalesce(l.o_custkey, r.o_custkey) AS o_custkey,
                coalesce(l.o_orderstatus, r.o_orderstatus) AS o_orderstatus
         FROM l FULL JOIN r ON l.o_orderkey = r.o_orderkey""",

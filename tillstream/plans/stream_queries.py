@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 from tillstream.functions.text import register_split_words
 from tillstream.functions.times import interval_text, text
 from tillstream.operators import logs
-from tillstream.operators.windows import sliding_direct, stamp, tumbling
+from tillstream.operators.windows import distinct_in_windows, sliding_direct, stamp, tumbling
 from tillstream.plans import bindings as b
-from tillstream.plans import pattern_queries, stats, stats_queries, wide
+from tillstream.plans import aggregate_queries, join_queries, pattern_queries, stats, stats_queries, wide
 from tillstream.session import configure_streaming, scratch
 from tillstream.sources.connectors import json_table
 from tillstream.streaming import flows
-from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, InOrder, LoginGuard, NewVisitor, OrderWatch, PayNext, follow
+from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, follow
 
 HOUR, HALF_DAY = timedelta(hours=1), timedelta(hours=12)
 DELAY = timedelta(seconds=5)
@@ -32,17 +32,19 @@ DELAY = timedelta(seconds=5)
 
 AHEAD = timedelta(days=60)
 SLICES = 3
+CLOSING = "_closing"
 STATE_PARTS = 8
 
 
 def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object]) -> None:
-    """Write one slice of a table's time span, the last one with the closing row."""
+    """Write one slice of a table's time span, the last one with the closing row, which only it marks as such."""
+    table = table.withColumn(CLOSING, F.lit(False))
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     cut = F.least(F.lit(SLICES - 1), F.floor((at - low) * SLICES / F.lit(max(1, high - low))))
     table.where(F.coalesce(cut, F.lit(0)) == n).write.mode("append").parquet(folder)
     if n == SLICES - 1:
         end = F.timestamp_micros(F.lit(high) + int(AHEAD.total_seconds() * 1_000_000))
-        values = {ts: end} | {name: value(end) if callable(value) else F.lit(value) for name, value in closing.items()}
+        values = {ts: end, CLOSING: F.lit(True)} | {name: value(end) if callable(value) else F.lit(value) for name, value in closing.items()}
         row = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
         table.sparkSession.range(1).select(*row).write.mode("append").parquet(folder)
 
@@ -63,7 +65,8 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
     for n in range(SLICES):
         for name, (table, ts, closing) in tables.items():
             _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing)
-        streams = [flows.parquet_stream(own, f"{folder}/in/{name}", table.schema) for name, (table, _, _) in tables.items()]
+        streams = [flows.parquet_stream(own, f"{folder}/in/{name}", T.StructType([*table.schema, T.StructField(CLOSING, T.BooleanType())]))
+                   for name, (table, _, _) in tables.items()]
         flows.run(build(*streams), sink(f"{folder}/out"), f"{folder}/progress", once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
@@ -109,7 +112,7 @@ def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
         kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
-        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1))
+        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1), CLOSING)
 
     out = _worked_off(spark, _events(spark, sf), build)
     return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
@@ -117,11 +120,11 @@ def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
 
 def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str | Column, key: str | Column = "user_id",
               where: str = "true", seq: str = "event_id") -> DataFrame:
-    """What a pattern gives for a table's rows: `key`, `seq` and `outcome`."""
+    """What a pattern gives for a table's rows."""
     def build(rows: DataFrame) -> DataFrame:
-        return follow(rows.where(where), key, "ts", seq, kind, DELAY, processor, timedelta(days=1))
+        return follow(rows.where(f"({where}) OR {CLOSING}"), key, "ts", seq, kind, DELAY, processor, timedelta(days=1), CLOSING)
 
-    return _worked_off(spark, tables, build).where(~F.col("key").startswith("-1"))
+    return _worked_off(spark, tables, build)
 
 
 def _lines(df: DataFrame, ts: str, **closing: object) -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
@@ -183,10 +186,45 @@ def stream_order_next(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_click_limit(spark: SparkSession, sf: str) -> DataFrame:
-    out = _followed(spark, _events(spark, sf), ClickLimit(3), "event_type", F.concat_ws("/", "user_id", "event_type"))
+    """All clicks with what becomes of them, those beyond the limit too."""
+    out = _followed(spark, _events(spark, sf), ClickLimit(3, rest=True), "event_type", F.concat_ws("/", "user_id", "event_type"))
     return out.select(F.col("seq").alias("event_id"), "outcome")
 
 
+def stream_login_cep(spark: SparkSession, sf: str) -> DataFrame:
+    """Every sequence of failures in a row within six hours, as its last failure comes in."""
+    kind = F.when(F.col("event_type") == "error", "fail").otherwise("success")
+    out = _followed(spark, _events(spark, sf), FailureRuns(6 * HOUR), kind, where="event_type IN ('error', 'signup')")
+    return out.select(F.col("key").cast("long").alias("user_id"), "first_pos", text(F.timestamp_micros("start_us")).alias("started"),
+                      text(F.timestamp_micros("end_us")).alias("ended"), (F.col("last_pos") - F.col("first_pos") + 1).alias("fails"))
+
+
+def stream_hourly_uv(spark: SparkSession, sf: str) -> DataFrame:
+    """Different users per hour, counted exactly: a user's first view of a window passes on, later ones do not.
+
+    Both the users seen and the counts leave the state when the watermark passes their window.
+    """
+    def build(events: DataFrame) -> DataFrame:
+        return stamp(distinct_in_windows(flows.watermarked(events.where("event_type = 'view'"), "ts", DELAY), "ts", HOUR, ["user_id"], "uv"))
+
+    return _worked_off(spark, _events(spark, sf), build)
+
+
+def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and receipts as one stream of two kinds of rows, paired by number and occurrence, either arriving first."""
+    o = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"), F.lit("left").alias("kind"),
+                                            (b.money("o_totalprice") * 100).cast("long").alias("seq"))
+    r = b.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("ts"), F.lit("right").alias("kind"),
+                                              F.col("l_linenumber").cast("long").alias("seq"))
+
+    def build(rows: DataFrame) -> DataFrame:
+        return follow(rows, "id", "ts", "seq", "kind", DELAY, Pairing(timedelta(days=200)), timedelta(days=400), CLOSING)
+
+    out = _worked_off(spark, {"rows": (o.union(r), "ts", {"kind": "left"})}, build).where("nth IS NOT NULL")
+    return out.select(F.col("key").cast("long").alias("o_orderkey"), "nth", (F.col("left_seq") / 100).cast("decimal(18,2)").alias("total"),
+                      F.col("right_seq").alias("l_linenumber"))
+
+
 def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
     states = {"states": (b.order_states(spark, sf, "true"), "ts", {"order_id": -1, "kind": "create"})}
     out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id")
@@ -196,7 +234,7 @@ def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
     stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch, stream_province_stats,
-    stream_keyword_stats)}
+    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -235,8 +273,12 @@ ORACLE |= {
         UNION ALL SELECT event_id, 'timeout' FROM ({_PATTERNS['order_cep_timeout']})""",
     "stream_click_limit": f"""
         SELECT event_id, 'normal' AS outcome FROM ({_PATTERNS['blacklist_normal']})
-        UNION ALL SELECT event_id, 'alert' FROM ({_PATTERNS['blacklist_alert']})""",
+        UNION ALL SELECT event_id, 'alert' FROM ({_PATTERNS['blacklist_alert']})
+        UNION ALL SELECT event_id, 'dropped' FROM ({_PATTERNS['blacklist_dropped']})""",
     "stream_province_stats": stats_queries.ORACLE["province_stats"],
     "stream_keyword_stats": stats_queries.ORACLE["keyword_stats"],
+    "stream_login_cep": _PATTERNS["login_cep"],
+    "stream_tx_reconcile": f"SELECT o_orderkey, nth, total, l_linenumber FROM ({join_queries.ORACLE['tx_reconcile']})",
+    "stream_hourly_uv": aggregate_queries.ORACLE["hourly_uv"],
     "stream_order_watch": _PATTERNS["order_pay_watch_all"],
 }

@@ -4,9 +4,10 @@ Rows of a key come unordered within a micro-batch. They wait in state until the
 passed their time and are then taken in (time, sequence) order, so a stream gives the results
 of the batch forms.
 
-Waiting rows are kept by time slot, and slots are worked off one after the other: a task holds
-the rows of one slot of one key at a time, not those of a whole key, and gives its results
-row by row. The rest stays in the state store, on disk where it is large.
+Waiting rows are kept in chunks by time slot: what comes in is added as a chunk, nothing that waits is written
+again. Slots are worked off one after the other: a task holds the rows of one slot of one key at a time, not
+those of a whole key, and gives its results row by row. The rest stays in the state store, on disk where it is
+large. A key has one live timer, the earliest time at which it has something to do.
 """
 
 from __future__ import annotations
@@ -33,14 +34,18 @@ class InOrder(StatefulProcessor):
     """
 
     memory = "last long"
+    fields = ("key", "seq", "outcome")
+    output = "key string, seq long, outcome string"
     slot = timedelta(hours=1) // timedelta(microseconds=1)  # rows of a key in one slot must fit in memory
     hold = 100_000  # incoming rows of a key held before they go to state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.names = [f.split()[0] for f in self.memory.split(",")]
-        self.waiting = handle.getMapState("waiting", "slot bigint", WAITING)
+        self.names = [f.split()[0] for f in self.memory.split(", ")]
+        self.waiting = handle.getMapState("waiting", "slot bigint, chunk int", WAITING)
+        self.chunks = handle.getMapState("chunks", "slot bigint", "n int")
         self.kept = handle.getValueState("kept", self.memory)
+        self.alarm = handle.getValueState("alarm", "ms bigint")
 
     def close(self) -> None:
         pass
@@ -55,16 +60,39 @@ class InOrder(StatefulProcessor):
         return iter(())
 
     def _wake(self, us: int) -> None:
-        self.handle.registerTimer(-(-us // 1000))
+        """Have the key's one timer go off at this time, or earlier if it is set so."""
+        at = -(-us // 1000)
+        old = self.alarm.get()[0] if self.alarm.exists() else None
+        if old is not None and old <= at:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(at)
+        self.alarm.update((at,))
+
+    def _add(self, slot: int, rows: list[tuple]) -> None:
+        n = self.chunks.getValue((slot,))[0] if self.chunks.containsKey((slot,)) else 0
+        self.waiting.updateValue((slot, n), (rows,))
+        self.chunks.updateValue((slot,), (n + 1,))
 
     def _store(self, fresh: dict[int, list[tuple]]) -> None:
         for slot, rows in fresh.items():
-            old = self.waiting.getValue((slot,)) if self.waiting.containsKey((slot,)) else None
-            self.waiting.updateValue((slot,), ([*map(tuple, old[0]), *rows] if old else rows,))
+            self._add(slot, rows)
+
+    def _take(self, slot: int) -> list[tuple]:
+        """The rows of a slot in order; they leave the state."""
+        rows = []
+        for n in range(self.chunks.getValue((slot,))[0]):
+            rows += map(tuple, self.waiting.getValue((slot, n))[0])
+            self.waiting.removeKey((slot, n))
+        self.chunks.removeKey((slot,))
+        return sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] is not None, r[2] or ""))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh: dict[int, list[tuple]] = {}
         held, first = 0, None
+        if key[1]:  # the end of the input: it moves the watermark and is nothing else
+            return iter(())
         for r in rows:
             us = r["us"]
             fresh.setdefault(us // self.slot, []).append((us, r["seq"], r["kind"]))
@@ -80,37 +108,36 @@ class InOrder(StatefulProcessor):
 
     def _due(self, mark: int) -> Iterator[tuple]:
         """Waiting rows up to the watermark in order; they leave the state."""
-        slots = sorted(k[0] for k in self.waiting.keys())
+        slots = sorted(k[0] for k in self.chunks.keys())
         for slot in slots:
             if slot * self.slot > mark:
                 self._wake(slot * self.slot)
                 return
-            rows = sorted(map(tuple, self.waiting.getValue((slot,))[0]))
+            rows = self._take(slot)
             left = [r for r in rows if r[0] > mark]
             yield from rows[: len(rows) - len(left)]
             if left:
-                self.waiting.updateValue((slot,), (left,))
+                self._add(slot, left)
                 self._wake(left[0][0])
                 return
-            self.waiting.removeKey((slot,))
 
     def _outcomes(self, key, mem: dict, mark: int) -> Iterator[tuple]:
         for us, seq, kind in self._due(mark):
-            # A deadline before this row has passed first.
-            if (limit := self.deadline(mem)) is not None and limit <= us:
+            # Deadlines before this row have passed first.
+            while (limit := self.deadline(mem)) is not None and limit <= us:
                 yield from self.expire(key, mem)
             yield from self.step(key, mem, us, seq, kind)
-        if (limit := self.deadline(mem)) is not None:
-            if limit <= mark:
-                yield from self.expire(key, mem)
-            else:
-                self._wake(limit)
+        while (limit := self.deadline(mem)) is not None and limit <= mark:
+            yield from self.expire(key, mem)
+        if limit is not None:
+            self._wake(limit)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.alarm.clear()
         kept = self.kept.get() if self.kept.exists() else None
         mem = dict(zip(self.names, kept)) if kept else dict.fromkeys(self.names)
-        for k, seq, outcome in self._outcomes(key, mem, timerValues.getCurrentWatermarkInMs() * 1000):
-            yield Row(key=str(k), seq=seq, outcome=outcome)
+        for k, *rest in self._outcomes(key, mem, timerValues.getCurrentWatermarkInMs() * 1000):
+            yield Row(**dict(zip(self.fields, (k, *rest), strict=True)))
         if any(v is not None for v in mem.values()):
             self.kept.update(tuple(mem[n] for n in self.names))
         else:
@@ -250,12 +277,12 @@ class OrderWatch(InOrder):
 
 
 class ClickLimit(InOrder):
-    """Clicks of a (user, advert) per day: ``normal`` below the limit, one ``alert`` at it."""
+    """Clicks of a (user, advert) per day: ``normal`` below the limit, one ``alert`` at it, then ``dropped`` if wanted."""
 
     memory = "day long, n long"
 
-    def __init__(self, limit: int, offset: timedelta = timedelta(0)):
-        self.limit, self.offset = limit, offset // timedelta(microseconds=1)
+    def __init__(self, limit: int, offset: timedelta = timedelta(0), rest: bool = False):
+        self.limit, self.offset, self.rest = limit, offset // timedelta(microseconds=1), rest
 
     def deadline(self, mem):
         return _day_end(mem["day"], self.offset)
@@ -270,22 +297,101 @@ class ClickLimit(InOrder):
         mem["day"] = day
         if mem["n"] <= self.limit:
             yield key[0], seq, "normal" if mem["n"] < self.limit else "alert"
+        elif self.rest:
+            yield key[0], seq, "dropped"
+
+
+class FailureRuns(InOrder):
+    """Every sequence of two or more failures in a row that starts and ends within the time.
+
+    A failure gives one row for each start that is still open. Starts are kept until the time has passed or a
+    success ends the run, so the memory follows the failures within the time and not the length of a run.
+    """
+
+    memory = "pos long, starts array<struct<us:bigint,pos:bigint>>"
+    fields = ("key", "first_pos", "last_pos", "start_us", "end_us")
+    output = "key string, first_pos long, last_pos long, start_us long, end_us long"
+
+    def __init__(self, within: timedelta):
+        self.within = within // timedelta(microseconds=1)
+
+    def step(self, key, mem, us, seq, kind):
+        mem["pos"] = (mem["pos"] or 0) + 1
+        if kind == "success":
+            mem["starts"] = None
+            return
+        live = [(t, p) for t, p in mem["starts"] or () if us - t < self.within]
+        for t, p in live:
+            yield key[0], p, mem["pos"], t, us
+        mem["starts"] = [*live, (us, mem["pos"])]
+
+
+class Pairing(InOrder):
+    """Pairs the n-th ``left`` row of a key with its n-th ``right`` row, whichever comes first.
+
+    Rows without a partner wait in a queue of their own entries, of which only the first and the last number are held;
+    a pair takes its first entry and rewrites nothing. A row that has waited for ``wait`` is given alone and leaves.
+    """
+
+    memory = "side string, head long, tail long, nth long, last long"
+    fields = ("key", "nth", "left_seq", "right_seq")
+    output = "key string, nth long, left_seq long, right_seq long"
+
+    def __init__(self, wait: timedelta):
+        self.wait = wait // timedelta(microseconds=1)
+
+    def init(self, handle):
+        super().init(handle)
+        self.queue = handle.getMapState("queue", "n bigint", "us bigint, seq bigint")
+
+    def _first(self, mem):
+        """The first row that waits; it leaves the queue."""
+        _, seq = self.queue.getValue((mem["head"],))
+        self.queue.removeKey((mem["head"],))
+        mem["head"] += 1
+        return seq
+
+    def deadline(self, mem):
+        if mem["head"] is None:
+            return None
+        return self.wait + (mem["last"] if mem["head"] == mem["tail"] else self.queue.getValue((mem["head"],))[0])
+
+    def expire(self, key, mem):
+        if mem["head"] == mem["tail"]:  # a key that rests is forgotten
+            mem.update(dict.fromkeys(mem))
+            return
+        seq = self._first(mem)
+        yield (key[0], None, seq, None) if mem["side"] == "left" else (key[0], None, None, seq)
+
+    def step(self, key, mem, us, seq, kind):
+        if mem["head"] is None:
+            mem["head"] = mem["tail"] = mem["nth"] = 0
+        mem["last"] = us
+        if mem["head"] < mem["tail"] and mem["side"] != kind:
+            other = self._first(mem)
+            mem["nth"] += 1
+            yield (key[0], mem["nth"], seq, other) if kind == "left" else (key[0], mem["nth"], other, seq)
+        else:
+            mem["side"] = kind
+            self.queue.updateValue((mem["tail"],), (us, seq))
+            mem["tail"] += 1
 
 
-def follow(df: DataFrame, key: str | Column, ts: str, seq: str, kind: str | Column, delay: timedelta,
-           processor: InOrder, slot: timedelta | None = None) -> DataFrame:
-    """Run a processor over a stream; gives ``key`` (as text), ``seq`` and ``outcome``.
+def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: str | Column, delay: timedelta,
+           processor: InOrder, slot: timedelta | None = None, closing: str | None = None) -> DataFrame:
+    """Run a processor over a stream; gives its fields, the key as text.
 
-    ``slot`` is the time slot waiting rows are kept by: short for busy keys, long for quiet ones.
+    ``slot`` is the time slot waiting rows are kept by: short for busy keys, long for quiet ones. Rows where ``closing``
+    holds move the watermark and are nothing else. Rows without a key are a key of their own.
     """
     from tillstream.functions.times import epoch_micros, interval_text
 
     if slot is not None:
         processor.slot = slot // timedelta(microseconds=1)
+    as_column = lambda c: F.col(c) if isinstance(c, str) else c
     rows = df.select(
-        (F.col(key) if isinstance(key, str) else key).cast("string").alias("key"),
+        as_column(key).cast("string").alias("key"), F.lit(False).alias("closing") if closing is None else F.coalesce(closing, F.lit(False)).alias("closing"),
         F.col(ts).cast("timestamp").alias("at"), epoch_micros(F.col(ts)).alias("us"),
-        F.col(seq).cast("long").alias("seq"), (F.col(kind) if isinstance(kind, str) else kind).alias("kind"),
+        as_column(seq).cast("long").alias("seq"), as_column(kind).alias("kind"),
     ).withWatermark("at", interval_text(delay))
-    return rows.groupBy("key").transformWithState(
-        processor, T.StructType.fromDDL("key string, seq long, outcome string"), "Append", "EventTime")
+    return rows.groupBy("key", "closing").transformWithState(processor, T.StructType.fromDDL(processor.output), "Append", "EventTime")
