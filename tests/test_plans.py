@@ -49,7 +49,7 @@ def test_no_products_and_no_broadcast_of_growing_tables(spark, sf, no_small_tabl
 
 def test_filters_and_columns_reach_the_scan(spark, sf):
     text = plan(QUERIES["order_cep_matched"](spark, sf))
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
     detail = plan(b.table(spark, sf, "lineitem").where("l_returnflag = 'R'").select("l_partkey"))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in detail
     assert "ReadSchema: struct<l_partkey:bigint,l_returnflag:string>" in detail
@@ -64,3 +64,14 @@ def test_sliding_windows_do_not_copy_rows(spark, sf):
     text = plan(QUERIES["hot_pages_topn"](spark, sf))
     assert "Expand" not in text
     assert text.count("ENSURE_REQUIREMENTS") <= 3
+
+
+@pytest.mark.parametrize(("name", "scans"), [("running_sum", 10), ("tx_reconcile", 20), ("running_uv", 20), ("login_cep", 10), ("visitor_stats", 10)])
+def test_hot_keys_are_counted_once(spark, sf, name, scans):
+    assert plan(QUERIES[name](spark, sf)).count("Scan parquet") <= scans
+
+
+def test_user_aggregates_shuffle_accumulators_only(spark, sf):
+    text = plan(QUERIES["udaf_by_user"](spark, sf))
+    assert text.count("MapInArrow") == 3 and "FlatMapGroups" not in text
+    assert text.count("REPARTITION_BY_COL") == 2

@@ -6,11 +6,14 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tillstream.operators.ordered import DEFAULT_POLICY, SplitPolicy, hot_keys, running, with_ordered
 
@@ -96,54 +99,85 @@ class Aggregator:
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator, out: str,
-              fan_in: int = 64, max_held_keys: int = 50_000) -> DataFrame:
+              fan_in: int = 64, max_held_keys: int = 50_000, piece: int = 1 << 16) -> DataFrame:
     """Run an ``Aggregator`` per key without gathering a key's rows.
 
-    In Python the key is a JSON text, from which the columns come back at the end, so no key
-    passes through pandas: nullable longs stay exact, and arrays and structs may be keys.
+    In Python the key is a JSON text, from which the columns come back at the end: nullable longs stay exact, and
+    arrays and structs may be keys.
 
-    Each task folds its rows into one accumulator per key and only these are shuffled. They are
-    merged in two steps, first in ``fan_in`` parts per key, so the last step sees at most
-    ``fan_in`` accumulators of a key. A task that holds ``max_held_keys`` keys hands them on
-    and starts again; the merge makes up for it.
+    Each task sorts its rows by key in pieces of ``piece`` rows, calls ``add`` once for each key of a piece, and hands on
+    one accumulator per key; only these are shuffled. They are merged in two steps, first in ``fan_in`` parts per key,
+    so the last step sees at most ``fan_in`` accumulators of a key. Both steps go through sorted parts and hold one
+    key at a time. A task that holds ``max_held_keys`` keys hands them on and starts again; the merge makes up for it.
     """
     import pickle
 
     keys = list(keys)
     kept = T.StructType([df.schema[k] for k in keys])
-    partial = T.StructType([T.StructField("_key", T.StringType()), T.StructField("_acc", T.BinaryType()), T.StructField("_part", T.IntegerType())])
-    final = T.StructType([T.StructField("_key", T.StringType()), T.StructField(out, agg.result_type)])
+    partial = "_key string, _acc binary, _part int"
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
     exact = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(held: dict[str, Any], batches: list[pa.RecordBatch]) -> None:
+        table = pa.Table.from_batches(batches)
+        coded = table.column("_key").combine_chunks().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        rows = table.drop_columns(["_key"]).take(pa.array(order)).to_pandas()
+        for name in rows.columns[[isinstance(t, pd.DatetimeTZDtype) for t in rows.dtypes]]:
+            rows[name] = rows[name].dt.tz_convert(zone).dt.tz_localize(None)
+        own, first = np.unique(codes[order], return_index=True)
+        for key, a, b in zip(coded.dictionary.take(pa.array(own)).to_pylist(), first, [*first[1:], len(order)], strict=True):
+            held[key] = agg.add(held[key] if key in held else agg.create(), rows.iloc[a:b])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Any] = {}
-        for pdf in batches:
-            for key, rows in pdf.groupby("_key", sort=False):
-                held[key] = agg.add(held[key] if key in held else agg.create(), rows.drop(columns="_key"))
-            if len(held) >= max_held_keys:
-                yield _frame(held)
-                held = {}
-        yield _frame(held)
-
-    def _frame(held: dict[str, Any]) -> pd.DataFrame:
+        waiting: list[pa.RecordBatch] = []
         # The part follows the task, so a task that runs again sends its rows to the same place.
         part = TaskContext.get().partitionId() % fan_in
-        rows = [(k, pickle.dumps(acc), part) for k, acc in held.items()]
-        return pd.DataFrame(rows, columns=["_key", "_acc", "_part"]).astype({"_acc": object, "_part": "int32"})
-
-    def merged(accs: Iterator[bytes]) -> Any:
-        total = agg.create()
-        for acc in accs:
-            total = agg.merge(total, pickle.loads(acc))
-        return total
-
-    def merge_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[["_key", "_part"]].head(1).assign(_acc=[pickle.dumps(merged(pdf["_acc"]))])[["_key", "_acc", "_part"]]
-
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[["_key"]].head(1).assign(**{out: [agg.result(merged(pdf["_acc"]))]})
+        for batch in batches:
+            waiting.append(batch)
+            if sum(w.num_rows for w in waiting) >= piece:
+                add(held, waiting)
+                waiting = []
+            if len(held) >= max_held_keys:
+                yield packed(held, part)
+                held = {}
+        if waiting:
+            add(held, waiting)
+        yield packed(held, part)
+
+    def packed(held: dict[str, Any], part: int) -> pa.RecordBatch:
+        return pa.record_batch({"_key": pa.array(held, pa.string()), "_acc": pa.array([pickle.dumps(acc) for acc in held.values()], pa.binary()),
+                                "_part": pa.array([part] * len(held), pa.int32())})
+
+    def neighbours(batches: Iterator[pa.RecordBatch], size: int = 1000) -> Iterator[list[tuple[tuple, Any]]]:
+        """Merged accumulators of rows that follow each other with one key and part, some at a time."""
+        done, now, total = [], None, None
+        for batch in batches:
+            for key, part, acc in zip(*(batch.column(c).to_pylist() for c in ("_key", "_part", "_acc")), strict=True):
+                if (key, part) != now:
+                    if now is not None:
+                        done.append((now, total))
+                    now, total = (key, part), agg.create()
+                    if len(done) >= size:
+                        yield done
+                        done = []
+                total = agg.merge(total, pickle.loads(acc))
+        yield done + ([(now, total)] if now is not None else [])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for done in neighbours(batches):
+            yield pa.record_batch({"_key": pa.array([k for (k, _), _ in done], pa.string()), "_acc": pa.array([pickle.dumps(acc) for _, acc in done], pa.binary()),
+                                   "_part": pa.array([0] * len(done), pa.int32())})
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for done in neighbours(batches):
+            yield pa.record_batch({"_key": pa.array([k for (k, _), _ in done], pa.string()), out: pa.array([agg.result(acc) for _, acc in done], to_arrow_type(agg.result_type))})
 
+    final = T.StructType([T.StructField("_key", T.StringType()), T.StructField(out, agg.result_type)])
     keyed = df.withColumn("_key", F.to_json(F.struct(*keys), exact))
-    once = keyed.mapInPandas(fold, partial).groupBy("_key", "_part").applyInPandas(lambda pdf: merge_part(pdf), partial)
-    done = once.groupBy("_key").applyInPandas(lambda pdf: finish(pdf), final)
+    folded = keyed.mapInArrow(fold, partial)
+    once = folded.repartition("_key", "_part").sortWithinPartitions("_key", "_part").mapInArrow(merge, partial)
+    done = once.repartition("_key").sortWithinPartitions("_key").mapInArrow(finish, final)
     return done.select(F.from_json("_key", kept, exact).alias("_k"), out).select("_k.*", out)

@@ -10,6 +10,9 @@ Chunks follow the rows and not the clock: the time of a hot key is divided into
 cells, the rows of each cell are counted, and neighbouring cells are put together until a chunk
 is full. A burst is thus cut finer than a quiet time.
 
+The hot keys and their chunks are worked out once, before the values, into two small tables in the shared folder.
+Without a hot key nothing else remains than one window over the rows, with one shuffle.
+
 Bounds: at most ``share`` keys can hold more than ``1/share`` of the rows, and they have at
 most ``2 * share`` chunks and ``2 * share * cells`` cells. All tables that get broadcast
 therefore have a size fixed by the policy, whatever the size of the data. Rows are never
@@ -28,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.times import epoch_micros
+from tillstream.session import stored
 
 CHUNK = "_chunk"
 
@@ -76,17 +80,17 @@ def following(expr: Column, where: Column | None = None) -> Value:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The time span of every hot key and the chunk of each of its cells."""
+    """The time span of every hot key and the chunk of each of its cells; no cells without a hot key."""
 
     spans: DataFrame
-    cells: DataFrame
+    cells: DataFrame | None
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy = DEFAULT_POLICY) -> HotKeys:
     """Find the keys above the limit and cut them into chunks.
 
-    Reads the key and time columns only; counts are combined before their shuffle. Without a
-    hot key the second count is skipped at run time.
+    Reads the key and time columns only; counts are combined before their shuffle. Runs at once; without a
+    hot key there is no second count.
     """
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -100,7 +104,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy =
     many = F.ceil(F.col("_n") / F.col("_limit")) * policy.cells
     spans = limited.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_lo", "_limit", many.alias("_many"),
                            F.ceil((F.col("_hi") - F.col("_lo") + 1) / many).alias("_width"))
-
+    spans = stored(spans, "spans")  # at most `share` rows
+    if spans.isEmpty():
+        return HotKeys(spans, None)
     filled = _with_cell(df, spans, keys, ts, only_hot=True).groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     filled = filled.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col("_cell").alias("_f_cell"), "_n")
     # Every cell gets a chunk, also an empty one: another table may have rows there.
@@ -112,7 +118,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, policy: SplitPolicy =
     chunk = F.floor(F.coalesce(before, F.lit(0)) / F.col("_limit"))
     cells = every.join(filled, same, "left").select(
         *[F.col(n).alias(f"_cut_{k}") for k, n in zip(keys, names)], F.col("_cell").alias("_cut_cell"), chunk.alias(CHUNK))
-    return HotKeys(spans, cells)
+    return HotKeys(spans, stored(cells, "cells"))
 
 
 def _with_cell(df: DataFrame, spans: DataFrame, keys: Sequence[str], ts: str, only_hot: bool) -> DataFrame:
@@ -148,8 +154,8 @@ def _tag(df: DataFrame, hot: HotKeys, keys: Sequence[str], ts: str, only_hot: bo
 class _Orders:
     """Window specifications of one call."""
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str]):
-        parts = [*keys, CHUNK]
+    def __init__(self, keys: Sequence[str], order: Sequence[str], cut: bool = True):
+        parts = [*keys, CHUNK] if cut else [*keys]
         self.up = Window.partitionBy(*parts).orderBy(*order)
         self.down = Window.partitionBy(*parts).orderBy(*[F.col(c).desc() for c in order])
         # Chunk tables have one row per chunk, so a key's rows there are few by the policy.
@@ -220,11 +226,14 @@ def with_ordered(
     """Add ordered ``values`` per key; rows are ordered by ``ts`` and then by ``ties``.
 
     ``keys`` may be empty: the whole input is then one ordered sequence. One shuffle of the
-    rows on (keys, chunk), plus a key-only count to find the hot keys unless ``hot`` is given.
+    rows on (keys, chunk), after a key-only count that finds the hot keys unless ``hot`` is given.
     """
     if hot is None:
         hot = hot_keys(df, keys, ts, policy or DEFAULT_POLICY)
     order = [ts, *ties]
+    if hot.cells is None:
+        o = _Orders(keys, order, cut=False)
+        return df.select("*", *[(c["v"] if v.kind in ("previous", "next") else c).alias(n) for n, v, c in ((n, v, _local(v, o)) for n, v in values.items())])
     o = _Orders(keys, order)
     local = _tag(df, hot, keys, ts, only_hot=False).select(
         "*", *[_local(v, o).alias(n) for n, v in values.items()])
