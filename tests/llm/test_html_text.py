@@ -40,6 +40,33 @@ def test_unmarked_page_of_links_and_text(weights):
     assert html_text.main_text(page(body, links, links), weights) == "\n".join(f"{WORDS} {k}." for k in range(6))
 
 
+SENTENCE = f"<p>{WORDS}.</p>"
+
+
+@pytest.mark.parametrize(("body", "lines"), [
+    (f"<article><h1>T</h1><table><tr><td>a</td><td>b</td></tr></table>{SENTENCE}</article>", ["T", "a", "b", f"{WORDS}."]),
+    (f"<article>{SENTENCE}<blockquote>Said</blockquote></article>", [f"{WORDS}.", "Said"]),
+    (f"<article>{SENTENCE}<figure><img src=x><figcaption>Seen</figcaption></figure></article>", [f"{WORDS}.", "Seen"]),
+    (f'<article>{SENTENCE}<ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul></article>', [f"{WORDS}.", "One", "Two"]),
+    (f'<article><a href="/x"><p>{WORDS}</p></a></article>', [WORDS]),
+    (f'<div class="share-prices-article">{SENTENCE}</div>', [f"{WORDS}."]),
+    (f'<article>{SENTENCE}<h2 id="share-prices">Prices</h2>{SENTENCE}</article>', [f"{WORDS}.", "Prices", f"{WORDS}."]),
+    (f'<article>{SENTENCE}<h2 id="privacy">Privacy</h2><section id="related-work">{SENTENCE}</section><p id="warning-signs">Signs</p></article>',
+     [f"{WORDS}.", "Privacy", f"{WORDS}.", "Signs"]),
+    (f'<article>{SENTENCE}<section id="comments"><p>kept, a place in the text</p></section><div id="comments"><p>gone</p></div></article>', [f"{WORDS}.", "kept, a place in the text"]),
+    ("<table><tr><td>a</td><td>b</td></tr></table>", ["a", "b"]),
+    (f"<div><h1>T</h1>{SENTENCE}<table><tr><td>a</td><td>b</td></tr></table></div>", ["T", f"{WORDS}.", "a", "b"]),
+    (f"<main><article>{SENTENCE}</article><article class=comment><p>gone</p></article><p>further</p></main>", [f"{WORDS}."]),
+    (f"<main><article><h2>A</h2><p>{WORDS}</p></article><article><h2>B</h2><p>{WORDS}</p></article></main>", ["A", WORDS, "B", WORDS]),
+    (f"<article>{SENTENCE}<p>One <a href=x>link</a> in <i>it</i>, no more</p></article>", [f"{WORDS}.", "One link in it, no more"]),
+])
+def test_whole_articles(weights, body, lines):
+    """Nothing of an article is cut but what is known to be no part of it."""
+    links = "".join(f'<div><a href="/{k}">Link number {k}</a></div>' for k in range(9))
+    for before in ("", JUNK[0], links):
+        assert html_text.main_text(page(body, before, before + JUNK[9]), weights) == "\n".join(lines)
+
+
 def test_broken_markup(weights):
     assert html_text.main_text(f"<article><p><b>One {WORDS}<p>Two {WORDS}<div>three a<", weights) == f"One {WORDS}\nTwo {WORDS}\nthree a<"
     assert html_text.main_text(f"<article><p>a < b &am {WORDS}</p><script>never closed <p>x</p>", weights) == f"a < b &am {WORDS}"
