@@ -63,10 +63,44 @@ def test_canonical_json(spark):
 
 
 def test_depths_of_a_long_chain(spark):
-    calls = spark.range(3000).selectExpr("concat('n', id) AS call_id", "concat('n', id - 1) AS after")
+    calls = spark.range(3000).selectExpr("1L AS conv_id", "concat('n', id) AS call_id", "concat('n', id - 1) AS after")
     assert {r.call_id: r.depth for r in chat.depths(calls).collect()} == {f"n{k}": k for k in range(3000)}
 
 
+def test_same_identifiers_in_other_conversations(spark):
+    """A call of one conversation is not answered by a result of another one, nor comes after its calls."""
+    calls = [(1, 0, "a", "find", "{}", None), (1, 2, "b", "find", "{}", "a"), (2, 0, "a", "find", "{}", "b"), (None, 0, "a", "find", "{}", None), (None, 2, "b", "find", "{}", "a")]
+    results = [(1, 1, "a", "x"), (2, 3, "b", "x"), (None, 1, "a", "x")]
+    found = chat.linked(spark.createDataFrame([(*r, "s") for r in calls], CALLS), spark.createDataFrame([(*r, "s") for r in results], RESULTS), TOOLS).collect()
+    assert sorted(((r.conv_id, r.role, r.call_id, r.status, r.step) for r in found), key=repr) == sorted([
+        (1, "call", "a", "linked", 0), (1, "call", "b", "unanswered", 2), (2, "call", "a", "unanswered", 0), (None, "call", "a", "linked", 0), (None, "call", "b", "unanswered", 2),
+        (1, "result", "a", "linked", 1), (2, "result", "b", "orphan", None), (None, "result", "a", "linked", 1)], key=repr)
+
+
+def plain_depths(rows):
+    """Longest way to each call, or None in and behind cycles."""
+    before = {}
+    for conv, call, after in rows:
+        if call is not None:
+            before.setdefault((conv, call), set()).update((conv, a) for a in after or ())
+    before = {c: {a for a in own if a in before} for c, own in before.items()}
+    out, left = {}, dict(before)
+    while ready := [c for c, own in left.items() if own <= out.keys()]:
+        for c in ready:
+            out[c] = max((out[a] + 1 for a in left[c]), default=0)
+        left = {c: own for c, own in left.items() if c not in out}
+    return {c: out.get(c) for c in before}
+
+
+def test_several_predecessors(spark):
+    """Random graphs with chains, joints, repeated calls that name other predecessors, and cycles, against plain Python."""
+    rng = random.Random(9)
+    rows = [(c, f"n{k}", [f"n{j}" for j in rng.sample(range(k), min(k, rng.choice([0, 1, 1, 1, 2, 3])))]) for c in (1, 2, None) for k in range(60)]
+    rows += [(1, "n5", ["n3"]), (1, "n5", ["n4", None]), (1, "n7", None), (1, None, ["n1"]), (2, "n30", ["n50"]), (3, "x", ["x"]), (3, "y", ["x", "z"]), (3, "z", []), (3, "w", ["z", "y"])]
+    calls = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, call_id string, after array<string>, up int")
+    assert {(r.conv_id, r.call_id): r.depth for r in chat.depths(calls).collect()} == plain_depths(rows)
+
+
 def test_odd_conversations(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", None), (1, 2, "assistant", ""), (1, 3, "user", "q" * 100_000), (1, 3, "user", "twice"), (2, 0, "assistant", "first"),
             (None, 0, "user", "x"), (3, None, "user", "x"), (3, 0, None, "x"), (3, 1, "tool", "x")]
