@@ -57,7 +57,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def blocks(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def blocks(texts: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of about `size` bytes, one row at least, so that a worker's memory follows the longest text."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     begin, total = 0, 0
