@@ -97,10 +97,26 @@ def test_only_the_star_and_the_prefix_filter_make_pairs(spark, monkeypatch):
     docs = spark.createDataFrame([(k, " ".join(passage + rng.choices(vocabulary, k=20))) for k in range(600)], "doc_id long, text string")
     seen = []
     whole = similar.alike
-    monkeypatch.setattr(minhash, "alike", lambda pairs, sets, least: (seen.append(pairs.count()), whole(pairs, sets, least))[1])
+    for module in (minhash, similar):
+        monkeypatch.setattr(module, "alike", lambda pairs, sets, least: (seen.append(pairs.count()), whole(pairs, sets, least))[1])
     found = minhash.near_duplicates(docs).collect()
     assert all(r.kept and r.component_id == r.doc_id for r in found) and len(found) == 600
-    assert seen[0] < 600 * minhash.BANDS and seen[1] == 0
+    assert seen[0] < 600 * minhash.BANDS and seen[1] < 600 and seen[2] == 0
+
+
+def test_edited_copies_of_one_text_join_by_stars(spark, monkeypatch):
+    """Copies with up to eight words changed: those near the original join through it, the others make no pairs."""
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(100_000)]
+    base = rng.choices(vocabulary, k=150)
+    rows = [(k, " ".join(edited(base, k % 9, rng, vocabulary))) for k in range(400)]
+    seen = []
+    whole = similar.alike
+    for module in (minhash, similar):
+        monkeypatch.setattr(module, "alike", lambda pairs, sets, least: (seen.append(pairs.count()), whole(pairs, sets, least))[1])
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert ordered(found) == ordered(plain_result(rows))
+    assert sum(seen) < 400 * minhash.BANDS and seen[2] < 1000
 
 
 def test_repeated_rows_and_null_ids(spark):

@@ -8,7 +8,7 @@ the key of a bucket. Within a bucket only a star of edges arises, from its small
 candidates are never more than the entries. They are confirmed on the full sets.
 
 Members of a bucket that are not similar to its centre may still be similar to each other. Buckets whose members the
-confirmed edges leave in several components therefore go on to the exact prefix filter of `similar.rare_pairs`, which
+confirmed edges leave in several components therefore go on to the exact prefix filter of `similar.open_links`, which
 finds every similar pair among them without pairing what is merely common. A pair of similarity s is missed only if no
 bucket has both: (1 - s^5)^32, 7 in 10^9 at 0.85. Documents with equal sets are one class and cost one entry.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.components import components
 from tillstream.llm.names import unused
-from tillstream.llm.similar import alike, classes_of, open_members, rare_pairs, shingles
+from tillstream.llm.similar import alike, classes_of, open_links, shingles
 from tillstream.llm.words import blocks, mix
 from tillstream.session import stored
 
@@ -129,8 +129,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "class", "hashes").dropDuplicates(["class"]), "sets")
     star = shared.where("class <> centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
     links = stored(alike(star, sets, least), "links")
-    rest = stored(rare_pairs(open_members(shared.select("key", "class"), components(links, "a", "b")), sets, least), "rest")
-    roots = components(links.union(alike(rest, sets, least)), "a", "b")
+    roots = components(links.union(open_links(shared.select("key", "class"), links, sets, least)), "a", "b")
     classes = own.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("_least"))
     rooted = classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "_least", F.coalesce("root", "class").alias("_root"))
     named = rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("class", "component_id")

@@ -90,14 +90,13 @@ def alike(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
     return same.where((p + q) * F.col("same") >= p * F.col("total")).select("a", "b")
 
 
-def rare_pairs(members: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
-    """Pairs (`a`, `b`) of classes of different roots that can be similar enough; none that is similar is left out.
+def rare_entries(members: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """The rarest shingles (`gram`) of each member, with its `class`, `root`, number of shingles `n` and the place `at` of the shingle.
 
     members: `class` and `root`; sets: `class` and `hashes`. Shingles are ordered by how many members have them. Of n
     shingles a similar pair shares so many that, in this order, the first one shared is among the first
-    n - ceil(least * n) + 1 of the larger set and the first n - ceil(2 * least / (1 + least) * n) + 1 of the smaller
-    one. Only those are join keys, and only where lengths and the places of the shared shingle leave enough room.
-    Shingles of one member come first and match nothing, so they are counted but never joined.
+    n - ceil(least * n) + 1 of the larger set (given here) and the first n - ceil(2 * least / (1 + least) * n) + 1 of the
+    smaller one. Shingles of one member come first and match nothing, so they are counted but not given.
     """
     p, q = least.numerator, least.denominator
     own = stored(members.join(sets, "class").select("class", "root", "hashes", F.size("hashes").cast("long").alias("n")), "members")
@@ -107,9 +106,21 @@ def rare_pairs(members: DataFrame, sets: DataFrame, least: Fraction) -> DataFram
     full = own.drop("hashes").join(ranked, "class").withColumn("alone", F.col("n") - F.size("met"))
     longest = F.expr(f"n - ({p} * n + {q - 1}) div {q} + 1 - alone")
     rows = full.select("class", "root", "n", "alone", F.posexplode(F.slice("met", F.lit(1), F.greatest(F.lit(0), longest).cast("int"))).alias("at", "met"))
-    entries = stored(rows.select("class", "root", "n", (F.col("alone") + F.col("at")).alias("at"), F.col("met.gram").alias("gram")), "rare")
+    return rows.select("class", "root", "n", (F.col("alone") + F.col("at")).alias("at"), F.col("met.gram").alias("gram"))
+
+
+def _of_several_roots(entries: DataFrame) -> DataFrame:
     roots = entries.groupBy("gram").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("gram")
-    open_ = entries.join(roots, "gram")
+    return entries.join(roots, "gram")
+
+
+def rare_pairs(entries: DataFrame, least: Fraction) -> DataFrame:
+    """Pairs (`a`, `b`) of classes of different roots that can be similar enough; none that is similar is left out.
+
+    A shingle joins only where lengths and its places leave enough room for what a similar pair shares.
+    """
+    p, q = least.numerator, least.denominator
+    open_ = _of_several_roots(entries)
     x = open_.select(*[F.col(c).alias(f"x_{c}") for c in entries.columns])
     y = open_.where(F.expr(f"at < n - ({2 * p} * n + {p + q - 1}) div {p + q} + 1")).select(*[F.col(c).alias(f"y_{c}") for c in entries.columns])
     room = F.expr(f"{p + q} * least(x_n - x_at, y_n - y_at) >= {p} * (x_n + y_n) and {q} * y_n >= {p} * x_n")
@@ -118,6 +129,28 @@ def rare_pairs(members: DataFrame, sets: DataFrame, least: Fraction) -> DataFram
     return met.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
 
 
+def open_links(buckets: DataFrame, links: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """The links that `links` lacks to connect all similar classes of the buckets (`key`, `class`).
+
+    Only buckets whose members are in several components are looked at. Of each rare shingle, the member with the fewest
+    shingles of its own is compared with all others first, so that edited copies of one text join in one round; what is
+    still apart then makes pairs.
+    """
+    entries = stored(rare_entries(open_members(buckets, components(links, "a", "b")), sets, least), "rare")
+    several = _of_several_roots(entries)
+    centres = several.groupBy("gram").agg(F.min(F.struct("at", "class", "root")).alias("c")).select(
+        "gram", F.col("c.class").alias("_class"), F.col("c.root").alias("_root"))
+    star = several.join(centres, "gram").where("root <> _root").groupBy(F.least("class", "_class").alias("a"), F.greatest("class", "_class").alias("b")).agg(
+        F.min(F.least("root", "_root")).alias("_x"), F.max(F.greatest("root", "_root")).alias("_y"))
+    tried = stored(star, "tried")
+    near = stored(alike(tried.select("a", "b"), sets, least), "near")
+    roots = components(tried.join(near, ["a", "b"]), "_x", "_y").withColumnRenamed("root", "_root")
+    merged = stored(entries.join(roots, F.col("root") == F.col("node"), "left").select(
+        "class", F.coalesce("_root", "root").alias("root"), "n", "at", "gram"), "merged")
+    rest = stored(rare_pairs(merged, least).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    return near.union(alike(rest, sets, least))
+
+
 def open_members(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """`class` and `root` of the entries (`key`, `class`) whose key has several roots; a class without root is its own."""
     placed = entries.join(roots, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"))
@@ -138,8 +171,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
         F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
     part = Fraction(least).limit_denominator(10_000)
     links = stored(alike(first, sets, part), "links")
-    rest = stored(rare_pairs(open_members(shared, components(links, "a", "b")), sets, part), "rest")
-    roots = components(links.union(alike(rest, sets, part)), "a", "b")
+    roots = components(links.union(open_links(shared.select("key", "class"), links, sets, part)), "a", "b")
     rooted = classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "_least", F.coalesce("root", "class").alias("_root"))
     named = rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("class", "component_id")
     return own.join(named, "class").select("doc_id", "component_id")
