@@ -66,7 +66,7 @@ def test_late_updates_rank_the_whole_window(spark, tmp_path):
     late = [(4, "b", at(4)), (5, "b", at(5))]
     s = write_parts(spark, str(tmp_path / "in"), CLICKS, first, late)
     counts = tumbling(flows.watermarked(s, "ts", 5 * S, lateness=10 * S), "ts", 10 * S, ["item"], F.count(F.lit(1)).alias("n"))
-    sink = flows.reranked_to_folder(str(tmp_path / "out"), ["item"], ["window_end"], "n", ["item"], 2, str(tmp_path / "counts"))
+    sink = flows.reranked_to_folder(str(tmp_path / "out"), ["item"], ["window_end"], "n", ["item"], 2, str(tmp_path / "open"), M, 30 * S)
     finish(counts, sink, tmp_path, "update")
     got = read(spark, tmp_path / "out", "batch", "item", "n", "rk")
     assert [r for r in got if r[0] == got[-1][0]] == [(got[-1][0], "a", 2, 2), (got[-1][0], "b", 3, 1)]

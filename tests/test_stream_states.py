@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators.joins import chunked_pairs
-from tillstream.operators.windows import distinct_in_windows
+from tillstream.operators.windows import distinct_in_windows, tumbling
 from tillstream.plans import stream_queries
 from tillstream.session import configure_streaming
 from tillstream.streaming import flows
@@ -211,3 +211,58 @@ def test_cogrouped_chunks(spark):
 @pytest.mark.parametrize("name", ["stream_login_cep", "stream_hourly_uv", "stream_tx_reconcile"])
 def test_registered(name):
     assert name in stream_queries.QUERIES and name in stream_queries.ORACLE
+
+
+def test_open_windows_are_ranked_again_and_closed_ones_leave(spark, tmp_path):
+    """Three batches with late rows: rankings as over all rows, and the table holds open windows only."""
+    own = configure_streaming(spark.newSession())
+    schema, folder = "item string, ts timestamp", str(tmp_path / "in")
+    parts = [[("a", at(1)), ("a", at(2)), ("b", at(3)), ("c", at(55))], [("b", at(4)), ("b", at(6)), ("c", at(300))], [("d", at(290)), ("a", at(301))]]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = flows.parquet_stream(own, folder, spark.createDataFrame([], schema).schema, files_per_batch=1)
+    counts = tumbling(flows.watermarked(stream, "ts", MINUTE, 60 * MINUTE), "ts", 10 * MINUTE, ["item"], F.count(F.lit(1)).alias("n"))
+    sink = flows.reranked_to_folder(str(tmp_path / "out"), ["item"], ["window_end"], "n", ["item"], 2, str(tmp_path / "open"), 10 * MINUTE, 61 * MINUTE)
+    flows.run(counts, sink, str(tmp_path / "cp"), "update", once=True).awaitTermination(120)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    last = out.join(out.groupBy("window_end").agg(F.max("batch").alias("batch")), ["window_end", "batch"]).collect()
+    assert {(r.window_end, r.item, r.n, r.rk) for r in last} == {
+        (at(10), "b", 3, 1), (at(10), "a", 2, 2), (at(60), "c", 1, 1), (at(300), "d", 1, 1), (at(310), "a", 1, 1), (at(310), "c", 1, 2)}
+    newest = max((tmp_path / "open").iterdir(), key=lambda p: p.stat().st_mtime)
+    assert {r.window_end for r in spark.read.parquet(str(newest)).collect()} == {at(300), at(310)}
+
+
+def test_changing_dimension(spark, tmp_path):
+    """An update, a newer update and an older one that comes late; the first batch runs twice."""
+    schema = "kind string, id long, name string, version int"
+    sink = flows.upserted_lookup(str(tmp_path / "out"), str(tmp_path / "dim"), lambda df: df.where("kind = 'dim'").select("id", "name", "version"),
+                                 lambda df: df.where("kind = 'fact'").select(F.col("id").alias("key")), "id", "version", "key", {"name": "name"})
+    batches = [[("dim", 1, "one", 1), ("dim", 2, "two", 1), ("fact", 1, None, None), ("fact", 3, None, None), ("fact", None, None, None)],
+               [("dim", 1, "uno", 2), ("fact", 1, None, None), ("fact", 2, None, None)], [("dim", 1, "old", 1), ("dim", 2, None, 5), ("fact", 1, None, None), ("fact", 2, None, None)]]
+    for n, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, schema)
+        for _ in range(2):
+            sink(df, n)
+    found = {(r.batch, r.key, r["name"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {(0, 1, "one"), (0, 3, None), (0, None, None), (1, 1, "uno"), (1, 2, "two"), (2, 1, "uno"), (2, 2, None)}
+
+
+def test_pane_state_is_bounded_and_right(spark):
+    """Sums carried from window to window against plain ones; a key holds the panes of one window at most, and then nothing."""
+    rng = random.Random(5)
+    size, slide = 6, 1
+    counts = {n: rng.randint(1, 5) for n in rng.sample(range(0, 300), 60)}
+    processor = p.PaneSums(size * MINUTE, slide * MINUTE)
+    handle, minute, given = Fake(), 60_000_000, {}
+    processor.init(handle)
+    for now in range(0, 320, 3):
+        rows = [{"us": n * minute, "n": c} for n, c in counts.items() if now - 3 <= n < now]
+        if rows:
+            list(processor.handleInputRows(("k",), iter(rows), None))
+        while handle.timers and min(handle.timers) * 1000 <= now * minute:
+            handle.timers.remove(min(handle.timers))
+            given |= {r.window_end // minute: r.total for r in processor.handleExpiredTimer(("k",), Mark(now * minute), None)}
+        assert len(handle.states["panes"].items) <= size // slide + 3 and len(handle.timers) <= 1
+    want = {e: sum(counts.get(n, 0) for n in range(e - size, e)) for e in range(0, 320)}
+    assert given == {e: n for e, n in want.items() if n}
+    assert not handle.states["panes"].items and handle.states["kept"].value is None and not handle.timers

@@ -24,7 +24,7 @@ from tillstream.plans import aggregate_queries, join_queries, pattern_queries, s
 from tillstream.session import configure_streaming, scratch
 from tillstream.sources.connectors import json_table
 from tillstream.streaming import flows
-from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, follow
+from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, follow, pane_sums
 
 HOUR, HALF_DAY = timedelta(hours=1), timedelta(hours=12)
 DELAY = timedelta(seconds=5)
@@ -50,7 +50,7 @@ def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, c
 
 
 def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dict[str, object]]], build: Callable[..., DataFrame],
-                sink=flows.to_folder, parts: int = STATE_PARTS) -> DataFrame:
+                sink=flows.to_folder, parts: int = STATE_PARTS, mode: str = "append", keep_batch: bool = False) -> DataFrame:
     """Feed tables (each with its time column and the values of its closing row) to `build` and give the result table.
 
     State is kept in `parts` parts; a running query keeps that number.
@@ -67,8 +67,9 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
             _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing)
         streams = [flows.parquet_stream(own, f"{folder}/in/{name}", T.StructType([*table.schema, T.StructField(CLOSING, T.BooleanType())]))
                    for name, (table, _, _) in tables.items()]
-        flows.run(build(*streams), sink(f"{folder}/out"), f"{folder}/progress", once=True).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").drop("batch")
+        flows.run(build(*streams), sink(f"{folder}/out"), f"{folder}/progress", mode, once=True).awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    return out if keep_batch else out.drop("batch")
 
 
 def _events(spark: SparkSession, sf: str, event_type: str = "view") -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
@@ -225,6 +226,89 @@ def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("right_seq").alias("l_linenumber"))
 
 
+def _ads(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
+    clicks = b.ad_clicks(spark, sf).select("province", "ad_id", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    return {"clicks": (clicks, "ts", {"province": "end"})}
+
+
+def stream_ads_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks per province and advert in six hours, every hour: counted per hour first, then carried from hour to hour in state."""
+    def build(clicks: DataFrame) -> DataFrame:
+        own = flows.watermarked(clicks, "ts", DELAY)
+        key = F.to_json(F.struct("province", "ad_id"))
+        counted = own.groupBy(F.window("ts", interval_text(HOUR)).alias("_w"), key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        panes = counted.select("key", F.window_time("_w").alias("at"), F.unix_micros("_w.start").alias("start"), "n")
+        return pane_sums(panes, "key", "at", "start", "n", 6 * HOUR, HOUR)
+
+    out = _worked_off(spark, _ads(spark, sf), build)
+    names = F.from_json("key", "province string, ad_id long").alias("k")
+    end = F.col("window_end")
+    return out.select(names, end, "total").where("k.province <> 'end'").select(
+        text(F.timestamp_micros(end)).alias("edt"), "k.province", "k.ad_id", F.col("total").alias("cnt"))
+
+
+def stream_ads_topn_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The top three adverts per window, ranked again as rows come up to two days late; the last ranking of each window."""
+    late = timedelta(days=2)
+    clicks = _ads(spark, sf)["clicks"][0]
+    behind = F.make_dt_interval(secs=F.pmod(F.xxhash64("event_id"), F.lit(late // timedelta(seconds=1))))
+    arriving = clicks.withColumn("arrival", F.col("ts") + behind)
+
+    def build(rows: DataFrame) -> DataFrame:
+        own = flows.watermarked(rows.where(f"NOT {CLOSING}"), "ts", DELAY, late)
+        return sliding_direct(own, "ts", 6 * HOUR, HOUR, ["province", "ad_id"], F.count(F.lit(1)).alias("cnt")).drop("window_start")
+
+    sink = lambda path: flows.reranked_to_folder(path, ["province", "ad_id"], ["window_end"], "cnt", ["province", "ad_id"], 3, f"{path}-open", 6 * HOUR, DELAY + late)
+    out = _worked_off(spark, {"clicks": (arriving, "arrival", {})}, build, sink, mode="update", keep_batch=True)
+    last = out.groupBy("window_end").agg(F.max("batch").alias("batch"))
+    return out.join(last, ["window_end", "batch"]).select(text(F.col("window_end")).alias("edt"), "province", "ad_id", "cnt", "rk")
+
+
+def _supplier_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipped details, and three versions of suppliers in front of the first, second and third part of the time span.
+
+    All suppliers have the first version, those with money the second, those of even nations the third.
+    """
+    line = b.table(spark, sf, "lineitem")
+    low, high = line.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    supplier = b.table(spark, sf, "supplier")
+    facts = line.select(F.lit("fact").alias("kind"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_suppkey").alias("supplier"),
+                        F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("version"), F.col("l_shipdate").cast("timestamp").alias("ts"))
+    for n, who in enumerate(("true", "s_acctbal > 0", "s_nationkey % 2 = 0")):
+        at = F.lit(low).cast("timestamp") + F.make_dt_interval(secs=F.lit((high - low).total_seconds() * n / SLICES))
+        facts = facts.unionByName(supplier.where(who).select(
+            F.lit("dim").alias("kind"), F.lit(None).cast("long").alias("id"), F.col("s_suppkey").alias("supplier"),
+            F.concat("s_name", F.lit(f" v{n + 1}")).alias("name"), F.lit(n + 1).alias("version"), at.alias("ts")))
+    return facts
+
+
+def stream_dim_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipped details with their supplier's name as it was at their time: the dimension changes under the stream."""
+    sink = lambda path: flows.upserted_lookup(
+        path, f"{path}-dim", lambda df: df.where("kind = 'dim'").select("supplier", "name", "version"),
+        lambda df: df.where("kind = 'fact'").select("id", F.col("supplier").alias("supp")), "supplier", "version", "supp", {"name": "name"})
+    rows = _supplier_changes(spark, sf)
+    return _worked_off(spark, {"rows": (rows, "ts", {"kind": "end"})}, lambda df: df.drop(CLOSING), sink).select("id", "supp", "name")
+
+
+def stream_payment_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments joined with wide orders, which are themselves a join of two streams."""
+    dims = b.dims(spark, sf)
+
+    def build(orders: DataFrame, details: DataFrame, payments: DataFrame) -> DataFrame:
+        o, d, p = (flows.watermarked(df.drop(CLOSING), "ts", DELAY) for df in (orders, details, payments))
+        own = wide.Dims(**{name: o.sparkSession.read.schema(dim.schema).parquet(paths[name]) for name, dim in vars(dims).items()})
+        return wide.payment_wide(p, wide.order_wide(o, d, own, F.lit(b.AS_OF), b.ORDER_WITHIN), b.PAY_AFTER)
+
+    paths = {}
+    for name, dim in vars(dims).items():
+        paths[name] = scratch(spark, f"dim-{name}")
+        dim.write.parquet(paths[name])
+    ids = {"id": -1, "order_id": -3}
+    tables = {"orders": (b.order_info(spark, sf), "ts", {"id": -1}), "details": (b.order_detail(spark, sf), "ts", ids), "payments": (b.payment_info(spark, sf), "ts", ids | {"order_id": -2})}
+    return _worked_off(spark, tables, build).drop("ts", "payment_ts")
+
+
 def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
     states = {"states": (b.order_states(spark, sf, "true"), "ts", {"order_id": -1, "kind": "create"})}
     out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id")
@@ -234,7 +318,7 @@ def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
     stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch, stream_province_stats,
-    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile)}
+    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -278,6 +362,18 @@ ORACLE |= {
     "stream_province_stats": stats_queries.ORACLE["province_stats"],
     "stream_keyword_stats": stats_queries.ORACLE["keyword_stats"],
     "stream_login_cep": _PATTERNS["login_cep"],
+    "stream_ads_sliding": f"""
+        WITH {aggregate_queries._slides(aggregate_queries._ADS, 'province, ad_id', 6, 1, 'HOUR')}
+        SELECT strftime(we, {_TEXT}) AS edt, province, ad_id, cnt FROM counted""",
+    "stream_ads_topn_late": aggregate_queries.ORACLE["ads_sliding_topn"],
+    "stream_dim_lookup": """
+        WITH b AS (SELECT min(l_shipdate) AS low, max(l_shipdate) AS high FROM lineitem),
+             f AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS supp,
+                          least(2, (epoch_us(l_shipdate) - epoch_us(low)) * 3 // (epoch_us(high) - epoch_us(low))) AS slice FROM lineitem, b)
+        SELECT id, supp, CASE WHEN s_suppkey IS NULL THEN NULL WHEN slice >= 2 AND s_nationkey % 2 = 0 THEN s_name || ' v3'
+                              WHEN slice >= 1 AND s_acctbal > 0 THEN s_name || ' v2' ELSE s_name || ' v1' END AS name
+        FROM f LEFT JOIN supplier ON s_suppkey = supp""",
+    "stream_payment_wide": join_queries.ORACLE["payment_wide"],
     "stream_tx_reconcile": f"SELECT o_orderkey, nth, total, l_linenumber FROM ({join_queries.ORACLE['tx_reconcile']})",
     "stream_hourly_uv": aggregate_queries.ORACLE["hourly_uv"],
     "stream_order_watch": _PATTERNS["order_pay_watch_all"],

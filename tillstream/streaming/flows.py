@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.functions.times import epoch_micros, interval_text, micros
 from tillstream.operators.changes import route, with_data
+from tillstream.operators.joins import lookup
 from tillstream.operators.late import closed_before
 from tillstream.operators.windows import top_n
 from tillstream.sinks.connectors import as_messages, jdbc_append, without_transient
@@ -95,25 +96,60 @@ def ranked_to_folder(path: str, by: Sequence[str], score: str, ties: Sequence[st
     return lambda df, batch_id: inner(top_n(df, by, score, ties, n), batch_id)
 
 
+def _snapshot(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """What the batch before left in one of a state folder's two slots; nothing before the first batch.
+
+    A batch reads the one slot and writes the other, so one that runs again finds what it found before.
+    """
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/slot={(batch_id - 1) % 2}")
+
+
+def _keep(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Write the state that the next batch starts from, and read it back."""
+    df.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/slot={batch_id % 2}")
+
+
 def reranked_to_folder(path: str, keys: Sequence[str], by: Sequence[str], score: str, ties: Sequence[str],
-                       n: int, counts_path: str) -> BatchSink:
+                       n: int, open_path: str, size: timedelta, delay: timedelta) -> BatchSink:
     """Rankings under late updates (update mode): every window a batch touches is ranked anew.
 
-    Counts go to a log; the newest count per key of the touched windows is ranked whole. ``by``
-    starts with the window's time. Other windows drop out in a semi-join.
+    ``by`` starts with the window's end. The counts of all open windows are a table that each batch brings up to date;
+    a window leaves it once no row can come any more: ``delay`` (with the lateness allowed) behind the latest row, which is
+    at least ``size`` before the latest window's end. A batch reads open windows only.
     """
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        df.write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
-        log = spark.read.option("basePath", counts_path).parquet(counts_path)
-        now = log.where(F.col("batch") == batch_id)
-        touched = now.select(*by).distinct()
-        # Nothing older than the oldest window touched is read; Parquet statistics skip it.
-        oldest = now.agg(F.min(by[0])).first()[0]
-        open_rows = log.where((F.col("batch") <= batch_id) & (F.col(by[0]) >= F.lit(oldest)))
-        newest = open_rows.join(touched, list(by), "left_semi").groupBy(*by, *keys).agg(
-            F.max_by(score, "batch").alias(score))
-        top_n(newest, by, score, ties, n).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark, names = df.sparkSession, [*by, *keys]
+        # The stream is read once: what it gives is a table before anything is worked out from it.
+        marked = _keep(df.select(*names, score).withColumn("_new", F.lit(1)), f"{open_path}-changes", batch_id)
+        before = _snapshot(spark, open_path, batch_id, marked.schema)
+        rows = before.withColumn("_new", F.lit(0)).unionByName(marked)
+        every = rows.groupBy(*names).agg(F.max_by(score, "_new").alias(score), F.max("_new").alias("_new"))
+        touched = marked.select(*by).distinct()
+        ranked = top_n(every.join(touched, list(by), "left_semi").drop("_new"), by, score, ties, n)
+        # What this batch closes was still open for it.
+        mark = every.select(F.max(by[0]) - F.make_dt_interval(secs=F.lit((size + delay).total_seconds()))).scalar()
+        _keep(every.where(F.col(by[0]) > mark), open_path, batch_id)
+        ranked.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def upserted_lookup(path: str, state: str, dim: Callable[[DataFrame], DataFrame], fact: Callable[[DataFrame], DataFrame], key: str, seq: str,
+                    fact_key: str, take: dict[str, str]) -> BatchSink:
+    """Facts looked up in a dimension that changes under the stream.
+
+    Each batch brings the dimension's snapshot up to date first, the newest row per ``key`` by ``seq`` (the table is made
+    with the first batch), and then looks its facts up in it; a later change does not touch facts that are written.
+    Both tables are plain Parquet; the snapshot is as large as the dimension and read once per batch.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark, changes = df.sparkSession, dim(df)
+        rows = _snapshot(spark, state, batch_id, changes.schema).unionByName(changes)
+        now = _keep(rows.groupBy(F.col(key).alias("_k")).agg(F.max_by(F.struct(*changes.columns), F.struct(seq, *[c for c in changes.columns if c != seq])).alias("_r")).select("_r.*"), state, batch_id)
+        lookup(fact(df), now, fact_key, key, take).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 

@@ -377,6 +377,78 @@ class Pairing(InOrder):
             mem["tail"] += 1
 
 
+class PaneSums(StatefulProcessor):
+    """Sums of sliding windows from slide-wide panes, of which a key holds ``size / slide`` at most.
+
+    Each pane comes once, already summed. A window's sum is the one before, plus the pane that enters, less the one
+    that leaves, so a window costs two panes and not ``size / slide``. A key without panes keeps nothing.
+    """
+
+    output = "key string, window_end long, total long"
+
+    def __init__(self, size: timedelta, slide: timedelta):
+        self.size, self.slide = (d // timedelta(microseconds=1) for d in (size, slide))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.panes = handle.getMapState("panes", "start bigint", "n bigint")
+        self.kept = handle.getValueState("kept", "next bigint, total bigint, alarm bigint")  # the next window's end, the sum of the one before
+
+    def close(self) -> None:
+        pass
+
+    def _keep(self, at: int, total: int, alarm: int | None) -> None:
+        """Remember the state, with one timer at the end of the next window."""
+        due = -(-at // 1000)
+        if alarm != due:
+            if alarm is not None:
+                self.handle.deleteTimer(alarm)
+            self.handle.registerTimer(due)
+        self.kept.update((at, total, due))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        at, total, alarm = self.kept.get() if self.kept.exists() else (None, 0, None)
+        for r in rows:
+            start = r["us"]
+            old = self.panes.getValue((start,))[0] if self.panes.containsKey((start,)) else 0
+            self.panes.updateValue((start,), (old + r["n"],))
+            at = start + self.slide if at is None else min(at, start + self.slide) if total == 0 else at
+        if at is not None:
+            self._keep(at, total, alarm)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        at, total, _ = self.kept.get()
+        starts = sorted(k[0] for k in self.panes.keys())
+        while at <= mark:
+            enters, leaves = (at - self.slide,), (at - self.slide - self.size,)
+            if self.panes.containsKey(enters):
+                total += self.panes.getValue(enters)[0]
+            if self.panes.containsKey(leaves):
+                total -= self.panes.getValue(leaves)[0]
+                self.panes.removeKey(leaves)
+                starts.remove(leaves[0])
+            if total:
+                yield Row(key=key[0], window_end=at, total=total)
+                at += self.slide
+            elif starts:
+                at = max(at + self.slide, starts[0] + self.slide)
+            else:
+                self.kept.clear()
+                return
+        self._keep(at, total, None)
+
+
+def pane_sums(panes: DataFrame, key: str, at: str, start: str, n: str, size: timedelta, slide: timedelta) -> DataFrame:
+    """``key``, ``window_end`` (epoch microseconds) and ``total`` of all windows that hold rows.
+
+    panes: one row per key (a text) and pane, with its watermarked time, its start in epoch microseconds and its sum.
+    """
+    rows = panes.select(F.col(key).alias("key"), F.col(at).alias("at"), F.col(start).alias("us"), F.col(n).cast("long").alias("n"))
+    return rows.groupBy("key").transformWithState(PaneSums(size, slide), T.StructType.fromDDL(PaneSums.output), "Append", "EventTime")
+
+
 def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: str | Column, delay: timedelta,
            processor: InOrder, slot: timedelta | None = None, closing: str | None = None) -> DataFrame:
     """Run a processor over a stream; gives its fields, the key as text.
