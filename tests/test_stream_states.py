@@ -266,3 +266,18 @@ def test_pane_state_is_bounded_and_right(spark):
     want = {e: sum(counts.get(n, 0) for n in range(e - size, e)) for e in range(0, 320)}
     assert given == {e: n for e, n in want.items() if n}
     assert not handle.states["panes"].items and handle.states["kept"].value is None and not handle.timers
+
+
+def test_changes_on_top_of_a_snapshot(spark, tmp_path):
+    """New keys, updates, deletions, changes the snapshot holds already, and versions out of order."""
+    own = configure_streaming(spark.newSession())
+    schema, folder = "key string, version long, value string", str(tmp_path / "in")
+    snapshot = own.createDataFrame([("a", 5, "a5"), ("b", 1, "b1")], schema)
+    parts = [[("a", 4, "a4"), ("a", 5, "a5"), ("a", 7, "a7"), ("a", 6, "a6"), ("c", 1, "c1")], [("b", 2, None), ("a", 6, "late"), ("c", 2, None), ("d", 1, None)], [("b", 3, "b3"), (None, 1, "none")]]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = flows.parquet_stream(own, folder, snapshot.schema, files_per_batch=1)
+    flows.run(p.changes_on_snapshot(stream, snapshot), flows.to_folder(str(tmp_path / "out")), str(tmp_path / "cp"), "update", once=True).awaitTermination(120)
+    found = {(r.key, r.version, r.op, r.before, r.after) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {("a", 6, "update", "a5", "a6"), ("a", 7, "update", "a6", "a7"), ("c", 1, "insert", None, "c1"), ("b", 2, "delete", "b1", None),
+                     ("c", 2, "delete", "c1", None), ("b", 3, "insert", None, "b3"), (None, 1, "insert", None, "none")}

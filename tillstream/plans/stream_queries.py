@@ -24,7 +24,7 @@ from tillstream.plans import aggregate_queries, join_queries, pattern_queries, s
 from tillstream.session import configure_streaming, scratch
 from tillstream.sources.connectors import json_table
 from tillstream.streaming import flows
-from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, follow, pane_sums
+from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, changes_on_snapshot, follow, pane_sums
 
 HOUR, HALF_DAY = timedelta(hours=1), timedelta(hours=12)
 DELAY = timedelta(seconds=5)
@@ -291,6 +291,20 @@ def stream_dim_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return _worked_off(spark, {"rows": (rows, "ts", {"kind": "end"})}, lambda df: df.drop(CLOSING), sink).select("id", "supp", "name")
 
 
+def stream_cdc_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of suppliers with the row before and after, started from a snapshot; the log begins with what the snapshot holds."""
+    changes = _supplier_changes(spark, sf).where("kind = 'dim'").select(
+        F.col("supplier").cast("string").alias("key"), F.col("version").cast("long").alias("version"), F.col("name").alias("value"), "ts")
+    path = scratch(spark, "snapshot")
+    changes.where("version = 1").drop("ts").write.parquet(path)
+
+    def build(rows: DataFrame) -> DataFrame:
+        return changes_on_snapshot(rows.where(f"NOT {CLOSING}"), rows.sparkSession.read.parquet(path))
+
+    out = _worked_off(spark, {"changes": (changes, "ts", {})}, build, mode="update")
+    return out.select(F.col("key").cast("long").alias("supplier"), "version", "op", "before", "after")
+
+
 def stream_payment_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Payments joined with wide orders, which are themselves a join of two streams."""
     dims = b.dims(spark, sf)
@@ -318,7 +332,7 @@ def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
     stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch, stream_province_stats,
-    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide)}
+    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide, stream_cdc_snapshot)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -373,6 +387,9 @@ ORACLE |= {
         SELECT id, supp, CASE WHEN s_suppkey IS NULL THEN NULL WHEN slice >= 2 AND s_nationkey % 2 = 0 THEN s_name || ' v3'
                               WHEN slice >= 1 AND s_acctbal > 0 THEN s_name || ' v2' ELSE s_name || ' v1' END AS name
         FROM f LEFT JOIN supplier ON s_suppkey = supp""",
+    "stream_cdc_snapshot": """
+        SELECT s_suppkey AS supplier, CAST(2 AS BIGINT) AS version, 'update' AS op, s_name || ' v1' AS before, s_name || ' v2' AS after FROM supplier WHERE s_acctbal > 0
+        UNION ALL SELECT s_suppkey, 3, 'update', s_name || CASE WHEN s_acctbal > 0 THEN ' v2' ELSE ' v1' END, s_name || ' v3' FROM supplier WHERE s_nationkey % 2 = 0""",
     "stream_payment_wide": join_queries.ORACLE["payment_wide"],
     "stream_tx_reconcile": f"SELECT o_orderkey, nth, total, l_linenumber FROM ({join_queries.ORACLE['tx_reconcile']})",
     "stream_hourly_uv": aggregate_queries.ORACLE["hourly_uv"],

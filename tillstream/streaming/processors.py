@@ -440,6 +440,42 @@ class PaneSums(StatefulProcessor):
         self._keep(at, total, None)
 
 
+class Versions(StatefulProcessor):
+    """Changes of keyed rows with the row before and after, on top of a snapshot that the state starts from.
+
+    A change no newer than what is known is left out, so a log that overlaps the snapshot gives each version once.
+    """
+
+    output = "key string, version long, op string, before string, after string"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "version bigint, value string")
+
+    def close(self) -> None:
+        pass
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.known.update((initialState["version"], initialState["value"]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        old, before = self.known.get() if self.known.exists() else (None, None)
+        for version, value in sorted(((r["version"], r["value"]) for r in rows), key=lambda r: (r[0], r[1] is not None, r[1] or "")):
+            if old is not None and version <= old:
+                continue
+            if before is not None or value is not None:
+                yield Row(key=key[0], version=version, op="insert" if before is None else "delete" if value is None else "update", before=before, after=value)
+            old, before = version, value
+        if old is not None:
+            self.known.update((old, before))
+
+
+def changes_on_snapshot(changes: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Both with ``key`` (text), ``version`` (long) and ``value`` (text; null for a deletion); the snapshot has a key once."""
+    names = ["key", "version", "value"]
+    return changes.select(*names).groupBy("key").transformWithState(
+        Versions(), T.StructType.fromDDL(Versions.output), "Update", "None", snapshot.select(*names).groupBy("key"))
+
+
 def pane_sums(panes: DataFrame, key: str, at: str, start: str, n: str, size: timedelta, slide: timedelta) -> DataFrame:
     """``key``, ``window_end`` (epoch microseconds) and ``total`` of all windows that hold rows.
 
