@@ -1,12 +1,15 @@
 """Words and the classifier: hashes by hand, held-out accuracy on planted texts, odd input."""
 
+import math
 import random
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tillstream.llm import toxicity
 from tillstream.llm.queries import QUERIES
@@ -96,6 +99,45 @@ def test_one_step_by_hand():
     assert np.allclose(ftrl.weight(ftrl.z[[3]], np.sqrt(ftrl.n[[3]])), 0.4 / (1.5 / 0.5))
 
 
+def plain_run(rows, alpha=0.3, beta=1.0, l1=3.0, l2=1e-3):
+    """FTRL-proximal with one entry per feature by name; rows in order. Gives the score of a text."""
+    def names(text):
+        w = re.findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower())
+        return {("word", x) for x in w} | {(k, x[:k]) for k in (4, 6) for x in w} | {(gap, a, b) for gap in (-1, -2) for a, b in zip(w, w[-gap:])}
+
+    ones = sum(y for _, y in rows)
+    bias = math.log((ones + 0.5) / (len(rows) - ones + 0.5))
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        return -math.copysign(max(abs(z[f]) - l1, 0.0), z[f]) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    def score(text):
+        return 1 / (1 + math.exp(-bias - sum(weight(f) for f in names(text))))
+
+    for text, label in rows:
+        slope = score(text) - label
+        for f, w in [(f, weight(f)) for f in names(text)]:
+            z[f] += slope - (math.sqrt(n[f] + slope * slope) - math.sqrt(n[f])) / alpha * w
+            n[f] += slope * slope
+    return score
+
+
+def test_whole_run_against_plain_features(spark):
+    """Training and scores over documents in the order of their ids' hashes, against features that are not hashed."""
+    rng = random.Random(3)  # a small vocabulary, so that no two features share a coordinate
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(18)], k=rng.randint(2, 30)) + ["brutish"] * (i % 5 == 0)), int(i % 5 == 0)) for i in range(400)] + [(1000, "", 1), (1001, "Nasty nasty\tNASTY", 1), (1002, "é ÉA w1", 0)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    order = [r.doc_id for r in table.select("doc_id").orderBy(F.xxhash64("doc_id")).collect()]
+    by_id = {i: (t, y) for i, t, y in rows}
+    score = plain_run([by_id[i] for i in order])
+    model = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "label"), "label")
+    found = toxicity.score(table, model).collect()
+    assert len(found) == len(rows) and len(model.places) > 5
+    for r in found:
+        assert r.score == pytest.approx(score(by_id[r.doc_id][0]), abs=1e-5)
+
+
 def test_query_on_the_table(spark, sf):
     rows = QUERIES["op1_toxicity"](spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
