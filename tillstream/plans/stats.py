@@ -78,10 +78,20 @@ _AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 _ORDER_IDS = {"order_ct": "order_id", "paid_order_ct": "paid_order_id", "refund_order_ct": "refund_order_id"}
 
 
-def product_rows(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders: DataFrame, payments: DataFrame,
-                 refunds: DataFrame, comments: DataFrame, order_amount: str = "total_amount") -> DataFrame:
+def acts(rows: DataFrame, favor: Column, cart: Column, comment: Column, sku_num: Column, appraise: Column) -> DataFrame:
+    """Favours, carts and comments that are rows of one table, in one pass: measures with sku_id and time ``at``."""
+    one = _long(1)
+    return rows.where(favor | cart | comment).select(
+        "sku_id", "at", F.when(favor, one).alias("favor_ct"), F.when(cart, sku_num).alias("cart_ct"), F.when(comment, one).alias("comment_ct"),
+        F.when(comment, code_flag(appraise, APPRAISE["good"])).alias("good_comment_ct"))
+
+
+def product_rows(pages: DataFrame, favors: DataFrame | None, carts: DataFrame | None, orders: DataFrame, payments: DataFrame,
+                 refunds: DataFrame, comments: DataFrame | None, order_amount: str = "total_amount", mixed: DataFrame | None = None) -> DataFrame:
     """Seven sources as one stream of product measures with sku_id and time ``at``.
 
+    ``mixed`` may hold favours, carts and comments in place of tables of their own (see ``acts``).
+
     Inputs: pages (log rows), favors (sku_id, at), carts (sku_id, sku_num, at), orders and
     payments (rows per order detail with order_id, amount and ts; wide rows will do, but the
     dimension columns are not needed), refunds (sku_id, order_id, refund_amount, at), comments
@@ -91,15 +101,16 @@ def product_rows(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders:
     one = _long(1)
     parts = [
         product_actions(pages).withColumn("at", F.timestamp_millis("ts")).drop("ts"),
-        favors.select("sku_id", "at", one.alias("favor_ct")),
-        carts.select("sku_id", "at", F.col("sku_num").alias("cart_ct")),
+        *([] if favors is None else [favors.select("sku_id", "at", one.alias("favor_ct"))]),
+        *([] if carts is None else [carts.select("sku_id", "at", F.col("sku_num").alias("cart_ct"))]),
+        *([] if mixed is None else [mixed]),
         orders.select("sku_id", F.col("ts").alias("at"), F.col("sku_num").alias("order_sku_num"),
                       F.col(order_amount).alias("order_amount"), "order_id"),
         payments.select("sku_id", F.col("ts").alias("at"), F.col("total_amount").alias("payment_amount"),
                         F.col("order_id").alias("paid_order_id")),
         refunds.select("sku_id", "at", "refund_amount", F.col("order_id").alias("refund_order_id")),
-        comments.select("sku_id", "at", one.alias("comment_ct"),
-                        code_flag(F.col("appraise"), APPRAISE["good"]).alias("good_comment_ct")),
+        *([] if comments is None else [comments.select("sku_id", "at", one.alias("comment_ct"),
+                                                       code_flag(F.col("appraise"), APPRAISE["good"]).alias("good_comment_ct"))]),
     ]
     out = parts[0].withColumn("at", F.col("at").cast("timestamp"))
     for p in parts[1:]:

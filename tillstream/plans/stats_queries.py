@@ -14,6 +14,7 @@ from tillstream.plans import bindings as b
 from tillstream.plans import join_queries as j
 from tillstream.plans import stats
 from tillstream.plans.wide import add_province, join_details, join_payments
+from tillstream.session import stored
 
 HOUR, DAY, HALF_DAY = timedelta(hours=1), timedelta(days=1), timedelta(hours=12)
 
@@ -41,22 +42,25 @@ def product_page_actions(spark: SparkSession, sf: str) -> DataFrame:
     return logs.product_actions(logs.pages(b.log_rows(spark, sf)))
 
 
-def product_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Favours are clicks, carts are purchases, comments are errors, refunds are returned details."""
+def product_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame | None]:
+    """Favours are clicks, carts are purchases, comments are errors, refunds are returned details.
+
+    Orders meet their details once; what comes out is a table that orders and payments both read.
+    """
     e = b.events(spark, sf).select("event_type", b.k().alias("sku_id"), F.col("ts").cast("timestamp").alias("at"))
-    details = join_details(b.order_info(spark, sf), b.order_detail(spark, sf), b.ORDER_WITHIN)
+    kind = F.col("event_type")
+    joined = join_details(b.order_info(spark, sf), b.order_detail(spark, sf), b.ORDER_WITHIN)
+    details = stored(joined.select("sku_id", "sku_num", "order_id", "user_id", "total_amount", "split_total_amount", "create_time", "order_ts"), "details").withColumnRenamed("order_ts", "ts")
     returned = b.table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     return {
         "pages": logs.pages(b.log_rows(spark, sf)),
-        "favors": e.where(F.col("event_type") == "click"),
-        "carts": e.where(F.col("event_type") == "purchase").withColumn("sku_num", F.col("sku_id") % 3 + 1),
-        "orders": details.withColumnRenamed("order_ts", "ts"),
-        "payments": join_payments(b.payment_info(spark, sf), details.withColumnRenamed("order_ts", "ts")).withColumnRenamed(
-            "payment_ts", "ts"),
+        "favors": None, "carts": None, "comments": None,
+        "mixed": stats.acts(e, kind == "click", kind == "purchase", kind == "error", F.col("sku_id") % 3 + 1,
+                            F.concat(F.lit("120"), (F.col("sku_id") % 4 + 1).cast("string"))),
+        "orders": details,
+        "payments": join_payments(b.payment_info(spark, sf), details).withColumnRenamed("payment_ts", "ts"),
         "refunds": returned.select(F.col("l_partkey").alias("sku_id"), F.col("l_orderkey").alias("order_id"),
                                    b.money("l_extendedprice").alias("refund_amount"), F.col("l_shipdate").alias("at")),
-        "comments": e.where(F.col("event_type") == "error").withColumn(
-            "appraise", F.concat(F.lit("120"), (F.col("sku_id") % 4 + 1).cast("string"))),
     }
 
 
