@@ -24,7 +24,7 @@ from tillstream.plans import aggregate_queries, join_queries, pattern_queries, s
 from tillstream.session import configure_streaming, scratch
 from tillstream.sources.connectors import json_table
 from tillstream.streaming import flows
-from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, changes_on_snapshot, follow, pane_sums
+from tillstream.streaming.processors import Bounce, ClickLimit, DailyVisit, FailureRuns, InOrder, LoginGuard, NewVisitor, OrderWatch, Pairing, PayNext, VisitorMeasures, changes_on_snapshot, follow, pane_sums
 
 HOUR, HALF_DAY = timedelta(hours=1), timedelta(hours=12)
 DELAY = timedelta(seconds=5)
@@ -323,6 +323,19 @@ def stream_payment_wide(spark: SparkSession, sf: str) -> DataFrame:
     return _worked_off(spark, tables, build).drop("ts", "payment_ts")
 
 
+def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Visitor statistics per hour: a device's rows in order give measures, and windows sum them, in one stream."""
+    log = b.log_rows(spark, sf)
+    kind = F.to_json(F.struct((~logs.is_start()).alias("page"), F.coalesce(logs.is_entry(), F.lit(False)).alias("entry"), *[F.col(f"common.{d}").alias(d) for d in stats.VISITOR_DIMS],
+                              F.col("page.during_time").alias("dur")))
+    rows = log.select("event_id", F.col("common.mid").alias("mid"), "at", kind.alias("kind"))
+
+    def build(own: DataFrame) -> DataFrame:
+        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), timedelta(days=1), CLOSING), HOUR)
+
+    return _worked_off(spark, {"rows": (rows, "at", {"mid": "-1"})}, build)
+
+
 def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
     states = {"states": (b.order_states(spark, sf, "true"), "ts", {"order_id": -1, "kind": "create"})}
     out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id")
@@ -332,7 +345,7 @@ def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
     stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch, stream_province_stats,
-    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide, stream_cdc_snapshot)}
+    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide, stream_cdc_snapshot, stream_visitor_stats)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -387,6 +400,7 @@ ORACLE |= {
         SELECT id, supp, CASE WHEN s_suppkey IS NULL THEN NULL WHEN slice >= 2 AND s_nationkey % 2 = 0 THEN s_name || ' v3'
                               WHEN slice >= 1 AND s_acctbal > 0 THEN s_name || ' v2' ELSE s_name || ' v1' END AS name
         FROM f LEFT JOIN supplier ON s_suppkey = supp""",
+    "stream_visitor_stats": stats_queries.ORACLE["visitor_stats"],
     "stream_cdc_snapshot": """
         SELECT s_suppkey AS supplier, CAST(2 AS BIGINT) AS version, 'update' AS op, s_name || ' v1' AS before, s_name || ' v2' AS after FROM supplier WHERE s_acctbal > 0
         UNION ALL SELECT s_suppkey, 3, 'update', s_name || CASE WHEN s_acctbal > 0 THEN ' v2' ELSE ' v1' END, s_name || ' v3' FROM supplier WHERE s_nationkey % 2 = 0""",

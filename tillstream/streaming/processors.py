@@ -12,8 +12,9 @@ large. A key has one live timer, the earliest time at which it has something to
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ class InOrder(StatefulProcessor):
     output = "key string, seq long, outcome string"
     slot = timedelta(hours=1) // timedelta(microseconds=1)  # rows of a key in one slot must fit in memory
     hold = 100_000  # incoming rows of a key held before they go to state
+    lead = 0  # by how much (microseconds) the watermark is behind what is worked off, so that results are not late for a next step
+    event_time = ""  # the output's time column, if a next step needs one
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -61,7 +64,7 @@ class InOrder(StatefulProcessor):
 
     def _wake(self, us: int) -> None:
         """Have the key's one timer go off at this time, or earlier if it is set so."""
-        at = -(-us // 1000)
+        at = -(-(us - self.lead) // 1000)
         old = self.alarm.get()[0] if self.alarm.exists() else None
         if old is not None and old <= at:
             return
@@ -136,7 +139,7 @@ class InOrder(StatefulProcessor):
         self.alarm.clear()
         kept = self.kept.get() if self.kept.exists() else None
         mem = dict(zip(self.names, kept)) if kept else dict.fromkeys(self.names)
-        for k, *rest in self._outcomes(key, mem, timerValues.getCurrentWatermarkInMs() * 1000):
+        for k, *rest in self._outcomes(key, mem, timerValues.getCurrentWatermarkInMs() * 1000 + self.lead):
             yield Row(**dict(zip(self.fields, (k, *rest), strict=True)))
         if any(v is not None for v in mem.values()):
             self.kept.update(tuple(mem[n] for n in self.names))
@@ -377,6 +380,52 @@ class Pairing(InOrder):
             mem["tail"] += 1
 
 
+class VisitorMeasures(InOrder):
+    """Five measures of a device's pages, with the new-visitor mark corrected: for window sums further down the stream.
+
+    A row's ``kind`` is a JSON text: ``page`` and ``entry`` (whether it is one), ``is_new``, ``vc``, ``ch``, ``ar``, ``dur``. A page
+    gives its view, its part of unique and entering visits and its duration at once, and one more row with a bounce when
+    that is known, both at the page's own time. The watermark therefore stays ``within`` behind, and no result is late.
+    """
+
+    memory = "flagged long, day long, since long, fields string"
+    fields = ("vc", "ch", "ar", "is_new", "at", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
+    output = "vc string, ch string, ar string, is_new string, at timestamp, uv_ct long, pv_ct long, sv_ct long, uj_ct long, dur_sum long"
+    event_time = "at"
+
+    def __init__(self, within: timedelta, offset: timedelta = timedelta(0)):
+        self.within, self.offset = (d // timedelta(microseconds=1) for d in (within, offset))
+        self.lead = self.within + 1_000_000
+
+    def deadline(self, mem):
+        return None if mem["since"] is None else mem["since"] + self.within
+
+    def expire(self, key, mem):
+        yield (*json.loads(mem["fields"]), _utc(mem["since"]), 0, 0, 0, 1, 0)
+        mem["since"] = mem["fields"] = None
+
+    def step(self, key, mem, us, seq, kind):
+        row = json.loads(kind)
+        is_new = row.get("is_new")
+        if is_new == "1":
+            is_new = "0" if mem["flagged"] else "1"
+            mem["flagged"] = 1
+        if not row["page"]:
+            return
+        entry, own = row["entry"], [row.get("vc"), row.get("ch"), row.get("ar"), is_new]
+        if mem["since"] is not None and entry:
+            yield from self.expire(key, mem)
+        day = (us + self.offset) // DAY
+        yield (*own, _utc(us), int(mem["day"] is None or day > mem["day"]), 1, int(entry), 0, row.get("dur") or 0)
+        mem["day"] = day
+        mem["since"], mem["fields"] = (us, json.dumps(own)) if entry else (None, None)
+
+
+def _utc(us: int) -> datetime:
+    """A time for an output row; sessions of this package are in UTC."""
+    return datetime(1970, 1, 1) + timedelta(microseconds=us)
+
+
 class PaneSums(StatefulProcessor):
     """Sums of sliding windows from slide-wide panes, of which a key holds ``size / slide`` at most.
 
@@ -501,5 +550,6 @@ def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: s
         as_column(key).cast("string").alias("key"), F.lit(False).alias("closing") if closing is None else F.coalesce(closing, F.lit(False)).alias("closing"),
         F.col(ts).cast("timestamp").alias("at"), epoch_micros(F.col(ts)).alias("us"),
         as_column(seq).cast("long").alias("seq"), as_column(kind).alias("kind"),
-    ).withWatermark("at", interval_text(delay))
-    return rows.groupBy("key", "closing").transformWithState(processor, T.StructType.fromDDL(processor.output), "Append", "EventTime")
+    ).withWatermark("at", interval_text(delay + timedelta(microseconds=processor.lead)))
+    return rows.groupBy("key", "closing").transformWithState(
+        processor, T.StructType.fromDDL(processor.output), "Append", "EventTime", eventTimeColumnName=processor.event_time)
