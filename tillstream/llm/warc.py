@@ -34,6 +34,7 @@ FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+NAME = r"[^/]+$"
 WARC_END = "\r\n\r\n"
 _HEAD = re.compile(rb"\S[^\n]* \d{14} [^\n]*\d+$")
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
@@ -140,24 +141,35 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 1 << 22) -> I
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
 
-def read_arc(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
-    """`file`, `offset`, `page_id`, `url`, `ip`, `date`, `bytes`, `digest` of each record's payload, and `head`, `payload`."""
+def read_arc(spark: SparkSession, path: str, blocks: bool = True, revisits: DataFrame | None = None) -> DataFrame:
+    """`file`, `offset`, `page_id`, `url`, `ip`, `date`, `bytes`, `digest` of each record's payload, `refers`, and `head`, `payload`.
+
+    revisits: `name` (of a file), `offset` and `refers` (another record's identifier) of records whose payload is left out. They
+    go to the reader of their file, so what moves to meet them are files as they are, and no payloads.
+    """
     schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()),
-                        ("bytes", pa.int64()), ("digest", pa.string()), ("head", pa.binary()), ("payload", pa.binary())])
+                        ("bytes", pa.int64()), ("digest", pa.string()), ("refers", pa.string()), ("head", pa.binary()), ("payload", pa.binary())])
+
+    marked = revisits is not None
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for file, stream in _opened(batch):
+        marks = batch.column("marks").to_pylist() if marked else [None] * batch.num_rows
+        for (file, stream), own in zip(_opened(batch), marks, strict=True):
+            known = {m["offset"]: m["refers"] for m in own or ()}
             for offset, fields, block in arc_records(stream):
                 http, head, payload = http_parts(block)
                 yield (file, offset, _number(http.get("x-page-id")), fields["URL"], fields["IP-address"], fields["Archive-date"], len(payload),
-                       hashlib.sha256(payload).hexdigest(), head if blocks else None, payload if blocks else None)
+                       hashlib.sha256(payload).hexdigest(), known.get(offset), head if blocks else None, payload if blocks and offset not in known else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _batched(rows(batch), schema)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "file string, offset long, page_id long, url string, ip string, date string, bytes long, digest string, head binary, payload binary")
+    if marked:
+        marks = revisits.groupBy("name").agg(F.collect_list(F.struct("offset", "refers")).alias("marks"))  # a file's records at most
+        files = files.withColumn("name", F.regexp_extract("path", NAME, 0)).join(marks, "name", "left").select("path", "content", "marks")
+    return files.mapInArrow(run, "file string, offset long, page_id long, url string, ip string, date string, bytes long, digest string, refers string, head binary, payload binary")
 
 
 # ---- WARC ----
@@ -172,14 +184,13 @@ def _identifier(*parts) -> F.Column:
 def convert(spark: SparkSession, arc: str, warc: str) -> None:
     """Read ARC files and write what they hold as WARC records."""
     own = F.col("bytes"), F.col("digest")
-    name = F.regexp_extract("file", r"[^/]+$", 0)
+    name = F.regexp_extract("file", NAME, 0)
     keys = stored(read_arc(spark, arc, blocks=False).select(name.alias("file"), "offset", "page_id", "bytes", "digest"), "keys")
     first = F.min(F.struct(F.col("page_id").isNull().alias("null"), "page_id", "file", "offset")).alias("first")
     groups = keys.where(own[0] >= SMALLEST).groupBy("bytes", "digest").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     revisits = keys.join(groups, ["bytes", "digest"]).where("file != first.file OR offset != first.offset").select(
-        F.col("file").alias("_file"), F.col("offset").alias("_offset"), _identifier("first.file", F.col("first.offset").cast("string")).alias("refers"))
-    records = read_arc(spark, arc).withColumn("file", name)
-    full = records.join(revisits, (F.col("file") == F.col("_file")) & (F.col("offset") == F.col("_offset")), "left")
+        F.col("file").alias("name"), "offset", _identifier("first.file", F.col("first.offset").cast("string")).alias("refers"))
+    full = read_arc(spark, arc, revisits=revisits).withColumn("file", name)
     again = F.col("refers").isNotNull()
     body = F.concat(F.col("head").cast("string"), F.when(again, F.lit("")).otherwise(F.col("payload").cast("string")))
     date = F.regexp_replace("date", r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d).*$", "$1-$2-$3T$4:$5:$6Z")
