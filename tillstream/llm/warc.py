@@ -34,6 +34,8 @@ FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+#: Archives are compressed at the fastest level: half the time for some more bytes.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 NAME = r"[^/]+$"
 WARC_END = "\r\n\r\n"
 _HEAD = re.compile(rb"\S[^\n]* \d{14} [^\n]*\d+$")
@@ -76,7 +78,7 @@ def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
                     count += 1
                 yield pa.record_batch({"value": pa.array(out, pa.string())})
 
-    own.mapInArrow(run, "value string").write.option("maxRecordsPerFile", RECORDS).option("lineSep", "\n").option("compression", "gzip").text(path)
+    own.mapInArrow(run, "value string").write.option("maxRecordsPerFile", RECORDS).option("lineSep", "\n").options(**GZIP).text(path)
 
 
 def arc_records(stream: io.BufferedIOBase) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -201,7 +203,7 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.when(again, F.concat(line("WARC-Refers-To", F.col("refers")), F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response"), line("Content-Length", F.octet_length(body).cast("string")), F.lit("\r\n\r\n"), body)
-    full.select(record.alias("value")).write.option("maxRecordsPerFile", RECORDS).option("lineSep", WARC_END).option("compression", "gzip").text(warc)
+    full.select(record.alias("value")).write.option("maxRecordsPerFile", RECORDS).option("lineSep", WARC_END).options(**GZIP).text(warc)
 
 
 def warc_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
