@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.functions.text import code_flag, explode_words
 from tillstream.functions.times import epoch_micros, interval_text, local_day, micros
@@ -86,11 +87,11 @@ def acts(rows: DataFrame, favor: Column, cart: Column, comment: Column, sku_num:
         F.when(comment, code_flag(appraise, APPRAISE["good"])).alias("good_comment_ct"))
 
 
-def product_rows(pages: DataFrame, favors: DataFrame | None, carts: DataFrame | None, orders: DataFrame, payments: DataFrame,
+def product_rows(pages: DataFrame | None, favors: DataFrame | None, carts: DataFrame | None, orders: DataFrame, payments: DataFrame,
                  refunds: DataFrame, comments: DataFrame | None, order_amount: str = "total_amount", mixed: DataFrame | None = None) -> DataFrame:
     """Seven sources as one stream of product measures with sku_id and time ``at``.
 
-    ``mixed`` may hold favours, carts and comments in place of tables of their own (see ``acts``).
+    ``mixed`` may hold measures in place of tables of their own, such as those of ``acts``.
 
     Inputs: pages (log rows), favors (sku_id, at), carts (sku_id, sku_num, at), orders and
     payments (rows per order detail with order_id, amount and ts; wide rows will do, but the
@@ -100,7 +101,7 @@ def product_rows(pages: DataFrame, favors: DataFrame | None, carts: DataFrame |
     """
     one = _long(1)
     parts = [
-        product_actions(pages).withColumn("at", F.timestamp_millis("ts")).drop("ts"),
+        *([] if pages is None else [product_actions(pages).withColumn("at", F.timestamp_millis("ts")).drop("ts")]),
         *([] if favors is None else [favors.select("sku_id", "at", one.alias("favor_ct"))]),
         *([] if carts is None else [carts.select("sku_id", "at", F.col("sku_num").alias("cart_ct"))]),
         *([] if mixed is None else [mixed]),
@@ -112,9 +113,11 @@ def product_rows(pages: DataFrame, favors: DataFrame | None, carts: DataFrame |
         *([] if comments is None else [comments.select("sku_id", "at", one.alias("comment_ct"),
                                                        code_flag(F.col("appraise"), APPRAISE["good"]).alias("good_comment_ct"))]),
     ]
-    out = parts[0].withColumn("at", F.col("at").cast("timestamp"))
+    # A time that needs no cast is left as it is, and so keeps its watermark on a stream.
+    parts = [p if p.schema["at"].dataType == T.TimestampType() else p.withColumn("at", F.col("at").cast("timestamp")) for p in parts]
+    out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p.withColumn("at", F.col("at").cast("timestamp")), allowMissingColumns=True)
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
@@ -140,8 +143,12 @@ def product_sums(rows: DataFrame, size: timedelta = TEN_SECONDS) -> DataFrame:
 
 def product_stats(rows: DataFrame, dims: Dims, size: timedelta = TEN_SECONDS) -> DataFrame:
     """Product measures per window, enriched after the aggregation, when few rows are left."""
-    sums = stamp(product_sums(rows, size))
-    out = add_sku_chain(sums, dims, price=True, name=True)
+    return product_enriched(product_sums(rows, size), dims)
+
+
+def product_enriched(sums: DataFrame, dims: Dims) -> DataFrame:
+    """Product sums with window texts and what the dimensions say of the product."""
+    out = add_sku_chain(stamp(sums), dims, price=True, name=True)
     amounts = {a: F.col(a).cast("decimal(28,2)") for a in _AMOUNTS}
     return out.withColumns(amounts).select(*PRODUCT_STATS_COLUMNS)
 

@@ -36,14 +36,14 @@ CLOSING = "_closing"
 STATE_PARTS = 8
 
 
-def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object]) -> None:
+def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object], last: int) -> None:
     """Write one slice of a table's time span, the last one with the closing row, which only it marks as such."""
     table = table.withColumn(CLOSING, F.lit(False))
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     cut = F.least(F.lit(SLICES - 1), F.floor((at - low) * SLICES / F.lit(max(1, high - low))))
     table.where(F.coalesce(cut, F.lit(0)) == n).write.mode("append").parquet(folder)
     if n == SLICES - 1:
-        end = F.timestamp_micros(F.lit(high) + int(AHEAD.total_seconds() * 1_000_000))
+        end = F.timestamp_micros(F.lit(last) + int(AHEAD.total_seconds() * 1_000_000))
         values = {ts: end, CLOSING: F.lit(True)} | {name: value(end) if callable(value) else F.lit(value) for name, value in closing.items()}
         row = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
         table.sparkSession.range(1).select(*row).write.mode("append").parquet(folder)
@@ -64,7 +64,7 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
         spans[name] = [value or 0 for value in table.agg(F.min(at), F.max(at)).first()]
     for n in range(SLICES):
         for name, (table, ts, closing) in tables.items():
-            _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing)
+            _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing, max(high for _, high in spans.values()))
         streams = [flows.parquet_stream(own, f"{folder}/in/{name}", T.StructType([*table.schema, T.StructField(CLOSING, T.BooleanType())]))
                    for name, (table, _, _) in tables.items()]
         flows.run(build(*streams), sink(f"{folder}/out"), f"{folder}/progress", mode, once=True).awaitTermination()
@@ -336,6 +336,30 @@ def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
     return _worked_off(spark, {"rows": (rows, "at", {"mid": "-1"})}, build)
 
 
+def stream_product_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Product statistics per day from seven streams, one of them a join of two, then sums per order and sums per window."""
+    inputs = stats_queries.product_inputs(spark, sf)
+    e = b.events(spark, sf).select("event_type", b.k().alias("sku_id"), F.col("ts").cast("timestamp").alias("at"))
+    payments = inputs["payments"].select("sku_id", "ts", "total_amount", "order_id")
+    tables = {"pages": (inputs["pages"].select("page", "displays", "at"), "at", {}), "acts": (e, "at", {"event_type": "end"}),
+              "orders": (b.order_info(spark, sf), "ts", {"id": -1}), "details": (b.order_detail(spark, sf), "ts", {"id": -1, "order_id": -2}),
+              "payments": (payments, "ts", {"order_id": -1}), "refunds": (inputs["refunds"], "at", {"order_id": -1})}
+
+    def build(pages: DataFrame, acts: DataFrame, orders: DataFrame, details: DataFrame, paid: DataFrame, refunds: DataFrame) -> DataFrame:
+        pages, acts, refunds = (flows.watermarked(df, "at", DELAY) for df in (pages, acts, refunds))
+        orders, details, paid = (flows.watermarked(df.drop(CLOSING), "ts", DELAY) for df in (orders, details, paid))
+        # Filters move below watermarks, so they let the closing row pass; its window stays open for good.
+        of = lambda kind: acts.where((F.col("event_type") == kind) | F.col(CLOSING))
+        rows = stats.product_rows(
+            None, of("click"), of("purchase").withColumn("sku_num", F.col("sku_id") % 3 + 1),
+            wide.join_details(orders, details, b.ORDER_WITHIN).withColumnRenamed("order_ts", "ts"), paid, refunds,
+            of("error").withColumn("appraise", F.concat(F.lit("120"), (F.col("sku_id") % 4 + 1).cast("string"))),
+            mixed=logs.product_actions(pages.withColumnRenamed("at", "ts")).withColumnRenamed("ts", "at"))
+        return stats.product_sums(rows, timedelta(days=1))
+
+    return stats.product_enriched(_worked_off(spark, tables, build), b.dims(spark, sf))
+
+
 def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
     states = {"states": (b.order_states(spark, sf, "true"), "ts", {"order_id": -1, "kind": "create"})}
     out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id")
@@ -345,7 +369,7 @@ def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, b.Query] = {f.__name__: f for f in (
     stream_hourly_pv, stream_hot_types, stream_order_details, stream_user_jump, stream_new_user_fix, stream_daily_visit,
     stream_login_alert, stream_order_next, stream_click_limit, stream_order_watch, stream_province_stats,
-    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide, stream_cdc_snapshot, stream_visitor_stats)}
+    stream_keyword_stats, stream_login_cep, stream_hourly_uv, stream_tx_reconcile, stream_ads_sliding, stream_ads_topn_late, stream_dim_lookup, stream_payment_wide, stream_cdc_snapshot, stream_visitor_stats, stream_product_stats)}
 
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -400,6 +424,7 @@ ORACLE |= {
         SELECT id, supp, CASE WHEN s_suppkey IS NULL THEN NULL WHEN slice >= 2 AND s_nationkey % 2 = 0 THEN s_name || ' v3'
                               WHEN slice >= 1 AND s_acctbal > 0 THEN s_name || ' v2' ELSE s_name || ' v1' END AS name
         FROM f LEFT JOIN supplier ON s_suppkey = supp""",
+    "stream_product_stats": stats_queries.ORACLE["product_stats"],
     "stream_visitor_stats": stats_queries.ORACLE["visitor_stats"],
     "stream_cdc_snapshot": """
         SELECT s_suppkey AS supplier, CAST(2 AS BIGINT) AS version, 'update' AS op, s_name || ' v1' AS before, s_name || ' v2' AS after FROM supplier WHERE s_acctbal > 0
