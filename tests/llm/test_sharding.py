@@ -96,6 +96,19 @@ def test_overfull_ranges_are_divided(spark, monkeypatch):
     assert max(abs(s - mean) for s in sizes.values()) < 0.03 * mean
 
 
+def test_a_frequent_text_is_cut_off_at_once(spark, monkeypatch):
+    """A text that overfills a range without being dealt out: rounds do not follow the rows that share its range."""
+    rounds, drawn = [], sharding._drawn
+    monkeypatch.setattr(sharding, "_drawn", lambda *args: rounds.append(1) or drawn(*args))
+    rows = [(i, "same text " * 4) for i in range(600)] + [(i, f"text {i:035d}") for i in range(600, 12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sharding.shards(docs, tolerance=1.0).collect()
+    assert Counter(r.doc_id for r in found) == Counter(range(12_000)) and len(rounds) <= 4
+    assert len({r.shard for r in found if r.doc_id < 600}) == 1
+    codes = [sharding._codes(*(sharding.np.array([x]) for x in pair)) for pair in ((3, 2**63 - 1), (4, -(2**63)), (4, 1 - 2**63))]
+    assert sharding._after(codes[0]) == codes[1] > codes[0] and sharding._after(codes[1]) == codes[2]
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "x"), (None, None), (5, "y" * 100_000), (6, "é")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

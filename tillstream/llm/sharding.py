@@ -38,6 +38,14 @@ def _codes(key: np.ndarray, tie: np.ndarray) -> np.ndarray:
     return pair.view("S16").ravel()
 
 
+def _after(codes: np.ndarray) -> np.ndarray:
+    """The next value after each."""
+    pair = codes.view(">u8").reshape(-1, 2).astype(">u8")
+    pair[:, 1] += np.uint64(1)
+    pair[:, 0] += pair[:, 1] == 0
+    return pair.view("S16").ravel()
+
+
 def _ranged(rows: DataFrame, splitters: np.ndarray) -> DataFrame:
     """Add `range`: how many splitters are not above the row's key."""
     shared = rows.sparkSession.sparkContext.broadcast(splitters)
@@ -52,10 +60,9 @@ def _ranged(rows: DataFrame, splitters: np.ndarray) -> DataFrame:
 
 
 def _drawn(rows: DataFrame, total: int, draws: int) -> np.ndarray:
-    """Keys of about `draws` rows, sorted; a row's chance is in proportion to its size."""
+    """Keys of about `draws` rows, sorted; a row's chance is in proportion to its size, whatever other rows of its key do."""
     chance = F.col("size") * F.lit(draws / max(1, total))
-    draw = F.shiftrightunsigned(F.xxhash64("key", "tie", F.lit(5)), 11) / F.lit(float(1 << 53))
-    keys = rows.where(draw < chance).select("key", "tie").toArrow()
+    keys = rows.where(F.rand(5) < chance).select("key", "tie").toArrow()
     return np.sort(_codes(keys["key"].to_numpy(), keys["tie"].to_numpy()))
 
 
@@ -79,10 +86,10 @@ def _splitters(rows: DataFrame, count: int, total: int) -> tuple[np.ndarray, lis
             at = np.searchsorted(splitters, sample, "right")
             for k, size in full.items():
                 low = _codes(*(np.array([stats[k]["low"][c]]) for c in ("key", "tie")))
+                # A frequent key is cut off on both of its sides, so that the rows beside it need no rounds of their own.
                 own = _quantiles(sample[at == k], max(2, -(-size * ranges // total)))
-                more.append(own[own > low])  # else nothing would be cut off
-                if not len(more[-1]):
-                    more.append(_codes(*(np.array([stats[k]["high"][c]]) for c in ("key", "tie"))))
+                own = np.concatenate([own, _after(own)]) if len(own) else _after(low)
+                more.append(own[own > low])
         grown = np.unique(np.concatenate(more))
         if len(grown) == len(splitters):
             empty = {"n": 0, "size": 0}
