@@ -88,17 +88,28 @@ def co_process(left: DataFrame, right: DataFrame, keys: Sequence[str], each: Cal
 
 
 def chunked_pairs(left: DataFrame, right: DataFrame, key: str, left_order: Sequence[str], right_order: Sequence[str],
-                  each: Callable[[pa.Table, pa.Table], pa.Table], schema: str, chunk: int = 10_000, policy: SplitPolicy | None = None) -> DataFrame:
+                  each: Callable[[pa.Table, pa.Table], pa.Table], schema: str, chunk: int = 10_000, policy: SplitPolicy | None = None,
+                  call_rows: int | None = None) -> DataFrame:
     """``co_process`` for functions that put the n-th left row of a key next to its n-th right row.
 
     Rows get their position ``nth`` in the key first, and a call sees the positions of one chunk only, so a hot key is
-    spread over as many calls as it has chunks.
+    spread over as many calls as it has chunks. With ``call_rows``, calls get many chunks, of different keys too and about so
+    many rows, for functions that tell keys apart: a call costs a millisecond, which is much for a few rows.
     """
     def placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
         own = with_ordered(df, [key], order[0], order[1:], policy, nth=position())
         return own.withColumn("_chunk", F.floor((F.col("nth") - 1) / chunk))
 
-    return co_process(placed(left, left_order), placed(right, right_order), [key, "_chunk"], each, schema)
+    l, r = placed(left, left_order), placed(right, right_order)
+    if call_rows is None:
+        return co_process(l, r, [key, "_chunk"], each, schema)
+    calls = -(-(left.count() + right.count()) // call_rows) or 1
+    together = F.pmod(F.xxhash64(key, "_chunk"), F.lit(calls))
+
+    def many(x: pa.Table, y: pa.Table) -> pa.Table:
+        return each(x.drop_columns(["_call"]), y.drop_columns(["_call"]))
+
+    return co_process(l.withColumn("_call", together), r.withColumn("_call", together), ["_call"], many, schema)
 
 
 def coalesce_merge(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
