@@ -281,3 +281,72 @@ def test_changes_on_top_of_a_snapshot(spark, tmp_path):
     found = {(r.key, r.version, r.op, r.before, r.after) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert found == {("a", 6, "update", "a5", "a6"), ("a", 7, "update", "a6", "a7"), ("c", 1, "insert", None, "c1"), ("b", 2, "delete", "b1", None),
                      ("c", 2, "delete", "c1", None), ("b", 3, "insert", None, "b3"), (None, 1, "insert", None, "none")}
+
+
+def test_cogrouped_chunks_share_calls(spark):
+    """A function that tells keys apart is called for some thousand rows and not for each chunk; keys without a value meet too."""
+    import pyarrow as pa
+
+    from tillstream.plans.join_queries import _receipts
+
+    rng = random.Random(4)
+    orders = [(k, at(rng.randint(0, 9)), n) for n, k in enumerate(rng.choices([*range(900), None], k=2000))] + [(7, at(n), n) for n in range(50)]
+    receipts = [(k, at(rng.randint(0, 9)), n, n, n) for n, k in enumerate(rng.choices([*range(900), None], k=3000))]
+    left = spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp, total long").withColumn("total", F.col("total").cast("decimal(18,2)"))
+    right = spark.createDataFrame(receipts, "o_orderkey long, l_shipdate timestamp, l_linenumber int, l_partkey long, l_suppkey long")
+    schema = "o_orderkey long, nth long, total decimal(18,2), l_linenumber int, l_partkey long, l_suppkey long, rows long"
+
+    def each(x, y):
+        found = _receipts(x, y)
+        return found.append_column("rows", pa.array([x.num_rows + y.num_rows] * found.num_rows, pa.int64()))
+
+    found = chunked_pairs(left, right, "o_orderkey", ["o_orderdate", "total"], ["l_shipdate", "l_linenumber"], each, schema, chunk=3, call_rows=1000).collect()
+    of = lambda rows, k, tie: [tie(r) for r in sorted((r for r in rows if r[0] == k), key=lambda r: r[1:3])]
+    want = [(k, n + 1, a, b) for k in {r[0] for r in orders} for n, (a, b) in enumerate(zip(of(orders, k, lambda r: r[2]), of(receipts, k, lambda r: r[2])))]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.o_orderkey, r.nth, int(r.total), r.l_linenumber) for r in found), key=order) == sorted(want, key=order)
+    assert min(r.rows for r in found) > 500
+
+
+def test_keys_of_a_group_share_slots_timer_and_memories(spark):
+    """A thousand keys in one group cost one entry a slot, one timer and one entry of memories; results are those of each key alone."""
+    import pandas as pd
+
+    handle, processor, group = Fake(), p.Grouped(p.ClickLimit(2, rest=True)), (5, False)
+    processor.slot = 3_600_000_000
+    processor.init(handle)
+    rng = random.Random(6)
+    rows = [(rng.randrange(5 * processor.slot), n, f"k{n % 999}" if n % 1000 else None) for n in range(5000)]
+    for low in range(0, 5000, 1000):
+        part = rows[low : low + 1000]
+        frame = pd.DataFrame({"us": [r[0] for r in part], "seq": [r[1] for r in part], "numbered": True, "kind": "c", "known": True,
+                              "key": [r[2] for r in part], "named": [r[2] is not None for r in part]})
+        assert not list(processor.handleInputRows(group, iter([frame]), None))
+    assert len(handle.states["waiting"].items) == 25 and len(handle.timers) == 1 and handle.most == 1
+    given = []
+    for mark in (2 * processor.slot + 1, 6 * processor.slot):
+        while handle.timers and min(handle.timers) * 1000 <= mark:
+            handle.timers.remove(min(handle.timers))
+            given += [tuple(r) for frame in processor.handleExpiredTimer(group, Mark(mark), None) for r in frame.itertuples(index=False)]
+    want = []
+    for key in {r[2] for r in rows}:
+        own = [seq for _, seq in sorted((us, seq) for us, seq, k in rows if k == key)]
+        want += [(key, seq, "normal" if n == 0 else "alert" if n == 1 else "dropped") for n, seq in enumerate(own)]
+    order = lambda r: r[1]
+    assert sorted(given, key=order) == sorted(want, key=order)
+    assert not handle.states["waiting"].items and not handle.states["chunks"].items and len(handle.timers) == 1
+
+
+def test_pairs_years_apart_with_long_queues(spark):
+    """Without a time limit every row meets its partner, however long it waits; the middle of a long queue is kept in parts."""
+    handle, pattern = Fake(), p.Pairing(None)
+    pattern.part = 10
+    pattern.attach(handle)
+    mem, day = dict.fromkeys(f.split()[0] for f in "side nth last low high front back".split()), 86_400_000_000
+    for n in range(500):
+        assert not list(pattern.step(("a",), mem, n * day, n, "left"))
+        assert len(mem["front"]) + len(mem["back"]) <= 20 and pattern.deadline(mem) is None
+    assert handle.states["queue"].written <= 500
+    found = [r for n in range(500) for r in pattern.step(("a",), mem, (2000 + n) * day, 1000 + n, "right")]
+    assert found == [("a", n + 1, n, 1000 + n) for n in range(500)]
+    assert not handle.states["queue"].items and not mem["front"] and not mem["back"]

@@ -34,6 +34,8 @@ AHEAD = timedelta(days=60)
 SLICES = 3
 CLOSING = "_closing"
 STATE_PARTS = 8
+#: Rows that a part of the state stands for at most, all slices together; groups of keys in a part.
+PART_ROWS, PART_GROUPS = 400_000, 16
 
 
 def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object], last: int) -> None:
@@ -53,15 +55,16 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
                 sink=flows.to_folder, parts: int = STATE_PARTS, mode: str = "append", keep_batch: bool = False) -> DataFrame:
     """Feed tables (each with its time column and the values of its closing row) to `build` and give the result table.
 
-    State is kept in `parts` parts; a running query keeps that number.
+    State is kept in `parts` parts, or more for large tables; a running query keeps that number.
     """
     own = configure_streaming(spark.newSession())
-    own.conf.set("spark.sql.shuffle.partitions", parts)
     folder = scratch(spark, "stream")
-    spans = {}
+    spans, rows = {}, 0
     for name, (table, ts, _) in tables.items():
         at = F.unix_micros(F.col(ts).cast("timestamp"))
-        spans[name] = [value or 0 for value in table.agg(F.min(at), F.max(at)).first()]
+        low, high, n = table.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+        spans[name], rows = [low or 0, high or 0], rows + n
+    own.conf.set("spark.sql.shuffle.partitions", max(parts, -(-rows // PART_ROWS)))
     for n in range(SLICES):
         for name, (table, ts, closing) in tables.items():
             _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing, max(high for _, high in spans.values()))
@@ -72,6 +75,11 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
     return out if keep_batch else out.drop("batch")
 
 
+def _groups(rows: DataFrame) -> int:
+    """Groups for the keys of a stream: their number goes with the parts of the state, and so with the table."""
+    return PART_GROUPS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _events(spark: SparkSession, sf: str, event_type: str = "view") -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
     return {"events": (b.events(spark, sf), "ts", {"event_id": -1, "user_id": -1, "event_type": event_type})}
 
@@ -113,17 +121,17 @@ def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
         kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
-        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1), CLOSING)
+        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1), CLOSING, _groups(events))
 
     out = _worked_off(spark, _events(spark, sf), build)
     return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
 
 
 def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str | Column, key: str | Column = "user_id",
-              where: str = "true", seq: str = "event_id") -> DataFrame:
+              where: str = "true", seq: str = "event_id", slot: timedelta = timedelta(days=1)) -> DataFrame:
     """What a pattern gives for a table's rows."""
     def build(rows: DataFrame) -> DataFrame:
-        return follow(rows.where(f"({where}) OR {CLOSING}"), key, "ts", seq, kind, DELAY, processor, timedelta(days=1), CLOSING)
+        return follow(rows.where(f"({where}) OR {CLOSING}"), key, "ts", seq, kind, DELAY, processor, slot, CLOSING, _groups(rows))
 
     return _worked_off(spark, tables, build)
 
@@ -212,14 +220,17 @@ def stream_hourly_uv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders and receipts as one stream of two kinds of rows, paired by number and occurrence, either arriving first."""
+    """Orders and receipts as one stream of two kinds of rows, paired by number and occurrence, either arriving first.
+
+    Years may lie between the two, so a row waits for its partner without a limit.
+    """
     o = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"), F.lit("left").alias("kind"),
                                             (b.money("o_totalprice") * 100).cast("long").alias("seq"))
     r = b.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("ts"), F.lit("right").alias("kind"),
                                               F.col("l_linenumber").cast("long").alias("seq"))
 
     def build(rows: DataFrame) -> DataFrame:
-        return follow(rows, "id", "ts", "seq", "kind", DELAY, Pairing(timedelta(days=200)), timedelta(days=400), CLOSING)
+        return follow(rows, "id", "ts", "seq", "kind", DELAY, Pairing(None), timedelta(days=400), CLOSING, _groups(rows))
 
     out = _worked_off(spark, {"rows": (o.union(r), "ts", {"kind": "left"})}, build).where("nth IS NOT NULL")
     return out.select(F.col("key").cast("long").alias("o_orderkey"), "nth", (F.col("left_seq") / 100).cast("decimal(18,2)").alias("total"),
@@ -331,7 +342,7 @@ def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = log.select("event_id", F.col("common.mid").alias("mid"), "at", kind.alias("kind"))
 
     def build(own: DataFrame) -> DataFrame:
-        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), timedelta(days=1), CLOSING), HOUR)
+        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), timedelta(days=1), CLOSING, _groups(own)), HOUR)
 
     return _worked_off(spark, {"rows": (rows, "at", {"mid": "-1"})}, build)
 
@@ -362,7 +373,7 @@ def stream_product_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_order_watch(spark: SparkSession, sf: str) -> DataFrame:
     states = {"states": (b.order_states(spark, sf, "true"), "ts", {"order_id": -1, "kind": "create"})}
-    out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id")
+    out = _followed(spark, states, OrderWatch(timedelta(days=15), timedelta(days=20)), "kind", "order_id", seq="order_id", slot=timedelta(days=100))
     return out.select(F.col("key").cast("long").alias("order_id"), "outcome")
 
 

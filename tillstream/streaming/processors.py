@@ -8,14 +8,22 @@ Waiting rows are kept in chunks by time slot: what comes in is added as a chunk,
 again. Slots are worked off one after the other: a task holds the rows of one slot of one key at a time, not
 those of a whole key, and gives its results row by row. The rest stays in the state store, on disk where it is
 large. A key has one live timer, the earliest time at which it has something to do.
+
+On a stream (`follow`) many keys share a group, dealt by a hash, with one timer and one set of slots (`Grouped`): what a
+state store costs is paid per group and slot and not per key. The number of groups has to grow with the rows.
 """
 
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +33,9 @@ DAY = 86_400_000_000  # microseconds
 
 WAITING = "rows array<struct<us:bigint,seq:bigint,kind:string>>"
 
+#: Groups that the keys of a stream are dealt to unless stated.
+GROUPS = 128
+
 
 class InOrder(StatefulProcessor):
     """Feeds the rows of a key to ``step`` in time order and keeps one small memory per key.
@@ -45,11 +56,15 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.names = [f.split()[0] for f in self.memory.split(", ")]
+        self.attach(handle)
         self.waiting = handle.getMapState("waiting", "slot bigint, chunk int", WAITING)
         self.chunks = handle.getMapState("chunks", "slot bigint", "n int")
         self.kept = handle.getValueState("kept", self.memory)
         self.alarm = handle.getValueState("alarm", "ms bigint")
 
+    def attach(self, handle: StatefulProcessorHandle) -> None:
+        """States of a pattern's own; they may serve many keys."""
+
     def close(self) -> None:
         pass
 
@@ -332,52 +347,67 @@ class FailureRuns(InOrder):
 class Pairing(InOrder):
     """Pairs the n-th ``left`` row of a key with its n-th ``right`` row, whichever comes first.
 
-    Rows without a partner wait in a queue of their own entries, of which only the first and the last number are held;
-    a pair takes its first entry and rewrites nothing. A row that has waited for ``wait`` is given alone and leaves.
+    Rows without a partner wait in a queue. Its two ends, of ``part`` rows at most, are held with the memory of the key, what is
+    between them in parts of their own that are written once. A row that has waited for ``wait`` is given alone and leaves;
+    without such a time all wait until their partner comes.
     """
 
-    memory = "side string, head long, tail long, nth long, last long"
+    memory = ("side string, nth long, last long, low long, high long, "
+              "front array<struct<us:bigint,seq:bigint>>, back array<struct<us:bigint,seq:bigint>>")
     fields = ("key", "nth", "left_seq", "right_seq")
     output = "key string, nth long, left_seq long, right_seq long"
+    part = 1000
 
-    def __init__(self, wait: timedelta):
-        self.wait = wait // timedelta(microseconds=1)
+    def __init__(self, wait: timedelta | None):
+        self.wait = None if wait is None else wait // timedelta(microseconds=1)
 
-    def init(self, handle):
-        super().init(handle)
-        self.queue = handle.getMapState("queue", "n bigint", "us bigint, seq bigint")
+    def attach(self, handle):
+        self.queue = handle.getMapState("queue", "key string, n bigint", "rows array<struct<us:bigint,seq:bigint>>")
 
-    def _first(self, mem):
-        """The first row that waits; it leaves the queue."""
-        _, seq = self.queue.getValue((mem["head"],))
-        self.queue.removeKey((mem["head"],))
-        mem["head"] += 1
+    def _push(self, key, mem, row):
+        if not mem["front"]:
+            mem["front"] = [row]
+            return
+        mem["back"].append(row)
+        if len(mem["back"]) >= self.part:
+            self.queue.updateValue((json.dumps(key[0]), mem["high"]), (mem["back"],))
+            mem["high"], mem["back"] = mem["high"] + 1, []
+
+    def _first(self, key, mem):
+        """The first row that waits; it leaves the queue, whose front (kept last row first) is empty only if the queue is."""
+        _, seq = mem["front"].pop()
+        if not mem["front"] and mem["low"] < mem["high"]:
+            at = (json.dumps(key[0]), mem["low"])
+            mem["front"] = [tuple(r) for r in reversed(self.queue.getValue(at)[0])]
+            self.queue.removeKey(at)
+            mem["low"] += 1
+        elif not mem["front"]:
+            mem["front"], mem["back"] = mem["back"][::-1], []
         return seq
 
     def deadline(self, mem):
-        if mem["head"] is None:
+        if self.wait is None or mem["last"] is None:
             return None
-        return self.wait + (mem["last"] if mem["head"] == mem["tail"] else self.queue.getValue((mem["head"],))[0])
+        return self.wait + (mem["front"][-1][0] if mem["front"] else mem["last"])
 
     def expire(self, key, mem):
-        if mem["head"] == mem["tail"]:  # a key that rests is forgotten
+        if not mem["front"]:  # a key that rests is forgotten
             mem.update(dict.fromkeys(mem))
             return
-        seq = self._first(mem)
+        seq = self._first(key, mem)
         yield (key[0], None, seq, None) if mem["side"] == "left" else (key[0], None, None, seq)
 
     def step(self, key, mem, us, seq, kind):
-        if mem["head"] is None:
-            mem["head"] = mem["tail"] = mem["nth"] = 0
+        if mem["last"] is None:
+            mem.update(nth=0, low=0, high=0, front=[], back=[])
         mem["last"] = us
-        if mem["head"] < mem["tail"] and mem["side"] != kind:
-            other = self._first(mem)
+        if mem["front"] and mem["side"] != kind:
+            other = self._first(key, mem)
             mem["nth"] += 1
             yield (key[0], mem["nth"], seq, other) if kind == "left" else (key[0], mem["nth"], other, seq)
         else:
             mem["side"] = kind
-            self.queue.updateValue((mem["tail"],), (us, seq))
-            mem["tail"] += 1
+            self._push(key, mem, (us, seq))
 
 
 class VisitorMeasures(InOrder):
@@ -426,6 +456,102 @@ def _utc(us: int) -> datetime:
     return datetime(1970, 1, 1) + timedelta(microseconds=us)
 
 
+class Grouped(InOrder):
+    """A pattern over many keys at once: the keys of a group share their slots, one timer and one entry of memories.
+
+    Rows wait as sortable tuples, (us, seq, kind, key) each with a mark in front of what may be null. A task holds one slot of
+    one group, and the memories of its keys, at a time.
+    """
+
+    batch = 20_000  # rows of a result frame
+
+    def __init__(self, pattern: InOrder):
+        self.pattern, self.slot, self.lead, self.event_time = pattern, pattern.slot, pattern.lead, pattern.event_time
+        self.fields, self.output = pattern.fields, pattern.output
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.names = [f.split()[0] for f in self.pattern.memory.split(", ")]
+        self.pattern.attach(handle)
+        self.waiting = handle.getMapState("waiting", "slot bigint, chunk int", "rows binary")
+        self.chunks = handle.getMapState("chunks", "slot bigint", "n int")
+        self.kept = handle.getValueState("kept", "memories binary")
+        self.alarm = handle.getValueState("alarm", "ms bigint")
+
+    def _add(self, slot: int, rows: list[tuple]) -> None:
+        n = self.chunks.getValue((slot,))[0] if self.chunks.containsKey((slot,)) else 0
+        self.waiting.updateValue((slot, n), (pickle.dumps(rows),))
+        self.chunks.updateValue((slot,), (n + 1,))
+
+    def _take(self, slot: int) -> list[tuple]:
+        rows = []
+        for n in range(self.chunks.getValue((slot,))[0]):
+            rows += pickle.loads(self.waiting.getValue((slot, n))[0])
+            self.waiting.removeKey((slot, n))
+        self.chunks.removeKey((slot,))
+        rows.sort()
+        return rows
+
+    def _by_slot(self, frames: list[pd.DataFrame]) -> None:
+        rows = pd.concat(frames).sort_values("us", kind="stable")
+        us = rows["us"].to_numpy()
+        texts = [pa.array(rows[c], pa.string(), from_pandas=True).fill_null("").to_pylist() for c in ("kind", "key")]
+        columns = [us.tolist(), rows["numbered"].tolist(), rows["seq"].tolist(), rows["known"].tolist(), texts[0], rows["named"].tolist(), texts[1]]
+        slots = us // self.slot
+        starts = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]).tolist()
+        for low, high in zip(starts, [*starts[1:], len(us)]):
+            self._add(int(slots[low]), list(zip(*(c[low:high] for c in columns))))
+        self._wake(int(us[0]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames, held = [], 0
+        if key[1]:  # the end of the input: it moves the watermark and is nothing else
+            return iter(())
+        for frame in rows:
+            if len(frame):
+                frames.append(frame)
+                held += len(frame)
+            if held >= self.hold:
+                self._by_slot(frames)
+                frames, held = [], 0
+        if frames:
+            self._by_slot(frames)
+        return iter(())
+
+    def _results(self, mems: dict, mark: int) -> Iterator[tuple]:
+        step, expire, deadline, new = self.pattern.step, self.pattern.expire, self.pattern.deadline, dict.fromkeys(self.names)
+        for us, numbered, seq, known, kind, named, text in self._due(mark):
+            key = (text if named else None,)
+            mem = mems.get(key)
+            if mem is None:
+                mem = mems[key] = dict(new)
+            # Deadlines of the key before this row have passed first.
+            while (limit := deadline(mem)) is not None and limit <= us:
+                yield from expire(key, mem)
+            yield from step(key, mem, us, seq if numbered else None, kind if known else None)
+        first = None
+        for key, mem in mems.items():
+            while (limit := deadline(mem)) is not None and limit <= mark:
+                yield from expire(key, mem)
+            if limit is not None and (first is None or limit < first):
+                first = limit
+        if first is not None:
+            self._wake(first)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.alarm.clear()
+        kept = pickle.loads(self.kept.get()[0]) if self.kept.exists() else {}
+        mems = {k: dict(zip(self.names, values)) for k, values in kept.items()}
+        found = self._results(mems, timerValues.getCurrentWatermarkInMs() * 1000 + self.lead)
+        while rows := list(islice(found, self.batch)):
+            yield pd.DataFrame(rows, columns=list(self.fields), dtype=object)
+        left = {k: tuple(mem.values()) for k, mem in mems.items() if any(v is not None for v in mem.values())}
+        if left:
+            self.kept.update((pickle.dumps(left),))
+        else:
+            self.kept.clear()
+
+
 class PaneSums(StatefulProcessor):
     """Sums of sliding windows from slide-wide panes, of which a key holds ``size / slide`` at most.
 
@@ -535,11 +661,13 @@ def pane_sums(panes: DataFrame, key: str, at: str, start: str, n: str, size: tim
 
 
 def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: str | Column, delay: timedelta,
-           processor: InOrder, slot: timedelta | None = None, closing: str | None = None) -> DataFrame:
+           processor: InOrder, slot: timedelta | None = None, closing: str | None = None, groups: int = GROUPS) -> DataFrame:
     """Run a processor over a stream; gives its fields, the key as text.
 
     ``slot`` is the time slot waiting rows are kept by: short for busy keys, long for quiet ones. Rows where ``closing``
-    holds move the watermark and are nothing else. Rows without a key are a key of their own.
+    holds move the watermark and are nothing else. Rows without a key are a key of their own. ``groups`` is how many groups the
+    keys are dealt to; a task holds a slot of one at a time, so there should be one for some ten thousand rows of a
+    micro-batch. It stays fixed for a checkpoint.
     """
     from tillstream.functions.times import epoch_micros, interval_text
 
@@ -551,5 +679,9 @@ def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: s
         F.col(ts).cast("timestamp").alias("at"), epoch_micros(F.col(ts)).alias("us"),
         as_column(seq).cast("long").alias("seq"), as_column(kind).alias("kind"),
     ).withWatermark("at", interval_text(delay + timedelta(microseconds=processor.lead)))
-    return rows.groupBy("key", "closing").transformWithState(
-        processor, T.StructType.fromDDL(processor.output), "Append", "EventTime", eventTimeColumnName=processor.event_time)
+    # Numbers without nulls keep their type on their way through data frames.
+    marked = rows.where("us IS NOT NULL").select(
+        F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("part"), "closing", "at", "us", F.coalesce("seq", F.lit(0)).alias("seq"), F.col("seq").isNotNull().alias("numbered"),
+        "kind", F.col("kind").isNotNull().alias("known"), "key", F.col("key").isNotNull().alias("named"))
+    return marked.groupBy("part", "closing").transformWithStateInPandas(
+        Grouped(processor), T.StructType.fromDDL(processor.output), "Append", "EventTime", eventTimeColumnName=processor.event_time)
