@@ -24,7 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similar texts connect (five-word shingles, Jaccard 0.8), the one with the smallest id."""
+    """Of documents that links connect, the one with the smallest id: SimHash fingerprints three bits apart, as in op9, and
+    similar texts that these miss (five-word shingles, Jaccard 0.8)."""
     return similar.one_of_each(docs)
 
 

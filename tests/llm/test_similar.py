@@ -2,7 +2,7 @@
 
 import random
 
-from tillstream.llm import similar
+from tillstream.llm import simhash, similar
 
 
 def plain_sets(text):
@@ -77,3 +77,28 @@ def test_odd_ids_and_no_rows(spark):
     docs = spark.createDataFrame([(None, "solo"), (7, "a b c"), (7, "a b c"), (None, "A b  c")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in similar.near_copies(docs).collect()) == [(0, 0), (0, 7), (7, 7), (7, 7)]
     assert similar.one_of_each(docs.where("false")).count() == 0
+
+
+def test_fingerprints_and_sets_together(spark):
+    """Repeated lines with different tails: fingerprints see the repetition, sets do not; one component has links of both kinds."""
+    rng = random.Random(6)
+    text = lambda name, n: " ".join(f"{name}{rng.randint(0, 10**6)}" for _ in range(n))
+    line = " ".join(f"line{k}" for k in range(11))
+    tails = [text("t", 40) for _ in range(3)]
+    tailed = [f"{(line + ' ') * 60}{tail}" for tail in tails]
+    body = text("b", 400).split()
+    # Of `body`, an edit of 30 words has similar sets and (tested below) another fingerprint.
+    edited = [w if k >= 30 else f"x{k}" for k, w in enumerate(body)]
+    chained = f"{' '.join(edited)} {text('e', 3)}"
+    rows = [(1, tailed[0]), (2, tailed[1]), (3, tailed[2]), (4, f"{line} {tails[1]}"), (10, " ".join(body)), (11, " ".join(edited)), (12, chained),
+            (20, text("u", 50)), (20, text("v", 50)), (21, None), (22, " "), (None, tailed[0]), (None, text("n", 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in simhash.fingerprints(docs.where("doc_id < 20")).collect()}
+    assert len({prints[k] for k in (1, 2, 3)}) == 1
+    assert all(((prints[a] ^ prints[b]) & 2**64 - 1).bit_count() > 3 for a, b in ((2, 4), (10, 11)))
+    assert {r.component_id for r in similar.near_copies(docs.where("doc_id < 5")).collect()} == {1, 2, 3}
+    found = [(r.doc_id, r.component_id) for r in similar.near_copies_and_prints(docs).collect()]
+    want = [(1, 1), (2, 1), (3, 1), (4, 1), (10, 10), (11, 10), (12, 10), (20, 20), (20, 20), (21, 21), (22, 21), (None, 1), (None, None)]
+    order = lambda row: (row[0] is None, row[0] or 0, row[1] is None)
+    assert sorted(found, key=order) == want
+    assert [r.doc_id for r in similar.one_of_each(docs.where("doc_id < 20")).orderBy("doc_id").collect()] == [1, 10]

@@ -7,6 +7,9 @@ a large group of near copies costs comparisons linear in its size. Keys that thi
 to an exact prefix filter (`rare_pairs`): two similar sets share one of their rarest shingles, so what many texts have in
 common never makes a pair.
 
+`one_of_each` takes these links together with those of SimHash fingerprints (`simhash.py`), which see how often a shingle
+occurs: texts that either kind of link connects are of one component.
+
 Cases: texts of fewer words than a shingle are one shingle; null and empty texts, and texts of white space, are copies
 of each other; repeated rows are reported one by one; a null id never names a component unless all are null.
 """
@@ -21,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.llm import simhash
 from tillstream.llm.components import components
 from tillstream.llm.names import unused
 from tillstream.llm.words import SPACES, Words, blocks, grams, mix
@@ -65,8 +69,8 @@ def _keys(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1) if out else np.zeros((0, BANDS), np.uint64)
 
 
-def _scanned(docs: DataFrame, doc_id: str, text: str, n: int, sets: bool) -> DataFrame:
-    """`doc_id`, `class` and `hashes` of each document: its shingles, or else its keys."""
+def _scanned(docs: DataFrame, doc_id: str, text: str, n: int, sets: bool, prints: bool = False) -> DataFrame:
+    """`doc_id`, `class` and `hashes` of each document: its shingles, or else its keys; its SimHash `fingerprint` if wanted."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,10 +79,14 @@ def _scanned(docs: DataFrame, doc_id: str, text: str, n: int, sets: bool) -> Dat
                 gram, first = shingles(batch.column("_text")[begin:end], n)
                 values = gram if sets else _keys(gram, first).ravel()
                 ends = first if sets else np.concatenate([[0], np.cumsum(BANDS * (np.diff(first) > 0))])
-                yield pa.record_batch({"doc_id": batch.column("doc_id")[begin:end], "class": pa.array(classes_of(gram, first).view(np.int64)),
-                                       "hashes": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))})
+                found = {"doc_id": batch.column("doc_id")[begin:end], "class": pa.array(classes_of(gram, first).view(np.int64)),
+                         "hashes": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))}
+                if prints:
+                    found["fingerprint"] = pa.array(simhash.fingerprints_of(batch.column("_text")[begin:end]))
+                yield pa.record_batch(found)
 
-    return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, class long, hashes array<long>")
+    schema = f"doc_id {own.schema['doc_id'].dataType.simpleString()}, class long, hashes array<long>"
+    return own.mapInArrow(run, f"{schema}, fingerprint long" if prints else schema)
 
 
 def alike(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -158,10 +166,8 @@ def open_members(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(apart, "key").select("class", "root").distinct()
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, least: float = 0.8) -> DataFrame:
-    """One row per document: `doc_id` and `component_id`, the smallest id that links of similar texts reach from it."""
-    own = stored(_scanned(docs, doc_id, text, n, sets=False), "keys")
-    classes = own.groupBy("class").agg(F.min("doc_id").alias("_least"))
+def _set_roots(own: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int, least: float) -> DataFrame:
+    """`node` and `root` of the classes that links of similar sets connect; own: what a scan for keys gave."""
     entries = own.select("class", F.explode("hashes").alias("key")).distinct()
     hubs = entries.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     shared = stored(entries.join(hubs, "key"), "entries")
@@ -171,14 +177,41 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
         F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
     part = Fraction(least).limit_denominator(10_000)
     links = stored(alike(first, sets, part), "links")
-    roots = components(links.union(open_links(shared.select("key", "class"), links, sets, part)), "a", "b")
+    return components(links.union(open_links(shared.select("key", "class"), links, sets, part)), "a", "b")
+
+
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, least: float = 0.8) -> DataFrame:
+    """One row per document: `doc_id` and `component_id`, the smallest id that links of similar texts reach from it."""
+    own = stored(_scanned(docs, doc_id, text, n, sets=False), "keys")
+    classes = own.groupBy("class").agg(F.min("doc_id").alias("_least"))
+    roots = _set_roots(own, docs, doc_id, text, n, least)
     rooted = classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "_least", F.coalesce("root", "class").alias("_root"))
     named = rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("class", "component_id")
     return own.join(named, "class").select("doc_id", "component_id")
 
 
+def near_copies_and_prints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, least: float = 0.8) -> DataFrame:
+    """`near_copies` with the links of SimHash fingerprints (three-word shingles, three bits) as well.
+
+    A row ties its component of fingerprints to its component of sets; what rows tie together is one component.
+    """
+    own = stored(_scanned(docs, doc_id, text, n, sets=False, prints=True), "keys")
+    kinds = own.groupBy("class", "fingerprint").agg(F.min("doc_id").alias("_least"))
+    by_set = _set_roots(own, docs, doc_id, text, n, least).select(F.col("node").alias("class"), F.col("root").alias("_set"))
+    by_print = components(simhash.links(own, "fingerprint"), "a", "b").select(F.col("node").alias("fingerprint"), F.col("root").alias("_print"))
+    tied = stored(kinds.join(by_set, "class", "left").join(by_print, "fingerprint", "left").select(
+        "class", "fingerprint", "_least", F.coalesce("_set", "class").alias("_set"), F.coalesce("_print", "fingerprint").alias("_print")), "tied")
+    # Rows of one component of fingerprints are together as they are; a component of sets joins those that it has several of.
+    several = tied.groupBy("_set").agg(F.min("_print").alias("_low"), F.max("_print").alias("_high")).where("_low <> _high")
+    edges = tied.select("_set", "_print").distinct().join(several, "_set").select(F.col("_low").alias("a"), F.col("_print").alias("b"))
+    roots = components(edges, "a", "b")
+    rooted = tied.join(roots, F.col("_print") == F.col("node"), "left").select("class", "fingerprint", "_least", F.coalesce("root", "_print").alias("_root"))
+    named = rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("class", "fingerprint", "component_id")
+    return own.join(named, ["class", "fingerprint"]).select("doc_id", "component_id")
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, least: float = 0.8) -> DataFrame:
-    """The documents whose id names their component, all columns as they were."""
+    """The documents whose id names their component, by fingerprints or by sets, all columns as they were."""
     name = unused(docs, "_keep")
-    stay = near_copies(docs, doc_id, text, n, least).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    stay = near_copies_and_prints(docs, doc_id, text, n, least).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
     return docs.join(stay, F.col(doc_id).eqNullSafe(F.col(name)), "left_semi")
