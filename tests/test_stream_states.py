@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import random
 from collections import defaultdict
 from datetime import datetime, timedelta
@@ -9,10 +10,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import chunked_pairs
+from tillstream.operators.joins import chunked_pairs, interval_join
 from tillstream.operators.windows import distinct_in_windows, tumbling
 from tillstream.plans import stream_queries
-from tillstream.session import configure_streaming
+from tillstream.session import checkpoint_dir, configure_streaming
 from tillstream.streaming import flows
 from tillstream.streaming import processors as p
 
@@ -350,3 +351,25 @@ def test_pairs_years_apart_with_long_queues(spark):
     found = [r for n in range(500) for r in pattern.step(("a",), mem, (2000 + n) * day, 1000 + n, "right")]
     assert found == [("a", n + 1, n, 1000 + n) for n in range(500)]
     assert not handle.states["queue"].items and not mem["front"] and not mem["back"]
+
+
+def test_joined_as_tables_against_all_pairs(spark):
+    """Keys that repeat or are null, rows without a time, an input that lies behind the other, intervals at their ends."""
+    rng = random.Random(3)
+    keys = [None, -1, -2, *range(20)]
+    left = [(n, rng.choice(keys), at(rng.randint(0, 400))) for n in range(300)] + [(300, 1, None)]
+    right = [(n, rng.choice(keys), at(rng.randint(90, 700))) for n in range(300)] + [(300, 1, None)]
+    join = lambda l, r: interval_join(l, r.toDF("rn", "rk", "rts"), {"k": "rk"}, "ts", "rts", -5 * MINUTE, 90 * MINUTE).select("n", "rn")
+    tables = [spark.createDataFrame(rows, "n long, k long, ts timestamp_ntz") for rows in (left, right)]
+    found = stream_queries._joined(spark, *tables, join, -5 * MINUTE, 90 * MINUTE).collect()
+    want = [(n, m) for n, k, t in left for m, j, u in right if k is not None and k == j and t and u and -5 * MINUTE <= u - t <= 90 * MINUTE]
+    assert sorted(map(tuple, found)) == sorted(want) and len(want) > 100
+
+
+@pytest.mark.parametrize("name, most", [("stream_order_details", 0)])
+def test_joins_of_streams_keep_no_state_store(spark, sf, name, most):
+    """A row of a join costs no entries of a state store; the two sums of product statistics are what has state."""
+    before = set(glob.glob(f"{checkpoint_dir(spark)}/tillstream-stream-*"))
+    stream_queries.QUERIES[name](spark, sf).count()
+    own = set(glob.glob(f"{checkpoint_dir(spark)}/tillstream-stream-*")) - before
+    assert own and sum(len(glob.glob(f"{path}/progress/state/*")) for path in own) <= most

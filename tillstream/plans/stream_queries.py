@@ -75,6 +75,19 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
     return out if keep_batch else out.drop("batch")
 
 
+def _joined(spark: SparkSession, left: DataFrame, right: DataFrame, join: Callable[[DataFrame, DataFrame], DataFrame],
+            lower: timedelta, upper: timedelta) -> DataFrame:
+    """Two tables with times ``ts`` as streams, joined where the right time is that of the left and from `lower` to `upper` more.
+
+    All joins are made when the input ends, with no need of the closing row.
+    """
+    def build(*inputs: DataFrame) -> DataFrame:
+        return flows.two_inputs(*[df.where(f"NOT {CLOSING}").drop(CLOSING) for df in inputs], "ts", "ts")
+
+    return _worked_off(spark, {"left": (left, "ts", {}), "right": (right, "ts", {})}, build,
+                       lambda path: flows.joined_to_folder(path, f"{path}-open", join, "ts", "ts", lower, upper, DELAY))
+
+
 def _groups(rows: DataFrame) -> int:
     """Groups for the keys of a stream: their number goes with the parts of the state, and so with the table."""
     return PART_GROUPS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -103,19 +116,17 @@ def stream_hot_types(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and details as two streams, joined when at most five days apart."""
-    def build(orders: DataFrame, details: DataFrame) -> DataFrame:
-        o = orders.select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderdate").alias("ts"))
-        d = details.select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("long").alias("sku_num"), F.col("l_shipdate").alias("ts"),
-            *[F.lit(None).alias(c) for c in ("order_price", "sku_name", "split_activity_amount", "split_coupon_amount",
-                                             "split_total_amount")])
-        joined = wide.join_details(flows.watermarked(o, "ts", DELAY), flows.watermarked(d, "ts", DELAY), b.ORDER_WITHIN)
+    o = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderdate").alias("ts"))
+    d = b.table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("long").alias("sku_num"), F.col("l_shipdate").alias("ts"))
+    unused = ("order_price", "sku_name", "split_activity_amount", "split_coupon_amount", "split_total_amount")
+
+    def join(orders: DataFrame, details: DataFrame) -> DataFrame:
+        joined = wide.join_details(orders, details.withColumns({c: F.lit(None) for c in unused}), b.ORDER_WITHIN)
         return joined.select("order_id", "detail_id", "sku_id", "sku_num", "create_date")
 
-    tables = {"orders": (b.table(spark, sf, "orders"), "o_orderdate", {"o_orderkey": -1}),
-              "lineitem": (b.table(spark, sf, "lineitem"), "l_shipdate", {"l_orderkey": -2, "l_linenumber": 0})}
-    return _worked_off(spark, tables, build)
+    return _joined(spark, o, d, join, -b.ORDER_WITHIN, b.ORDER_WITHIN)
 
 
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:

@@ -137,6 +137,39 @@ def reranked_to_folder(path: str, keys: Sequence[str], by: Sequence[str], score:
     return write
 
 
+def two_inputs(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str) -> DataFrame:
+    """Two streams as one whose rows hold a row of either, ``left`` or ``right``, with its time as a timestamp."""
+    def one(df: DataFrame, ts: str, name: str) -> DataFrame:
+        return df.withColumn(ts, F.col(ts).cast("timestamp")).select(F.struct("*").alias(name))
+
+    return one(left, left_ts, "left").unionByName(one(right, right_ts, "right"), allowMissingColumns=True)
+
+
+def joined_to_folder(path: str, open_path: str, join: Callable[[DataFrame, DataFrame], DataFrame], left_ts: str, right_ts: str,
+                     lower: timedelta, upper: timedelta, delay: timedelta) -> BatchSink:
+    """An interval join of `two_inputs`, by the batch join: each pair comes with the batch of its later row.
+
+    ``join`` takes left and right rows and pairs those with ``right_ts`` in ``left_ts + [lower, upper]``. Rows that a row
+    to come may still meet, as either input is out of order by ``delay`` at most, are a table that each batch brings up to
+    date; so a row costs no entry of a state store, and what a batch adds to its own rows is what is open.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        # The streams are read once: what they give is a table before anything is worked out from it.
+        new = _keep(df, f"{open_path}-new", batch_id)
+        before = _snapshot(df.sparkSession, open_path, batch_id, new.schema)
+        rows = before.unionByName(new)
+        side = lambda of, name: of.where(F.col(name).isNotNull()).select(f"{name}.*")
+        out = join(side(new, "left"), side(rows, "right")).unionByName(join(side(before, "left"), side(new, "right")))
+        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        l, r = epoch_micros(F.col(f"left.{left_ts}")), epoch_micros(F.col(f"right.{right_ts}"))
+        tops = rows.agg(F.max(l).alias("l"), F.max(r).alias("r")).first()
+        # An input without a row may still give any.
+        still = lambda at, top: at.isNotNull() if top is None else at >= top - micros(delay)
+        _keep(rows.where(still(l + micros(upper), tops["r"]) | still(r - micros(lower), tops["l"])), open_path, batch_id)
+
+    return write
+
+
 def upserted_lookup(path: str, state: str, dim: Callable[[DataFrame], DataFrame], fact: Callable[[DataFrame], DataFrame], key: str, seq: str,
                     fact_key: str, take: dict[str, str]) -> BatchSink:
     """Facts looked up in a dimension that changes under the stream.
