@@ -328,21 +328,19 @@ def stream_cdc_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_payment_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """Payments joined with wide orders, which are themselves a join of two streams."""
-    dims = b.dims(spark, sf)
-
-    def build(orders: DataFrame, details: DataFrame, payments: DataFrame) -> DataFrame:
-        o, d, p = (flows.watermarked(df.drop(CLOSING), "ts", DELAY) for df in (orders, details, payments))
-        own = wide.Dims(**{name: o.sparkSession.read.schema(dim.schema).parquet(paths[name]) for name, dim in vars(dims).items()})
-        return wide.payment_wide(p, wide.order_wide(o, d, own, F.lit(b.AS_OF), b.ORDER_WITHIN), b.PAY_AFTER)
-
+    """Payments joined with wide orders, which a stream before makes of orders and details."""
     paths = {}
-    for name, dim in vars(dims).items():
+    for name, dim in vars(b.dims(spark, sf)).items():
         paths[name] = scratch(spark, f"dim-{name}")
         dim.write.parquet(paths[name])
-    ids = {"id": -1, "order_id": -3}
-    tables = {"orders": (b.order_info(spark, sf), "ts", {"id": -1}), "details": (b.order_detail(spark, sf), "ts", ids), "payments": (b.payment_info(spark, sf), "ts", ids | {"order_id": -2})}
-    return _worked_off(spark, tables, build).drop("ts", "payment_ts")
+
+    def order_wide(orders: DataFrame, details: DataFrame) -> DataFrame:
+        own = wide.Dims(**{name: orders.sparkSession.read.parquet(path) for name, path in paths.items()})
+        return wide.order_wide(orders, details, own, F.lit(b.AS_OF), b.ORDER_WITHIN)
+
+    orders = _joined(spark, b.order_info(spark, sf), b.order_detail(spark, sf), order_wide, -b.ORDER_WITHIN, b.ORDER_WITHIN)
+    paid = _joined(spark, b.payment_info(spark, sf), orders, lambda p, w: wide.payment_wide(p, w, b.PAY_AFTER), -b.PAY_AFTER, timedelta(0))
+    return paid.drop("ts", "payment_ts")
 
 
 def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
