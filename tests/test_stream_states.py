@@ -366,7 +366,7 @@ def test_joined_as_tables_against_all_pairs(spark):
     assert sorted(map(tuple, found)) == sorted(want) and len(want) > 100
 
 
-@pytest.mark.parametrize("name, most", [("stream_order_details", 0), ("stream_payment_wide", 0)])
+@pytest.mark.parametrize("name, most", [("stream_order_details", 0), ("stream_payment_wide", 0), ("stream_product_stats", 2)])
 def test_joins_of_streams_keep_no_state_store(spark, sf, name, most):
     """A row of a join costs no entries of a state store; the two sums of product statistics are what has state."""
     before = set(glob.glob(f"{checkpoint_dir(spark)}/tillstream-stream-*"))

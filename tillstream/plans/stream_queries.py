@@ -357,22 +357,23 @@ def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_product_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Product statistics per day from seven streams, one of them a join of two, then sums per order and sums per window."""
+    """Product statistics per day from seven inputs, two of them joined by a stream before, then sums per order and sums per window."""
     inputs = stats_queries.product_inputs(spark, sf)
     e = b.events(spark, sf).select("event_type", b.k().alias("sku_id"), F.col("ts").cast("timestamp").alias("at"))
     payments = inputs["payments"].select("sku_id", "ts", "total_amount", "order_id")
+    narrow = lambda o, d: wide.join_details(o, d, b.ORDER_WITHIN).select("sku_id", F.col("order_ts").alias("ts"), "sku_num", "total_amount", "order_id")
+    details = _joined(spark, b.order_info(spark, sf), b.order_detail(spark, sf), narrow, -b.ORDER_WITHIN, b.ORDER_WITHIN)
     tables = {"pages": (inputs["pages"].select("page", "displays", "at"), "at", {}), "acts": (e, "at", {"event_type": "end"}),
-              "orders": (b.order_info(spark, sf), "ts", {"id": -1}), "details": (b.order_detail(spark, sf), "ts", {"id": -1, "order_id": -2}),
-              "payments": (payments, "ts", {"order_id": -1}), "refunds": (inputs["refunds"], "at", {"order_id": -1})}
+              "details": (details, "ts", {"order_id": -1}), "payments": (payments, "ts", {"order_id": -1}), "refunds": (inputs["refunds"], "at", {"order_id": -1})}
 
-    def build(pages: DataFrame, acts: DataFrame, orders: DataFrame, details: DataFrame, paid: DataFrame, refunds: DataFrame) -> DataFrame:
+    def build(pages: DataFrame, acts: DataFrame, details: DataFrame, paid: DataFrame, refunds: DataFrame) -> DataFrame:
         pages, acts, refunds = (flows.watermarked(df, "at", DELAY) for df in (pages, acts, refunds))
-        orders, details, paid = (flows.watermarked(df.drop(CLOSING), "ts", DELAY) for df in (orders, details, paid))
+        details, paid = (flows.watermarked(df.drop(CLOSING), "ts", DELAY) for df in (details, paid))
         # Filters move below watermarks, so they let the closing row pass; its window stays open for good.
         of = lambda kind: acts.where((F.col("event_type") == kind) | F.col(CLOSING))
         rows = stats.product_rows(
             None, of("click"), of("purchase").withColumn("sku_num", F.col("sku_id") % 3 + 1),
-            wide.join_details(orders, details, b.ORDER_WITHIN).withColumnRenamed("order_ts", "ts"), paid, refunds,
+            details, paid, refunds,
             of("error").withColumn("appraise", F.concat(F.lit("120"), (F.col("sku_id") % 4 + 1).cast("string"))),
             mixed=logs.product_actions(pages.withColumnRenamed("at", "ts")).withColumnRenamed("ts", "at"))
         return stats.product_sums(rows, timedelta(days=1))
