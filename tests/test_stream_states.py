@@ -373,3 +373,52 @@ def test_joins_of_streams_keep_no_state_store(spark, sf, name, most):
     stream_queries.QUERIES[name](spark, sf).count()
     own = set(glob.glob(f"{checkpoint_dir(spark)}/tillstream-stream-*")) - before
     assert own and sum(len(glob.glob(f"{path}/progress/state/*")) for path in own) <= most
+
+
+def test_rows_of_a_group_come_in_one_pack(spark):
+    """A stretch of rows gives one row per group, whatever their number and order; nulls are kept, the closing row is not."""
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    rows = [(rng.randrange(9), rng.random() < 0.01, rng.randrange(10**6), rng.choice([n, None]), rng.choice(["é", None]), rng.choice(["a", "", None])) for n in range(30_000)]
+    names = ["part", "closing", "us", "seq", "kind", "key"]
+    types = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    batches = [pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 7000]), types)], names) for low in range(0, 30_000, 7000)]
+    packs = [r for batch in p._packs(iter(batches)) for r in batch.to_pylist()]
+    assert sorted(r["part"] for r in packs) == list(range(9)) and not list(p._packs(iter([])))
+    found = [(r["part"], *row.values()) for r in packs for row in p._from_bytes(r["pack"]).to_pylist()]
+    assert sorted(map(str, found)) == sorted(str((r[0], *r[2:])) for r in rows if not r[1])
+
+
+def test_packs_in_order_and_what_is_too_late(spark):
+    """Null numbers and kinds come first at one time; of rows behind the watermark, those a group has been worked off past are left out."""
+    import pandas as pd
+    import pyarrow as pa
+
+    class Given(p.InOrder):
+        def step(self, key, mem, us, seq, kind):
+            yield key[0], seq, f"{us} {kind}"
+
+    pack = lambda rows: pd.DataFrame({"pack": [p._to_bytes(pa.table([list(c) for c in zip(*rows)], schema=p.ROW))]})
+    handle, processor = Fake(), p.Grouped(Given())
+    processor.slot = 10_000
+    processor.init(handle)
+
+    def worked(rows, mark):
+        assert not list(processor.handleInputRows((1,), iter([pack(rows)]), None))
+        handle.timers.clear()
+        return [tuple(r) for frame in processor.handleExpiredTimer((1,), Mark(mark), None) for r in frame.itertuples(index=False)]
+
+    first = [(25_000, 3, "a", "k"), (5_000, 2, "b", "k"), (5_000, 2, None, "k"), (5_000, None, "z", None), (41_000, 2**62 + 1, "a", "k")]
+    assert worked(first, 30_000) == [(None, None, "5000 z"), ("k", 2, "5000 None"), ("k", 2, "5000 b"), ("k", 3, "25000 a")]
+    assert worked([(30_000, 7, "late", "k"), (30_001, 8, "c", "k")], 50_000) == [("k", 8, "30001 c"), ("k", 2**62 + 1, "41000 a")]
+
+
+def test_events_wait_in_few_entries(spark, monkeypatch):
+    """A month of a user's events costs a few entries of the state store a slice, not two a day."""
+    queries, run = [], flows.run
+    monkeypatch.setattr(flows, "run", lambda *args, **named: queries.append(run(*args, **named)) or queries[-1])
+    events = spark.createDataFrame([(n, 1, at(30 * n)) for n in range(1440)], "event_id long, user_id long, ts timestamp")
+    found = stream_queries._followed(spark, {"events": (events, "ts", {"event_id": -1})}, p.DailyVisit(), F.lit("x")).collect()
+    assert sorted(r.seq for r in found) == [48 * day for day in range(30)]
+    assert 0 < max(s.numRowsTotal for q in queries for progress in q.recentProgress for s in progress.stateOperators) <= 12

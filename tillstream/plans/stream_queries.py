@@ -36,6 +36,8 @@ CLOSING = "_closing"
 STATE_PARTS = 8
 #: Rows that a part of the state stands for at most, all slices together; groups of keys in a part.
 PART_ROWS, PART_GROUPS = 400_000, 16
+#: Time slot by which events wait: a few for a slice of their month, as the state store is asked per group and slot.
+SLOT = timedelta(days=5)
 
 
 def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object], last: int) -> None:
@@ -132,14 +134,14 @@ def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
         kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
-        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), timedelta(days=1), CLOSING, _groups(events))
+        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), SLOT, CLOSING, _groups(events))
 
     out = _worked_off(spark, _events(spark, sf), build)
     return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
 
 
 def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str | Column, key: str | Column = "user_id",
-              where: str = "true", seq: str = "event_id", slot: timedelta = timedelta(days=1)) -> DataFrame:
+              where: str = "true", seq: str = "event_id", slot: timedelta = SLOT) -> DataFrame:
     """What a pattern gives for a table's rows."""
     def build(rows: DataFrame) -> DataFrame:
         return follow(rows.where(f"({where}) OR {CLOSING}"), key, "ts", seq, kind, DELAY, processor, slot, CLOSING, _groups(rows))
@@ -351,7 +353,7 @@ def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = log.select("event_id", F.col("common.mid").alias("mid"), "at", kind.alias("kind"))
 
     def build(own: DataFrame) -> DataFrame:
-        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), timedelta(days=1), CLOSING, _groups(own)), HOUR)
+        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), SLOT, CLOSING, _groups(own)), HOUR)
 
     return _worked_off(spark, {"rows": (rows, "at", {"mid": "-1"})}, build)
 

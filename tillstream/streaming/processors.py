@@ -10,20 +10,22 @@ those of a whole key, and gives its results row by row. The rest stays in the st
 large. A key has one live timer, the earliest time at which it has something to do.
 
 On a stream (`follow`) many keys share a group, dealt by a hash, with one timer and one set of slots (`Grouped`): what a
-state store costs is paid per group and slot and not per key. The number of groups has to grow with the rows.
+state store costs is paid per group and slot and not per key. The number of groups has to grow with the rows. Rows come to
+a processor in packs, one Arrow table for the rows of a group in a stretch of the input, and wait as such: Spark hands rows
+to a processor one by one, which costs more than all that is done with them.
 """
 
 from __future__ import annotations
 
 import json
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,13 @@ WAITING = "rows array<struct<us:bigint,seq:bigint,kind:string>>"
 #: Groups that the keys of a stream are dealt to unless stated.
 GROUPS = 128
 
+#: A waiting row of a group, and by what rows are put in order (nulls first).
+ROW = pa.schema([("us", pa.int64()), ("seq", pa.int64()), ("kind", pa.string()), ("key", pa.string())])
+IN_ORDER = [(name, "ascending") for name in ROW.names]
+
+#: Rows that a task holds until it packs them.
+PACK_ROWS = 250_000
+
 
 class InOrder(StatefulProcessor):
     """Feeds the rows of a key to ``step`` in time order and keeps one small memory per key.
@@ -456,14 +465,64 @@ def _utc(us: int) -> datetime:
     return datetime(1970, 1, 1) + timedelta(microseconds=us)
 
 
+def _to_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, ROW) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_bytes(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _values(column: pa.ChunkedArray) -> list:
+    """A column as Python values; text goes by way of Numpy, as do numbers, which would be floats there if some were null."""
+    if pa.types.is_string(column.type):
+        return column.to_numpy().tolist()
+    values = column.fill_null(0).to_numpy().tolist()
+    if column.null_count:
+        for n in np.flatnonzero(column.is_null().to_numpy()).tolist():
+            values[n] = None
+    return values
+
+
+def _spans(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """From where to where a sorted array holds the same value."""
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]).tolist() if len(values) else []
+    return zip(starts, [*starts[1:], len(values)])
+
+
+def _packs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their group, ``part``, as one row per group and so many rows; those that close the input are left out."""
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        table = table.take(pa.array(np.argsort(table["part"].to_numpy(), kind="stable"))).combine_chunks()
+        parts, rows = table["part"].to_numpy(), table.select(ROW.names).cast(ROW)
+        spans = list(_spans(parts))
+        return pa.record_batch([pa.array([parts[low] for low, _ in spans], pa.int32()),
+                                pa.array([_to_bytes(rows.slice(low, high - low)) for low, high in spans], pa.binary())], ["part", "pack"])
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch.filter(pc.invert(batch["closing"])))
+        n += held[-1].num_rows
+        if n >= PACK_ROWS:
+            yield packed(held)
+            held, n = [], 0
+    if n:
+        yield packed(held)
+
+
 class Grouped(InOrder):
     """A pattern over many keys at once: the keys of a group share their slots, one timer and one entry of memories.
 
-    Rows wait as sortable tuples, (us, seq, kind, key) each with a mark in front of what may be null. A task holds one slot of
-    one group, and the memories of its keys, at a time.
+    Rows come in packs and wait as Arrow tables. A task holds one slot of one group, of which some rows at a time as
+    Python objects, and the memories of its keys. A row is too late if the watermark was at its time or past it when its
+    group was last worked off.
     """
 
-    batch = 20_000  # rows of a result frame
+    batch = 20_000  # rows of a result frame, rows taken out of a slot at a time
 
     def __init__(self, pattern: InOrder):
         self.pattern, self.slot, self.lead, self.event_time = pattern, pattern.slot, pattern.lead, pattern.event_time
@@ -476,79 +535,120 @@ class Grouped(InOrder):
         self.waiting = handle.getMapState("waiting", "slot bigint, chunk int", "rows binary")
         self.chunks = handle.getMapState("chunks", "slot bigint", "n int")
         self.kept = handle.getValueState("kept", "memories binary")
+        self.done = handle.getValueState("done", "ms bigint")
         self.alarm = handle.getValueState("alarm", "ms bigint")
 
-    def _add(self, slot: int, rows: list[tuple]) -> None:
-        n = self.chunks.getValue((slot,))[0] if self.chunks.containsKey((slot,)) else 0
-        self.waiting.updateValue((slot, n), (pickle.dumps(rows),))
+    def _add(self, slot: int, rows: pa.Table) -> None:
+        n = (self.chunks.getValue((slot,)) or (0,))[0]
+        self.waiting.updateValue((slot, n), (_to_bytes(rows),))
         self.chunks.updateValue((slot,), (n + 1,))
 
-    def _take(self, slot: int) -> list[tuple]:
-        rows = []
+    def _take(self, slot: int) -> pa.Table:
+        tables = []
         for n in range(self.chunks.getValue((slot,))[0]):
-            rows += pickle.loads(self.waiting.getValue((slot, n))[0])
+            tables.append(_from_bytes(self.waiting.getValue((slot, n))[0]))
             self.waiting.removeKey((slot, n))
         self.chunks.removeKey((slot,))
-        rows.sort()
-        return rows
+        rows = pa.concat_tables(tables).combine_chunks()
+        return rows.take(pc.sort_indices(rows, sort_keys=IN_ORDER, null_placement="at_start"))
 
-    def _by_slot(self, frames: list[pd.DataFrame]) -> None:
-        rows = pd.concat(frames).sort_values("us", kind="stable")
+    def _by_slot(self, tables: list[pa.Table], late: int | None) -> None:
+        rows = pa.concat_tables(tables)
         us = rows["us"].to_numpy()
-        texts = [pa.array(rows[c], pa.string(), from_pandas=True).fill_null("").to_pylist() for c in ("kind", "key")]
-        columns = [us.tolist(), rows["numbered"].tolist(), rows["seq"].tolist(), rows["known"].tolist(), texts[0], rows["named"].tolist(), texts[1]]
+        order = np.argsort(us, kind="stable")
+        if late is not None:
+            order = order[us[order] > late]
+        if not len(order):
+            return
+        rows, us = rows.take(pa.array(order)).combine_chunks(), us[order]
         slots = us // self.slot
-        starts = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]).tolist()
-        for low, high in zip(starts, [*starts[1:], len(us)]):
-            self._add(int(slots[low]), list(zip(*(c[low:high] for c in columns))))
+        for low, high in _spans(slots):
+            self._add(int(slots[low]), rows.slice(low, high - low))
         self._wake(int(us[0]))
 
+    @staticmethod
+    def _tables(frame: pd.DataFrame) -> list[pa.Table]:
+        """The packs of a frame, or its rows, of which ``numbered``, ``known`` and ``named`` say what is not null."""
+        if "pack" in frame:
+            return [_from_bytes(pack) for pack in frame["pack"]]
+        columns = [pa.array(frame["us"], pa.int64())]
+        columns += [pa.array(frame[c], ROW.field(c).type, mask=~frame[there].to_numpy(bool), from_pandas=True)
+                    for c, there in (("seq", "numbered"), ("kind", "known"), ("key", "named"))]
+        return [pa.table(columns, schema=ROW)]
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames, held = [], 0
-        if key[1]:  # the end of the input: it moves the watermark and is nothing else
-            return iter(())
+        done = self.done.get()
+        late = None if done is None else done[0] * 1000
+        tables, held = [], 0
         for frame in rows:
-            if len(frame):
-                frames.append(frame)
-                held += len(frame)
-            if held >= self.hold:
-                self._by_slot(frames)
-                frames, held = [], 0
-        if frames:
-            self._by_slot(frames)
+            for table in self._tables(frame):
+                tables.append(table)
+                held += table.num_rows
+                if held >= self.hold:
+                    self._by_slot(tables, late)
+                    tables, held = [], 0
+        if held:
+            self._by_slot(tables, late)
         return iter(())
 
-    def _results(self, mems: dict, mark: int) -> Iterator[tuple]:
+    def _due(self, mark: int) -> Iterator[pa.Table]:
+        """Waiting rows up to the watermark in order, so many at a time; they leave the state."""
+        for slot in sorted(k[0] for k in self.chunks.keys()):
+            if slot * self.slot > mark:
+                self._wake(slot * self.slot)
+                return
+            rows = self._take(slot)
+            us = rows["us"].to_numpy()
+            cut = int(np.searchsorted(us, mark, side="right"))
+            for low in range(0, cut, self.batch):
+                yield rows.slice(low, min(self.batch, cut - low))
+            if cut < len(us):
+                self._add(slot, rows.slice(cut))
+                self._wake(int(us[cut]))
+                return
+
+    def _results(self, mems: dict, mark: int) -> Iterator[list[tuple]]:
         step, expire, deadline, new = self.pattern.step, self.pattern.expire, self.pattern.deadline, dict.fromkeys(self.names)
-        for us, numbered, seq, known, kind, named, text in self._due(mark):
-            key = (text if named else None,)
-            mem = mems.get(key)
-            if mem is None:
-                mem = mems[key] = dict(new)
-            # Deadlines of the key before this row have passed first.
-            while (limit := deadline(mem)) is not None and limit <= us:
-                yield from expire(key, mem)
-            yield from step(key, mem, us, seq if numbered else None, kind if known else None)
-        first = None
+        for rows in self._due(mark):
+            coded = rows["key"].combine_chunks().dictionary_encode("encode")
+            own = [((key,), mems.setdefault((key,), dict(new))) for key in coded.dictionary.to_pylist()]
+            found: list[tuple] = []
+            for us, seq, kind, code in zip(_values(rows["us"]), _values(rows["seq"]), _values(rows["kind"]), coded.indices.to_numpy().tolist()):
+                key, mem = own[code]
+                # Deadlines of the key before this row have passed first.
+                while (limit := deadline(mem)) is not None and limit <= us:
+                    found += expire(key, mem)
+                for result in step(key, mem, us, seq, kind):
+                    found.append(result)
+                    if len(found) >= self.batch:
+                        yield found
+                        found = []
+            yield found
+        first, found = None, []
         for key, mem in mems.items():
             while (limit := deadline(mem)) is not None and limit <= mark:
-                yield from expire(key, mem)
+                found += expire(key, mem)
+                if len(found) >= self.batch:
+                    yield found
+                    found = []
             if limit is not None and (first is None or limit < first):
                 first = limit
+        yield found
         if first is not None:
             self._wake(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.clear()
-        kept = pickle.loads(self.kept.get()[0]) if self.kept.exists() else {}
+        now, entry = timerValues.getCurrentWatermarkInMs(), self.kept.get()
+        kept = {} if entry is None else pickle.loads(entry[0])
         mems = {k: dict(zip(self.names, values)) for k, values in kept.items()}
-        found = self._results(mems, timerValues.getCurrentWatermarkInMs() * 1000 + self.lead)
-        while rows := list(islice(found, self.batch)):
-            yield pd.DataFrame(rows, columns=list(self.fields), dtype=object)
+        for rows in filter(None, self._results(mems, now * 1000 + self.lead)):
+            yield pd.DataFrame({name: pd.Series(column, dtype=object) for name, column in zip(self.fields, zip(*rows), strict=True)})
+        self.done.update((now,))
         left = {k: tuple(mem.values()) for k, mem in mems.items() if any(v is not None for v in mem.values())}
         if left:
             self.kept.update((pickle.dumps(left),))
-        else:
+        elif entry is not None:
             self.kept.clear()
 
 
@@ -679,9 +779,8 @@ def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: s
         F.col(ts).cast("timestamp").alias("at"), epoch_micros(F.col(ts)).alias("us"),
         as_column(seq).cast("long").alias("seq"), as_column(kind).alias("kind"),
     ).withWatermark("at", interval_text(delay + timedelta(microseconds=processor.lead)))
-    # Numbers without nulls keep their type on their way through data frames.
-    marked = rows.where("us IS NOT NULL").select(
-        F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("part"), "closing", "at", "us", F.coalesce("seq", F.lit(0)).alias("seq"), F.col("seq").isNotNull().alias("numbered"),
-        "kind", F.col("kind").isNotNull().alias("known"), "key", F.col("key").isNotNull().alias("named"))
-    return marked.groupBy("part", "closing").transformWithStateInPandas(
+    dealt = rows.where("us IS NOT NULL").select(
+        F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("part"), "closing", "at", "us", "seq", "kind", "key")
+    packed = dealt.select("part", "closing", "us", "seq", "kind", "key").mapInArrow(_packs, "part int, pack binary")
+    return packed.groupBy("part").transformWithStateInPandas(
         Grouped(processor), T.StructType.fromDDL(processor.output), "Append", "EventTime", eventTimeColumnName=processor.event_time)
