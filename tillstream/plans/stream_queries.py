@@ -36,6 +36,8 @@ CLOSING = "_closing"
 STATE_PARTS = 8
 #: Rows that a part of the state stands for at most, all slices together; groups of keys in a part.
 PART_ROWS, PART_GROUPS = 400_000, 16
+#: The same for a pattern over events, whose rows wait as compact tables: a part costs a second or so in every batch.
+PATTERN_ROWS = 1_000_000
 #: Time slot by which events wait: a few for a slice of their month, as the state store is asked per group and slot.
 SLOT = timedelta(days=5)
 
@@ -54,10 +56,10 @@ def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, c
 
 
 def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dict[str, object]]], build: Callable[..., DataFrame],
-                sink=flows.to_folder, parts: int = STATE_PARTS, mode: str = "append", keep_batch: bool = False) -> DataFrame:
+                sink=flows.to_folder, parts: int = STATE_PARTS, mode: str = "append", keep_batch: bool = False, part_rows: int = PART_ROWS) -> DataFrame:
     """Feed tables (each with its time column and the values of its closing row) to `build` and give the result table.
 
-    State is kept in `parts` parts, or more for large tables; a running query keeps that number.
+    State is kept in `parts` parts, or more for large tables (one for `part_rows` rows); a running query keeps that number.
     """
     own = configure_streaming(spark.newSession())
     folder = scratch(spark, "stream")
@@ -66,7 +68,7 @@ def _worked_off(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, dic
         at = F.unix_micros(F.col(ts).cast("timestamp"))
         low, high, n = table.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
         spans[name], rows = [low or 0, high or 0], rows + n
-    own.conf.set("spark.sql.shuffle.partitions", max(parts, -(-rows // PART_ROWS)))
+    own.conf.set("spark.sql.shuffle.partitions", max(parts, -(-rows // part_rows)))
     for n in range(SLICES):
         for name, (table, ts, closing) in tables.items():
             _feed(table, ts, f"{folder}/in/{name}", *spans[name], n, closing, max(high for _, high in spans.values()))
@@ -132,21 +134,22 @@ def stream_order_details(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
-    def build(events: DataFrame) -> DataFrame:
-        kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
-        return follow(events, "user_id", "ts", "event_id", kind, DELAY, Bounce(HALF_DAY), SLOT, CLOSING, _groups(events))
-
-    out = _worked_off(spark, _events(spark, sf), build)
+    kind = F.when(F.col("event_type") == "signup", "entry").otherwise("page")
+    out = _followed(spark, _events(spark, sf), Bounce(HALF_DAY), kind)
     return out.select(F.col("seq").alias("event_id"), F.col("key").alias("user_id"))
 
 
 def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str | Column, key: str | Column = "user_id",
               where: str = "true", seq: str = "event_id", slot: timedelta = SLOT) -> DataFrame:
-    """What a pattern gives for a table's rows."""
+    """What a pattern gives for a table's rows; only the rows and columns it uses are fed."""
+    as_column = lambda c: F.col(c) if isinstance(c, str) else c
+    used = {name: (table.where(where).select(as_column(key).alias("key"), F.col(ts).alias("ts"), as_column(seq).alias("seq"), as_column(kind).alias("kind")), "ts", {})
+            for name, (table, ts, _) in tables.items()}
+
     def build(rows: DataFrame) -> DataFrame:
-        return follow(rows.where(f"({where}) OR {CLOSING}"), key, "ts", seq, kind, DELAY, processor, slot, CLOSING, _groups(rows))
+        return follow(rows, "key", "ts", "seq", "kind", DELAY, processor, slot, CLOSING, _groups(rows))
 
-    return _worked_off(spark, tables, build)
+    return _worked_off(spark, used, build, part_rows=PATTERN_ROWS)
 
 
 def _lines(df: DataFrame, ts: str, **closing: object) -> dict[str, tuple[DataFrame, str, dict[str, object]]]:
