@@ -422,3 +422,14 @@ def test_events_wait_in_few_entries(spark, monkeypatch):
     found = stream_queries._followed(spark, {"events": (events, "ts", {"event_id": -1})}, p.DailyVisit(), F.lit("x")).collect()
     assert sorted(r.seq for r in found) == [48 * day for day in range(30)]
     assert 0 < max(s.numRowsTotal for q in queries for progress in q.recentProgress for s in progress.stateOperators) <= 12
+
+
+@pytest.mark.parametrize("name, rows", [("stream_user_jump", "true"), ("stream_login_alert", "event_type IN ('error', 'signup')"), ("stream_new_user_fix", "true")])
+def test_patterns_are_fed_what_they_use(spark, sf, name, rows):
+    """Four columns of the rows that a pattern looks at, and the closing row."""
+    before = set(glob.glob(f"{checkpoint_dir(spark)}/tillstream-stream-*"))
+    stream_queries.QUERIES[name](spark, sf).count()
+    (own,) = set(glob.glob(f"{checkpoint_dir(spark)}/tillstream-stream-*")) - before
+    fed = spark.read.parquet(f"{own}/in/events")
+    assert fed.columns == ["key", "ts", "seq", "kind", stream_queries.CLOSING]
+    assert fed.count() == spark.read.parquet(f"{sf}/events.parquet").where(rows).count() + 1
