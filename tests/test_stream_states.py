@@ -433,3 +433,46 @@ def test_patterns_are_fed_what_they_use(spark, sf, name, rows):
     fed = spark.read.parquet(f"{own}/in/events")
     assert fed.columns == ["key", "ts", "seq", "kind", stream_queries.CLOSING]
     assert fed.count() == spark.read.parquet(f"{sf}/events.parquet").where(rows).count() + 1
+
+
+def test_events_of_years_wait_in_few_entries(spark, monkeypatch):
+    """The entries go with the rows and not with the time they are spread over; so do those of a row far from all others."""
+    queries, run = [], flows.run
+    monkeypatch.setattr(flows, "run", lambda *args, **named: queries.append(run(*args, **named)) or queries[-1])
+    for times in ([at(1500 * n) for n in range(1440)], [datetime(1970, 1, 2), *[at(1500 * n) for n in range(1439)]]):
+        events = spark.createDataFrame([(n, n % 2, ts) for n, ts in enumerate(times)], "event_id long, user_id long, ts timestamp")
+        found = stream_queries._followed(spark, {"events": (events, "ts", {"event_id": -1})}, p.NewVisitor(), F.lit("1")).collect()
+        assert sorted((r.seq, r.outcome) for r in found) == [(n, "1" if n < 2 else "0") for n in range(1440)]
+    assert 0 < max(s.numRowsTotal for q in queries for progress in q.recentProgress for s in progress.stateOperators) <= 16
+
+
+def test_shared_slots_give_rows_in_order(spark):
+    """Chunks of many slots that overlap, of one row to all rows, with marks at, between and far behind them: every row once, in order."""
+    import pandas as pd
+    import pyarrow as pa
+
+    class Given(p.InOrder):
+        def step(self, key, mem, us, seq, kind):
+            yield key[0], seq, f"{us}"
+
+    rng = random.Random(9)
+    for share, hold in ((0, 100), (7, 100), (40, 30), (1000, 50), (10**6, 10**6)):
+        handle, processor = Fake(), p.Grouped(Given(), share)
+        processor.slot, processor.hold, processor.batch = 10_000, hold, 13
+        processor.init(handle)
+        given, want, mark = [], [], -1_000_000
+        for low in (-500_000, 0, 20_000, 3_000_000):
+            rows = [(rng.randrange(max(low, mark + 1), 4_000_000) if n % 3 else max(low, mark + 1) + n * 100, 1000 * n + len(want), "x", f"k{n % 5}") for n in range(200)]
+            want += rows
+            packs = [p._to_bytes(pa.table([list(c) for c in zip(*rows[at : at + 10])], schema=p.ROW)) for at in range(0, 200, 10)]
+            assert not list(processor.handleInputRows((1,), iter([pd.DataFrame({"pack": packs})]), None))
+            assert len(handle.timers) == 1 and min(handle.timers) * 1000 <= min(us for us, *_ in rows) + 1000
+            mark = low + 30_000
+            while handle.timers and min(handle.timers) * 1000 <= mark:
+                handle.timers.remove(min(handle.timers))
+                given += [r for frame in processor.handleExpiredTimer((1,), Mark(mark), None) for r in frame.itertuples(index=False)]
+            assert [int(r.outcome) for r in given] == sorted(us for us, *_ in want if us <= mark)
+        handle.timers.clear()
+        given += [r for frame in processor.handleExpiredTimer((1,), Mark(5_000_000), None) for r in frame.itertuples(index=False)]
+        assert [(int(r.outcome), r.seq, r.key) for r in given] == sorted((us, seq, key) for us, seq, _, key in want)
+        assert not handle.states["waiting"].items and not handle.states["chunks"].items and not handle.timers

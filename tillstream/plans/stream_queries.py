@@ -40,6 +40,8 @@ PART_ROWS, PART_GROUPS = 400_000, 16
 PATTERN_ROWS = 1_000_000
 #: Time slot by which events wait: a few for a slice of their month, as the state store is asked per group and slot.
 SLOT = timedelta(days=5)
+#: Rows of neighbouring slots that wait together: about what a group has of a slice, so that entries go with rows and not with time.
+SHARE = 20_000
 
 
 def _feed(table: DataFrame, ts: str, folder: str, low: int, high: int, n: int, closing: dict[str, object], last: int) -> None:
@@ -147,7 +149,7 @@ def _followed(spark: SparkSession, tables: dict, processor: InOrder, kind: str |
             for name, (table, ts, _) in tables.items()}
 
     def build(rows: DataFrame) -> DataFrame:
-        return follow(rows, "key", "ts", "seq", "kind", DELAY, processor, slot, CLOSING, _groups(rows))
+        return follow(rows, "key", "ts", "seq", "kind", DELAY, processor, slot, CLOSING, _groups(rows), SHARE)
 
     return _worked_off(spark, used, build, part_rows=PATTERN_ROWS)
 
@@ -246,7 +248,7 @@ def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
                                               F.col("l_linenumber").cast("long").alias("seq"))
 
     def build(rows: DataFrame) -> DataFrame:
-        return follow(rows, "id", "ts", "seq", "kind", DELAY, Pairing(None), timedelta(days=400), CLOSING, _groups(rows))
+        return follow(rows, "id", "ts", "seq", "kind", DELAY, Pairing(None), timedelta(days=400), CLOSING, _groups(rows), SHARE)
 
     out = _worked_off(spark, {"rows": (o.union(r), "ts", {"kind": "left"})}, build).where("nth IS NOT NULL")
     return out.select(F.col("key").cast("long").alias("o_orderkey"), "nth", (F.col("left_seq") / 100).cast("decimal(18,2)").alias("total"),
@@ -356,7 +358,7 @@ def stream_visitor_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = log.select("event_id", F.col("common.mid").alias("mid"), "at", kind.alias("kind"))
 
     def build(own: DataFrame) -> DataFrame:
-        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), SLOT, CLOSING, _groups(own)), HOUR)
+        return stats.visitor_stats(follow(own, "mid", "at", "event_id", "kind", DELAY, VisitorMeasures(HALF_DAY), SLOT, CLOSING, _groups(own), SHARE), HOUR)
 
     return _worked_off(spark, {"rows": (rows, "at", {"mid": "-1"})}, build)
 

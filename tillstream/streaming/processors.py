@@ -12,7 +12,8 @@ large. A key has one live timer, the earliest time at which it has something to
 On a stream (`follow`) many keys share a group, dealt by a hash, with one timer and one set of slots (`Grouped`): what a
 state store costs is paid per group and slot and not per key. The number of groups has to grow with the rows. Rows come to
 a processor in packs, one Arrow table for the rows of a group in a stretch of the input, and wait as such: Spark hands rows
-to a processor one by one, which costs more than all that is done with them.
+to a processor one by one, which costs more than all that is done with them. Neighbouring slots of a group may wait as one
+chunk while they have few rows (``share``): the chunks then follow the rows, however long a time these are spread over.
 """
 
 from __future__ import annotations
@@ -493,6 +494,17 @@ def _spans(values: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(starts, [*starts[1:], len(values)])
 
 
+def _shared(spans: Iterable[tuple[int, int]], most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring spans as one, as long as it is no longer than ``most``."""
+    low = end = 0
+    for start, end in spans:
+        if end - low > most and start > low:
+            yield low, start
+            low = start
+    if end > low:
+        yield low, end
+
+
 def _packs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with their group, ``part``, as one row per group and so many rows; those that close the input are left out."""
     def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -520,12 +532,17 @@ class Grouped(InOrder):
     Rows come in packs and wait as Arrow tables. A task holds one slot of one group, of which some rows at a time as
     Python objects, and the memories of its keys. A row is too late if the watermark was at its time or past it when its
     group was last worked off.
+
+    A chunk holds neighbouring slots while they have ``share`` rows at most, and is found by the first of them. What a chunk
+    has beyond the next chunk's first slot is held until that comes. Of rows that came in many parts, whose chunks are held
+    together, the n-th part's share only an n-th.
     """
 
     batch = 20_000  # rows of a result frame, rows taken out of a slot at a time
 
-    def __init__(self, pattern: InOrder):
+    def __init__(self, pattern: InOrder, share: int = 0):
         self.pattern, self.slot, self.lead, self.event_time = pattern, pattern.slot, pattern.lead, pattern.event_time
+        self.share = share
         self.fields, self.output = pattern.fields, pattern.output
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -549,10 +566,9 @@ class Grouped(InOrder):
             tables.append(_from_bytes(self.waiting.getValue((slot, n))[0]))
             self.waiting.removeKey((slot, n))
         self.chunks.removeKey((slot,))
-        rows = pa.concat_tables(tables).combine_chunks()
-        return rows.take(pc.sort_indices(rows, sort_keys=IN_ORDER, null_placement="at_start"))
+        return pa.concat_tables(tables)
 
-    def _by_slot(self, tables: list[pa.Table], late: int | None) -> None:
+    def _by_slot(self, tables: list[pa.Table], late: int | None, share: int) -> None:
         rows = pa.concat_tables(tables)
         us = rows["us"].to_numpy()
         order = np.argsort(us, kind="stable")
@@ -562,7 +578,7 @@ class Grouped(InOrder):
             return
         rows, us = rows.take(pa.array(order)).combine_chunks(), us[order]
         slots = us // self.slot
-        for low, high in _spans(slots):
+        for low, high in _shared(_spans(slots), share):
             self._add(int(slots[low]), rows.slice(low, high - low))
         self._wake(int(us[0]))
 
@@ -579,33 +595,37 @@ class Grouped(InOrder):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         done = self.done.get()
         late = None if done is None else done[0] * 1000
-        tables, held = [], 0
+        tables, held, part = [], 0, 1
         for frame in rows:
             for table in self._tables(frame):
                 tables.append(table)
                 held += table.num_rows
                 if held >= self.hold:
-                    self._by_slot(tables, late)
-                    tables, held = [], 0
+                    self._by_slot(tables, late, self.share // part)
+                    tables, held, part = [], 0, part + 1
         if held:
-            self._by_slot(tables, late)
+            self._by_slot(tables, late, self.share // part)
         return iter(())
 
     def _due(self, mark: int) -> Iterator[pa.Table]:
         """Waiting rows up to the watermark in order, so many at a time; they leave the state."""
-        for slot in sorted(k[0] for k in self.chunks.keys()):
-            if slot * self.slot > mark:
-                self._wake(slot * self.slot)
-                return
-            rows = self._take(slot)
-            us = rows["us"].to_numpy()
-            cut = int(np.searchsorted(us, mark, side="right"))
+        slots = sorted(k[0] for k in self.chunks.keys())
+        due = [slot for slot in slots if slot * self.slot <= mark]
+        rest = ROW.empty_table()
+        for slot, after in zip(due, [*due[1:], None]):
+            rows = pa.concat_tables([rest, self._take(slot)]).combine_chunks()
+            rows = rows.take(pc.sort_indices(rows, sort_keys=IN_ORDER, null_placement="at_start"))
+            upto = mark if after is None else after * self.slot - 1
+            cut = int(np.searchsorted(rows["us"].to_numpy(), upto, side="right"))
             for low in range(0, cut, self.batch):
                 yield rows.slice(low, min(self.batch, cut - low))
-            if cut < len(us):
-                self._add(slot, rows.slice(cut))
-                self._wake(int(us[cut]))
-                return
+            rest = rows.slice(cut)
+        left = [slot * self.slot for slot in slots[len(due) :][:1]]
+        if rest.num_rows:
+            left.append(rest["us"][0].as_py())
+            self._add(left[-1] // self.slot, rest)
+        if left:
+            self._wake(min(left))
 
     def _results(self, mems: dict, mark: int) -> Iterator[list[tuple]]:
         step, expire, deadline, new = self.pattern.step, self.pattern.expire, self.pattern.deadline, dict.fromkeys(self.names)
@@ -761,13 +781,14 @@ def pane_sums(panes: DataFrame, key: str, at: str, start: str, n: str, size: tim
 
 
 def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: str | Column, delay: timedelta,
-           processor: InOrder, slot: timedelta | None = None, closing: str | None = None, groups: int = GROUPS) -> DataFrame:
+           processor: InOrder, slot: timedelta | None = None, closing: str | None = None, groups: int = GROUPS, share: int = 0) -> DataFrame:
     """Run a processor over a stream; gives its fields, the key as text.
 
     ``slot`` is the time slot waiting rows are kept by: short for busy keys, long for quiet ones. Rows where ``closing``
     holds move the watermark and are nothing else. Rows without a key are a key of their own. ``groups`` is how many groups the
     keys are dealt to; a task holds a slot of one at a time, so there should be one for some ten thousand rows of a
-    micro-batch. It stays fixed for a checkpoint.
+    micro-batch. It stays fixed for a checkpoint. Neighbouring slots of a group wait together while they have ``share`` rows
+    at most, for rows that are spread over many slots.
     """
     from tillstream.functions.times import epoch_micros, interval_text
 
@@ -783,4 +804,4 @@ def follow(df: DataFrame, key: str | Column, ts: str, seq: str | Column, kind: s
         F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("part"), "closing", "at", "us", "seq", "kind", "key")
     packed = dealt.select("part", "closing", "us", "seq", "kind", "key").mapInArrow(_packs, "part int, pack binary")
     return packed.groupBy("part").transformWithStateInPandas(
-        Grouped(processor), T.StructType.fromDDL(processor.output), "Append", "EventTime", eventTimeColumnName=processor.event_time)
+        Grouped(processor, share), T.StructType.fromDDL(processor.output), "Append", "EventTime", eventTimeColumnName=processor.event_time)
